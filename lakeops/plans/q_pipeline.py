@@ -1,0 +1,147 @@
+"""The key-driven job: keys in a date range, first payload per key, row status, per-date and overall
+totals, batches of keys. One DAG with one shuffle per side by key; the date is only a group column."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.functions.predicates import date_window, key_equals, lookback_window
+from lakeops.operators.lookup import NO_DATA, key_payload_join, keys_without_payload, members_of
+from lakeops.operators.ordering import with_group_row_number, with_ordinal
+from lakeops.operators.totals import overall_totals, status_totals
+from lakeops.plans.derive import LINEITEM_ORDER, order_keys
+from lakeops.plans.registry import query
+from lakeops.tables import Tables
+
+# Parameters of the registered queries.
+RANGE_START = "1990-01-01"
+RANGE_END = "2030-01-01"
+DATE_RANGE_START = "1997-01-01"
+DATE_RANGE_END = "1998-01-01"
+LOOKBACK_END = "2001-08-01"
+BATCH_SIZE = 4
+POINT_KEY = {"l_orderkey": 7, "l_linenumber": 1}
+
+# DuckDB text shared by the oracles.
+LINEITEM_ORDER_SQL = ", ".join(LINEITEM_ORDER)
+FIRST_LINEITEM_SQL = f"""(SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINEITEM_ORDER_SQL}) AS rn FROM lineitem)
+  WHERE rn = 1)"""
+KEYS_SQL = f"""(SELECT CAST(o_orderdate AS DATE) AS businessdate, o_orderkey AS id FROM orders
+  WHERE o_orderdate >= TIMESTAMP '{RANGE_START}' AND o_orderdate < TIMESTAMP '{RANGE_END}')"""
+STATUS_SQL = f"""(SELECT k.businessdate, k.id,
+    CASE WHEN p.l_orderkey IS NULL THEN 'No data'
+         WHEN p.l_quantity IS NULL OR p.l_quantity <= 0 THEN 'Error: quantity not positive'
+         ELSE 'Success' END AS status
+  FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id)"""
+DAILY_SQL = f"""SELECT businessdate, count(*) AS total_ids,
+    count(*) FILTER (WHERE status = 'Success') AS processed_records,
+    count(*) FILTER (WHERE status = 'No data') AS no_data,
+    count(*) FILTER (WHERE status LIKE 'Error%') AS errors
+  FROM {STATUS_SQL} GROUP BY businessdate"""
+
+
+def keyed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key in the range with the first lineitem of its order and a row status."""
+    t = Tables(spark, sf_dir)
+    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    joined = key_payload_join(keys, t.lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)
+    q = F.col("l_quantity")
+    status = (F.when(F.col("lookup_status") == NO_DATA, F.lit(NO_DATA))
+              .when(q.isNull() | (q <= 0), F.lit("Error: quantity not positive"))
+              .otherwise(F.lit("Success")))
+    return joined.withColumn("status", status)
+
+
+@query("daily_totals", "S4 P2 J1 J2 G11 O1", DAILY_SQL)
+def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return status_totals(keyed_status(spark, sf_dir), ["businessdate"])
+
+
+@query("overall_totals", "G12", f"""SELECT count(businessdate) AS n_dates,
+    CAST(sum(total_ids) AS BIGINT) AS total_ids, CAST(sum(processed_records) AS BIGINT) AS processed_records,
+    CAST(sum(no_data) AS BIGINT) AS no_data, CAST(sum(errors) AS BIGINT) AS errors FROM ({DAILY_SQL})""")
+def overall_totals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overall_totals(daily_totals(spark, sf_dir), "businessdate")
+
+
+@query("key_payload_join", "J1", f"""SELECT k.businessdate, k.id, p.l_partkey, p.l_suppkey, p.l_linenumber,
+    p.l_quantity, p.l_extendedprice, p.l_discount, p.l_tax, p.l_returnflag, p.l_linestatus, p.l_shipdate,
+    CASE WHEN p.l_orderkey IS NULL THEN 'No data' ELSE 'Found' END AS lookup_status
+  FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id""")
+def key_payload_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    return key_payload_join(keys, t.lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)
+
+
+@query("keys_without_payload", "J2", """SELECT o.* FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def keys_without_payload_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return keys_without_payload(t.orders, t.lineitem, ["o_orderkey"], ["l_orderkey"])
+
+
+@query("set_difference", "U3", """SELECT o_orderkey AS orderkey FROM orders
+  EXCEPT SELECT l_orderkey FROM lineitem""")
+def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return t.orders.select(F.col("o_orderkey").alias("orderkey")).subtract(t.lineitem.select("l_orderkey"))
+
+
+@query("date_range", "P2", f"""SELECT * FROM orders
+  WHERE o_orderdate >= TIMESTAMP '{DATE_RANGE_START}' AND o_orderdate < TIMESTAMP '{DATE_RANGE_END}'""")
+def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return date_window(Tables(spark, sf_dir).orders, "o_orderdate", DATE_RANGE_START, DATE_RANGE_END)
+
+
+@query("lookback_547", "P3", f"""SELECT * FROM orders
+  WHERE o_orderdate >= TIMESTAMP '{LOOKBACK_END}' - INTERVAL 547 DAY AND o_orderdate < TIMESTAMP '{LOOKBACK_END}'""")
+def lookback_547(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookback_window(Tables(spark, sf_dir).orders, "o_orderdate", LOOKBACK_END)
+
+
+@query("composite_lookup", "P4", f"""SELECT * FROM lineitem
+  WHERE l_orderkey = {POINT_KEY['l_orderkey']} AND l_linenumber = {POINT_KEY['l_linenumber']}""")
+def composite_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Tables(spark, sf_dir).lineitem.where(key_equals(POINT_KEY))
+
+
+@query("keys_by_date", "G4", f"""SELECT businessdate, count(id) AS n_ids, count(DISTINCT id) AS n_distinct_ids,
+    min(id) AS first_id, max(id) AS last_id FROM {KEYS_SQL} GROUP BY businessdate""")
+def keys_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    return keys.groupBy("businessdate").agg(
+        F.count("id").alias("n_ids"), F.countDistinct("id").alias("n_distinct_ids"),
+        F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@query("sorted_keys", "O1", f"""SELECT businessdate, id,
+    row_number() OVER (ORDER BY businessdate, id) AS position FROM {KEYS_SQL}""")
+def sorted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    return with_ordinal(keys, ["businessdate", "id"], "position")
+
+
+@query("batch_number", "W3", f"""SELECT businessdate, id,
+    CAST(floor((row_number() OVER (PARTITION BY businessdate ORDER BY id) - 1) / {BATCH_SIZE}) AS BIGINT) AS batch_no
+  FROM {KEYS_SQL}""")
+def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    numbered = with_group_row_number(keys, ["businessdate"], ["id"], "_rn")
+    return numbered.select("businessdate", "id",
+                           F.floor((F.col("_rn") - 1) / F.lit(BATCH_SIZE)).cast("long").alias("batch_no"))
+
+
+@query("batch_members", "J8", f"""SELECT o.* FROM orders o WHERE (CAST(o.o_orderdate AS DATE), o.o_orderkey) IN (
+    SELECT (businessdate, id) FROM (SELECT businessdate, id,
+      row_number() OVER (PARTITION BY businessdate ORDER BY id) AS rn FROM {KEYS_SQL}) WHERE rn <= {BATCH_SIZE})""")
+def batch_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    first_batch = batch_number(spark, sf_dir).where(F.col("batch_no") == 0).select("businessdate", "id")
+    orders = t.orders.withColumn("businessdate", F.col("o_orderdate").cast("date")).withColumn("id", F.col("o_orderkey"))
+    return members_of(orders, first_batch, ["businessdate", "id"]).drop("businessdate", "id")
