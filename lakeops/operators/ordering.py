@@ -66,7 +66,7 @@ def with_group_row_number_simple(df: DataFrame, group: Sequence[str], order: Seq
     """Plain window form: one shuffle, but a whole group is numbered by one task. Use it only when the
     group size is bounded (the lines of one document, the items of one order)."""
     w = Window.partitionBy(*group).orderBy(*_cols(order))
-    return df.withColumn(name, F.row_number().over(w))
+    return df.withColumn(name, F.row_number().over(w).cast("long"))
 
 
 def top_n(df: DataFrame, order: Sequence[str | Column], n: int, name: str = "rank") -> DataFrame:
@@ -75,7 +75,7 @@ def top_n(df: DataFrame, order: Sequence[str | Column], n: int, name: str = "ran
     _check_positive("n", n)
     top = df.orderBy(*_cols(order)).limit(n)
     w = Window.orderBy(*_cols(order))
-    return top.withColumn(name, F.row_number().over(w))
+    return top.withColumn(name, F.row_number().over(w).cast("long"))
 
 
 def page_slice(df: DataFrame, order: Sequence[str | Column], page: int = 1, per_page: int = 10,
@@ -87,7 +87,7 @@ def page_slice(df: DataFrame, order: Sequence[str | Column], page: int = 1, per_
     start = (page - 1) * per_page
     sliced = df.orderBy(*_cols(order)).offset(start).limit(per_page)
     w = Window.orderBy(*_cols(order))
-    return sliced.withColumn(name, F.row_number().over(w) + F.lit(start))
+    return sliced.withColumn(name, (F.row_number().over(w) + F.lit(start)).cast("long"))
 
 
 def page_count(total: Column, per_page: int) -> Column:

@@ -4,6 +4,7 @@ import importlib
 
 _MODULES = (
     "lakeops.plans.q_pipeline",
+    "lakeops.plans.q_runs",
 )
 
 
