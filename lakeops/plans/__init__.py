@@ -5,6 +5,7 @@ import importlib
 _MODULES = (
     "lakeops.plans.q_pipeline",
     "lakeops.plans.q_runs",
+    "lakeops.plans.q_text",
 )
 
 
