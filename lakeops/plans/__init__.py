@@ -6,6 +6,8 @@ _MODULES = (
     "lakeops.plans.q_pipeline",
     "lakeops.plans.q_runs",
     "lakeops.plans.q_text",
+    "lakeops.plans.q_vectors",
+    "lakeops.plans.q_aggregates",
 )
 
 

@@ -98,3 +98,21 @@ def two_part_reports(conversations: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("sub"), row.alias("line")),
     )
     return _reports(conversations, gen)
+
+
+def vector_texts(embeddings: DataFrame) -> DataFrame:
+    """Vectors as comma text: every 10th vec_id has one element "x", every 11th is null, every 13th is
+    cut to one element less."""
+    elems = F.transform("embedding", lambda x: x.cast("string"))
+    elems = F.when(F.col("vec_id") % 10 == 0,
+                   F.transform(elems, lambda x, i: F.when(i == 4, F.lit("x")).otherwise(x))).otherwise(elems)
+    elems = F.when(F.col("vec_id") % 13 == 0, F.slice(elems, 1, F.size(elems) - 1)).otherwise(elems)
+    text = F.when(F.col("vec_id") % 11 == 0, F.lit(None).cast("string")).otherwise(F.array_join(elems, ","))
+    return embeddings.select("vec_id", text.alias("vector_text"))
+
+
+def cut_vectors(embeddings: DataFrame) -> DataFrame:
+    """Vectors with every 13th vec_id cut to one element less."""
+    v = F.col("embedding")
+    return embeddings.select("vec_id", F.when(F.col("vec_id") % 13 == 0, F.slice(v, 1, F.size(v) - 1))
+                             .otherwise(v).alias("embedding"))
