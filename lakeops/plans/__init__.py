@@ -8,6 +8,7 @@ _MODULES = (
     "lakeops.plans.q_text",
     "lakeops.plans.q_vectors",
     "lakeops.plans.q_aggregates",
+    "lakeops.plans.q_sources",
 )
 
 
