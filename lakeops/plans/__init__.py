@@ -3,12 +3,13 @@
 import importlib
 
 _MODULES = (
-    "lakeops.plans.q_pipeline",
+    "lakeops.plans.q_keyed",
     "lakeops.plans.q_runs",
     "lakeops.plans.q_text",
     "lakeops.plans.q_vectors",
     "lakeops.plans.q_aggregates",
     "lakeops.plans.q_sources",
+    "lakeops.plans.q_streams",
 )
 
 

@@ -13,7 +13,7 @@ from lakeops.functions.vectors import (
 from lakeops.operators.lookup import NO_DATA, key_payload_join
 from lakeops.operators.totals import status_totals
 from lakeops.plans.derive import LINEITEM_ORDER, cut_vectors, order_keys, vector_texts
-from lakeops.plans.q_pipeline import FIRST_LINEITEM_SQL, KEYS_SQL, RANGE_END, RANGE_START
+from lakeops.plans.q_keyed import FIRST_LINEITEM_SQL, KEYS_SQL, RANGE_END, RANGE_START
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
 
@@ -103,7 +103,7 @@ def binary_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
                     vector_max("v").alias("v_max"))
 
 
-@query("date_pipeline", "X3 J1 F8 G14 G15 G11", f"""WITH s AS (
+@query("per_date_job", "X3 J1 F8 G14 G15 G11", f"""WITH s AS (
     SELECT k.businessdate, k.id, p.l_orderkey IS NOT NULL AS found,
       ((p.l_quantity + p.l_extendedprice) - p.l_discount) - p.l_tax AS result_sum
     FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id)
@@ -111,7 +111,7 @@ def binary_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     count(*) FILTER (WHERE NOT found) AS no_data, CAST(0 AS BIGINT) AS errors,
     round(sum(result_sum), 2) AS result_total, max(result_sum) AS result_max
   FROM s GROUP BY businessdate""")
-def date_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key-driven vector job on the TPC-H tables: each key's first lineitem is the payload, its four
     measures are one-element vectors, the first two added and the last two subtracted; sum and max of
     the result per key, a status per key, and totals per date."""
