@@ -22,9 +22,9 @@ def grid_totals(assets: DataFrame, asset_value: Column, factors: DataFrame, fact
     every asset and every tenor ``1..tenors``."""
     if isinstance(tenors, bool) or not isinstance(tenors, int) or tenors < 1:
         raise ValueError("tenors must be a positive integer")
-    stats = assets.agg(F.count(F.lit(1)).alias("n"), F.sum(asset_value).alias("s"))
-    n_assets = stats.select("n").scalar()
-    asset_sum = stats.select("s").scalar()
+    # One scalar subquery: the asset table reduced to its count and sum.
+    stats = assets.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(asset_value).alias("s")).alias("st")).scalar()
+    n_assets, asset_sum = stats.getField("n"), stats.getField("s")
     cells = factors.select(*factor_keys, factor_weight.alias("_w"),
                            F.explode(F.sequence(F.lit(1), F.lit(tenors))).alias("_tenor"))
     return cells.groupBy(*factor_keys).agg(

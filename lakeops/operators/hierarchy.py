@@ -31,8 +31,8 @@ def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str
     key_type = edges.schema[parent].dataType
     e = edges.select(F.col(parent).alias("_parent"), F.col(child).alias("node")).distinct()
     e = e.repartition("_parent").checkpoint()
-    frontier = spark.range(1).select(F.lit(root).cast(key_type).alias("node"))
-    visited = [frontier]
+    root_lit = F.lit(root).cast(key_type)
+    frontier = spark.range(1).select(root_lit.alias("node"))
     found: list[DataFrame] = []
     n_frontier = 1
     level = 0
@@ -45,13 +45,10 @@ def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str
         children = (e.join(side.select(F.col("node").alias("_parent")), "_parent")
                     .select("node").distinct())
         if found:
-            children_new = children.join(reduce(DataFrame.unionAll, found).select("node"), "node", "left_anti")
-        else:
-            children_new = children
-        level_rows = children_new.withColumn("depth", F.lit(level)).checkpoint()
+            children = children.join(reduce(DataFrame.unionAll, found).select("node"), "node", "left_anti")
+        level_rows = children.withColumn("depth", F.lit(level)).checkpoint()
         found.append(level_rows)
-        frontier = level_rows.select("node").join(reduce(DataFrame.unionAll, visited), "node", "left_anti")
-        frontier = frontier.checkpoint()
+        # Visited = root + everything found, so the next frontier is this level's new nodes minus the root.
+        frontier = level_rows.select("node").where(F.col("node") != root_lit)
         n_frontier = frontier.count()
-        visited.append(frontier)
     return reduce(DataFrame.unionAll, found)

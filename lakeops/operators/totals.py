@@ -51,14 +51,17 @@ def even_split(total: Column, parts: int) -> Column:
     )
 
 
-def status_totals(df: DataFrame, group: Sequence[str], status: str = "status") -> DataFrame:
-    """Per group: ids, processed (status Success), no data, and errors (status starting with Error)."""
+def status_totals(df: DataFrame, group: Sequence[str], status: str = "status", extra: Sequence[Column] = ()
+                  ) -> DataFrame:
+    """Per group: ids, processed (status Success), no data, and errors (status starting with Error), plus
+    any ``extra`` aggregates, all in one aggregation."""
     s = F.col(status)
     return df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("total_ids"),
         F.count_if(s == F.lit(SUCCESS)).alias("processed_records"),
         F.count_if(s == F.lit(NO_DATA)).alias("no_data"),
         F.count_if(s.startswith(ERROR_PREFIX)).alias("errors"),
+        *extra,
     )
 
 

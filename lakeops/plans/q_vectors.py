@@ -128,7 +128,5 @@ def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = joined.select("businessdate", "id", status.alias("status"),
                          F.when(status == "Success", vector_sum(result)).alias("result_sum"),
                          F.when(status == "Success", vector_max(result)).alias("result_max"))
-    totals = status_totals(rows, ["businessdate"])
-    values = rows.groupBy("businessdate").agg(F.round(F.sum("result_sum"), 2).alias("result_total"),
-                                              F.max("result_max").alias("result_max"))
-    return totals.join(values, "businessdate")
+    return status_totals(rows, ["businessdate"], extra=[F.round(F.sum("result_sum"), 2).alias("result_total"),
+                                                        F.max("result_max").alias("result_max")])
