@@ -145,3 +145,19 @@ def batch_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_batch = batch_number(spark, sf_dir).where(F.col("batch_no") == 0).select("businessdate", "id")
     orders = t.orders.withColumn("businessdate", F.col("o_orderdate").cast("date")).withColumn("id", F.col("o_orderkey"))
     return members_of(orders, first_batch, ["businessdate", "id"]).drop("businessdate", "id")
+
+
+@query("row_status", "F14", """SELECT l_orderkey, l_linenumber, l_partkey,
+    CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS unit_price,
+    CASE WHEN l_quantity IS NULL OR l_quantity = 0 THEN 'Error: quantity is zero'
+         WHEN l_discount < 0 OR l_discount > 1 THEN 'Error: discount out of range'
+         ELSE 'Success' END AS status FROM lineitem""")
+def row_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row error capture: a bad row gets an error status and a null value; no row stops the job."""
+    li = Tables(spark, sf_dir).lineitem
+    q, d = F.col("l_quantity"), F.col("l_discount")
+    status = (F.when(q.isNull() | (q == 0), F.lit("Error: quantity is zero"))
+              .when((d < 0) | (d > 1), F.lit("Error: discount out of range"))
+              .otherwise(F.lit("Success")))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     F.try_divide(F.col("l_extendedprice"), q).alias("unit_price"), status.alias("status"))
