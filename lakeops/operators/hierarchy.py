@@ -1,7 +1,7 @@
 """Hierarchy expansion over an edge table (parent -> child), safe on cycles.
 
-Breadth first, one join per level: the frontier joins the edges, children not seen before are the new
-result rows, and children not yet visited are the next frontier. Every level is checkpointed to the
+Breadth first, one join per level: the frontier joins the edges, and children not seen before are the
+new result rows and (apart from the root) the next frontier. Every level is checkpointed to the
 shared checkpoint folder, so lineage stays short and a lost executor recomputes one level, not all.
 The loop ends when the frontier is empty, which always happens: the visited set only grows.
 """
@@ -13,12 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.operators.sizing import broadcast_limit
+from lakeops.operators.sizing import broadcast_limit, measured_bytes
 from lakeops.session import ensure_checkpoint_dir
 
-# Bytes per frontier row, an upper bound used to decide whether the frontier is broadcast.
-_FRONTIER_ROW_BYTES = 64
-
 
 def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str = "child",
                      max_levels: int | None = None) -> DataFrame:
@@ -29,19 +26,21 @@ def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     key_type = edges.schema[parent].dataType
-    e = edges.select(F.col(parent).alias("_parent"), F.col(child).alias("node")).distinct()
-    e = e.repartition("_parent").checkpoint()
+    # Edges are materialised once but not partitioned by parent: a parent with a third of all children
+    # would make one hot task. A small frontier is broadcast and the edges stream through their own
+    # balanced partitions; a large one is joined with a shuffle on both sides, where AQE splits skew.
+    e = edges.select(F.col(parent).alias("_parent"), F.col(child).alias("node")).distinct().checkpoint()
     root_lit = F.lit(root).cast(key_type)
     frontier = spark.range(1).select(root_lit.alias("node"))
     found: list[DataFrame] = []
-    n_frontier = 1
+    frontier_bytes = measured_bytes(frontier)
     level = 0
     limit = broadcast_limit(edges)
-    while n_frontier > 0:
+    while frontier_bytes > 0:
         level += 1
         if max_levels is not None and level > max_levels:
             raise RuntimeError(f"hierarchy deeper than {max_levels} levels")
-        side = F.broadcast(frontier) if n_frontier * _FRONTIER_ROW_BYTES <= limit else frontier
+        side = F.broadcast(frontier) if frontier_bytes <= limit else frontier
         children = (e.join(side.select(F.col("node").alias("_parent")), "_parent")
                     .select("node").distinct())
         if found:
@@ -50,5 +49,5 @@ def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str
         found.append(level_rows)
         # Visited = root + everything found, so the next frontier is this level's new nodes minus the root.
         frontier = level_rows.select("node").where(F.col("node") != root_lit)
-        n_frontier = frontier.count()
+        frontier_bytes = measured_bytes(frontier)  # exact size; 0 when empty
     return reduce(DataFrame.unionAll, found)
