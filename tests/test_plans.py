@@ -42,7 +42,7 @@ def test_small_lookup_is_broadcast(spark):
 
 
 def test_hit_ratio_stays_in_the_jvm(spark):
-    text = plan(QUERIES["hit_ratio"](spark, SF_SMALL))
+    text = plan(QUERIES["hit_ratio"](spark, SF_SMALL), executed=True)
     assert "Python" not in text and "* HashAggregate" in text
 
 
