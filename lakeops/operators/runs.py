@@ -65,12 +65,17 @@ def box_verdict(boxes: DataFrame, children: DataFrame, box: str = "box", box_sta
     its own status is success. A box without children is decided by its own status."""
     flags = child_flags(children, parent, status)
     joined = boxes.join(flags, boxes[box] == flags[parent], "left").drop(parent)
+    return verdict_from_flags(joined, box, box_status)
+
+
+def verdict_from_flags(flags: DataFrame, box: str, box_status: str) -> DataFrame:
+    """Verdict rows from per-box child flags (missing flags: a box without children)."""
     verdict = (F.when(F.coalesce(F.col("any_terminated"), F.lit(False)), F.lit(VERDICT_FAILED))
                .when(F.coalesce(F.col("any_running"), F.lit(False)), F.lit(VERDICT_OPEN))
                .when(F.col(box_status) == STATUS_SUCCESS, F.lit(VERDICT_SUCCESS))
                .otherwise(F.lit(VERDICT_NOT_SUCCESS)))
-    return joined.select(box, box_status, F.coalesce(F.col("n_children"), F.lit(0)).alias("n_children"),
-                         verdict.alias("verdict"))
+    return flags.select(box, box_status, F.coalesce(F.col("n_children"), F.lit(0)).alias("n_children"),
+                        verdict.alias("verdict"))
 
 
 def all_of_n_gate(children: DataFrame, parent: str, ok: Column, failed: Column, n: int) -> DataFrame:

@@ -161,6 +161,6 @@ def row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retryable_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = Tables(spark, sf_dir).events
     code = F.when(F.col("user_id") % 2 == 0, F.lit(None).cast("int")).otherwise(
-        F.get_json_object("props", "$.k").cast("int"))
+        F.get_json_object("props", "$.k").try_cast("int"))
     ev = ev.select("event_id", "user_id", code.alias("code"), F.col("event_type").alias("message"))
     return ev.where(retryable("code", "message", RETRY_CODE, RETRY_WORDS))

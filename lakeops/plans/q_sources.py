@@ -66,7 +66,7 @@ def json_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.concat(F.lit("job_"), F.col("event_id").cast("string")).alias("name"),
         F.upper("event_type").alias("type"),
-        F.when(F.col("event_id") % 2 == 0, F.col("user_id").cast("int")).alias("runNum"),
+        F.when(F.col("event_id") % 2 == 0, F.col("user_id").try_cast("int")).alias("runNum"),
     )
     docs = files.job_list_json(jobs, F.expr(f"event_id div {JOBS_PER_DOC}"), "event_id")
     return files.parse_job_lists(docs, "json")
@@ -150,7 +150,7 @@ def merge_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     csv_path = scratch_path(spark, "csv-nation")
     files.write_csv(t.nation, csv_path)
     nation = files.read_csv_text(spark, csv_path).select(
-        F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name")
+        F.col("n_nationkey").try_cast("int").alias("n_nationkey"), "n_name")
     c = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     merged = lookup_join(c, nation, c["c_nationkey"] == nation["n_nationkey"]).select(
         "c_custkey", "c_name", "c_nationkey", "n_name", "c_acctbal")

@@ -36,6 +36,10 @@ def cluster_settings(shuffle_partitions: int = 2000, max_partition_bytes: str =
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.files.maxPartitionBytes": max_partition_bytes,
         "spark.sql.autoBroadcastJoinThreshold": "64m",
+        # Streaming state (one row per job) kept off-heap, with incremental checkpoints.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
 
 

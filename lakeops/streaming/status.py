@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.predicates import STATUS_RUNNING, STATUS_SUCCESS, STATUS_TERMINATED
-from lakeops.operators.runs import box_verdict
+from lakeops.operators.runs import child_flags, verdict_from_flags
 
-DEFAULT_FILES_PER_TRIGGER = 4
+DEFAULT_FILES_PER_TRIGGER = 8
 # Fixed value: the subject line of a failure alert.
 ALERT_SUBJECT_PREFIX = "Job Failure: "
 
@@ -92,12 +92,13 @@ def event_status_code(event_type: Column) -> Column:
 
 
 def verdict_writer(path: str, box_of: Callable[[Column], Column]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: latest child statuses (complete table) -> box verdicts, replacing ``path``."""
+    """foreachBatch function: latest child statuses (complete table) -> box verdicts, replacing ``path``.
+    The boxes are the parents seen, so the verdict comes from one aggregate of the child flags."""
     def write(batch: DataFrame, batch_id: int) -> None:
         children = batch.select(box_of(F.col("child")).alias("parent"), "child",
                                 F.col("latest_status").alias("status"))
-        boxes = children.select(F.col("parent").alias("box")).distinct().withColumn("box_status", F.lit(STATUS_SUCCESS))
-        box_verdict(boxes, children).write.mode("overwrite").parquet(path)
+        flags = child_flags(children).withColumnRenamed("parent", "box").withColumn("box_status", F.lit(STATUS_SUCCESS))
+        verdict_from_flags(flags, "box", "box_status").write.mode("overwrite").parquet(path)
     return write
 
 
