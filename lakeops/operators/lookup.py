@@ -15,17 +15,18 @@ FOUND = "Found"
 
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """The first row of every key in a stated order (default: all columns, which is total when rows are
-    distinct). Written as ``min(struct(order, payload))`` so the work is a hash aggregate with a map-side
-    partial step: a key holding a third of the rows is reduced on every mapper before the shuffle."""
+    distinct). Written as ``min(struct(order..., rest...))`` grouped by key: an aggregate with a map-side
+    partial step (sort based, as the buffer is a struct), so a key holding a third of the rows is reduced
+    on every mapper before the shuffle and no task holds a whole group."""
     keys = list(keys)
-    order = list(order) if order is not None else list(df.columns)
-    payload = [c for c in df.columns if c not in keys]
-    ordered = F.struct(
-        F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("o"),
-        F.struct(*[F.col(c) for c in payload]).alias("p"),
-    )
-    first = df.groupBy(*keys).agg(F.min(ordered).alias("_first"))
-    return first.select(*keys, *[F.col(f"_first.p.{c}").alias(c) for c in payload])
+    # Key columns are constant inside a group, so they are left out of the comparison; every other
+    # column is carried once, as an order field or after them.
+    order = [c for c in (order if order is not None else df.columns) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    fields = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)] + [F.col(c).alias(f"r{i}") for i, c in enumerate(rest)]
+    first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
+    where = {c: f"_first.o{i}" for i, c in enumerate(order)} | {c: f"_first.r{i}" for i, c in enumerate(rest)}
+    return first.select(*keys, *[F.col(where[c]).alias(c) for c in df.columns if c not in keys])
 
 
 def key_payload_join(

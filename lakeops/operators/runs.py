@@ -23,12 +23,13 @@ GATE_MISSING = "missing"
 def newest_per_group(df: DataFrame, group: Sequence[str], newest: str, seq: str) -> DataFrame:
     """The newest row of every group (largest ``newest``; on a tie the smallest ``seq``, i.e. the first
     in input order). An aggregate over ``max(struct)``: partial on every mapper, so a hot group costs no
-    more than a cold one."""
+    more than a cold one. Every column is carried once in the struct."""
     group = list(group)
-    payload = [c for c in df.columns if c not in group]
+    rest = [c for c in df.columns if c not in group and c not in (newest, seq)]
     best = F.max(F.struct(F.col(newest).alias("_k1"), (-F.col(seq)).alias("_k2"),
-                          F.struct(*[F.col(c) for c in payload]).alias("_p"))).alias("_best")
-    return df.groupBy(*group).agg(best).select(*group, *[F.col(f"_best._p.{c}").alias(c) for c in payload])
+                          *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])).alias("_b")
+    where = {newest: F.col("_b._k1"), seq: -F.col("_b._k2")} | {c: F.col(f"_b._r{i}") for i, c in enumerate(rest)}
+    return df.groupBy(*group).agg(best).select(*group, *[where[c].alias(c) for c in df.columns if c not in group])
 
 
 def latest_run(runs: DataFrame, job: str = "job_name", date: str = "run_date", status: str = "status",
