@@ -26,9 +26,9 @@ def newest_per_group(df: DataFrame, group: Sequence[str], newest: str, seq: str)
     more than a cold one. Every column is carried once in the struct."""
     group = list(group)
     rest = [c for c in df.columns if c not in group and c not in (newest, seq)]
-    best = F.max(F.struct(F.col(newest).alias("_k1"), (-F.col(seq)).alias("_k2"),
+    best = F.max(F.struct(F.col(newest).alias("_k1"), F.bitwise_not(F.col(seq)).alias("_k2"),
                           *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])).alias("_b")
-    where = {newest: F.col("_b._k1"), seq: -F.col("_b._k2")} | {c: F.col(f"_b._r{i}") for i, c in enumerate(rest)}
+    where = {newest: F.col("_b._k1"), seq: F.bitwise_not(F.col("_b._k2"))} | {c: F.col(f"_b._r{i}") for i, c in enumerate(rest)}
     return df.groupBy(*group).agg(best).select(*group, *[where[c].alias(c) for c in df.columns if c not in group])
 
 
@@ -38,7 +38,7 @@ def latest_run(runs: DataFrame, job: str = "job_name", date: str = "run_date", s
     (a "last n days" view); by default all runs count."""
     if since is not None:
         runs = runs.where(F.col(date) >= since)
-    latest = F.max(F.struct(F.col(date).alias("d"), (-F.col(seq)).alias("s"), F.col(status).alias("st")))
+    latest = F.max(F.struct(F.col(date).alias("d"), F.bitwise_not(F.col(seq)).alias("s"), F.col(status).alias("st")))
     return (runs.groupBy(job)
             .agg(latest.alias("_l"), F.count(F.lit(1)).alias("n_runs"))
             .select(job, F.col("_l.d").alias("latest_date"), F.col("_l.st").alias("latest_status"), "n_runs"))

@@ -48,7 +48,7 @@ def latest_status(stream: DataFrame, key: str, ts: str, status: Column | str,
                   seq: str | None = None) -> DataFrame:
     """Latest status per key: ``max(struct(ts, -seq, status))``. The state is one row per key."""
     st = F.col(status) if isinstance(status, str) else status
-    parts = [F.col(ts).alias("t")] + ([(-F.col(seq)).alias("s")] if seq else []) + [st.alias("st")]
+    parts = [F.col(ts).alias("t")] + ([F.bitwise_not(F.col(seq)).alias("s")] if seq else []) + [st.alias("st")]
     agg = stream.groupBy(key).agg(F.max(F.struct(*parts)).alias("_l"), F.count(F.lit(1)).alias("n_events"))
     return agg.select(key, F.col("_l.t").alias("latest_ts"), F.col("_l.st").alias("latest_status"), "n_events")
 
