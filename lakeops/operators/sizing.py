@@ -46,8 +46,29 @@ def broadcast_limit(df: DataFrame) -> int:
     return DEFAULT_BROADCAST_LIMIT if value is None or value <= 0 else max(value, DEFAULT_BROADCAST_LIMIT)
 
 
+def input_file_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files ``df`` reads, from a listing (file contents are not read); None when ``df`` does
+    not come from files."""
+    paths = df.inputFiles()
+    if not paths:
+        return None
+    listing = df.sparkSession.read.format("binaryFile").load(paths).select("length")
+    return int(listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """True when the measured size of ``df`` is within ``limit``. When its input files alone are larger
+    than the limit the answer is no without a scan: this is exact for a whole table (decoded rows are
+    larger than compressed files) and conservative for a filtered one, which is then left to the
+    planner and to AQE's run-time switch."""
+    limit = broadcast_limit(df) if limit is None else limit
+    on_disk = input_file_bytes(df)
+    if on_disk is not None and on_disk > limit:
+        return False
+    return measured_bytes(df) <= limit
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Return ``broadcast(df)`` when its measured size is within ``limit``; otherwise ``df`` unchanged,
     so the planner shuffles both sides (and AQE may still switch at run time)."""
-    limit = broadcast_limit(df) if limit is None else limit
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
