@@ -15,6 +15,8 @@ from lakeops.tables import Tables
 
 # Parameters of the registered queries.
 SEARCH = "Red"
+JOB_SEARCH = "job_1"
+JOB_PAGE = 2
 PER_PAGE = 10
 PAGE = 3
 TOP_N = 5
@@ -164,3 +166,23 @@ def retryable_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").try_cast("int"))
     ev = ev.select("event_id", "user_id", code.alias("code"), F.col("event_type").alias("message"))
     return ev.where(retryable("code", "message", RETRY_CODE, RETRY_WORDS))
+
+
+@query("run_summary_page", "G5 P6 O4 G17", f"""SELECT * FROM (
+    SELECT 'Job_' || CAST(job_name AS VARCHAR) AS job_label, latest_date, latest_status, n_runs,
+      row_number() OVER (ORDER BY 'Job_' || CAST(job_name AS VARCHAR)) AS position,
+      CAST(ceil(count(*) OVER () / {PER_PAGE}) AS BIGINT) AS total_pages
+    FROM (SELECT job_name, run_date AS latest_date, status AS latest_status, n_runs FROM (
+      SELECT *, row_number() OVER (PARTITION BY job_name ORDER BY run_date DESC, seq) AS rn,
+        count(*) OVER (PARTITION BY job_name) AS n_runs FROM {RUNS_SQL}) WHERE rn = 1)
+    WHERE contains(lower('Job_' || CAST(job_name AS VARCHAR)), lower('{JOB_SEARCH}')))
+  WHERE position > {(JOB_PAGE - 1) * PER_PAGE} AND position <= {JOB_PAGE * PER_PAGE}""")
+def run_summary_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run summary view: latest run per job, filtered by a search on the job name, one page of the
+    jobs in name order, with the page count."""
+    latest = latest_run(run_records(Tables(spark, sf_dir).events))
+    labelled = latest.select(F.concat(F.lit("Job_"), F.col("job_name").cast("string")).alias("job_label"),
+                             "latest_date", "latest_status", "n_runs").where(ci_contains("job_label", JOB_SEARCH))
+    pages = labelled.agg(page_count(F.count(F.lit(1)), PER_PAGE).alias("total_pages"))
+    page = page_slice(labelled, ["job_label"], JOB_PAGE, PER_PAGE)
+    return page.withColumn("total_pages", pages.scalar())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from lakeops.operators.totals import status_totals
 from lakeops.plans.derive import LINEITEM_ORDER, cut_vectors, order_keys, vector_texts
 from lakeops.plans.q_keyed import FIRST_LINEITEM_SQL, KEYS_SQL, RANGE_END, RANGE_START
 from lakeops.plans.registry import query
+from lakeops.session import scratch_path
+from lakeops.sources import lake
 from lakeops.tables import Tables
 
 # Parameters of the registered queries.
@@ -103,18 +107,15 @@ def binary_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
                     vector_max("v").alias("v_max"))
 
 
-@query("per_date_job", "X3 J1 F8 G14 G15 G11", f"""WITH s AS (
-    SELECT k.businessdate, k.id, p.l_orderkey IS NOT NULL AS found,
+_RESULTS_SQL = f"""(SELECT k.businessdate, k.id, p.l_orderkey IS NOT NULL AS found,
       ((p.l_quantity + p.l_extendedprice) - p.l_discount) - p.l_tax AS result_sum
-    FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id)
-  SELECT businessdate, count(*) AS total_ids, count(*) FILTER (WHERE found) AS processed_records,
-    count(*) FILTER (WHERE NOT found) AS no_data, CAST(0 AS BIGINT) AS errors,
-    round(sum(result_sum), 2) AS result_total, max(result_sum) AS result_max
-  FROM s GROUP BY businessdate""")
-def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id)"""
+
+
+def key_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key-driven vector job on the TPC-H tables: each key's first lineitem is the payload, its four
-    measures are one-element vectors, the first two added and the last two subtracted; sum and max of
-    the result per key, a status per key, and totals per date."""
+    measures are one-element vectors, the first two added and the last two subtracted; a status per key
+    and the sum and max of its result vector."""
     t = Tables(spark, sf_dir)
     keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
     joined = key_payload_join(keys, t.lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)
@@ -125,8 +126,32 @@ def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = (F.when(F.col("lookup_status") == NO_DATA, F.lit(NO_DATA))
               .when(first_error.isNotNull(), first_error)
               .otherwise(F.lit("Success")))
-    rows = joined.select("businessdate", "id", status.alias("status"),
+    return joined.select("businessdate", "id", status.alias("status"),
                          F.when(status == "Success", vector_sum(result)).alias("result_sum"),
                          F.when(status == "Success", vector_max(result)).alias("result_max"))
+
+
+@query("per_date_job", "X3 J1 F8 G14 G15 G11", f"""SELECT businessdate, count(*) AS total_ids,
+    count(*) FILTER (WHERE found) AS processed_records, count(*) FILTER (WHERE NOT found) AS no_data,
+    CAST(0 AS BIGINT) AS errors, round(sum(result_sum), 2) AS result_total, max(result_sum) AS result_max
+  FROM {_RESULTS_SQL} GROUP BY businessdate""")
+def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per date of :func:`key_results`, in one aggregation."""
+    rows = key_results(spark, sf_dir)
     return status_totals(rows, ["businessdate"], extra=[F.round(F.sum("result_sum"), 2).alias("result_total"),
                                                         F.max("result_max").alias("result_max")])
+
+
+@query("result_rows", "S18 X3", f"""SELECT businessdate, id, CASE WHEN found THEN 'Success' ELSE 'No data' END AS status,
+    CASE WHEN found THEN result_sum END AS result_sum, CASE WHEN found THEN result_sum END AS result_max
+  FROM {_RESULTS_SQL}""")
+def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-key results written to a result table (the batched insert of the job, aimed at a lake
+    table here) and read back."""
+    ns = f"lakeops_results_{uuid.uuid4().hex[:8]}"
+    lake.create_namespace(spark, ns, scratch_path(spark, "ns-results"))
+    table = f"{ns}.key_results"
+    lake.create_table(spark, table, "businessdate DATE, id BIGINT, status STRING, result_sum DOUBLE, result_max DOUBLE",
+                      location=scratch_path(spark, "tbl-results"))
+    lake.append(key_results(spark, sf_dir), table)
+    return spark.table(table)
