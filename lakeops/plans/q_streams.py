@@ -23,12 +23,6 @@ def _landed(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str
     return st.read_event_stream(spark, landing, events.schema), scratch_path(spark, f"ckpt-{name}")
 
 
-def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
-    return df
-
-
 @query("stream_latest_status", "T1", """SELECT user_id, max(ts) AS latest_ts, arg_max(event_type, ts) AS latest_status,
     count(*) AS n_events FROM events GROUP BY user_id""")
 def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +30,7 @@ def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "sink-latest")
     latest = st.latest_status(stream, "user_id", "ts", "event_type", "event_id")
     st.run_available(latest, ckpt, f"latest_{ckpt[-12:]}", "complete", st.snapshot_writer(out))
-    return _ntz(spark.read.parquet(out), "latest_ts")
+    return spark.read.parquet(out)
 
 
 @query("stream_box_verdict", "T2 G9", f"""WITH latest AS (
@@ -64,7 +58,7 @@ def stream_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "user_id", "ts", "value",
         F.concat(F.lit("job_"), F.col("user_id").cast("string")).alias("triggered_job"))
     st.run_available(picked, ckpt, f"consume_{ckpt[-12:]}", "append", st.per_batch_writer(out))
-    return _ntz(spark.read.parquet(out).drop("batch_id"), "ts")
+    return spark.read.parquet(out).drop("batch_id")
 
 
 @query("stream_alerts", "T4", """SELECT event_id, user_id AS job, ts, 'Job Failure: ' || CAST(user_id AS VARCHAR) AS subject,
@@ -75,4 +69,4 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "sink-alerts")
     rows = st.alerts(stream, F.col("event_type") == "error", "user_id", "event_id", "ts")
     st.run_available(rows, ckpt, f"alerts_{ckpt[-12:]}", "append", sink_path=out)
-    return _ntz(spark.read.parquet(out), "ts")
+    return spark.read.parquet(out)

@@ -35,12 +35,15 @@ def land_files(df: DataFrame, path: str, partitions: int = 16, order: str | None
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts",
-                      files_per_trigger: int = DEFAULT_FILES_PER_TRIGGER) -> DataFrame:
-    """A stream over landed parquet files. A zone-less ``ts`` is read as a session-zone timestamp so
-    that watermarks accept it."""
+                      files_per_trigger: int = DEFAULT_FILES_PER_TRIGGER, watermark: str | None = None) -> DataFrame:
+    """A stream over landed parquet files, at most ``files_per_trigger`` files per micro-batch. With a
+    ``watermark`` delay (e.g. "10 minutes") a zone-less ``ts`` is first read as a timestamp in the session
+    zone (watermarks refuse zone-less values); without one, values stay as they are."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path))
-    if ts in stream.columns and isinstance(schema[ts].dataType, T.TimestampNTZType):
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    if watermark is not None:
+        if isinstance(schema[ts].dataType, T.TimestampNTZType):
+            stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        stream = stream.withWatermark(ts, watermark)
     return stream
 
 

@@ -265,3 +265,44 @@ def test_lookup_broadcast_is_size_checked(spark):
 
     assert hinted(broadcast_if_small(dim, 1000))
     assert not hinted(broadcast_if_small(dim, 10))
+
+
+# --- hot keys: one key holds a third or more of the rows ---------------------------------------
+
+def test_first_row_with_hot_key(spark):
+    rnd = random.Random(3)
+    data = [(0 if i % 3 == 0 else rnd.randint(1, 300), rnd.randint(0, 10**6), i) for i in range(6000)]
+    df = spark.createDataFrame(data, "k int, o int, v int").repartition(8)
+    got = dict((r.k, (r.o, r.v)) for r in lookup.first_row_per_key(df, ["k"], ["o", "v"]).collect())
+    want = {}
+    for k, o, v in data:
+        want[k] = min(want.get(k, (o, v)), (o, v))
+    assert got == want
+
+
+def test_newest_per_group_with_hot_key(spark):
+    data = [(0 if i % 2 else i % 7, i // 3, i) for i in range(3000)]
+    df = spark.createDataFrame(data, "g int, t int, seq int").repartition(8)
+    got = {r.g: r.seq for r in runs.newest_per_group(df, ["g"], "t", "seq").collect()}
+    want = {}
+    for g, t, seq in data:
+        if g not in want or (t, -seq) > want[g]:
+            want[g] = (t, -seq)
+    assert got == {g: -s for g, (t, s) in want.items()}
+
+
+def test_hierarchy_hot_parent(spark):
+    edges = [(0, i) for i in range(1, 2001)] + [(i, 5000 + i) for i in range(1, 11)]
+    out = dict(rows(hierarchy.expand_hierarchy(spark.createDataFrame(edges, "parent long, child long"), 0)))
+    assert len(out) == 2010 and out[1] == 1 and out[5001] == 2
+
+
+def test_stream_watermark_needs_a_zoned_timestamp(spark, tmp_path):
+    from lakeops.streaming import status as st
+
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "id long, ts timestamp_ntz")
+    st.land_files(df, str(tmp_path / "in"), 1)
+    plain = st.read_event_stream(spark, str(tmp_path / "in"), df.schema)
+    marked = st.read_event_stream(spark, str(tmp_path / "in"), df.schema, watermark="1 hour")
+    assert plain.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    assert marked.schema["ts"].dataType.simpleString() == "timestamp"
