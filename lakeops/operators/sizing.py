@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +14,7 @@ _FIXED_WIDTH = {
     T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
 }
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024  # Spark's own default threshold
 
 
 def _value_bytes(c: Column, dtype: T.DataType) -> Column:
@@ -37,13 +39,22 @@ def measured_bytes(df: DataFrame) -> int:
     return int(row["b"])
 
 
+_UNITS = {"": 1, "b": 1, "k": 1024, "kb": 1024, "m": 1024 ** 2, "mb": 1024 ** 2, "g": 1024 ** 3, "gb": 1024 ** 3}
+
+
+def parse_bytes(text: str) -> int:
+    """Spark size text ("10485760", "10m", "64MB", "-1") to bytes."""
+    m = re.fullmatch(r"(-?\d+(?:\.\d+)?)\s*([kmg]?b?)", text.strip().lower())
+    if m is None:
+        raise ValueError(f"not a size: {text!r}")
+    return int(float(m.group(1)) * _UNITS[m.group(2)])
+
+
 def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes (0 when broadcasts are switched off with -1)."""
     conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        value = int(str(conf).rstrip("bB")) if conf and str(conf).rstrip("bB").lstrip("-").isdigit() else None
-    except ValueError:
-        value = None
-    return DEFAULT_BROADCAST_LIMIT if value is None or value <= 0 else max(value, DEFAULT_BROADCAST_LIMIT)
+    value = DEFAULT_BROADCAST_LIMIT if conf is None else parse_bytes(str(conf))
+    return max(value, 0)
 
 
 def input_file_bytes(df: DataFrame) -> int | None:
@@ -62,6 +73,8 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     larger than compressed files) and conservative for a filtered one, which is then left to the
     planner and to AQE's run-time switch."""
     limit = broadcast_limit(df) if limit is None else limit
+    if limit <= 0:
+        return False
     on_disk = input_file_bytes(df)
     if on_disk is not None and on_disk > limit:
         return False

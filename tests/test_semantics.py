@@ -306,3 +306,18 @@ def test_stream_watermark_needs_a_zoned_timestamp(spark, tmp_path):
     marked = st.read_event_stream(spark, str(tmp_path / "in"), df.schema, watermark="1 hour")
     assert plain.schema["ts"].dataType.simpleString() == "timestamp_ntz"
     assert marked.schema["ts"].dataType.simpleString() == "timestamp"
+
+
+def test_broadcast_threshold_follows_the_session(spark):
+    from lakeops.operators.sizing import broadcast_limit, fits_broadcast, parse_bytes
+
+    assert parse_bytes("64MB") == 64 * 1024 ** 2 and parse_bytes("-1") == -1
+    dim = spark.createDataFrame([(1, "abc")], "k int, v string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert broadcast_limit(dim) == 0 and not fits_broadcast(dim)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        assert fits_broadcast(dim)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
