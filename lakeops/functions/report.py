@@ -1,15 +1,21 @@
-"""Parsing report text into tables, and joining rows into report text.
+"""Parsing reports into tables, and joining rows into report text.
 
-A report is one text value per document. Lines come from ``posexplode(split(text, "\\n"))``; the
-section state (which part a line belongs to) is carried down the lines with ``last(..., ignorenulls)``
-over a window keyed by the document, so it is computed where the document's lines already are.
+A report is a sequence of lines per document: either a text value split into lines, or line rows
+produced directly. The section state (which part a line belongs to) and the split positions are running
+aggregates over each document's lines in order, computed with
+:func:`lakeops.operators.ordering.with_group_running`, so even a document holding a third of all lines
+is spread over many tasks and nothing is collected per document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.ordering import with_group_row_number, with_group_running
+
 # Section markers and separators of the report formats.
 START_PART_1 = "Start Part 1"
 END_PART_1 = "End Part 1"
@@ -30,59 +36,79 @@ def pipe_cells(line: Column, trim: bool = True) -> Column:
     return F.transform(cells, strip) if trim else cells
 
 
-def report_lines(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """One row per line of every document: (doc, line_no, line)."""
+def text_lines(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """One row per line of every text: (doc, line_no, line)."""
     return df.select(doc, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
 
 
-def parse_sections(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """Rows of the two marked parts of each report.
+def parse_sections(lines: DataFrame, doc: str, order: Sequence[str], line: str) -> DataFrame:
+    """Rows of the two marked parts of each report, from its lines in ``order``.
 
     Part 1 opens at ``Start Part 1`` (which also closes part 2) and closes at ``End Part 1``; part 2 opens
     at ``Start Part 2`` and closes at ``End Part 2``. A line with a pipe inside an open part is split into
     trimmed cells; part 1 keeps lines of at least 4 cells (the first 4), and otherwise part 2 keeps
-    lines of at least 3 cells (the first 3)."""
-    lines = report_lines(df, doc, text).withColumn("line", strip(F.col("line")))
-    ln = F.col("line")
+    lines of at least 3 cells (the first 3). ``line_no`` is the 0-based position of the line."""
+    ln = strip(F.col(line))
     part1_event = F.when(ln == START_PART_1, True).when(ln == END_PART_1, False)
     part2_event = F.when(ln == START_PART_2, True).when(ln == END_PART_2, False).when(ln == START_PART_1, False)
-    upto = Window.partitionBy(doc).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    flagged = lines.select(
-        doc, "line_no", "line",
-        F.coalesce(F.last(part1_event, ignorenulls=True).over(upto), F.lit(False)).alias("in1"),
-        F.coalesce(F.last(part2_event, ignorenulls=True).over(upto), F.lit(False)).alias("in2"),
-    )
-    cells = pipe_cells(F.col("line"))
+    staged = lines.select(doc, *order, ln.alias("_line"), part1_event.alias("_e1"), part2_event.alias("_e2"))
+    run = with_group_running(staged, [doc], order, [
+        ("_in1", "last", F.col("_e1")), ("_in2", "last", F.col("_e2")), ("_pos", "sum", F.lit(1))])
+    cells = pipe_cells(F.col("_line"))
     n = F.size(cells)
-    is_row = ~F.col("line").isin(*MARKERS) & F.contains(F.col("line"), F.lit(CELL_SEP))
-    part = (F.when(is_row & F.col("in1") & (n >= 4), F.lit(1))
-            .when(is_row & F.col("in2") & (n >= 3), F.lit(2)))
-    rows = flagged.withColumn("cells", cells).withColumn("part", part).where(F.col("part").isNotNull())
+    in1, in2 = F.coalesce(F.col("_in1"), F.lit(False)), F.coalesce(F.col("_in2"), F.lit(False))
+    is_row = ~F.col("_line").isin(*MARKERS) & F.contains(F.col("_line"), F.lit(CELL_SEP))
+    part = F.when(is_row & in1 & (n >= 4), F.lit(1)).when(is_row & in2 & (n >= 3), F.lit(2))
+    rows = run.select(doc, (F.col("_pos") - 1).alias("line_no"), part.alias("part"), cells.alias("_cells"))
+    rows = rows.where(F.col("part").isNotNull())
     return rows.select(
         doc, "line_no", "part",
-        *[F.col("cells")[i].alias(f"c{i + 1}") for i in range(3)],
-        F.when(F.col("part") == 1, F.col("cells")[3]).alias("c4"),
+        *[F.col("_cells")[i].alias(f"c{i + 1}") for i in range(3)],
+        F.when(F.col("part") == 1, F.col("_cells")[3]).alias("c4"),
     )
 
 
-def parse_two_parts(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """Rows of a report whose second table follows the first ``PART 2``: every line with a pipe, split
-    into untrimmed cells. Text after a second ``PART 2`` is not read; no ``PART 2`` means an empty
-    second part."""
-    parts = F.split(F.col(text), PART_2_SPLIT, -1)
-    both = df.select(doc, F.array(
-        F.struct(F.lit(1).alias("part"), parts[0].alias("body")),
-        F.struct(F.lit(2).alias("part"), F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")).alias("body")),
-    ).alias("p"))
-    exploded = both.select(doc, F.inline("p"))
-    lines = exploded.select(doc, "part", F.posexplode(F.split(F.col("body"), "\n", -1)).alias("line_no", "line"))
-    lines = lines.where(F.contains(F.col("line"), F.lit(CELL_SEP)))
-    cells = pipe_cells(F.col("line"), trim=False)
-    return lines.select(doc, "part", "line_no", "line", F.size(cells).alias("n_cells"),
-                        *[F.try_element_at(cells, F.lit(i + 1)).alias(f"c{i + 1}") for i in range(4)])
-
-
-def joined_lines(df: DataFrame, group: str, line: Column, name: str = "text") -> DataFrame:
-    """One text per group: its lines sorted and joined by newlines. Use on groups of bounded size (the
-    items of one order, the rows of one report)."""
-    return df.groupBy(group).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias(name))
+def parse_section_text(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """:func:`parse_sections` on report texts."""
+    return parse_sections(text_lines(df, doc, text), doc, ["line_no"], "line")
+
+
+def parse_two_parts(lines: DataFrame, doc: str, order: Sequence[str], line: str) -> DataFrame:
+    """Rows of a report whose second table follows the first ``PART 2``, from its lines in ``order``.
+
+    The report is cut at the first ``PART 2`` (which may sit inside a line) and again at the second, as a
+    text split would: part 1 is everything before the first cut, part 2 everything between the two, the
+    rest is not read; no ``PART 2`` means an empty second part. Every piece of a line with a pipe is a
+    row, split into untrimmed cells; ``line_no`` counts lines within the part."""
+    n_cut = F.size(F.split(F.col(line), PART_2_SPLIT, -1)) - 1
+    staged = lines.select(doc, *order, F.col(line).alias("_line"), n_cut.alias("_n"))
+    run = with_group_running(staged, [doc], order, [("_cuts", "sum", F.col("_n")), ("_idx", "sum", F.lit(1))])
+    run = with_group_running(run, [doc], order, [("_first", "min", F.when(F.col("_n") > 0, F.col("_idx")))])
+    before = F.col("_cuts") - F.col("_n")
+    segs = F.split(F.col("_line"), PART_2_SPLIT, -1)
+    piece1 = F.struct(F.lit(1).alias("part"), (F.col("_idx") - 1).alias("line_no"),
+                      F.when(before == 0, segs[0]).alias("text"))
+    piece2 = F.struct(F.lit(2).alias("part"),
+                      F.when(before == 0, F.lit(0).cast("long")).otherwise(F.col("_idx") - F.col("_first")).alias("line_no"),
+                      F.when((before == 0) & (F.col("_n") >= 1), F.try_element_at(segs, F.lit(2)))
+                      .when(before == 1, segs[0]).alias("text"))
+    pieces = run.select(doc, F.inline(F.array(piece1, piece2)))
+    pieces = pieces.where(F.col("text").isNotNull() & F.contains(F.col("text"), F.lit(CELL_SEP)))
+    cells = pipe_cells(F.col("text"), trim=False)
+    return pieces.select(doc, "part", "line_no", F.col("text").alias("line"), F.size(cells).alias("n_cells"),
+                         *[F.try_element_at(cells, F.lit(i + 1)).alias(f"c{i + 1}") for i in range(4)])
+
+
+def parse_two_part_text(df: DataFrame, doc: str, text: str) -> DataFrame:
+    """:func:`parse_two_parts` on report texts."""
+    return parse_two_parts(text_lines(df, doc, text), doc, ["line_no"], "line")
+
+
+def joined_lines(df: DataFrame, group: str, line: Column, chunk_lines: int = 1000, name: str = "text") -> DataFrame:
+    """The lines of each group, sorted and joined by newlines, in chunks of at most ``chunk_lines`` lines
+    (chunk 0, 1, ...): a group of any size becomes bounded texts, and a group within the chunk size is
+    one text. Positions come from the skew-safe row number."""
+    ranked = with_group_row_number(df.select(group, line.alias("_line")), [group], ["_line"], "_rank")
+    chunked = ranked.withColumn("chunk", F.floor((F.col("_rank") - 1) / F.lit(chunk_lines)).cast("long"))
+    return chunked.groupBy(group, "chunk").agg(
+        F.array_join(F.array_sort(F.collect_list("_line")), "\n").alias(name))

@@ -37,28 +37,64 @@ def with_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "ordi
     return out.drop(_PID, _MID, "_off")
 
 
-def with_group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-                          name: str = "rn") -> DataFrame:
-    """``row_number()`` over ``partitionBy(group).orderBy(order)``, safe for hot groups.
+RUNNING_KINDS = ("sum", "min", "last")
+
+
+def with_group_running(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
+                       aggs: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Running aggregates inside groups, from the first row of the group to the current row in
+    ``order`` (a window frame ``unboundedPreceding .. currentRow``), safe for hot groups.
 
-    The range sort splits a hot group over several partitions; a window keyed by (partition, group)
-    numbers the rows of each piece, and a carry table adds the rows of the same group that sit in
-    earlier partitions. Only the first group of a partition can have earlier rows, so the carry table
-    has at most one row per partition."""
+    ``aggs`` holds ``(name, kind, column)`` with kind ``sum``, ``min`` or ``last`` (the last non-null
+    value). The range sort splits a hot group over several partitions; a window keyed by (partition,
+    group) runs over each piece, and a carry table brings in the pieces of the same group that sit in
+    earlier partitions. Only the first group of a partition has earlier pieces, so the carry table has
+    at most one row per partition and is the only thing broadcast."""
     group = list(group)
+    kinds = {name: kind for name, kind, _ in aggs}
+    if any(k not in RUNNING_KINDS for k in kinds.values()):
+        raise ValueError(f"kinds must be among {RUNNING_KINDS}")
+    if "last" in kinds.values() and not all(isinstance(o, str) for o in order):
+        raise ValueError("running last values need the order as ascending column names")
     s = df.sort(*_cols(group), *_cols(order)).withColumn(_PID, F.spark_partition_id())
-    local_w = Window.partitionBy(_PID, *group).orderBy(*_cols(order))
-    numbered = s.withColumn("_lrn", F.row_number().over(local_w))
-    pieces = s.groupBy(_PID, *group).agg(F.count(F.lit(1)).alias("_n"))
+    upto = (Window.partitionBy(_PID, *group).orderBy(*_cols(order))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local_fns = {"sum": lambda c: F.sum(c), "min": lambda c: F.min(c),
+                 "last": lambda c: F.last(c, ignorenulls=True)}
+    local = s.select("*", *[local_fns[k](c).over(upto).alias(f"_l_{n}") for n, k, c in aggs])
+    piece_fns = {"sum": lambda c: F.sum(c), "min": lambda c: F.min(c),
+                 "last": lambda c: F.max_by(c, F.when(c.isNotNull(), F.struct(*_cols(order))))}
+    pieces = s.groupBy(_PID, *group).agg(*[piece_fns[k](c).alias(f"_p_{n}") for n, k, c in aggs])
     earlier = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (pieces.select(_PID, *group, F.sum("_n").over(earlier).alias("_carry"))
-             .where(F.col("_carry") > 0))
-    carry = carry.select(F.col(_PID).alias("_c_pid"), *[F.col(g).alias(f"_c_{g}") for g in group], "_carry")
+    carry_fns = {"sum": lambda c: F.sum(c), "min": lambda c: F.min(c),
+                 "last": lambda c: F.last(c, ignorenulls=True)}
+    carry = (pieces.select(F.col(_PID).alias("_c_pid"), *[F.col(g).alias(f"_c_{g}") for g in group],
+                           F.count(F.lit(1)).over(earlier).alias("_c_before"),
+                           *[carry_fns[k](F.col(f"_p_{n}")).over(earlier).alias(f"_c_{n}") for n, k, _ in aggs])
+             .where(F.col("_c_before") > 0))
     cond = reduce(lambda a, b: a & b,
-                  [numbered[_PID] == carry["_c_pid"]] + [numbered[g].eqNullSafe(carry[f"_c_{g}"]) for g in group])
-    out = numbered.join(F.broadcast(carry), cond, "left")
-    out = out.withColumn(name, F.col("_lrn") + F.coalesce(F.col("_carry"), F.lit(0)))
-    return out.drop(_PID, "_lrn", "_carry", "_c_pid", *[f"_c_{g}" for g in group])
+                  [local[_PID] == carry["_c_pid"]] + [local[g].eqNullSafe(carry[f"_c_{g}"]) for g in group])
+    out = local.join(F.broadcast(carry), cond, "left")
+    for name, kind, _ in aggs:
+        lv, cv = F.col(f"_l_{name}"), F.col(f"_c_{name}")
+        if kind == "sum":
+            value = F.when(lv.isNull() & cv.isNull(), F.lit(None)).otherwise(
+                F.coalesce(lv, F.lit(0)) + F.coalesce(cv, F.lit(0)))
+        elif kind == "min":
+            value = F.least(lv, cv)
+        else:
+            value = F.coalesce(lv, cv)
+        out = out.withColumn(name, value)
+    helpers = [_PID, "_c_pid", "_c_before", *[f"_c_{g}" for g in group]]
+    helpers += [f"_{x}_{n}" for n, _, _ in aggs for x in ("l", "c")]
+    return out.drop(*helpers)
+
+
+def with_group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
+                          name: str = "rn") -> DataFrame:
+    """``row_number()`` over ``partitionBy(group).orderBy(order)``, safe for hot groups: a running
+    count (see :func:`with_group_running`)."""
+    return with_group_running(df, group, order, [(name, "sum", F.lit(1))])
 
 
 def with_group_row_number_simple(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],

@@ -70,15 +70,15 @@ def _report_row(role: Column, turn: Column, conv: Column) -> Column:
     return F.concat_ws(" | ", role, turn.cast("string"), conv.cast("string"), F.lit("x"))
 
 
-def _reports(conversations: DataFrame, generated: Column) -> DataFrame:
-    """One report text per conversation from generated (sub, line) pairs, in turn order."""
-    lines = conversations.select("conv_id", "turn", F.inline(generated)).where(F.col("line").isNotNull())
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "sub", "line")))
-    return lines.groupBy("conv_id").agg(F.array_join(F.transform(ordered, lambda s: s["line"]), "\n").alias("report"))
+def _report_lines(conversations: DataFrame, generated: Column) -> DataFrame:
+    """Report lines (conv_id, turn, sub, line) from generated (sub, line) pairs per conversation row; the
+    report of a conversation is its lines in (turn, sub) order. Nothing is collected per conversation."""
+    lines = conversations.select("conv_id", "turn", F.inline(generated))
+    return lines.where(F.col("line").isNotNull())
 
 
-def marked_reports(conversations: DataFrame) -> DataFrame:
-    """Report text with part markers: part 1 holds turns 0-1, part 2 starts at turn 2."""
+def marked_report_lines(conversations: DataFrame) -> DataFrame:
+    """Report lines with part markers: part 1 holds turns 0-1, part 2 starts at turn 2."""
     row = _report_row(F.col("role"), F.col("turn"), F.col("conv_id"))
     t = F.col("turn")
     gen = F.array(
@@ -87,17 +87,17 @@ def marked_reports(conversations: DataFrame) -> DataFrame:
         F.struct(F.lit(1).alias("sub"), row.alias("line")),
         F.struct(F.lit(2).alias("sub"), F.when(t == 1, F.lit("End Part 1")).alias("line")),
     )
-    return _reports(conversations, gen)
+    return _report_lines(conversations, gen)
 
 
-def two_part_reports(conversations: DataFrame) -> DataFrame:
+def two_part_report_lines(conversations: DataFrame) -> DataFrame:
     """The same rows with one ``PART 2`` line before turn 2 instead of markers."""
     row = _report_row(F.col("role"), F.col("turn"), F.col("conv_id"))
     gen = F.array(
         F.struct(F.lit(0).alias("sub"), F.when(F.col("turn") == 2, F.lit("PART 2")).alias("line")),
         F.struct(F.lit(1).alias("sub"), row.alias("line")),
     )
-    return _reports(conversations, gen)
+    return _report_lines(conversations, gen)
 
 
 def vector_texts(embeddings: DataFrame) -> DataFrame:

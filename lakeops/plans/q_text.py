@@ -10,7 +10,7 @@ from lakeops.functions.text import (
     UPPER, LOWER, base64_decode, base64_text, pad_cell, replace_long, report_line, round_money, separator,
     shares_label, shift_decode, shift_encode,
 )
-from lakeops.plans.derive import marked_reports, two_part_reports
+from lakeops.plans.derive import marked_report_lines, two_part_report_lines
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
 
@@ -19,6 +19,7 @@ SHIFT = 3
 MAX_LENGTH = 100
 WIDTHS = (10, 5, 5)
 HEADER = ("STOCK", "QTY", "ACTION", "COMMENTS")
+CHUNK_LINES = 1000
 
 _SHIFTED = UPPER[SHIFT:] + UPPER[:SHIFT] + LOWER[SHIFT:] + LOWER[:SHIFT]
 
@@ -104,11 +105,12 @@ _GEN_TWO_PART_SQL = """(SELECT conv_id, string_agg(line, chr(10) ORDER BY turn,
            AND in1 AND len(cells) >= 4 THEN 1
       WHEN line NOT IN ('Start Part 1', 'End Part 1', 'Start Part 2', 'End Part 2') AND contains(line, '|')
            AND in2 AND len(cells) >= 3 THEN 2 END AS part FROM flagged)
-  SELECT conv_id, CAST(line_no AS INTEGER) AS line_no, part, cells[1] AS c1, cells[2] AS c2, cells[3] AS c3,
+  SELECT conv_id, line_no, part, cells[1] AS c1, cells[2] AS c2, cells[3] AS c3,
     CASE WHEN part = 1 THEN cells[4] END AS c4
   FROM parted WHERE part IS NOT NULL""")
 def sectioned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_sections(marked_reports(Tables(spark, sf_dir).conversations), "conv_id", "report")
+    lines = marked_report_lines(Tables(spark, sf_dir).conversations)
+    return parse_sections(lines, "conv_id", ["turn", "sub"], "line")
 
 
 @query("two_part_rows", "F4", f"""WITH parts AS (
@@ -117,21 +119,24 @@ def sectioned_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT conv_id, 2, coalesce(string_split(report, 'PART 2')[2], '') FROM {_GEN_TWO_PART_SQL}),
   lines AS (SELECT conv_id, part, unnest(range(len(string_split(body, chr(10))))) AS line_no,
       unnest(string_split(body, chr(10))) AS line FROM parts)
-  SELECT conv_id, part, CAST(line_no AS INTEGER) AS line_no, line,
+  SELECT conv_id, part, line_no, line,
     CAST(len(string_split(line, '|')) AS INTEGER) AS n_cells,
     string_split(line, '|')[1] AS c1, string_split(line, '|')[2] AS c2,
     string_split(line, '|')[3] AS c3, string_split(line, '|')[4] AS c4
   FROM lines WHERE contains(line, '|')""")
 def two_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_two_parts(two_part_reports(Tables(spark, sf_dir).conversations), "conv_id", "report")
+    lines = two_part_report_lines(Tables(spark, sf_dir).conversations)
+    return parse_two_parts(lines, "conv_id", ["turn", "sub"], "line")
 
 
-@query("joined_lines", "G16 F12", """SELECT l_orderkey, string_agg(line, chr(10) ORDER BY line) AS text FROM (
-    SELECT l_orderkey, CAST(l_partkey AS VARCHAR) || ' (' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
-      || ' shares)' AS line FROM lineitem) GROUP BY l_orderkey""")
+@query("joined_lines", "G16 F12", f"""SELECT l_orderkey, chunk, string_agg(line, chr(10) ORDER BY line) AS text FROM (
+    SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY line) - 1) // {CHUNK_LINES} AS chunk FROM (
+      SELECT l_orderkey, CAST(l_partkey AS VARCHAR) || ' (' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+        || ' shares)' AS line FROM lineitem))
+  GROUP BY l_orderkey, chunk""")
 def joined_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = Tables(spark, sf_dir).lineitem
-    return joined_lines(li, "l_orderkey", shares_label("l_partkey", F.col("l_quantity").cast("long")))
+    return joined_lines(li, "l_orderkey", shares_label("l_partkey", F.col("l_quantity").cast("long")), CHUNK_LINES)
 
 
 @query("drop_columns", "P11", "SELECT s_suppkey, s_name, s_nationkey FROM supplier")

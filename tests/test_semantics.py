@@ -223,7 +223,7 @@ def test_sections_two_flags(spark):
         "CCC | 3 | Hold | late",   # nothing open
     ])
     df = spark.createDataFrame([(1, text)], "doc int, report string")
-    out = rows(R.parse_sections(df, "doc", "report"), "line_no")
+    out = rows(R.parse_section_text(df, "doc", "report"), "line_no")
     assert [(r[2], r[3], r[4], r[5], r[6]) for r in out] == [
         (1, "AAA", "1", "Buy", "fine"), (1, "BBB", "2", "Sell", "x"), (2, "R1", "high", "hedge", None),
         (2, "R2", "low", "none", None)]
@@ -232,7 +232,7 @@ def test_sections_two_flags(spark):
 def test_two_parts_without_marker_and_untrimmed(spark):
     df = spark.createDataFrame([(1, "H|Q\nA |1\nno pipe"), (2, "x|y\nPART 2: RISK|IMPACT\nr|i\nPART 2\nz|z")],
                                "doc int, report string")
-    out = rows(R.parse_two_parts(df, "doc", "report"), "doc", "part", "line_no")
+    out = rows(R.parse_two_part_text(df, "doc", "report"), "doc", "part", "line_no")
     assert [(r[0], r[1], r[3]) for r in out] == [
         (1, 1, "H|Q"), (1, 1, "A |1"), (2, 1, "x|y"), (2, 2, ": RISK|IMPACT"), (2, 2, "r|i")]
     assert out[1][5] == "A "
@@ -321,3 +321,16 @@ def test_broadcast_threshold_follows_the_session(spark):
         assert fits_broadcast(dim)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_group_running_matches_windows_with_hot_key(spark):
+    rnd = random.Random(11)
+    data = [(0 if rnd.random() < 0.4 else rnd.randint(1, 30), i,
+             rnd.choice([None, None, None, rnd.randint(-50, 50)])) for i in range(5000)]
+    df = spark.createDataFrame(data, "g int, o int, v int").repartition(8)
+    fast = ordering.with_group_running(df, ["g"], ["o"], [
+        ("s", "sum", F.col("v")), ("m", "min", F.col("v")), ("l", "last", F.col("v"))])
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slow = df.select("g", "o", "v", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("m"),
+                     F.last("v", ignorenulls=True).over(w).alias("l"))
+    assert sorted(rows(fast.select("g", "o", "v", "s", "m", "l"))) == sorted(rows(slow))
