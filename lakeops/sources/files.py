@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from lakeops.functions.text import DEFAULT_MAX_LENGTH, LONG_CELL_VALUE, replace_long, round_money
 
 # CSV options that keep every cell exactly as written: quotes escaped by doubling, white space kept,
-# records may span lines.
+# records may span lines. A multi-line file is read by one task; pass ``multiline=False`` for files
+# without line breaks inside cells, which Spark then splits across tasks.
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
@@ -29,10 +30,11 @@ POSITION_TAG = "OpenPosition"
 POSITION_ATTRIBUTES = ("symbol", "position", "markPrice", "positionValue", "fifoPnlUnrealized")
 
 
-def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                  multiline: bool = True) -> DataFrame:
     """CSV with a header, every column as text (never inferred). With ``columns`` the schema is given and
     the header is only skipped."""
-    reader = spark.read.options(**CSV_OPTIONS)
+    reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": str(multiline).lower()})
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return reader.csv(path)
@@ -102,7 +104,8 @@ def parse_job_lists(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> D
 
 
 def job_list_json(jobs: DataFrame, group: Column, order: str) -> DataFrame:
-    """Render job rows as ``{"jobs": [...]}`` documents, one per group (null fields are left out)."""
+    """Render job rows as ``{"jobs": [...]}`` documents, one per group (null fields are left out). A
+    document is one value, so ``group`` must bound its size (e.g. ``id div 100`` over unique ids)."""
     fields = [F.col(f.name) for f in JOB_FIELDS.fields if f.name in jobs.columns]
     docs = jobs.groupBy(group.alias("doc")).agg(
         F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.struct(*fields).alias("_j")))).alias("_l"))
@@ -128,11 +131,7 @@ def write_text_objects(df: DataFrame, path: str, mode: str = "append", prefix_co
 
 
 def list_objects(spark: SparkSession, path: str) -> DataFrame:
-    """Objects under a prefix: path, size, modification time, and prefix columns (content not read)."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime",
-                                                            *[c for c in _partition_cols(spark, path)])
-
-
-def _partition_cols(spark: SparkSession, path: str) -> list[str]:
-    cols = spark.read.format("binaryFile").load(path).columns
-    return [c for c in cols if c not in ("path", "modificationTime", "length", "content")]
+    """Objects under a prefix: path, size, modification time, and prefix (partition) columns. File
+    contents are not read: the ``content`` column is pruned."""
+    listing = spark.read.format("binaryFile").load(path)
+    return listing.select(*[c for c in listing.columns if c != "content"])
