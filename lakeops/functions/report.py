@@ -83,7 +83,11 @@ def parse_two_parts(lines: DataFrame, doc: str, order: Sequence[str], line: str)
     n_cut = F.size(F.split(F.col(line), PART_2_SPLIT, -1)) - 1
     staged = lines.select(doc, *order, F.col(line).alias("_line"), n_cut.alias("_n"))
     run = with_group_running(staged, [doc], order, [("_cuts", "sum", F.col("_n")), ("_idx", "sum", F.lit(1))])
-    run = with_group_running(run, [doc], order, [("_first", "min", F.when(F.col("_n") > 0, F.col("_idx")))])
+    # Line index of the first cut per document: an aggregate (one row per document with a cut) joined
+    # back. AQE broadcasts it at run time when its shuffle output is small, and otherwise splits the
+    # partition of a hot document across tasks.
+    firsts = run.where(F.col("_n") > 0).groupBy(F.col(doc).alias("_doc")).agg(F.min("_idx").alias("_first"))
+    run = run.join(firsts, F.col(doc).eqNullSafe(F.col("_doc")), "left")
     before = F.col("_cuts") - F.col("_n")
     segs = F.split(F.col("_line"), PART_2_SPLIT, -1)
     piece1 = F.struct(F.lit(1).alias("part"), (F.col("_idx") - 1).alias("line_no"),

@@ -1,5 +1,6 @@
 """The key-driven job: keys in a date range, first payload per key, row status, per-date and overall
-totals, batches of keys. One DAG with one shuffle per side by key; the date is only a group column."""
+totals, batches of keys. One DAG: one shuffle per side by key for the lookup and one by date for the
+totals (after map-side partial aggregation); the date is only a group column."""
 
 from __future__ import annotations
 
