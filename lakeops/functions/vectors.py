@@ -82,6 +82,20 @@ def all_ok(statuses: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [s == F.lit(OK) for s in statuses])
 
 
+def vector_parser(kind: str, n: int | None = None):
+    """The replaceable payload parser: ``"text"`` (comma text, needs ``n`` for the zero vector) or
+    ``"float32"`` (raw little-endian bytes). Pickled payloads are refused: loading one runs code."""
+    if kind == "text":
+        if n is None:
+            raise ValueError("the text parser needs the vector length n")
+        return lambda c: parse_vector_text(c, n)
+    if kind == "float32":
+        return lambda c: float32_from_bytes(_c(c))
+    if kind == "pickle":
+        raise ValueError("pickled payloads are refused: loading one runs code")
+    raise ValueError(f"unknown vector format {kind!r}")
+
+
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def float32_from_bytes(blobs: pd.Series) -> pd.Series:
     """Raw little-endian float32 bytes to a vector (Arrow batches, one numpy view per value)."""

@@ -334,3 +334,35 @@ def test_group_running_matches_windows_with_hot_key(spark):
     slow = df.select("g", "o", "v", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("m"),
                      F.last("v", ignorenulls=True).over(w).alias("l"))
     assert sorted(rows(fast.select("g", "o", "v", "s", "m", "l"))) == sorted(rows(slow))
+
+
+def test_vector_parser_choice(spark):
+    df = spark.createDataFrame([("1,2",)], "t string")
+    assert list(df.select(V.vector_parser("text", 2)("t")).first()[0]) == [1.0, 2.0]
+    with pytest.raises(ValueError):
+        V.vector_parser("pickle")
+    with pytest.raises(ValueError):
+        V.vector_parser("text")
+
+
+def test_latest_run_since_limits_the_runs(spark):
+    d = dt.datetime(2025, 10, 30)
+    runs_df = spark.createDataFrame([("A", d, "Failed", 1), ("A", d - dt.timedelta(days=20), "Success", 2)],
+                                    "job_name string, run_date timestamp, status string, seq int")
+    out = runs.latest_run(runs_df, since=F.lit(d - dt.timedelta(days=10)))
+    assert rows(out) == [("A", d, "Failed", 1)]
+
+
+def test_overwrite_partitions_is_idempotent(spark, tmp_path):
+    ns = "lakeops_test_ow"
+    lake.create_namespace(spark, ns, str(tmp_path / "ns"))
+    table = f"{ns}.t"
+    lake.create_table(spark, table, "v INT, day STRING", ["day"], str(tmp_path / "t"))
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string")
+    lake.append(first, table)
+    redo = spark.createDataFrame([(3, "b")], "v int, day string")
+    lake.overwrite_partitions(redo, table)
+    lake.overwrite_partitions(redo, table)
+    assert sorted(rows(spark.table(table))) == [(1, "a"), (3, "b")]
+    inventory = lake.file_inventory(spark.table(table), ["day"]).groupBy("day").agg(F.sum("record_count"))
+    assert sorted(rows(inventory)) == [("a", 1), ("b", 1)]
