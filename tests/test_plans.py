@@ -92,3 +92,27 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         jdbc.jdbc_read_options("jdbc:x", table="t", query="SELECT 1")
     assert jdbc.jdbc_write_options("jdbc:x", "t")["batchsize"] == "1000"
+
+
+def test_positions_survive_uneven_coalesced_partitions(spark):
+    """The ordinal and the group row number read one sort shuffle in two branches; with AQE coalescing it
+    into many uneven partitions they must still agree with the plain windows (3 groups of about a third
+    of all rows each)."""
+    from pyspark.sql import Window
+
+    from lakeops.operators.ordering import with_group_row_number, with_ordinal
+    from tests.conftest import SF_CHECK
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        li = Tables(spark, SF_CHECK).lineitem
+        order = list(li.columns)
+        fast = with_ordinal(li, order, "pos")
+        slow = li.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
+        assert fast.exceptAll(slow).count() == 0
+        g = with_group_row_number(li, ["l_returnflag"], order, "rn")
+        gs = li.withColumn("rn", F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)).cast("long"))
+        assert g.exceptAll(gs).count() == 0 and gs.exceptAll(g).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
