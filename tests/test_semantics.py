@@ -366,3 +366,13 @@ def test_overwrite_partitions_is_idempotent(spark, tmp_path):
     assert sorted(rows(spark.table(table))) == [(1, "a"), (3, "b")]
     inventory = lake.file_inventory(spark.table(table), ["day"]).groupBy("day").agg(F.sum("record_count"))
     assert sorted(rows(inventory)) == [("a", 1), ("b", 1)]
+
+
+def test_joined_lines_chunks_big_groups(spark):
+    data = [(1, f"l{i:03d}") for i in range(25)] + [(2, "b"), (2, "a"), (None, "n")]
+    out = rows(R.joined_lines(spark.createDataFrame(data, "g int, s string"), "g", F.col("s"), chunk_lines=10),
+               "g", "chunk")
+    assert out[0] == (None, 0, "n")
+    assert [(g, c, t.count("\n") + 1) for g, c, t in out[1:4]] == [(1, 0, 10), (1, 1, 10), (1, 2, 5)]
+    assert out[1][2].split("\n")[0] == "l000" and out[3][2].split("\n")[-1] == "l024"
+    assert out[4] == (2, 0, "a\nb")
