@@ -160,3 +160,12 @@ def merge_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
                       location=scratch_path(spark, "tbl-merge"))
     lake.append(merged, table)
     return spark.table(table)
+
+
+@query("warehouse_sql", "S5 O3", """SELECT * FROM customer ORDER BY c_custkey LIMIT 5""")
+def warehouse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A SQL text run by the engine that holds the table, with the reference's ``LIMIT 5`` (ordered, so
+    the rows are fixed). Against a database the same text goes through ``sources.jdbc.read_query``."""
+    view = f"customer_{uuid.uuid4().hex[:8]}"
+    Tables(spark, sf_dir).customer.createOrReplaceTempView(view)
+    return spark.sql(f"SELECT * FROM {view} ORDER BY c_custkey LIMIT 5")
