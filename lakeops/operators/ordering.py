@@ -1,9 +1,10 @@
 """Sorts, ordinals, ranks inside groups, top-n and pages.
 
-A row number over the whole output (or over a group that may hold a third of all rows) must not pull
-the rows into one task. Both helpers here start from a global range sort, which spreads a hot group
-over many partitions, and then fix up positions with a table that has at most one row per partition:
-that table is the only thing broadcast, so its size is bounded by the partition count, not the data.
+A row number over the whole output (or a running value over a group that may hold a third of all
+rows) must not pull the rows into one task. The ordinal and the running aggregates here start from a
+global range sort, which spreads a hot group over many partitions, and then fix up positions with a
+table that has at most one row per partition: that table is the only thing broadcast, so its size is
+bounded by the partition count, not the data.
 The order given must be total (add a unique column as the last key), so that a recomputed partition
 after a lost executor gets the same positions.
 """
@@ -97,14 +98,6 @@ def with_group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[s
     return with_group_running(df, group, order, [(name, "sum", F.lit(1))])
 
 
-def with_group_row_number_simple(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
-                                 name: str = "rn") -> DataFrame:
-    """Plain window form: one shuffle, but a whole group is numbered by one task. Use it only when the
-    group size is bounded (the lines of one document, the items of one order)."""
-    w = Window.partitionBy(*group).orderBy(*_cols(order))
-    return df.withColumn(name, F.row_number().over(w).cast("long"))
-
-
 def top_n(df: DataFrame, order: Sequence[str | Column], n: int, name: str = "rank") -> DataFrame:
     """The first ``n`` rows in ``order`` with their rank: a per-partition top-n, then one merge of
     ``n x partitions`` rows (Spark's TakeOrderedAndProject)."""
