@@ -12,12 +12,14 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.predicates import ci_contains
+from lakeops.functions.predicates import ci_contains, date_window
 from lakeops.functions.report import parse_section_text, parse_two_part_text
 from lakeops.functions.text import shift_decode
+from lakeops.functions.vectors import vector_parser
 from lakeops.operators.ordering import page_count, page_slice
 from lakeops.operators.runs import latest_run
 from lakeops.operators.totals import check_positive_int, column_sum, hit_ratio, number_range
+from lakeops.operators.vector_job import run_totals, vector_results, vector_totals
 from lakeops.plans.derive import HIT_X_STEP, HIT_Y_STEP
 from lakeops.session import get_session
 from lakeops.sources import files, jdbc, lake
@@ -78,6 +80,23 @@ def _lake_copy(spark: SparkSession, a: argparse.Namespace) -> None:
     lake.readback_check(source, spark.table(a.target)).show(truncate=False)
 
 
+def _key_job(spark: SparkSession, a: argparse.Namespace) -> None:
+    keys = spark.read.parquet(a.keys)
+    keys = date_window(keys, a.date_column, a.start, a.end)
+    payload = spark.read.parquet(a.payload)
+    parse = vector_parser(a.format, a.n)
+    blob_cols = a.vectors.split(",")
+    vectors = [parse(F.col(c)) for c in blob_cols]
+    on = [a.date_column, a.id_column]
+    renamed = payload.select(*[F.col(c).alias(f"_p_{c}") for c in on], *blob_cols)
+    results = vector_results(keys.select(*on), renamed, on, [f"_p_{c}" for c in on], vectors, a.n, a.added)
+    results.write.mode("overwrite").parquet(a.output)
+    written = spark.read.parquet(a.output)
+    daily = vector_totals(written, a.date_column)
+    daily.orderBy(a.date_column).show(a.show, truncate=False)
+    run_totals(daily, a.date_column).show(truncate=False)
+
+
 def build_parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakeops")
     sub = p.add_subparsers(dest="job", required=True)
@@ -123,6 +142,21 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--limit", type=int, default=50)
     s.set_defaults(run=_positions)
 
+    s = sub.add_parser("key-job", help="per key: first payload row, signed vector sum, status; totals per date")
+    s.add_argument("--keys", required=True, help="parquet with the date and id columns")
+    s.add_argument("--payload", required=True, help="parquet with the date, id and vector columns")
+    s.add_argument("--vectors", required=True, help="comma-separated vector column names")
+    s.add_argument("--output", required=True)
+    s.add_argument("--date-column", default="businessdate")
+    s.add_argument("--id-column", default="id")
+    s.add_argument("--format", choices=("text", "float32"), default="text")
+    s.add_argument("--n", type=int, default=5000)
+    s.add_argument("--added", type=int, default=15)
+    s.add_argument("--start")
+    s.add_argument("--end")
+    s.add_argument("--show", type=int, default=20)
+    s.set_defaults(run=_key_job)
+
     s = sub.add_parser("lake-copy", help="copy a database table into a lake table and check it")
     s.add_argument("--url", required=True)
     s.add_argument("--table", required=True)

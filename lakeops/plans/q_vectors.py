@@ -12,8 +12,7 @@ from lakeops.functions.vectors import (
     OK, float32_from_bytes, float32_to_bytes, length_status, parse_vector_text, signed_sum, split_vector,
     vector_max, vector_sum,
 )
-from lakeops.operators.lookup import NO_DATA, key_payload_join
-from lakeops.operators.totals import status_totals
+from lakeops.operators.vector_job import vector_results, vector_totals
 from lakeops.plans.derive import LINEITEM_ORDER, cut_vectors, order_keys, vector_texts
 from lakeops.plans.q_keyed import FIRST_LINEITEM_SQL, KEYS_SQL, RANGE_END, RANGE_START
 from lakeops.plans.registry import query
@@ -113,22 +112,12 @@ _RESULTS_SQL = f"""(SELECT k.businessdate, k.id, p.l_orderkey IS NOT NULL AS fou
 
 
 def key_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key-driven vector job on the TPC-H tables: each key's first lineitem is the payload, its four
-    measures are one-element vectors, the first two added and the last two subtracted; a status per key
-    and the sum and max of its result vector."""
+    """The key-driven vector job on the TPC-H tables: each key's first lineitem is the payload and its
+    four measures are one-element vectors, the first two added and the last two subtracted."""
     t = Tables(spark, sf_dir)
     keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
-    joined = key_payload_join(keys, t.lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)
     vectors = [F.array(F.col(c)) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
-    checks = [length_status(v, 1, F.lit(f"column {i + 1}")) for i, v in enumerate(vectors)]
-    first_error = F.coalesce(*[F.when(c != OK, c) for c in checks])
-    result = signed_sum(vectors, ADDED)
-    status = (F.when(F.col("lookup_status") == NO_DATA, F.lit(NO_DATA))
-              .when(first_error.isNotNull(), first_error)
-              .otherwise(F.lit("Success")))
-    return joined.select("businessdate", "id", status.alias("status"),
-                         F.when(status == "Success", vector_sum(result)).alias("result_sum"),
-                         F.when(status == "Success", vector_max(result)).alias("result_max"))
+    return vector_results(keys, t.lineitem, ["id"], ["l_orderkey"], vectors, 1, ADDED, LINEITEM_ORDER)
 
 
 @query("per_date_job", "X3 J1 F8 G14 G15 G11", f"""SELECT businessdate, count(*) AS total_ids,
@@ -137,9 +126,7 @@ def key_results(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM {_RESULTS_SQL} GROUP BY businessdate""")
 def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals per date of :func:`key_results`, in one aggregation."""
-    rows = key_results(spark, sf_dir)
-    return status_totals(rows, ["businessdate"], extra=[F.round(F.sum("result_sum"), 2).alias("result_total"),
-                                                        F.max("result_max").alias("result_max")])
+    return vector_totals(key_results(spark, sf_dir), "businessdate", digits=2)
 
 
 @query("result_rows", "S18 X3", f"""SELECT businessdate, id, CASE WHEN found THEN 'Success' ELSE 'No data' END AS status,
