@@ -72,12 +72,7 @@ def _lake_copy(spark: SparkSession, a: argparse.Namespace) -> None:
     bounds = dict(partition_column=a.partition_column, lower_bound=a.lower_bound, upper_bound=a.upper_bound,
                   num_partitions=a.num_partitions) if a.partition_column else {}
     source = jdbc.read_table(spark, a.url, a.table, **bounds)
-    namespace = a.target.rsplit(".", 1)[0]
-    lake.create_namespace(spark, namespace)
-    if not spark.catalog.tableExists(a.target):
-        source.limit(0).writeTo(a.target).create()
-    lake.append(source, a.target)
-    lake.readback_check(source, spark.table(a.target)).show(truncate=False)
+    lake.copy_to_lake(source, a.target, a.location).show(truncate=False)
 
 
 def _key_job(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -161,6 +156,7 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--url", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--target", required=True, help="catalog.namespace.table")
+    s.add_argument("--location", help="table folder (default: the catalog's)")
     s.add_argument("--partition-column")
     s.add_argument("--lower-bound")
     s.add_argument("--upper-bound")

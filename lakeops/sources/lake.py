@@ -79,6 +79,36 @@ def readback_check(source: DataFrame, written: DataFrame) -> DataFrame:
                        ((F.col("rows_in") == F.col("rows_out")) & (F.col("_h_in") == F.col("_h_out"))).alias("matches"))
 
 
+def columns_ddl(df: DataFrame, exclude: Sequence[str] = ()) -> str:
+    """``name type, ...`` for a CREATE TABLE from a DataFrame's schema."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in exclude)
+
+
+def copy_to_lake(source: DataFrame, table: str, location: str | None = None, partition_by: Sequence[str] = (),
+                 replace_partitions: bool = False, namespace_location: str | None = None) -> DataFrame:
+    """Relational table to lake table: create the namespace and the table (from the source schema, with
+    an optional identity partition) if missing, write the rows, and return the read-back check. The
+    source is read once per write and once for the check; nothing passes through the driver.
+
+    ``replace_partitions`` makes a rerun idempotent (the partitions present are replaced); by default the
+    rows are appended, as in the reference."""
+    spark = source.sparkSession
+    namespace = table.rsplit(".", 1)[0]
+    if namespace != table:
+        create_namespace(spark, namespace, namespace_location)
+    cols = [c for c in source.columns if c not in partition_by] + list(partition_by)
+    ordered = source.select(*cols)
+    if not spark.catalog.tableExists(table):
+        ddl = ", ".join(filter(None, [columns_ddl(ordered, partition_by),
+                                      columns_ddl(ordered.select(*partition_by)) if partition_by else ""]))
+        create_table(spark, table, ddl, partition_by, location)
+    if replace_partitions and partition_by:
+        overwrite_partitions(ordered, table)
+    else:
+        append(ordered, table)
+    return readback_check(ordered, spark.table(table))
+
+
 def file_inventory(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Data files of a table or folder: path, partition values, record count."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path"), *partition_cols).agg(
