@@ -72,7 +72,8 @@ def _lake_copy(spark: SparkSession, a: argparse.Namespace) -> None:
     bounds = dict(partition_column=a.partition_column, lower_bound=a.lower_bound, upper_bound=a.upper_bound,
                   num_partitions=a.num_partitions) if a.partition_column else {}
     source = jdbc.read_table(spark, a.url, a.table, **bounds)
-    lake.copy_to_lake(source, a.target, a.location).show(truncate=False)
+    lake.copy_to_lake(source, a.target, a.location, namespace_location=a.namespace_location,
+                      using=a.using).show(truncate=False)
 
 
 def _key_job(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -157,6 +158,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--table", required=True)
     s.add_argument("--target", required=True, help="catalog.namespace.table")
     s.add_argument("--location", help="table folder (default: the catalog's)")
+    s.add_argument("--namespace-location", help="namespace folder when it is created (default: the catalog's)")
+    s.add_argument("--using", default="parquet", help="table format, e.g. iceberg in a v2 catalog")
     s.add_argument("--partition-column")
     s.add_argument("--lower-bound")
     s.add_argument("--upper-bound")

@@ -85,13 +85,14 @@ def columns_ddl(df: DataFrame, exclude: Sequence[str] = ()) -> str:
 
 
 def copy_to_lake(source: DataFrame, table: str, location: str | None = None, partition_by: Sequence[str] = (),
-                 replace_partitions: bool = False, namespace_location: str | None = None) -> DataFrame:
+                 replace_partitions: bool = False, namespace_location: str | None = None,
+                 using: str = "parquet") -> DataFrame:
     """Relational table to lake table: create the namespace and the table (from the source schema, with
     an optional identity partition) if missing, write the rows, and return the read-back check. The
     source is read once per write and once for the check; nothing passes through the driver.
 
     ``replace_partitions`` makes a rerun idempotent (the partitions present are replaced); by default the
-    rows are appended, as in the reference."""
+    rows are appended, as in the reference. ``using`` is the table format (``iceberg`` in a v2 catalog)."""
     spark = source.sparkSession
     namespace = table.rsplit(".", 1)[0]
     if namespace != table:
@@ -101,7 +102,7 @@ def copy_to_lake(source: DataFrame, table: str, location: str | None = None, par
     if not spark.catalog.tableExists(table):
         ddl = ", ".join(filter(None, [columns_ddl(ordered, partition_by),
                                       columns_ddl(ordered.select(*partition_by)) if partition_by else ""]))
-        create_table(spark, table, ddl, partition_by, location)
+        create_table(spark, table, ddl, partition_by, location, using)
     if replace_partitions and partition_by:
         overwrite_partitions(ordered, table)
     else:
