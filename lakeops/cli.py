@@ -16,6 +16,7 @@ from lakeops.functions.predicates import ci_contains, date_window
 from lakeops.functions.report import parse_section_text, parse_two_part_text
 from lakeops.functions.text import shift_decode
 from lakeops.functions.vectors import vector_parser
+from lakeops.operators.hierarchy import expand_hierarchy
 from lakeops.operators.ordering import page_count, page_slice
 from lakeops.operators.runs import latest_run
 from lakeops.operators.totals import check_positive_int, column_sum, hit_ratio, number_range
@@ -76,6 +77,17 @@ def _lake_copy(spark: SparkSession, a: argparse.Namespace) -> None:
                       using=a.using).show(truncate=False)
 
 
+def _hierarchy(spark: SparkSession, a: argparse.Namespace) -> None:
+    docs = spark.read.text(a.input).select(F.get_json_object("value", "$.box").alias("box"), F.col("value").alias("json"))
+    jobs = files.parse_job_lists(docs, "json", keep=["box"])
+    edges = jobs.select(F.col("box").alias("parent"), F.col("name").alias("child"),
+                        (F.upper("type") == F.lit("BOX")).alias("is_box"))
+    found = expand_hierarchy(edges, a.root, expandable="is_box")
+    fields = [f.name for f in files.JOB_FIELDS.fields]
+    records = jobs.join(found, jobs["name"] == found["node"]).groupBy(*fields).agg(F.min("depth").alias("depth"))
+    records.write.mode("overwrite").parquet(a.output)
+
+
 def _key_job(spark: SparkSession, a: argparse.Namespace) -> None:
     keys = spark.read.parquet(a.keys)
     keys = date_window(keys, a.date_column, a.start, a.end)
@@ -138,6 +150,12 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--limit", type=int, default=50)
     s.set_defaults(run=_positions)
 
+    s = sub.add_parser("hierarchy", help="all jobs below a box, expanding nested boxes, cycle-safe")
+    s.add_argument("input", help='JSON lines {"box": ..., "jobs": [...]}, one per listed box')
+    s.add_argument("output")
+    s.add_argument("--root", required=True)
+    s.set_defaults(run=_hierarchy)
+
     s = sub.add_parser("key-job", help="per key: first payload row, signed vector sum, status; totals per date")
     s.add_argument("--keys", required=True, help="parquet with the date and id columns")
     s.add_argument("--payload", required=True, help="parquet with the date, id and vector columns")

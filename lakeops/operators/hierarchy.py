@@ -18,18 +18,21 @@ from lakeops.session import ensure_checkpoint_dir
 
 
 def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str = "child",
-                     max_levels: int | None = None) -> DataFrame:
+                     max_levels: int | None = None, expandable: str | None = None) -> DataFrame:
     """All nodes below ``root`` with the level at which each is first found.
 
     As in the reference walk, a child is recorded before the visited test, so a cycle that leads back to
-    the root records the root too; each node is recorded once."""
+    the root records the root too; each node is recorded once. With ``expandable`` (a boolean column of
+    the edges, e.g. "the child is a box"), only such children are expanded further; the others are
+    recorded but their own children are not read."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     key_type = edges.schema[parent].dataType
     # Edges are materialised once but not partitioned by parent: a parent with a third of all children
     # would make one hot task. A small frontier is broadcast and the edges stream through their own
     # balanced partitions; a large one is joined with a shuffle on both sides, where AQE splits skew.
-    e = edges.select(F.col(parent).alias("_parent"), F.col(child).alias("node")).distinct().checkpoint()
+    flag = F.col(expandable).cast("boolean") if expandable else F.lit(True)
+    e = edges.select(F.col(parent).alias("_parent"), F.col(child).alias("node"), flag.alias("_x")).distinct().checkpoint()
     root_lit = F.lit(root).cast(key_type)
     frontier = spark.range(1).select(root_lit.alias("node"))
     found: list[DataFrame] = []
@@ -42,12 +45,12 @@ def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str
             raise RuntimeError(f"hierarchy deeper than {max_levels} levels")
         side = F.broadcast(frontier) if frontier_bytes <= limit else frontier
         children = (e.join(side.select(F.col("node").alias("_parent")), "_parent")
-                    .select("node").distinct())
+                    .groupBy("node").agg(F.coalesce(F.bool_or("_x"), F.lit(False)).alias("_x")))
         if found:
             children = children.join(reduce(DataFrame.unionAll, found).select("node"), "node", "left_anti")
         level_rows = children.withColumn("depth", F.lit(level)).checkpoint()
         found.append(level_rows)
         # Visited = root + everything found, so the next frontier is this level's new nodes minus the root.
-        frontier = level_rows.select("node").where(F.col("node") != root_lit)
+        frontier = level_rows.where(F.col("_x") & (F.col("node") != root_lit)).select("node")
         frontier_bytes = measured_bytes(frontier)  # exact size; 0 when empty
-    return reduce(DataFrame.unionAll, found)
+    return reduce(DataFrame.unionAll, found).drop("_x")

@@ -77,3 +77,16 @@ def test_key_job(spark, tmp_path, capsys):
     assert res[4][0] == "Error: column 1 does not have 3 elements (got 2)"
     out = capsys.readouterr().out
     assert "|2      |5        |3                |1      |1     |" in out
+
+
+def test_hierarchy_job(spark, tmp_path):
+    lines = [
+        '{"box": "TOP", "jobs": [{"name": "B1", "type": "BOX", "runNum": 1}, {"name": "J1", "type": "CMD"}]}',
+        '{"box": "B1", "jobs": [{"name": "J2", "type": "cmd", "status": "4"}, {"name": "TOP", "type": "box"}]}',
+        '{"box": "J1", "jobs": [{"name": "NEVER", "type": "CMD"}]}',
+    ]
+    (tmp_path / "jobs.json").write_text("\n".join(lines) + "\n")
+    main(["hierarchy", str(tmp_path / "jobs.json"), str(tmp_path / "out"), "--root", "TOP"], spark)
+    got = {(r.name, r.type, r.runNum, r.status, r.depth) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {("B1", "BOX", 1, "N/A", 1), ("J1", "CMD", 0, "N/A", 1), ("J2", "cmd", 0, "4", 2),
+                   ("TOP", "box", 0, "N/A", 2)}

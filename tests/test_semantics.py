@@ -390,3 +390,12 @@ def test_copy_to_lake(spark, tmp_path):
     again = lake.copy_to_lake(src, table)  # plain append, as in the reference: rows doubled
     assert tuple(again.first()) == (3, 6, False)
     assert spark.table(table).columns == ["trade_id", "symbol", "business_date"]
+
+
+def test_hierarchy_expands_only_boxes(spark):
+    edges = spark.createDataFrame([("root", "b1", True), ("root", "j1", False), ("b1", "j2", False),
+                                   ("j1", "x", False), ("b1", "b2", True), ("b2", "root", True)],
+                                  "parent string, child string, is_box boolean")
+    out = dict(rows(hierarchy.expand_hierarchy(edges, "root", expandable="is_box")))
+    # j1 is recorded but, not being a box, its child x is never read
+    assert out == {"b1": 1, "j1": 1, "j2": 2, "b2": 2, "root": 3}
