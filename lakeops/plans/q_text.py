@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.report import joined_lines, parse_sections, parse_two_parts
 from lakeops.functions.text import (
-    UPPER, LOWER, base64_decode, base64_text, pad_cell, replace_long, report_line, round_money, separator,
+    UPPER, LOWER, base64_decode, base64_text, replace_long, report_line, round_money, separator,
     shares_label, shift_decode, shift_encode,
 )
 from lakeops.plans.derive import marked_report_lines, two_part_report_lines
