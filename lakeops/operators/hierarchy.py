@@ -8,12 +8,13 @@ The loop ends when the frontier is empty, which always happens: the visited set
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lakeops.operators.sizing import broadcast_limit, measured_bytes
+from lakeops.operators.sizing import broadcast_limit, measured_bytes, row_bytes
 from lakeops.session import ensure_checkpoint_dir
 
 
@@ -48,9 +49,14 @@ def expand_hierarchy(edges: DataFrame, root, parent: str = "parent", child: str
                     .groupBy("node").agg(F.coalesce(F.bool_or("_x"), F.lit(False)).alias("_x")))
         if found:
             children = children.join(reduce(DataFrame.unionAll, found).select("node"), "node", "left_anti")
-        level_rows = children.withColumn("depth", F.lit(level)).checkpoint()
+        # Visited = root + everything found, so the next frontier is this level's new expandable nodes
+        # minus the root. Its exact size is observed while the level is checkpointed (no extra job).
+        next_up = F.col("_x") & (F.col("node") != root_lit)
+        rows = children.withColumn("depth", F.lit(level))
+        size = Observation(f"lakeops_level_{level}_{uuid.uuid4().hex[:8]}")
+        size_of = F.coalesce(F.sum(F.when(next_up, row_bytes(rows, ["node"]))), F.lit(0)).alias("b")
+        level_rows = rows.observe(size, size_of).checkpoint()
         found.append(level_rows)
-        # Visited = root + everything found, so the next frontier is this level's new nodes minus the root.
-        frontier = level_rows.where(F.col("_x") & (F.col("node") != root_lit)).select("node")
-        frontier_bytes = measured_bytes(frontier)  # exact size; 0 when empty
+        frontier = level_rows.where(next_up).select("node")
+        frontier_bytes = int(size.get["b"])
     return reduce(DataFrame.unionAll, found).drop("_x")

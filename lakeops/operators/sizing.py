@@ -29,13 +29,18 @@ def _value_bytes(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0)) + F.lit(16)
 
 
+def row_bytes(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Size of one row of ``df`` (of ``columns`` only, when given) in Spark's row format."""
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    total = F.lit(16)
+    for f in fields:
+        total = total + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    return total.cast("long")
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Exact in-memory payload size of ``df`` (one aggregate pass, no rows to the driver)."""
-    parts = [_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
-    total = F.lit(16)
-    for p in parts:
-        total = total + p
-    row = df.agg(F.coalesce(F.sum(total.cast("long")), F.lit(0)).alias("b")).first()
+    row = df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
     return int(row["b"])
 
 
