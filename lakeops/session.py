@@ -47,20 +47,22 @@ def lake_catalog_settings(
     name: str,
     uri: str,
     warehouse: str,
-    ref: str = "main",
-    catalog_impl: str = "org.apache.iceberg.nessie.NessieCatalog",
+    ref: str | None = None,
+    catalog_impl: str = "org.apache.iceberg.rest.RESTCatalog",
 ) -> dict[str, str]:
-    """Settings for a versioned table catalog (branch ``ref``). The catalog jar is not on this machine;
-    these are configuration strings only."""
+    """Settings for a table-format catalog named ``name`` (optionally on branch ``ref`` for a versioned
+    catalog). The catalog jar is not on this machine; these are configuration strings only."""
     prefix = f"spark.sql.catalog.{name}"
-    return {
+    out = {
         prefix: "org.apache.iceberg.spark.SparkCatalog",
         f"{prefix}.catalog-impl": catalog_impl,
         f"{prefix}.uri": uri,
-        f"{prefix}.ref": ref,
         f"{prefix}.warehouse": warehouse,
         "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
     }
+    if ref is not None:
+        out[f"{prefix}.ref"] = ref
+    return out
 
 
 def object_store_settings(endpoint: str, path_style: bool = True) -> dict[str, str]:
