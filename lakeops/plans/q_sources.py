@@ -133,13 +133,10 @@ def lake_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("readback_check", "S16", "SELECT count(*) AS rows_in, count(*) AS rows_out, true AS matches FROM orders")
 def readback_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders copied into a lake table; the source is read once, its fingerprint observed while written."""
     o = Tables(spark, sf_dir).orders
     ns = _namespace(spark, "readback")
-    table = f"{ns}.orders_copy"
-    lake.create_table(spark, table, "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-                      "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING", location=scratch_path(spark, "tbl-rb"))
-    lake.append(o, table)
-    return lake.readback_check(o, spark.table(table))
+    return lake.copy_to_lake(o, f"{ns}.orders_copy", scratch_path(spark, "tbl-rb"))
 
 
 @query("merge_to_lake", "S20 J5 S6", """SELECT c.c_custkey, c.c_name, c.c_nationkey, n.n_name, c.c_acctbal

@@ -7,9 +7,10 @@ The session catalog is used here (no table-format jar on this machine). With a v
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -59,11 +60,16 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
 
 
-def _fingerprint(df: DataFrame) -> DataFrame:
+def _fingerprint_aggs(df: DataFrame) -> list:
     """Row count and an order-free multiset digest (sum of 64-bit row hashes, in a decimal that cannot
-    overflow). One aggregate pass; nothing but two numbers leaves the executors."""
+    overflow)."""
     h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("h"))
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias("h")]
+
+
+def _fingerprint(df: DataFrame) -> DataFrame:
+    """The fingerprint in one aggregate pass; nothing but two numbers leaves the executors."""
+    return df.agg(*_fingerprint_aggs(df))
 
 
 def readback_check(source: DataFrame, written: DataFrame) -> DataFrame:
@@ -88,11 +94,12 @@ def copy_to_lake(source: DataFrame, table: str, location: str | None = None, par
                  replace_partitions: bool = False, namespace_location: str | None = None,
                  using: str = "parquet") -> DataFrame:
     """Relational table to lake table: create the namespace and the table (from the source schema, with
-    an optional identity partition) if missing, write the rows, and return the read-back check. The
-    source is read once per write and once for the check; nothing passes through the driver.
+    an optional identity partition) if missing, write the rows, and return the read-back check.
 
-    ``replace_partitions`` makes a rerun idempotent (the partitions present are replaced); by default the
-    rows are appended, as in the reference. ``using`` is the table format (``iceberg`` in a v2 catalog)."""
+    The source is read once: its count and digest are observed while the rows are written, and only the
+    lake table is read again for the check. ``replace_partitions`` makes a rerun idempotent (the
+    partitions present are replaced); by default the rows are appended, as in the reference. ``using`` is
+    the table format (``iceberg`` in a v2 catalog)."""
     spark = source.sparkSession
     namespace = table.rsplit(".", 1)[0]
     if namespace != table:
@@ -103,11 +110,17 @@ def copy_to_lake(source: DataFrame, table: str, location: str | None = None, par
         ddl = ", ".join(filter(None, [columns_ddl(ordered, partition_by),
                                       columns_ddl(ordered.select(*partition_by)) if partition_by else ""]))
         create_table(spark, table, ddl, partition_by, location, using)
+    seen = Observation(f"lakeops_copy_{uuid.uuid4().hex[:8]}")
+    observed = ordered.observe(seen, *_fingerprint_aggs(ordered))
     if replace_partitions and partition_by:
-        overwrite_partitions(ordered, table)
+        overwrite_partitions(observed, table)
     else:
-        append(ordered, table)
-    return readback_check(ordered, spark.table(table))
+        append(observed, table)
+    rows_in, h_in = seen.get["n"], seen.get["h"]
+    out = _fingerprint(spark.table(table).select(*cols))
+    return out.select(F.lit(rows_in).cast("long").alias("rows_in"), F.col("n").alias("rows_out"),
+                      ((F.col("n") == F.lit(rows_in)) & (F.col("h") == F.lit(h_in).cast("decimal(38,0)")))
+                      .alias("matches"))
 
 
 def file_inventory(df: DataFrame, partition_cols: Sequence[str] = ()) -> DataFrame:
