@@ -116,3 +116,27 @@ def test_positions_survive_uneven_coalesced_partitions(spark):
         assert g.exceptAll(gs).count() == 0 and gs.exceptAll(g).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_stream_restart_continues_from_its_checkpoint(spark, tmp_path):
+    ev = Tables(spark, SF_SMALL).events
+    landing, ckpt, out = str(tmp_path / "landing"), str(tmp_path / "ckpt"), str(tmp_path / "out")
+    first, second = ev.where(F.col("event_id") % 2 == 0), ev.where(F.col("event_id") % 2 == 1)
+
+    def run():
+        stream = st.read_event_stream(spark, landing, ev.schema, files_per_trigger=2)
+        latest = st.latest_status(stream, "user_id", "ts", "event_type", "event_id")
+        st.run_available(latest, ckpt, "restart_check", "complete", st.snapshot_writer(out))
+
+    st.land_files(first, landing, 4, order="ts")
+    run()
+    half = spark.read.parquet(out).agg(F.sum("n_events")).first()[0]
+    st.land_files(second, landing, 4, order="ts")
+    run()  # same checkpoint: only the new files are read, the state carries the first half
+    full = spark.read.parquet(out)
+    batch = ev.groupBy("user_id").agg(
+        F.max(F.struct("ts", F.bitwise_not("event_id").alias("s"), "event_type")).alias("l"),
+        F.count(F.lit(1)).alias("n_events")).select(
+        "user_id", F.col("l.ts").alias("latest_ts"), F.col("l.event_type").alias("latest_status"), "n_events")
+    assert half == first.count()
+    assert full.exceptAll(batch).count() == 0 and batch.exceptAll(full).count() == 0
