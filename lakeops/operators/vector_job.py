@@ -25,12 +25,17 @@ def vector_results(keys: DataFrame, payload: DataFrame, key_cols: Sequence[str],
 
     ``vectors`` are array expressions over payload columns (for stored text or bytes, see
     :func:`lakeops.functions.vectors.vector_parser`); each must have ``n`` elements, the first wrong
-    one gives the key's error status. ``order`` states which payload row is first (default: all
-    columns)."""
+    one gives the key's error status. ``order`` states which payload row is first. Without it the first
+    row is fixed but arbitrary: rows are compared by a 64-bit hash first, so wide payloads (blobs) are
+    only compared when two hashes tie."""
     check_positive_int("n", n)
     if not 1 <= n_added <= len(vectors):
         raise ValueError("n_added must be between 1 and the number of vectors")
-    joined = key_payload_join(keys, payload, key_cols, payload_key_cols, order)
+    if order is None:
+        rest = [c for c in payload.columns if c not in payload_key_cols]
+        payload = payload.withColumn("_row_hash", F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
+        order = ["_row_hash", *rest]
+    joined = key_payload_join(keys, payload, key_cols, payload_key_cols, order).drop("_row_hash")
     checks = [length_status(v, n, F.lit(f"column {i + 1}")) for i, v in enumerate(vectors)]
     first_error = F.coalesce(*[F.when(c != OK, c) for c in checks])
     result = signed_sum(vectors, n_added)
