@@ -140,3 +140,17 @@ def test_stream_restart_continues_from_its_checkpoint(spark, tmp_path):
         "user_id", F.col("l.ts").alias("latest_ts"), F.col("l.event_type").alias("latest_status"), "n_events")
     assert half == first.count()
     assert full.exceptAll(batch).count() == 0 and batch.exceptAll(full).count() == 0
+
+
+def test_date_range_predicates_tile_the_interval():
+    import datetime as dt
+    import re
+
+    start, end = dt.date(2000, 2, 1), dt.date(2001, 8, 1)
+    preds = jdbc.date_range_predicates("d", start, end, 12)
+    bounds = [re.findall(r"DATE '([0-9-]+)'", p) for p in preds]
+    assert len(preds) == 12 and bounds[0][0] == start.isoformat() and bounds[-1][1] == end.isoformat()
+    assert all(a[1] == b[0] for a, b in zip(bounds, bounds[1:]))
+    assert len(jdbc.date_range_predicates("d", start, start + dt.timedelta(days=3), 10)) == 3
+    with pytest.raises(ValueError):
+        jdbc.date_range_predicates("d", end, start, 4)
