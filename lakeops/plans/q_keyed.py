@@ -4,6 +4,8 @@ totals (after map-side partial aggregation); the date is only a group column."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from lakeops.operators.ordering import with_group_row_number, with_ordinal
 from lakeops.operators.totals import overall_totals, status_totals
 from lakeops.plans.derive import LINEITEM_ORDER, order_keys
 from lakeops.plans.registry import query
+from lakeops.session import scratch_path
+from lakeops.sources import lake
 from lakeops.tables import Tables
 
 # Parameters of the registered queries.
@@ -23,6 +27,7 @@ DATE_RANGE_END = "1998-01-01"
 LOOKBACK_END = "2001-08-01"
 BATCH_SIZE = 4
 POINT_KEY = {"l_orderkey": 7, "l_linenumber": 1}
+BUCKETS = 16
 
 # DuckDB text shared by the oracles.
 LINEITEM_ORDER_SQL = ", ".join(LINEITEM_ORDER)
@@ -162,3 +167,22 @@ def row_status(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.lit("Success")))
     return li.select("l_orderkey", "l_linenumber", "l_partkey",
                      F.try_divide(F.col("l_extendedprice"), q).alias("unit_price"), status.alias("status"))
+
+
+@query("bucketed_payload_join", "J1 S14", f"""SELECT k.businessdate, k.id, p.l_partkey, p.l_suppkey, p.l_linenumber,
+    p.l_quantity, p.l_extendedprice, p.l_discount, p.l_tax, p.l_returnflag, p.l_linestatus, p.l_shipdate,
+    CASE WHEN p.l_orderkey IS NULL THEN 'No data' ELSE 'Found' END AS lookup_status
+  FROM (SELECT CAST(o_orderdate AS DATE) AS businessdate, o_orderkey AS id FROM orders) k
+  LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id""")
+def bucketed_payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key-to-payload join on tables stored bucketed by the order key: the first-row aggregate and
+    the join then run without shuffling either table."""
+    t = Tables(spark, sf_dir)
+    ns = f"lakeops_bucketed_{uuid.uuid4().hex[:8]}"
+    lake.create_namespace(spark, ns, scratch_path(spark, "ns-bucketed"))
+    orders = lake.save_bucketed(t.orders.select("o_orderkey", "o_orderdate"), f"{ns}.orders", ["o_orderkey"],
+                                BUCKETS, scratch_path(spark, "tbl-orders-b"))
+    lineitem = lake.save_bucketed(t.lineitem, f"{ns}.lineitem", ["l_orderkey"], BUCKETS,
+                                  scratch_path(spark, "tbl-lineitem-b"))
+    keys = orders.select(F.col("o_orderdate").cast("date").alias("businessdate"), F.col("o_orderkey").alias("id"))
+    return key_payload_join(keys, lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)

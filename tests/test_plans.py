@@ -154,3 +154,14 @@ def test_date_range_predicates_tile_the_interval():
     assert len(jdbc.date_range_predicates("d", start, start + dt.timedelta(days=3), 10)) == 3
     with pytest.raises(ValueError):
         jdbc.date_range_predicates("d", end, start, 4)
+
+
+def test_bucketed_tables_join_without_shuffles(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["bucketed_payload_join"](spark, SF_SMALL))
+        tree = text.split("\n\n")[0]
+        assert "SortMergeJoin" in tree and "Exchange" not in tree and "SortAggregate" in tree
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
