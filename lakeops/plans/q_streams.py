@@ -30,7 +30,7 @@ def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "sink-latest")
     latest = st.latest_status(stream, "user_id", "ts", "event_type", "event_id")
     st.run_available(latest, ckpt, f"latest_{ckpt[-12:]}", "complete", st.snapshot_writer(out))
-    return spark.read.parquet(out)
+    return st.read_snapshot(spark, out)
 
 
 @query("stream_box_verdict", "T2 G9", f"""WITH latest AS (
@@ -46,7 +46,7 @@ def stream_box_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
                               st.event_status_code(F.col("event_type")), "event_id")
     writer = st.verdict_writer(out, lambda c: F.expr(f"child div {BOX_FANOUT}"))
     st.run_available(latest, ckpt, f"verdict_{ckpt[-12:]}", "complete", writer)
-    return spark.read.parquet(out)
+    return st.read_snapshot(spark, out)
 
 
 @query("stream_consume", "T3", """SELECT event_id, user_id, ts, value, 'job_' || CAST(user_id AS VARCHAR) AS triggered_job

@@ -5,7 +5,8 @@ per micro-batch, and a checkpoint folder, so a restarted query continues where i
 uses ``trigger(availableNow=True)``: it processes what has landed and ends.
 
 * latest status per job: a streaming aggregate whose state holds one row per job (bounded by the number
-  of jobs, not by time), written in complete mode;
+  of jobs, not by time), written in complete mode as a double-buffered snapshot that readers never see
+  half written;
 * box verdict: each micro-batch's complete table of latest child statuses is turned into verdicts;
 * consume: each micro-batch of matching events is written once per batch id (a replayed batch
   overwrites its own output, so the sink is exactly-once);
@@ -70,10 +71,28 @@ def run_available(df: DataFrame, checkpoint: str, name: str, mode: str,
         raise RuntimeError(str(query.exception()))
 
 
+def write_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
+    """Double-buffered snapshot: batch N replaces slot ``N % 2`` and then records a marker for N. A reader
+    (:func:`read_snapshot`) takes the newest marker and reads its slot, which the next batch does not
+    touch; a failed batch leaves the previous slot and marker whole, and a replayed batch rewrites the
+    same slot and marker."""
+    df.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+    marker = df.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"))
+    marker.write.mode("overwrite").parquet(f"{path}/_batches/batch={batch_id}")
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete snapshot written by :func:`write_snapshot`."""
+    latest = spark.read.parquet(f"{path}/_batches").agg(F.max("batch_id")).first()[0]
+    if latest is None:
+        raise FileNotFoundError(f"no snapshot under {path}")
+    return spark.read.parquet(f"{path}/slot={latest % 2}")
+
+
 def snapshot_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function that replaces ``path`` with the batch (complete-mode tables)."""
+    """foreachBatch function keeping the latest complete-mode table as a double-buffered snapshot."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        write_snapshot(batch, path, batch_id)
     return write
 
 
@@ -95,13 +114,13 @@ def event_status_code(event_type: Column) -> Column:
 
 
 def verdict_writer(path: str, box_of: Callable[[Column], Column]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: latest child statuses (complete table) -> box verdicts, replacing ``path``.
+    """foreachBatch function: latest child statuses (complete table) -> box verdicts, as a snapshot.
     The boxes are the parents seen, so the verdict comes from one aggregate of the child flags."""
     def write(batch: DataFrame, batch_id: int) -> None:
         children = batch.select(box_of(F.col("child")).alias("parent"), "child",
                                 F.col("latest_status").alias("status"))
         flags = child_flags(children).withColumnRenamed("parent", "box").withColumn("box_status", F.lit(STATUS_SUCCESS))
-        verdict_from_flags(flags, "box", "box_status").write.mode("overwrite").parquet(path)
+        write_snapshot(verdict_from_flags(flags, "box", "box_status"), path, batch_id)
     return write
 
 

@@ -130,10 +130,10 @@ def test_stream_restart_continues_from_its_checkpoint(spark, tmp_path):
 
     st.land_files(first, landing, 4, order="ts")
     run()
-    half = spark.read.parquet(out).agg(F.sum("n_events")).first()[0]
+    half = st.read_snapshot(spark, out).agg(F.sum("n_events")).first()[0]
     st.land_files(second, landing, 4, order="ts")
     run()  # same checkpoint: only the new files are read, the state carries the first half
-    full = spark.read.parquet(out)
+    full = st.read_snapshot(spark, out)
     batch = ev.groupBy("user_id").agg(
         F.max(F.struct("ts", F.bitwise_not("event_id").alias("s"), "event_type")).alias("l"),
         F.count(F.lit(1)).alias("n_events")).select(
@@ -165,3 +165,15 @@ def test_bucketed_tables_join_without_shuffles(spark):
         assert "SortMergeJoin" in tree and "Exchange" not in tree and "SortAggregate" in tree
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_snapshot_survives_a_failed_batch(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    for i in range(3):
+        st.write_snapshot(spark.createDataFrame([(i,)], "v int"), path, i)
+    assert [r.v for r in st.read_snapshot(spark, path).collect()] == [2]
+    # batch 3 dies after replacing its slot and before its marker: readers still get batch 2
+    spark.createDataFrame([(99,)], "v int").write.mode("overwrite").parquet(f"{path}/slot=1")
+    assert [r.v for r in st.read_snapshot(spark, path).collect()] == [2]
+    st.write_snapshot(spark.createDataFrame([(3,)], "v int"), path, 3)  # the replay
+    assert [r.v for r in st.read_snapshot(spark, path).collect()] == [3]
