@@ -72,13 +72,15 @@ def run_available(df: DataFrame, checkpoint: str, name: str, mode: str,
 
 
 def write_snapshot(df: DataFrame, path: str, batch_id: int) -> None:
-    """Double-buffered snapshot: batch N replaces slot ``N % 2`` and then records a marker for N. A reader
-    (:func:`read_snapshot`) takes the newest marker and reads its slot, which the next batch does not
-    touch; a failed batch leaves the previous slot and marker whole, and a replayed batch rewrites the
-    same slot and marker."""
-    df.write.mode("overwrite").parquet(f"{path}/slot={batch_id % 2}")
+    """Double-buffered snapshot: batch N replaces data slot ``N % 2`` and then marker slot ``N % 2`` (which
+    holds N). A reader (:func:`read_snapshot`) takes the highest batch among the two markers and reads its
+    data slot: while batch N+2 rewrites slot ``N % 2``, the marker of N+1 is the highest and points to the
+    other slot. A failed batch leaves the previous slot and marker whole, a replayed batch rewrites the
+    same ones, and the folder never holds more than two versions."""
+    slot = batch_id % 2
+    df.write.mode("overwrite").parquet(f"{path}/slot={slot}")
     marker = df.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch_id"))
-    marker.write.mode("overwrite").parquet(f"{path}/_batches/batch={batch_id}")
+    marker.write.mode("overwrite").parquet(f"{path}/_batches/slot={slot}")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

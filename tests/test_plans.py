@@ -177,3 +177,5 @@ def test_snapshot_survives_a_failed_batch(spark, tmp_path):
     assert [r.v for r in st.read_snapshot(spark, path).collect()] == [2]
     st.write_snapshot(spark.createDataFrame([(3,)], "v int"), path, 3)  # the replay
     assert [r.v for r in st.read_snapshot(spark, path).collect()] == [3]
+    markers = spark.read.parquet(f"{path}/_batches")
+    assert sorted((r.slot, r.batch_id) for r in markers.collect()) == [(0, 2), (1, 3)]  # two versions kept
