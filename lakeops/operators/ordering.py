@@ -107,13 +107,23 @@ def top_n(df: DataFrame, order: Sequence[str | Column], n: int, name: str = "ran
     return top.withColumn(name, F.row_number().over(w).cast("long"))
 
 
+DEEP_PAGE_ROWS = 100_000
+
+
 def page_slice(df: DataFrame, order: Sequence[str | Column], page: int = 1, per_page: int = 10,
-               name: str = "position") -> DataFrame:
-    """Rows ``(page-1)*per_page + 1 .. page*per_page`` in ``order`` with their position."""
+               name: str = "position", deep_page_rows: int = DEEP_PAGE_ROWS) -> DataFrame:
+    """Rows ``(page-1)*per_page + 1 .. page*per_page`` in ``order`` with their position.
+
+    Early pages are a per-partition top-n (``offset + limit``). A page beyond ``deep_page_rows`` would
+    make every task keep that many rows, so it is cut from the global ordinal instead (a range sort;
+    the order must then be total)."""
     _check_positive("page", page)
     if not 1 <= per_page <= 50:
         raise ValueError("per_page must be between 1 and 50")
     start = (page - 1) * per_page
+    if start + per_page > deep_page_rows:
+        numbered = with_ordinal(df, order, name)
+        return numbered.where((F.col(name) > F.lit(start)) & (F.col(name) <= F.lit(start + per_page)))
     sliced = df.orderBy(*_cols(order)).offset(start).limit(per_page)
     w = Window.orderBy(*_cols(order))
     return sliced.withColumn(name, (F.row_number().over(w) + F.lit(start)).cast("long"))

@@ -399,3 +399,11 @@ def test_hierarchy_expands_only_boxes(spark):
     out = dict(rows(hierarchy.expand_hierarchy(edges, "root", expandable="is_box")))
     # j1 is recorded but, not being a box, its child x is never read
     assert out == {"b1": 1, "j1": 1, "j2": 2, "b2": 2, "root": 3}
+
+
+def test_deep_pages_use_the_ordinal(spark):
+    df = spark.createDataFrame([(i * 37 % 500, i) for i in range(500)], "k int, u int").repartition(4)
+    for page in (1, 7, 50):
+        shallow = rows(ordering.page_slice(df, ["k", "u"], page, 10), "position")
+        deep = rows(ordering.page_slice(df, ["k", "u"], page, 10, deep_page_rows=5), "position")
+        assert shallow == deep and [r[2] for r in deep] == list(range((page - 1) * 10 + 1, page * 10 + 1))
