@@ -98,18 +98,22 @@ def with_group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[s
     return with_group_running(df, group, order, [(name, "sum", F.lit(1))])
 
 
-def top_n(df: DataFrame, order: Sequence[str | Column], n: int, name: str = "rank") -> DataFrame:
+DEEP_PAGE_ROWS = 100_000
+
+
+def top_n(df: DataFrame, order: Sequence[str | Column], n: int, name: str = "rank",
+          deep_page_rows: int | None = None) -> DataFrame:
     """The first ``n`` rows in ``order`` with their rank: a per-partition top-n, then one merge of
-    ``n x partitions`` rows (Spark's TakeOrderedAndProject)."""
+    ``n x partitions`` rows (Spark's TakeOrderedAndProject). Beyond ``deep_page_rows`` the rows are cut
+    from the global ordinal instead, so no task holds ``n`` rows."""
     _check_positive("n", n)
+    if n > (DEEP_PAGE_ROWS if deep_page_rows is None else deep_page_rows):
+        return with_ordinal(df, order, name).where(F.col(name) <= F.lit(n))
     top = df.orderBy(*_cols(order)).limit(n)
     w = Window.orderBy(*_cols(order))
     return top.withColumn(name, F.row_number().over(w).cast("long"))
 
 
-DEEP_PAGE_ROWS = 100_000
-
-
 def page_slice(df: DataFrame, order: Sequence[str | Column], page: int = 1, per_page: int = 10,
                name: str = "position", deep_page_rows: int = DEEP_PAGE_ROWS) -> DataFrame:
     """Rows ``(page-1)*per_page + 1 .. page*per_page`` in ``order`` with their position.

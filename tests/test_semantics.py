@@ -407,3 +407,10 @@ def test_deep_pages_use_the_ordinal(spark):
         shallow = rows(ordering.page_slice(df, ["k", "u"], page, 10), "position")
         deep = rows(ordering.page_slice(df, ["k", "u"], page, 10, deep_page_rows=5), "position")
         assert shallow == deep and [r[2] for r in deep] == list(range((page - 1) * 10 + 1, page * 10 + 1))
+
+
+def test_large_top_n_uses_the_ordinal(spark):
+    df = spark.createDataFrame([(i * 37 % 500, i) for i in range(500)], "k int, u int").repartition(4)
+    a = rows(ordering.top_n(df, [F.col("k").desc(), "u"], 20), "rank")
+    b = rows(ordering.top_n(df, [F.col("k").desc(), "u"], 20, deep_page_rows=5), "rank")
+    assert a == b and [r[2] for r in b] == list(range(1, 21))
