@@ -127,7 +127,9 @@ def save_bucketed(df: DataFrame, table: str, by: Sequence[str], buckets: int, lo
                   sort_by: Sequence[str] = ()) -> DataFrame:
     """Store ``df`` as a table hashed into ``buckets`` files per task by ``by`` (sorted within a bucket
     by ``sort_by``). Two tables bucketed the same way on a join key are joined, and grouped by that key,
-    without a shuffle on either side; a table read every day pays its shuffle once, here."""
+    without a shuffle on either side; a table read every day pays its shuffle once, here. Rows are not
+    repartitioned by the key first: each task writes its own share of every bucket, so a key holding a
+    third of the rows is written by all tasks in parallel (more, smaller files instead of one hot task)."""
     writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *by)
     if sort_by:
         writer = writer.sortBy(*sort_by)
