@@ -6,10 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, langid
+from lakeops.llm import bpe, decontaminate, jaccard, langid
 from lakeops.tables import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn_from_folds(docs)
@@ -23,9 +30,15 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(encoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_classes(table(spark, sf_dir, "documents"), width=4, share=85)
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {}
