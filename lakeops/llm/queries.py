@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, decontaminate, jaccard, langid
+from lakeops.llm import bpe, decontaminate, jaccard, langid, repeats
 from lakeops.tables import table
 
 
@@ -17,6 +17,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn_from_folds(docs)
@@ -36,6 +43,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_repeats": op3_repeats,
     "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_jaccard_join": op8_jaccard_join,
