@@ -64,14 +64,14 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
              .select("src", F.translate("to", UPPER, LOWER).alias("dst")).where("src <> dst"))
     # A chain of domains: each with its parent, down to two labels.
     chain = hosts.where("host <> ''").select(F.explode(suffixes(F.col("host"))).alias("src")).distinct()
-    up = chain.select("src", F.substring_index("src", ".", -F.size(F.split("src", r"\.")) + 1).alias("dst"))
+    up = chain.select("src", F.regexp_replace("src", r"^[^.]*\.", "").alias("dst")).where("src <> dst")
     up = up.where(F.size(F.split("dst", r"\.")) >= 2)
     both = up.unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return links.unionByName(both).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) from ``seeds`` (host, trust, distrust), each kind summing to 1 or 0."""
+    """(host, trust, distrust) from ``seeds`` (host, trust, distrust): shares of the pages that rules decide."""
     kinds = edges.select(F.lit(1).alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit(-1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     out = kinds.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
@@ -103,9 +103,10 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
     best = F.array_max(F.transform(fitting, lambda r: F.struct(r["size"].alias("size"), r["block"].alias("block"), r["rule"].alias("rule"))))
     ruled = thin.join(known, "host", "left").withColumn("best", best).drop("rules")
     per_host = ruled.groupBy("host").agg(F.sum((~F.col("best.block")).cast("long")).alias("a"), F.sum(F.col("best.block").cast("long")).alias("b"))
-    total = per_host.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
-    part = lambda c, all_of: (F.coalesce(F.col(c), F.lit(0)) / F.lit(float(all_of or 1)))
-    seeds = per_host.select("host", part("a", total.a).alias("trust"), part("b", total.b).alias("distrust"))
+    sums = per_host.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
+    n_ruled = max(1, (sums.a or 0) + (sums.b or 0))
+    part = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.lit(float(n_ruled))
+    seeds = per_host.select("host", part("a").alias("trust"), part("b").alias("distrust"))
     scores = propagate(host_edges(rows, hosts), seeds)
     verdict = F.when(F.col("best.block"), "block").when(F.col("best").isNotNull(), "allow").when(
         F.coalesce("distrust", F.lit(0.0)) > threshold * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
