@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, chat, decontaminate, jaccard, langid, repeats, urls
+from lakeops.llm import ann, bpe, chat, decontaminate, jaccard, langid, repeats, urls
 from lakeops.tables import table
 
 
@@ -17,6 +17,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
@@ -67,6 +71,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_neighbours": op2_neighbours,
     "op3_repeats": op3_repeats,
     "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,
