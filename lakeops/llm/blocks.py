@@ -16,7 +16,7 @@ from lakeops.llm.textbytes import groups
 from lakeops.session import ensure_checkpoint_dir
 
 BLOCK_BYTES = 8 << 20
-_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+_ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
 
 
 def to_bytes(batch: pa.RecordBatch) -> bytes:

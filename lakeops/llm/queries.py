@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, chat, decontaminate, jaccard, langid, repeats, urls
+from lakeops.llm import ann, bpe, chat, decontaminate, hmm, jaccard, langid, repeats, urls
 from lakeops.tables import table
 
 
@@ -28,6 +28,12 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = langid.fold(folds=10)
+    return hmm.score(table(spark, sf_dir, "documents"), part > 0, part == 0).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.learn_from_folds(docs)
@@ -73,6 +79,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
     "op3_repeats": op3_repeats,
+    "op4_hmm_score": op4_hmm_score,
     "op5_language_id": op5_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_jaccard_join": op8_jaccard_join,

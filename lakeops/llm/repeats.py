@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from lakeops.llm import blocks as bl
 from lakeops.llm import textbytes as tb
 
-GRAM = 24
+GRAM = 20
 PIECE = 1 << 20
 SORT_AT_ONCE = 400_000
 KEY_BITS = 48
@@ -276,8 +276,9 @@ def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text
     sent = "bucket long, block long, payload binary"
     answer = "block long, payload binary"
     keys = (blocks.mapInArrow(lambda b: _scatter_keys(b, at, who, length, gram, buckets), sent)
-            .groupBy("bucket").applyInArrow(_shared_keys, answer))
-    known = bl.replies(blocks, keys).withColumnRenamed("answers", "keys").checkpoint()
+            .groupBy("bucket").applyInArrow(_shared_keys, answer)).checkpoint()
+    # Used twice below: the exchange of the blocks is planned once and reused.
+    known = bl.replies(blocks, keys).withColumnRenamed("answers", "keys")
     runs = (known.mapInArrow(lambda b: _scatter_runs(b, at, who, length, gram, buckets), sent)
             .groupBy("bucket").applyInArrow(lambda t: _suffix_order(t, length), answer))
     schema = T.StructType([*df.schema.fields, T.StructField("n_bytes", T.LongType()),
