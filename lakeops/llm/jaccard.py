@@ -7,7 +7,8 @@ is, when d is at most r. The join is a recursion over regions:
   are its landmarks: any linked pair shares one of the first n - ceil(share * n) + 1 in a common order.
   Shingles that are frequent in the corpus come last in the order, so that region sizes stay small (the
   order decides about speed only, never about results). Regions of equal membership are taken once.
-* One level. Every region draws pivots among its open members; all members' distances to the pivots are
+* Regions of at most ``LEAF`` members are compared directly.
+* One level. Every larger region draws pivots among its open members; all members' distances to the pivots are
   found (each distinct pair once). A member within r of a pivot is linked to it and lies in its cell.
   Members of no cell stay open. A cell member can still link to an open one, but by the triangle
   inequality only if its distance to the pivot is at least (smallest open distance to that pivot) - r: only
@@ -39,6 +40,8 @@ from lakeops.session import ensure_checkpoint_dir
 
 PIECE_BYTES = 2 << 20
 PARTS = 64
+#: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
+LEAF = 32
 
 
 def shingle_sets(texts: list[str | None], width: int):
@@ -163,7 +166,8 @@ def _distances(batches):
             x = np.frombuffer(x, np.uint64)
             at = np.minimum(np.searchsorted(pivot, x), len(pivot) - 1)
             common.append(int((pivot[at] == x).sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64())], ["x", "p", "common"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), batch.column(4), batch.column(5)],
+                                         ["x", "p", "common", "nx", "np"])
 
 
 def _frequent(documents: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,59 +219,78 @@ def _first_regions(rows: DataFrame) -> DataFrame:
 
 
 def _join_regions(docs, rows, members, width, share, broadcast_bytes) -> DataFrame | None:
-    spark = docs.sparkSession
-    involved = members.select("node").distinct().checkpoint()
-    n_involved = involved.count()
-    if not n_involved:
+    """Labels of all nodes that have a link, by the recursion over regions; None if no two nodes meet."""
+    if members.isEmpty():
         return None
-    sketches = (rows.where("sketch is not null").select("node", "n", "sketch").join(involved, "node")
+    met_nodes = members.select("node").distinct()
+    sketches = (rows.where("sketch is not null").select("node", "n", "sketch").join(met_nodes, "node")
                 .groupBy("node", "n").agg(F.first("sketch").alias("sketch")).checkpoint())
-    holders = rows.join(involved, "node").groupBy("node").agg(F.min(F.struct("doc_id")).alias("d")).select("d.doc_id").distinct()
-    if n_involved * 24 <= broadcast_bytes:
-        holders = F.broadcast(holders)
-    id_type = docs.schema["doc_id"].dataType
-    same_id = F.col("k").eqNullSafe(F.col("doc_id"))
-    some = docs.join(holders.select(F.col("doc_id").cast(id_type).alias("k")), same_id, "left_semi").select("text")
-    sets = (some.mapInArrow(lambda b: _set_rows(b, width, 0), "node long, shingles binary")
-            .join(involved, "node").groupBy("node").agg(F.first("shingles").alias("shingles")).checkpoint())
     r = (100 - share) / 100 + 1e-9
-    labels, links, pivots_each = None, None, 1
-    members = members.withColumn("open", F.lit(True)).withColumn("label", F.col("node"))
+    size = members.groupBy("region").agg(F.count("*").alias("m"))
+    members = members.join(size, "region").checkpoint()
+    leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n")
+    other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"))
+    direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
+    members = (members.where(F.col("m") > LEAF).select("region", "node", "n")
+               .withColumn("open", F.lit(True)).withColumn("label", F.col("node")))
+    links, pivots_each = None, 4
     while True:
-        stats = members.groupBy("region").agg(F.min("label").alias("l1"), F.max("label").alias("l2"),
-                                              F.sum(F.col("open").cast("long")).alias("n_open"),
-                                              F.min(F.when(F.col("open"), F.struct(F.xxhash64("node"), "node"))).alias("first"))
-        live = members.join(stats.where("l1 <> l2 and n_open > 0"), "region").drop("l1", "l2")
-        chance = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) / (1 << 30)
-        is_pivot = F.col("open") & ((F.col("node") == F.col("first.node")) | (chance * F.col("n_open") < pivots_each - 1))
-        live = live.select("region", "node", "n", "label", "open", is_pivot.alias("pivot")).checkpoint()
-        if live.isEmpty():
-            return labels
+        live = _draw_pivots(members, pivots_each)
         pivots = live.where("pivot").select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"))
-        met = live.join(pivots, "region").where("node <> p and label <> lp")
-        # A pair of pivots is met from both sides; sizes alone exclude pairs whose smaller set is too small.
-        close = F.least("n", "np") * 100 >= F.greatest("n", "np") * share
-        pairs = met.where(close).select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")).distinct()
-        side = lambda name, size, sketch: sketches.select(F.col("node").alias(name), F.col("n").alias(size), F.col("sketch").alias(sketch))
-        maybe = (pairs.join(side("x", "nx", "sx"), "x").join(side("p", "np", "sp"), "p")
-                 .select("x", "nx", "sx", "p", "np", "sp")
-                 .mapInArrow(lambda b: _may_link(b, share), "x long, nx long, p long, np long"))
-        found = (maybe.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("a")), "x")
-                 .join(sets.select(F.col("node").alias("p"), F.col("shingles").alias("b")), "p")
-                 .select("x", "p", "a", "b", "nx", "np"))
-        measured = (found.select("x", "p", "a", "b").mapInArrow(_distances, "x long, p long, common long")
-                    .join(sketches.select(F.col("node").alias("x"), F.col("n").alias("nx")), "x")
-                    .join(sketches.select(F.col("node").alias("p"), F.col("n").alias("np")), "p")
-                    .withColumn("all", F.col("nx") + F.col("np") - F.col("common"))
-                    .select("x", "p", (F.col("common") * 100 >= F.col("all") * share).alias("linked"),
-                            (1 - F.col("common") / F.col("all")).alias("d")).checkpoint())
+        # A pair of pivots is met from both sides.
+        pairs = (live.join(pivots, "region").where("node <> p and label <> lp").where(_sizes_allow(share))
+                 .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
+        if links is None:
+            pairs = pairs.unionByName(direct)
+        elif live.isEmpty():
+            return labels
+        measured = _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes)
         new = measured.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-        links = new if links is None else links.unionAll(new)
+        # Later levels only add to the components there are: their stars stand for the earlier links.
+        links = new if links is None else labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(new)
         labels = components(links)
         members = _next_regions(live, pivots, measured, labels, r)
         pivots_each *= 4
 
 
+def _sizes_allow(share: int):
+    return F.least("n", "np") * 100 >= F.greatest("n", "np") * share
+
+
+def _draw_pivots(members: DataFrame, each: int) -> DataFrame:
+    """Members of the regions that are not done, about ``each`` open ones of a region marked as pivots (all of
+    them if they are few, and one at least)."""
+    stats = members.groupBy("region").agg(F.min("label").alias("l1"), F.max("label").alias("l2"),
+                                          F.sum(F.col("open").cast("long")).alias("n_open"),
+                                          F.min(F.when(F.col("open"), F.struct(F.xxhash64("node"), "node"))).alias("first"))
+    live = members.join(stats.where("l1 <> l2 and n_open > 0"), "region")
+    chance = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) / (1 << 30)
+    drawn = (F.col("node") == F.col("first.node")) | (F.col("n_open") <= LEAF) | (chance * F.col("n_open") < each - 1)
+    return live.select("region", "node", "n", "label", "open", (F.col("open") & drawn).alias("pivot")).checkpoint()
+
+
+def _measure(docs, rows, sketches, pairs, width, share, broadcast_bytes) -> DataFrame:
+    """(x, p, linked, d) of the pairs whose coordinates do not exclude a link. Only the texts of these are read again."""
+    side = lambda name, size, sketch: sketches.select(F.col("node").alias(name), F.col("n").alias(size), F.col("sketch").alias(sketch))
+    maybe = (pairs.join(side("x", "nx", "sx"), "x").join(side("p", "np", "sp"), "p")
+             .select("x", "nx", "sx", "p", "np", "sp")
+             .mapInArrow(lambda b: _may_link(b, share), "x long, nx long, p long, np long").checkpoint())
+    wanted = maybe.select(F.col("x").alias("node")).union(maybe.select("p")).distinct().checkpoint()
+    small = wanted.count() * 24 <= broadcast_bytes
+    holders = rows.select("node", "doc_id").join(F.broadcast(wanted) if small else wanted, "node")
+    holders = holders.groupBy("node").agg(F.min(F.struct("doc_id")).alias("d")).select(F.col("d.doc_id").alias("k")).distinct()
+    some = docs.join(F.broadcast(holders) if small else holders, F.col("k").eqNullSafe(F.col("doc_id")), "left_semi").select("text")
+    sets = (some.mapInArrow(lambda b: _set_rows(b, width, 0), "node long, shingles binary").join(wanted, "node")
+            .groupBy("node").agg(F.first("shingles").alias("shingles")).checkpoint())
+    found = (maybe.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("a")), "x")
+             .join(sets.select(F.col("node").alias("p"), F.col("shingles").alias("b")), "p")
+             .select("x", "p", "a", "b", "nx", "np"))
+    return (found.mapInArrow(_distances, "x long, p long, common long, nx long, np long")
+            .withColumn("all", F.col("nx") + F.col("np") - F.col("common"))
+            .select("x", "p", (F.col("common") * 100 >= F.col("all") * share).alias("linked"),
+                    (1 - F.col("common") / F.col("all")).alias("d")).checkpoint())
+
+
 def _next_regions(live, pivots, measured, labels, r) -> DataFrame:
     """What one level leaves: open members outside every cell, and the cell members within reach of them."""
     both = measured.unionAll(measured.select(F.col("p").alias("x"), F.col("x").alias("p"), "linked", "d"))
