@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, chat, decontaminate, hmm, jaccard, langid, repeats, urls
+from lakeops.llm import ann, bpe, chat, decontaminate, hmm, jaccard, langid, pages, repeats, urls
 from lakeops.tables import table
 
 
@@ -41,6 +41,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (langid.fold() == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -81,6 +86,7 @@ QUERIES = {
     "op3_repeats": op3_repeats,
     "op4_hmm_score": op4_hmm_score,
     "op5_language_id": op5_language_id,
+    "op6_page_text": op6_page_text,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_chat_format": op9_chat_format,
