@@ -27,6 +27,7 @@ never cross rows; other columns pass through; empty tables give empty results. E
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -261,6 +262,17 @@ def _kept(texts: _Texts, removed: np.ndarray):
             [*part.schema.names, "n_bytes", "spans", "kept"])
 
 
+def kept_text(kept):
+    """The remaining bytes as text, without characters that were cut in part (a pandas UDF: SQL has no lenient decoder)."""
+    from pyspark.sql.functions import pandas_udf
+
+    return pandas_udf(_decode, "string")(kept)
+
+
+def _decode(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+
 def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM) -> DataFrame:
     """``df`` with n_bytes, spans (removed byte ranges as start, stop) and kept (the remaining bytes)."""
     if {"n_bytes", "spans", "kept"} & set(df.columns):
