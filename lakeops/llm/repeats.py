@@ -49,7 +49,9 @@ class _Texts:
         self.batch = bl.from_bytes(payload)
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in self.batch.column(text).to_pylist()]
         self.data, self.begin = tb.join_texts(raw, b"\0")
-        self.end = self.begin + np.array([len(t) for t in raw], np.int64)
+        sizes = np.array([len(t) for t in raw], np.int64)
+        self.end = self.begin + sizes
+        self.row = np.repeat(np.arange(len(raw), dtype=np.int32), sizes + 1)
         ids = self.batch.column(doc_id)
         self.ids = np.array([NO_ID if i is None else i for i in ids.to_pylist()], np.int64)
 
@@ -62,17 +64,15 @@ class _Texts:
             if len(part) < length:
                 return
             prefix = tb.prefix_hash(part)
-            n = len(part) - gram + 1
-            hashes = tb.span_hash(prefix, np.arange(n), np.arange(gram, n + gram)) >> np.uint64(64 - KEY_BITS)
-            keys = tb.sliding_min(hashes, width)
-            at = np.arange(lo, lo + len(keys))
-            row = np.searchsorted(self.begin, at, side="right") - 1
-            inside = at + length <= self.end[row]
+            keys = tb.sliding_min(tb.rolling_hash(prefix, gram), width)
+            row = self.row[lo:lo + len(keys)]
+            inside = np.arange(lo + length, lo + length + len(keys)) <= self.end[row]
             first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (row[1:] != row[:-1]) | (inside[1:] != inside[:-1])])
             stop = np.r_[first[1:], len(keys)]
             ok = inside[first]
             first, stop = first[ok], stop[ok]
-            yield first + lo, stop + lo, keys[first], row[first], prefix, lo
+            # Minima crowd at small values; scrambled, they fill the buckets evenly.
+            yield first + lo, stop + lo, tb.mix(keys[first]) >> np.uint64(64 - KEY_BITS), row[first], prefix, lo
 
 
 def _scatter_keys(batches, text, doc_id, length, gram, buckets):
@@ -241,8 +241,8 @@ def _cut(batches, text, doc_id, length, gram):
                     inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
                     gone = first[np.repeat(place[runs.which[part]], size) + inner] < np.repeat(runs.ids[part], size)
                     at = (np.repeat(runs.first[part], size) + inner)[gone]
-                    np.add.at(cover, at, 1)
-                    np.add.at(cover, at + length, -1)
+                    cover[at] += 1  # a position is the start of one suffix, so indices do not repeat
+                    cover[at + length] -= 1
             removed = np.cumsum(cover)[:-1] > 0
             yield from _kept(texts, removed)
 

@@ -20,7 +20,7 @@ NOT_SPACE[[32, 9, 10, 11, 12, 13]] = False
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
-    x = x.astype(np.uint64, copy=True)
+    x = x.astype(np.uint64, copy=True)  # changed in place below
     x ^= x >> np.uint64(30)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
@@ -58,6 +58,13 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * down[starts])
 
 
+def rolling_hash(prefix: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of all strings of ``size`` bytes; equal to ``span_hash`` of each."""
+    n = len(prefix) - size
+    _, down = _powers(len(prefix))
+    return mix((prefix[size:] - prefix[:n]) * down[:n])
+
+
 def join_texts(texts: list[bytes], separator: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:
     """All texts in one buffer, each followed by ``separator``, and where each starts."""
     data = np.frombuffer(separator.join([*texts, b""]), np.uint8)
