@@ -15,7 +15,7 @@ is, when d is at most r. The join is a recursion over regions:
   these boundary members are replicated into the next level's region. Regions whose members are all in one
   component already, or which have no open member, are done. The number of pivots grows fourfold, so the
   recursion ends after a logarithmic number of levels with every pair either measured or excluded by a proof.
-* Before sets are compared, a second family of pivots gives a lower bound: the shingle universe is cut in 64
+* Before sets are compared, a second family of pivots gives a lower bound: the shingle universe is cut in
   parts, and the counts of a set's shingles in each part are its coordinates. The sum of their absolute
   differences bounds the symmetric difference from below, so most unrelated pairs never fetch their sets.
 
@@ -39,7 +39,7 @@ from lakeops.llm.graph import components
 from lakeops.session import ensure_checkpoint_dir
 
 PIECE_BYTES = 2 << 20
-PARTS = 64
+MIN_PARTS, PER_PART = 64, 8
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
 
@@ -127,7 +127,7 @@ def _node_rows(batches, width: int, share: int, shared):
                 if order.any():
                     s = s[np.lexsort((s, order))]
                 prefixes.append(s[:length].view(np.int64))
-                sketches.append(np.bincount((s & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype(np.uint8).tobytes())
+                sketches.append(_coordinates(s).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
@@ -142,18 +142,28 @@ def _set_rows(batches, width: int, column: int):
                                               pa.array([s.tobytes() for s in found], pa.binary())], ["node", "shingles"])
 
 
+def _coordinates(s: np.ndarray) -> np.ndarray:
+    """Counts, modulo 256, of a set's shingles in equal parts of the universe: about ``PER_PART`` a part."""
+    parts = max(MIN_PARTS, 1 << (max(1, len(s) // PER_PART) - 1).bit_length())
+    return np.bincount((s & np.uint64(parts - 1)).astype(np.int64), minlength=parts).astype(np.uint8)
+
+
 def _may_link(batches, share: int):
     """Drops pairs whose coordinates alone prove a larger distance; (x, nx, sx, p, np, sp) -> (x, nx, p, np)."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        nx, np_ = batch.column(1).to_numpy(), batch.column(4).to_numpy()
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int16) for i in (2, 5))
-        gap = np.abs(a - b)
-        apart = np.minimum(gap, 256 - gap).sum(axis=1, dtype=np.int64)  # counts are kept modulo 256
+        sizes = batch.column(1).to_numpy() + batch.column(4).to_numpy()
+        a, b = batch.column(2).to_pylist(), batch.column(5).to_pylist()
+        apart = np.empty(len(a), np.int64)
+        widths = np.array([(len(x), len(y)) for x, y in zip(a, b)], np.int64).reshape(-1, 2)
+        for wa, wb in np.unique(widths, axis=0).tolist():
+            rows = np.flatnonzero((widths[:, 0] == wa) & (widths[:, 1] == wb))
+            m = min(wa, wb)  # the finer division is folded onto the coarser
+            fold = lambda side, w: np.frombuffer(b"".join(side[i] for i in rows), np.uint8).reshape(len(rows), w // m, m).sum(axis=1, dtype=np.uint8).astype(np.int16)
+            gap = np.abs(fold(a, wa) - fold(b, wb))
+            apart[rows] = np.minimum(gap, 256 - gap).sum(axis=1, dtype=np.int64)
         # similarity >= share / 100 means symmetric difference <= (nx + np) * (100 - share) / (100 + share)
-        keep = apart * (100 + share) <= (nx + np_) * (100 - share)
-        yield batch.filter(pa.array(keep)).select([0, 1, 3, 4])
+        keep = apart * (100 + share) <= sizes * (100 - share)
+        yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1, 3, 4])
 
 
 def _distances(batches):
@@ -208,14 +218,15 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
 
 
 def _first_regions(rows: DataFrame) -> DataFrame:
-    """(region, node, n) of every landmark that at least two nodes have, regions of equal members once."""
-    postings = rows.where("landmarks is not null").select(F.explode("landmarks").alias("region"), "node", "n")
+    """(region, node) of every landmark that at least two nodes have, regions of equal members once."""
+    postings = rows.where("landmarks is not null").select(F.explode("landmarks").alias("region"), "node")
+    shared = (postings.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+              .where("low <> high").select("region"))
+    members = postings.join(shared, "region").distinct().checkpoint()
     of = lambda seed: F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(seed)), 32))
-    shared = (postings.groupBy("region")
-              .agg(F.count("*").alias("m"), F.min("node").alias("low"), F.max("node").alias("high"), of(1).alias("s1"), of(2).alias("s2"))
-              .where("low <> high"))
-    once = shared.groupBy("m", "low", "high", "s1", "s2").agg(F.min("region").alias("region")).select("region")
-    return postings.join(once, "region").distinct()
+    once = (members.groupBy("region").agg(F.count("*").alias("m"), F.min("node").alias("low"), of(1).alias("s1"), of(2).alias("s2"))
+            .groupBy("m", "low", "s1", "s2").agg(F.min("region").alias("region")).select("region"))
+    return members.join(once, "region")
 
 
 def _join_regions(docs, rows, members, width, share, broadcast_bytes) -> DataFrame | None:
@@ -227,7 +238,7 @@ def _join_regions(docs, rows, members, width, share, broadcast_bytes) -> DataFra
                 .groupBy("node", "n").agg(F.first("sketch").alias("sketch")).checkpoint())
     r = (100 - share) / 100 + 1e-9
     size = members.groupBy("region").agg(F.count("*").alias("m"))
-    members = members.join(size, "region").checkpoint()
+    members = members.join(size, "region").join(sketches.select("node", "n"), "node").checkpoint()
     leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n")
     other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"))
     direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
