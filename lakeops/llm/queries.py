@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, chat, decontaminate, hmm, jaccard, langid, pages, repeats, urls
+from lakeops.llm import ann, bpe, chat, decontaminate, hmm, jaccard, langid, pages, repeats, sql, urls
 from lakeops.tables import table
 
 
@@ -93,4 +93,11 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+#: The others have no SQL: learned or searched results, byte-pair merges and markup are tested in tests/llm.
+ORACLES: dict[str, str] = {
+    "op1_decontaminate": sql.DECONTAMINATE,
+    "op3_repeats": sql.REPEATS,
+    "op8_jaccard_join": sql.JACCARD,
+    "op9_chat_format": sql.CHAT,
+    "op10_url_filter": sql.url_filter(RULES),
+}
