@@ -92,6 +92,8 @@ def walk(page: str):
                 yield path, dropped, block, None
         elif name in BLOCKS:
             block += 1
+        elif name == "br":
+            yield path, dropped, block, " "
     if at < len(page):
         yield path, dropped, block, page[at:]
 
