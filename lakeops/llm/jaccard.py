@@ -8,13 +8,14 @@ is, when d is at most r. The join is a recursion over regions:
   Shingles that are frequent in the corpus come last in the order, so that region sizes stay small (the
   order decides about speed only, never about results). Regions of equal membership are taken once.
 * Regions of at most ``LEAF`` members are compared directly.
-* One level. Every larger region draws pivots among its open members; all members' distances to the pivots are
-  found (each distinct pair once). A member within r of a pivot is linked to it and lies in its cell.
-  Members of no cell stay open. A cell member can still link to an open one, but by the triangle
-  inequality only if its distance to the pivot is at least (smallest open distance to that pivot) - r: only
-  these boundary members are replicated into the next level's region. Regions whose members are all in one
-  component already, or which have no open member, are done. The number of pivots grows fourfold, so the
-  recursion ends after a logarithmic number of levels with every pair either measured or excluded by a proof.
+* One level. Every larger region draws pivots among its open members (at first all are); all members' distances
+  to the pivots are found, each distinct pair once. Members within r of a pivot lie in its cell and are linked.
+  Members known to be connected need not be compared: the largest connected group of a region is closed, the
+  others stay open. A closed member can still link to an open one, but by the triangle inequality only if its
+  distance to its pivot is at least (smallest open distance to that pivot) - r: only these boundary members are
+  replicated into the next level's region. A region is done when all its members are connected. The number of
+  pivots grows by a factor, so the recursion ends after a logarithmic number of levels with every pair measured,
+  connected, or excluded by a proof.
 * Before sets are compared, a second family of pivots gives a lower bound: the shingle universe is cut in
   parts, and the counts of a set's shingles in each part are its coordinates. The sum of their absolute
   differences bounds the symmetric difference from below, so most unrelated pairs never fetch their sets.
@@ -42,6 +43,8 @@ PIECE_BYTES = 2 << 20
 MIN_PARTS, PER_PART = 64, 8
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
+#: Pivots a region draws at the first level; every further level draws that many times more.
+PIVOTS = 8
 
 
 def shingle_sets(texts: list[str | None], width: int):
@@ -244,24 +247,34 @@ def _join_regions(docs, rows, members, width, share, broadcast_bytes) -> DataFra
     direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
     members = (members.where(F.col("m") > LEAF).select("region", "node", "n")
                .withColumn("open", F.lit(True)).withColumn("label", F.col("node")))
-    links, pivots_each = None, 4
+    links, labels, pivots_each = None, None, PIVOTS
     while True:
         live = _draw_pivots(members, pivots_each)
+        if links is not None and live.isEmpty():
+            return components(links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
         pivots = live.where("pivot").select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"))
         # A pair of pivots is met from both sides.
         pairs = (live.join(pivots, "region").where("node <> p and label <> lp").where(_sizes_allow(share))
                  .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
         if links is None:
             pairs = pairs.unionByName(direct)
-        elif live.isEmpty():
-            return labels
         measured = _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes)
         new = measured.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-        # Later levels only add to the components there are: their stars stand for the earlier links.
-        links = new if links is None else labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionAll(new)
-        labels = components(links)
+        links = new if links is None else links.unionAll(new)
+        labels = _near_labels(links).checkpoint()
         members = _next_regions(live, pivots, measured, labels, r)
-        pivots_each *= 4
+        pivots_each *= PIVOTS
+
+
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(node, label): a smaller node of the same component, near the smallest one: the smallest neighbour, followed
+    twice. Equal labels prove a connection; only the result needs the whole components."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
+    for _ in range(2):
+        further = labels.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        labels = labels.join(further, "label").select("node", F.least("label", "to").alias("label"))
+    return labels
 
 
 def _sizes_allow(share: int):
@@ -303,25 +316,21 @@ def _measure(docs, rows, sketches, pairs, width, share, broadcast_bytes) -> Data
 
 
 def _next_regions(live, pivots, measured, labels, r) -> DataFrame:
-    """What one level leaves: open members outside every cell, and the cell members within reach of them."""
+    """What one level leaves of the regions in which not all members are known to be connected. A region's largest
+    group of connected members is closed: its members meet the others, not each other, and only those that the
+    triangle inequality leaves within reach of an open member stay."""
+    rest = (live.where("not pivot").select("region", "node", "n").join(labels, "node", "left")
+            .withColumn("label", F.coalesce("label", "node")))
+    sizes = rest.groupBy("region", "label").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("region").agg(F.max(F.struct("m", "label")).alias("largest"), F.count("*").alias("groups"))
+    rest = (rest.join(main.where("groups > 1"), "region")
+            .select("region", "node", "n", "label", (F.col("label") != F.col("largest.label")).alias("open")).checkpoint())
     both = measured.unionAll(measured.select(F.col("p").alias("x"), F.col("x").alias("p"), "linked", "d"))
-    seen = (live.select("region", "node", "n", "open", "pivot", "label")
-            .join(pivots.select("region", "p", "np", "lp"), "region").where("node <> p")
+    seen = (rest.join(pivots.select("region", "p", "np"), "region")
             .join(both.withColumnRenamed("x", "node"), ["node", "p"], "left")
-            # Unmeasured: the sizes give a lower bound; a member already in the pivot's component counts as its own.
-            .withColumn("linked", F.coalesce("linked", F.lit(False)))
-            .withColumn("inside", F.col("linked") | (F.col("label") == F.col("lp")))
+            # Where a distance was not measured, the sizes bound it from below.
             .withColumn("least", F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np"))))
-    cell = (seen.groupBy("region", "node").agg(F.bool_or("inside").alias("inside")))
-    state = (live.join(cell, ["region", "node"], "left").where("not pivot")
-             .withColumn("open", F.col("open") & ~F.coalesce("inside", F.lit(False))).select("region", "node", "n", "open"))
-    still = seen.join(state.where("open").select("region", "node"), ["region", "node"], "left_semi")
-    reach = still.groupBy("region", "p").agg((F.min("least") - r).alias("reach"))
-    # A linked member stays only if no pivot proves that it is out of reach of every open member.
-    out = (seen.where("linked").join(reach, ["region", "p"], "left").where("d < reach or reach is null")
-           .select("region", "node").distinct())
-    kept = state.where("open").unionAll(
-        state.where("not open").join(out, ["region", "node"], "left_anti"))
-    with_open = state.where("open").select("region").distinct()
-    return (kept.join(with_open, "region", "left_semi").join(labels, "node", "left")
-            .select("region", "node", "n", "open", F.coalesce("label", "node").alias("label")))
+    reach = seen.where("open").groupBy("region", "p").agg((F.min("least") - r).alias("reach"))
+    out = seen.where("linked and not open").join(reach, ["region", "p"]).where("d < reach").select("region", "node").distinct()
+    return rest.where("open").unionAll(rest.where("not open").join(out, ["region", "node"], "left_anti")
+                                       .select("region", "node", "n", "label", "open"))

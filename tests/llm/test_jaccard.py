@@ -51,13 +51,23 @@ def near_copies(seed, groups=5, size=45):
     return rows
 
 
-@pytest.mark.parametrize("leaf,limit", [(2, 8 << 20), (6, 0), (32, 8 << 20)])
-def test_levels_equal_brute_force(spark, monkeypatch, leaf, limit):
+@pytest.mark.parametrize("leaf,pivots,limit", [(2, 2, 8 << 20), (6, 3, 0), (32, 8, 8 << 20)])
+def test_levels_equal_brute_force(spark, monkeypatch, leaf, pivots, limit):
     monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "PIVOTS", pivots)
     rows = near_copies(leaf)
     assert run(spark.createDataFrame(rows, "doc_id long, text string"), 2, 85, broadcast_bytes=limit) == brute(rows, 2, 85)
 
 
+def test_two_balls_that_touch(spark, monkeypatch):
+    """Members of different cells link although their pivots do not: a chain of small steps."""
+    monkeypatch.setattr(jaccard, "LEAF", 2)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    rows = [(i, " ".join([f"c{j}" for j in range(60)] + [f"w{j}" for j in range(i, i + 40)])) for i in range(0, 36, 2)]
+    rows += [(100 + i, " ".join([f"c{j}" for j in range(60)] + [f"v{j}" for j in range(3 * i, 3 * i + 40)])) for i in range(10)]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85) == brute(rows, 1, 85)
+
+
 def test_defined_cases(hostile, no_docs):
     rows = [(r.doc_id, r.text) for r in hostile.select("doc_id", "text").collect()]
     assert run(hostile, 4, 85) == brute(rows, 4, 85)
