@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from lakeops.llm.textbytes import groups
 from lakeops.session import ensure_checkpoint_dir
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
 
 
@@ -67,7 +68,7 @@ def _packed(batches, size_column: int):
         return out
 
     for batch in batches:
-        sizes = [len(t) if t is not None else 0 for t in batch.column(size_column).to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(size_column)), 0).to_pylist()
         for lo, hi in groups(sizes, BLOCK_BYTES // 4):
             held.append(batch.slice(lo, hi - lo))
             size += sum(sizes[lo:hi])
@@ -92,5 +93,5 @@ def replies(blocks: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def bucket_count(blocks: DataFrame) -> int:
-    """Buckets for what blocks scatter: two per block keep a bucket as small as a block's share."""
-    return max(1, 2 * blocks.count())
+    """Buckets for what blocks scatter: so many that a bucket gathers about what two blocks send."""
+    return -(-blocks.count() // 2) or 1

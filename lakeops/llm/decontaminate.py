@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from lakeops.llm import textbytes as tb
 from lakeops.session import ensure_checkpoint_dir
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 FILTER_BITS = 27
 
 
@@ -64,9 +64,9 @@ _HIT = pa.struct([("start", pa.int32()), ("span", pa.int32()), ("print", pa.int6
 def _item_rows(batches, span: int):
     for batch in batches:
         out = {"item_id": [], "span": [], "print": [], "window": []}
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lo, hi in tb.groups([len(t or "") for t in texts], PIECE_BYTES):
-            data, starts, ends, codes, counts = _words(texts[lo:hi])
+        ids = batch.column(0).to_pylist()
+        for lo, hi, texts in tb.text_groups(batch, 1, PIECE_BYTES):
+            data, starts, ends, codes, counts = _words(texts)
             first = 0
             for item, n in zip(ids[lo:hi], counts.tolist()):
                 if n:
@@ -110,9 +110,9 @@ def _filter(prints: DataFrame) -> tuple[int, np.ndarray]:
 def _doc_rows(batches, spans: list[int], shared):
     shift, bitmap = shared.value
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for lo, hi in tb.groups([len(t or "") for t in texts], PIECE_BYTES):
-            data, starts, ends, codes, counts = _words(texts[lo:hi])
+        ids = batch.column(0)
+        for lo, hi, texts in tb.text_groups(batch, 1, PIECE_BYTES):
+            data, starts, ends, codes, counts = _words(texts)
             firsts = np.r_[0, np.cumsum(counts)]
             last = np.repeat(firsts[1:], counts)  # end, in words, of the text each word is in
             found: list[list[dict]] = [[] for _ in range(hi - lo)]

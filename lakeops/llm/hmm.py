@@ -33,7 +33,7 @@ STRETCH = 512
 CHUNKS = 16
 END = np.uint64(0x5BD1E9955BD1E995)
 BANDS = 48  # powers of two of counts; band 0 are unknown words
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def _tokens(texts: list[str | None]):
@@ -49,8 +49,7 @@ def _tokens(texts: list[str | None]):
 
 def _block_tokens(payload: bytes):
     batch = bl.from_bytes(payload)
-    texts = batch.column("text").to_pylist()
-    parts = [_tokens(texts[lo:hi]) for lo, hi in tb.groups([len(t or "") for t in texts], PIECE_BYTES)]
+    parts = [_tokens(texts) for _, _, texts in tb.text_groups(batch, batch.schema.get_field_index("text"), PIECE_BYTES)]
     return batch, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 

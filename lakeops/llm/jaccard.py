@@ -39,7 +39,7 @@ from lakeops.llm import textbytes as tb
 from lakeops.llm.graph import components
 from lakeops.session import ensure_checkpoint_dir
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 MIN_PARTS, PER_PART = 64, 8
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
@@ -69,12 +69,6 @@ def shingle_sets(texts: list[str | None], width: int):
     return out
 
 
-def _text_groups(batch, column: int):
-    texts = batch.column(column).to_pylist()
-    for lo, hi in tb.groups([len(t or "") for t in texts], PIECE_BYTES):
-        yield lo, hi, texts[lo:hi]
-
-
 def _local_counts(batches, width: int, column: int):
     """Shingles found in at least 3 documents, and in 1 of 2500, of one task's documents."""
     keys, counts, docs, held = [], [], 0, 0
@@ -84,7 +78,7 @@ def _local_counts(batches, width: int, column: int):
         n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
         return k, n
     for batch in batches:
-        for lo, hi, texts in _text_groups(batch, column):
+        for lo, hi, texts in tb.text_groups(batch, column, PIECE_BYTES):
             docs += hi - lo
             found = shingle_sets(texts, width)
             k, n = np.unique(np.concatenate(found), return_counts=True)
@@ -110,7 +104,7 @@ def _node_rows(batches, width: int, share: int, shared):
     hot, rank = shared.value
     seen: set[int] = set()
     for batch in batches:
-        for lo, hi, texts in _text_groups(batch, 1):
+        for lo, hi, texts in tb.text_groups(batch, 1, PIECE_BYTES):
             nodes, sizes, prefixes, sketches = [], [], [], []
             for s in shingle_sets(texts, width):
                 n = len(s)
@@ -139,7 +133,7 @@ def _node_rows(batches, width: int, share: int, shared):
 
 def _set_rows(batches, width: int, column: int):
     for batch in batches:
-        for _, _, texts in _text_groups(batch, column):
+        for _, _, texts in tb.text_groups(batch, column, PIECE_BYTES):
             found = [s for s in shingle_sets(texts, width) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in found], pa.int64()),
                                               pa.array([s.tobytes() for s in found], pa.binary())], ["node", "shingles"])

@@ -37,7 +37,7 @@ from lakeops.llm import textbytes as tb
 
 GRAM = 20
 PIECE = 1 << 20
-SORT_AT_ONCE = 400_000
+SORT_AT_ONCE = 200_000
 KEY_BITS = 48
 NO_ID = np.iinfo(np.int64).max
 
@@ -50,8 +50,9 @@ class _Texts:
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in self.batch.column(text).to_pylist()]
         self.data, self.begin = tb.join_texts(raw, b"\0")
         sizes = np.array([len(t) for t in raw], np.int64)
+        del raw
         self.end = self.begin + sizes
-        self.row = np.repeat(np.arange(len(raw), dtype=np.int32), sizes + 1)
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
         ids = self.batch.column(doc_id)
         self.ids = np.array([NO_ID if i is None else i for i in ids.to_pylist()], np.int64)
 
@@ -225,7 +226,7 @@ def _cut(batches, text, doc_id, length, gram):
     for batch in batches:
         for payload, keys, firsts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
             texts = _Texts(payload, text, doc_id)
-            cover = np.zeros(len(texts.data) + 1, np.int32)
+            cover = np.zeros(len(texts.data) + 1, np.int8)  # changes of the number of strings that cover a byte
             if firsts:
                 runs = _SharedRuns(texts, keys, length, gram)
                 told = [bl.columns_from_bytes(p) for p in firsts]
@@ -243,7 +244,7 @@ def _cut(batches, text, doc_id, length, gram):
                     at = (np.repeat(runs.first[part], size) + inner)[gone]
                     cover[at] += 1  # a position is the start of one suffix, so indices do not repeat
                     cover[at + length] -= 1
-            removed = np.cumsum(cover)[:-1] > 0
+            removed = np.cumsum(cover, dtype=np.int32)[:-1] > 0
             yield from _kept(texts, removed)
 
 

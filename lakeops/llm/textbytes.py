@@ -120,3 +120,13 @@ def gram_hash(codes: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out += codes[j:j + n] * _FACTORS[j]
     return mix(out)
+
+
+def text_groups(batch, column: int, limit: int):
+    """(first row, last row + 1, texts) of one batch, in groups of about ``limit`` bytes of text; only a group at a
+    time becomes Python strings."""
+    import pyarrow.compute as pc
+
+    texts = batch.column(column)
+    for lo, hi in groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), limit):
+        yield lo, hi, texts.slice(lo, hi - lo).to_pylist()
