@@ -19,18 +19,13 @@ from lakeops.functions.vectors import vector_parser
 from lakeops.operators.hierarchy import expand_hierarchy
 from lakeops.operators.ordering import page_count, page_slice
 from lakeops.operators.runs import latest_run
-from lakeops.operators.totals import check_positive_int, column_sum, hit_ratio, number_range
 from lakeops.operators.vector_job import run_totals, vector_results, vector_totals
-from lakeops.plans.derive import HIT_X_STEP, HIT_Y_STEP
-from lakeops.session import get_session
+from lakeops.session import cluster_settings, get_session, is_local
 from lakeops.sources import files, jdbc, lake
 
-DEFAULT_DRAWS = 10_000_000
-DEFAULT_RANGE = 1_000_000
-
 
 def _replace_long(spark: SparkSession, a: argparse.Namespace) -> None:
-    files.replace_long_entries(spark, a.input, a.output, a.column, a.max_length)
+    files.replace_long_entries(spark, a.input, a.output, a.column, a.max_length, a.multiline, a.escaped_breaks)
 
 
 def _shift_decode(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -38,18 +33,6 @@ def _shift_decode(spark: SparkSession, a: argparse.Namespace) -> None:
     lines.select(shift_decode("value", a.shift).alias("value")).write.mode("overwrite").text(a.output)
 
 
-def _hit_ratio(spark: SparkSession, a: argparse.Namespace) -> None:
-    draws = check_positive_int("draws", a.draws)
-    ids = spark.range(0, draws, 1, a.partitions).select(F.col("id").cast("double").alias("k"))
-    x, y = F.col("k") * F.lit(HIT_X_STEP), F.col("k") * F.lit(HIT_Y_STEP)
-    points = ids.select((x - F.floor(x)).alias("x"), (y - F.floor(y)).alias("y"))
-    hit_ratio(points).show(truncate=False)
-
-
-def _range_sum(spark: SparkSession, a: argparse.Namespace) -> None:
-    column_sum(number_range(spark, check_positive_int("n", a.n)), "number").show(truncate=False)
-
-
 def _run_summary(spark: SparkSession, a: argparse.Namespace) -> None:
     runs = spark.read.parquet(a.runs).withColumn("seq", F.monotonically_increasing_id())
     jobs = latest_run(runs, "job_name", a.date_column, "status", "seq")
@@ -83,6 +66,10 @@ def _hierarchy(spark: SparkSession, a: argparse.Namespace) -> None:
     edges = jobs.select(F.col("box").alias("parent"), F.col("name").alias("child"),
                         (F.upper("type") == F.lit("BOX")).alias("is_box"))
     found = expand_hierarchy(edges, a.root, expandable="is_box")
+    # Only lists of boxes that were expanded count: the root, and what was found as a box.
+    root = spark.range(1).select(F.lit(a.root).alias("box"))
+    boxes = edges.where("is_box").select(F.col("child").alias("box")).join(found.select(F.col("node").alias("box")), "box", "left_semi")
+    jobs = jobs.join(boxes.unionByName(root).distinct(), "box", "left_semi")
     fields = [f.name for f in files.JOB_FIELDS.fields]
     records = jobs.join(found, jobs["name"] == found["node"]).groupBy(*fields).agg(F.min("depth").alias("depth"))
     records.write.mode("overwrite").parquet(a.output)
@@ -114,6 +101,8 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("output")
     s.add_argument("column")
     s.add_argument("--max-length", type=int, default=100)
+    s.add_argument("--multiline", action="store_true", help="cells hold line breaks (a file is one task)")
+    s.add_argument("--escaped-breaks", action="store_true", help="line breaks in cells are escaped")
     s.set_defaults(run=_replace_long)
 
     s = sub.add_parser("shift-decode", help="decode shift-ciphered text files")
@@ -122,15 +111,6 @@ def build_parser() -> argparse.ArgumentParser:
     s.add_argument("--shift", type=int, default=3)
     s.set_defaults(run=_shift_decode)
 
-    s = sub.add_parser("hit-ratio", help="estimate pi from quasi-random points")
-    s.add_argument("--draws", type=int, default=DEFAULT_DRAWS)
-    s.add_argument("--partitions", type=int, default=None)
-    s.set_defaults(run=_hit_ratio)
-
-    s = sub.add_parser("range-sum", help="sum of 0 .. n-1")
-    s.add_argument("--n", type=int, default=DEFAULT_RANGE)
-    s.set_defaults(run=_range_sum)
-
     s = sub.add_parser("run-summary", help="latest run per job, searched and paged")
     s.add_argument("runs", help="parquet with job_name, status and a date column")
     s.add_argument("--date-column", default="date")
@@ -186,9 +166,16 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
+def _session() -> SparkSession:
+    """A session with the cluster's settings, unless Spark runs in this process."""
+    from pyspark import SparkConf
+
+    return get_session(**({} if is_local(SparkConf().get("spark.master", "local[*]")) else cluster_settings()))
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = build_parser().parse_args(argv)
-    session = spark or get_session()
+    session = spark or _session()
     args.run(session, args)
 
 

@@ -28,7 +28,7 @@ CELL_SEP = "|"
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends (like Python's ``str.strip``)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 def pipe_cells(line: Column, trim: bool = True) -> Column:
@@ -109,20 +109,11 @@ def parse_two_part_text(df: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def joined_lines(df: DataFrame, group: str, line: Column, chunk_lines: int = 1000, name: str = "text") -> DataFrame:
-    """The lines of each group, sorted and joined by newlines, in chunks of at most ``chunk_lines`` lines
-    (chunk 0, 1, ...): a group of any size becomes bounded texts, and a group within the chunk size is
-    one text.
-
-    Group sizes come first (a partial aggregate, which AQE broadcasts back to the lines when small).
-    Groups within the chunk size are joined directly; only larger groups are numbered with the
-    skew-safe row number and cut into chunks."""
+    """The lines of each group, sorted and joined by newlines, as texts of ``chunk_lines`` lines (the last of a
+    group may be shorter), numbered 0, 1, ...: (group, chunk, text). A group of any size becomes bounded
+    texts; one that fits is one text. Lines are numbered once (skew-safe), then joined per chunk."""
     lines = df.select(F.col(group).alias("_g"), line.alias("_line"))
-    sizes = lines.groupBy(F.col("_g").alias("_sg")).agg(F.count(F.lit(1)).alias("_size"))
-    sized = lines.join(sizes, F.col("_g").eqNullSafe(F.col("_sg"))).drop("_sg")
-    small = (sized.where(F.col("_size") <= chunk_lines).groupBy("_g")
-             .agg(F.lit(0).cast("long").alias("chunk"),
-                  F.array_join(F.array_sort(F.collect_list("_line")), "\n").alias(name)))
-    big = with_group_row_number(sized.where(F.col("_size") > chunk_lines).drop("_size"), ["_g"], ["_line"], "_rank")
-    big = (big.withColumn("chunk", F.floor((F.col("_rank") - 1) / F.lit(chunk_lines)).cast("long"))
-           .groupBy("_g", "chunk").agg(F.array_join(F.array_sort(F.collect_list("_line")), "\n").alias(name)))
-    return small.unionByName(big).withColumnRenamed("_g", group)
+    numbered = with_group_row_number(lines, ["_g"], ["_line"], "_rank")
+    return (numbered.withColumn("chunk", F.floor((F.col("_rank") - 1) / F.lit(chunk_lines)).cast("long"))
+            .groupBy("_g", "chunk").agg(F.array_join(F.array_sort(F.collect_list("_line")), "\n").alias(name))
+            .withColumnRenamed("_g", group))

@@ -52,10 +52,12 @@ def base64_decode(column: str | Column) -> Column:
 
 
 def round_money(column: str | Column, digits: int = 2) -> Column:
-    """Null-safe rounding of a money value read as text: the text becomes a decimal (no binary error),
-    is rounded half-even, and returns as double. Text that is no number gives null."""
+    """Null-safe rounding of a money value read as text: the text becomes a decimal of 18 places (no binary
+    error), is rounded half-even once, and returns as double. A number beyond that decimal's range is
+    rounded as double; text that is no number gives null."""
     as_text = _c(column).cast("string")
-    return F.bround(as_text.try_cast("decimal(20,6)"), digits).cast("double")
+    exact = F.bround(as_text.try_cast("decimal(38,18)"), digits).cast("double")
+    return F.coalesce(exact, F.bround(as_text.try_cast("double"), digits))
 
 
 def pad_cell(column: str | Column, width: int) -> Column:
@@ -65,8 +67,9 @@ def pad_cell(column: str | Column, width: int) -> Column:
 
 
 def report_line(cells: list[Column], widths: list[int | None], sep: str = " | ") -> Column:
-    """Fixed-width report line: each cell padded to its width (None: as is), joined by ``sep``."""
-    parts = [pad_cell(c, w) if w else c for c, w in zip(cells, widths)]
+    """Fixed-width report line: each cell padded to its width (None: as is), joined by ``sep``; a null cell is empty."""
+    filled = [F.coalesce(c, F.lit("")) for c in cells]
+    parts = [pad_cell(c, w) if w else c for c, w in zip(filled, widths)]
     return F.concat_ws(sep, *parts)
 
 

@@ -8,7 +8,6 @@ the one input without a built-in reader, and are read by an Arrow-batched pandas
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -17,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OK = "OK"
+# What counts as a number in vector text.
+NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 
 
 def _c(c: str | Column) -> Column:
@@ -31,7 +32,8 @@ def parse_vector_text(column: str | Column, n: int, sep: str = ",") -> Column:
     """Comma text to ``array<float>``. A null text, or any element that is not a number, gives a zero
     vector of length ``n`` (the length check comes after, see :func:`length_status`)."""
     text = _c(column)
-    parsed = F.transform(F.split(text, sep, -1), lambda x: x.try_cast("float"))
+    number = lambda x: F.when(x.rlike(NUMBER), x.try_cast("float"))  # noqa: E731  the cast alone also takes "1.0f"
+    parsed = F.transform(F.split(text, sep, -1), number)
     bad = F.exists(parsed, lambda x: x.isNull())
     return F.when(text.isNull(), zero_vector(n)).when(bad, zero_vector(n)).otherwise(parsed)
 
@@ -44,9 +46,9 @@ def length_status(column: str | Column, n: int, label: Column | None = None) ->
     """``OK`` when the vector has ``n`` elements, else an error text for that row."""
     v = _c(column)
     what = label if label is not None else F.lit("vector")
-    return F.when(F.size(v) == F.lit(n), F.lit(OK)).otherwise(
-        F.concat(F.lit("Error: "), what, F.lit(f" does not have {n} elements (got "), F.size(v).cast("string"),
-                 F.lit(")")))
+    size = F.coalesce(F.size(v), F.lit(0))
+    return F.when(v.isNotNull() & (size == F.lit(n)), F.lit(OK)).otherwise(
+        F.concat(F.lit(f"Error: expected {n} values in "), what, F.lit(", found "), size.cast("string")))
 
 
 def to_double(column: str | Column) -> Column:
@@ -78,19 +80,16 @@ def split_vector(column: str | Column, parts: int, size: int) -> list[Column]:
     return [F.slice(v, 1 + i * size, size) for i in range(parts)]
 
 
-def all_ok(statuses: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, [s == F.lit(OK) for s in statuses])
-
-
 def vector_parser(kind: str, n: int | None = None):
-    """The replaceable payload parser: ``"text"`` (comma text, needs ``n`` for the zero vector) or
-    ``"float32"`` (raw little-endian bytes). Pickled payloads are refused: loading one runs code."""
+    """The replaceable payload parser: ``"text"`` (comma text) or ``"float32"`` (raw little-endian
+    bytes). A null or unreadable payload becomes a zero vector of length ``n``. Pickled payloads are refused:
+    loading one runs code."""
+    if kind in ("text", "float32") and n is None:
+        raise ValueError("a parser needs the vector length n")
     if kind == "text":
-        if n is None:
-            raise ValueError("the text parser needs the vector length n")
         return lambda c: parse_vector_text(c, n)
     if kind == "float32":
-        return lambda c: float32_from_bytes(_c(c))
+        return lambda c: F.coalesce(float32_from_bytes(_c(c)), zero_vector(n))
     if kind == "pickle":
         raise ValueError("pickled payloads are refused: loading one runs code")
     raise ValueError(f"unknown vector format {kind!r}")
@@ -98,8 +97,9 @@ def vector_parser(kind: str, n: int | None = None):
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def float32_from_bytes(blobs: pd.Series) -> pd.Series:
-    """Raw little-endian float32 bytes to a vector (Arrow batches, one numpy view per value)."""
-    return blobs.map(lambda b: None if b is None else np.frombuffer(bytes(b), dtype="<f4").copy())
+    """Raw little-endian float32 bytes to a vector (Arrow batches, one numpy view per value); null for null bytes
+    or a length that is no multiple of 4."""
+    return blobs.map(lambda b: None if b is None or len(b) % 4 else np.frombuffer(bytes(b), dtype="<f4").copy())
 
 
 @F.pandas_udf(T.BinaryType())

@@ -46,8 +46,11 @@ def key_payload_join(
 
 def keys_without_payload(keys: DataFrame, payload: DataFrame, key_cols: Sequence[str],
                          payload_key_cols: Sequence[str]) -> DataFrame:
-    cond = [keys[k] == payload[p] for k, p in zip(key_cols, payload_key_cols)]
-    return keys.join(payload.select(*payload_key_cols), cond, "left_anti")
+    """Keys that no payload row has. The payload's keys are made distinct first (reduced on every mapper), so a
+    key that a third of the payload has is one row in the join."""
+    right = payload.select(*payload_key_cols).distinct()
+    cond = [keys[k] == right[p] for k, p in zip(key_cols, payload_key_cols)]
+    return keys.join(right, cond, "left_anti")
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column, how: str = "inner",
@@ -58,5 +61,5 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Colum
 
 
 def members_of(df: DataFrame, batch: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``batch`` (a semi join: no duplicates from the batch side)."""
-    return df.join(batch, list(on), "left_semi")
+    """Rows of ``df`` whose key is in ``batch`` (a semi join on the batch's distinct keys)."""
+    return df.join(batch.select(*on).distinct(), list(on), "left_semi")

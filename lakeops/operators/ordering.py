@@ -1,12 +1,12 @@
 """Sorts, ordinals, ranks inside groups, top-n and pages.
 
-A row number over the whole output (or a running value over a group that may hold a third of all
-rows) must not pull the rows into one task. The ordinal and the running aggregates here start from a
-global range sort, which spreads a hot group over many partitions, and then fix up positions with a
-table that has at most one row per partition: that table is the only thing broadcast, so its size is
-bounded by the partition count, not the data.
-The order given must be total (add a unique column as the last key), so that a recomputed partition
-after a lost executor gets the same positions.
+A row number over the whole output (or a running value over a group that may hold a third of all rows) must
+not pull the rows into one task. The ordinal and the running aggregates here range-sort the rows once, which
+spreads a hot group over many partitions, and checkpoint the sorted rows together with the number of their
+piece. From then on the piece is data: rows, counts per piece and carries from earlier pieces all read the same
+stored rows, so no result depends on how often or in how many tasks Spark sorts. The table of pieces has at
+most one row per partition; it is the only thing broadcast.
+The order given must be total (add a unique column as the last key) if positions among equal rows matter.
 """
 
 from __future__ import annotations
@@ -17,24 +17,32 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_lk_pid"
-_MID = "_lk_mid"
+from lakeops.session import ensure_checkpoint_dir
+
+_PID = "_lk_piece"
+_MID = "_lk_place"
 
 
 def _cols(items: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
 
 
+def _sorted_pieces(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` in ``order`` with the number of the sorted piece a row is in and its place there, stored once."""
+    ensure_checkpoint_dir(df.sparkSession)
+    s = df.sort(*order).withColumn(_MID, F.monotonically_increasing_id())
+    s = s.withColumn(_PID, F.shiftright(F.col(_MID), 33))
+    return s.withColumn(_MID, F.col(_MID) - F.shiftleft(F.col(_PID), 33)).checkpoint()
+
+
 def with_ordinal(df: DataFrame, order: Sequence[str | Column], name: str = "ordinal") -> DataFrame:
     """1-based position of every row in ``order`` over the whole DataFrame."""
-    s = df.sort(*_cols(order)).withColumn(_MID, F.monotonically_increasing_id())
-    s = s.withColumn(_PID, F.shiftright(F.col(_MID), 33))
+    s = _sorted_pieces(df, _cols(order))
     counts = s.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition: small by construction, so the broadcast is bounded.
+    # One row per piece: small by construction, so the broadcast is bounded.
     offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.col(_MID) - F.shiftleft(F.col(_PID), 33)
-    out = s.join(F.broadcast(offsets), _PID).withColumn(name, F.col("_off") + local + F.lit(1))
+    out = s.join(F.broadcast(offsets), _PID).withColumn(name, F.col("_off") + F.col(_MID) + F.lit(1))
     return out.drop(_PID, _MID, "_off")
 
 
@@ -47,24 +55,25 @@ def with_group_running(df: DataFrame, group: Sequence[str], order: Sequence[str
     ``order`` (a window frame ``unboundedPreceding .. currentRow``), safe for hot groups.
 
     ``aggs`` holds ``(name, kind, column)`` with kind ``sum``, ``min`` or ``last`` (the last non-null
-    value). The range sort splits a hot group over several partitions; a window keyed by (partition,
-    group) runs over each piece, and a carry table brings in the pieces of the same group that sit in
-    earlier partitions. Only the first group of a partition has earlier pieces, so the carry table has
-    at most one row per partition and is the only thing broadcast."""
+    value). The range sort splits a hot group over several pieces; a window keyed by (piece, group) runs
+    over each, and a carry table brings in the earlier pieces of the same group. Only the first group of a
+    piece has earlier pieces, so the carry table has at most one row per piece and is the only thing
+    broadcast."""
     group = list(group)
     kinds = {name: kind for name, kind, _ in aggs}
     if any(k not in RUNNING_KINDS for k in kinds.values()):
         raise ValueError(f"kinds must be among {RUNNING_KINDS}")
-    if "last" in kinds.values() and not all(isinstance(o, str) for o in order):
-        raise ValueError("running last values need the order as ascending column names")
-    s = df.sort(*_cols(group), *_cols(order)).withColumn(_PID, F.spark_partition_id())
-    upto = (Window.partitionBy(_PID, *group).orderBy(*_cols(order))
+    # The aggregated values are computed once, before the sort, and stored with the rows.
+    s = df.select("*", *[c.alias(f"_v_{n}") for n, _, c in aggs])
+    s = _sorted_pieces(s, [*_cols(group), *_cols(order)])
+    aggs = [(n, k, F.col(f"_v_{n}")) for n, k, _ in aggs]
+    upto = (Window.partitionBy(_PID, *group).orderBy(_MID)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local_fns = {"sum": lambda c: F.sum(c), "min": lambda c: F.min(c),
                  "last": lambda c: F.last(c, ignorenulls=True)}
     local = s.select("*", *[local_fns[k](c).over(upto).alias(f"_l_{n}") for n, k, c in aggs])
     piece_fns = {"sum": lambda c: F.sum(c), "min": lambda c: F.min(c),
-                 "last": lambda c: F.max_by(c, F.when(c.isNotNull(), F.struct(*_cols(order))))}
+                 "last": lambda c: F.max_by(c, F.when(c.isNotNull(), F.col(_MID)))}
     pieces = s.groupBy(_PID, *group).agg(*[piece_fns[k](c).alias(f"_p_{n}") for n, k, c in aggs])
     earlier = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     carry_fns = {"sum": lambda c: F.sum(c), "min": lambda c: F.min(c),
@@ -86,8 +95,8 @@ def with_group_running(df: DataFrame, group: Sequence[str], order: Sequence[str
         else:
             value = F.coalesce(lv, cv)
         out = out.withColumn(name, value)
-    helpers = [_PID, "_c_pid", "_c_before", *[f"_c_{g}" for g in group]]
-    helpers += [f"_{x}_{n}" for n, _, _ in aggs for x in ("l", "c")]
+    helpers = [_PID, _MID, "_c_pid", "_c_before", *[f"_c_{g}" for g in group]]
+    helpers += [f"_{x}_{n}" for n, _, _ in aggs for x in ("l", "c", "v")]
     return out.drop(*helpers)
 
 

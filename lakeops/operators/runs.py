@@ -15,6 +15,8 @@ VERDICT_FAILED = "failed"
 VERDICT_OPEN = "open"
 VERDICT_SUCCESS = "success"
 VERDICT_NOT_SUCCESS = "not success"
+START_REFUSED = "refused"
+START_ALLOWED = "may start"
 GATE_PASSED = "passed"
 GATE_FAILED = "failed"
 GATE_MISSING = "missing"
@@ -79,6 +81,15 @@ def verdict_from_flags(flags: DataFrame, box: str, box_status: str) -> DataFrame
                         verdict.alias("verdict"))
 
 
+def start_check(boxes: DataFrame, children: DataFrame, box: str = "box", box_status: str = "box_status",
+                parent: str = "parent", status: str = "status") -> DataFrame:
+    """Which boxes may start: a box is refused while it, or any child, is running."""
+    flags = child_flags(children, parent, status).select(F.col(parent).alias("_p"), "any_running")
+    busy = (F.col(box_status) == STATUS_RUNNING) | F.coalesce("any_running", F.lit(False))
+    return (boxes.join(flags, F.col(box) == F.col("_p"), "left")
+            .select(box, box_status, F.when(busy, F.lit(START_REFUSED)).otherwise(F.lit(START_ALLOWED)).alias("decision")))
+
+
 def all_of_n_gate(children: DataFrame, parent: str, ok: Column, failed: Column, n: int) -> DataFrame:
     """All of ``n`` workers must succeed: any failure fails the gate, fewer than ``n`` successes is
     missing, ``n`` or more successes passes."""

@@ -14,6 +14,7 @@ _FIXED_WIDTH = {
     T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
 }
 
+_MIN_ROW_BYTES = 16  # a row without columns, as row_bytes counts it
 DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024  # Spark's own default threshold
 
 
@@ -62,28 +63,14 @@ def broadcast_limit(df: DataFrame) -> int:
     return max(value, 0)
 
 
-def input_file_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files ``df`` reads, from a listing (file contents are not read); None when ``df`` does
-    not come from files."""
-    paths = df.inputFiles()
-    if not paths:
-        return None
-    listing = df.sparkSession.read.format("binaryFile").load(paths).select("length")
-    return int(listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
-
-
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the measured size of ``df`` is within ``limit``. When its input files alone are larger
-    than the limit the answer is no without a scan: this is exact for a whole table (decoded rows are
-    larger than compressed files) and conservative for a filtered one, which is then left to the
-    planner and to AQE's run-time switch."""
+    """True when the measured size of ``df`` is within ``limit``. Only a sum leaves the executors; counting
+    stops early, by a row limit, when even the smallest rows would exceed it."""
     limit = broadcast_limit(df) if limit is None else limit
     if limit <= 0:
         return False
-    on_disk = input_file_bytes(df)
-    if on_disk is not None and on_disk > limit:
-        return False
-    return measured_bytes(df) <= limit
+    most = limit // _MIN_ROW_BYTES + 1
+    return measured_bytes(df.limit(most)) <= limit if most < 2**31 else measured_bytes(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:

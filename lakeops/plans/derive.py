@@ -14,8 +14,6 @@ LINEITEM_ORDER = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
-HIT_X_STEP = 0.7548776662466927
-HIT_Y_STEP = 0.5698402909980532
 
 
 def business_date(ts: str | Column) -> Column:
@@ -58,14 +56,6 @@ def customer_edges(customer: DataFrame, fanout: int = 7) -> DataFrame:
     return customer.select(F.expr(f"c_custkey div {fanout}").alias("parent"), F.col("c_custkey").alias("child"))
 
 
-def hit_points(orders: DataFrame) -> DataFrame:
-    """Quasi-random points in the unit square from the order keys (additive recurrence)."""
-    k = F.col("o_orderkey").cast("double")
-    x = k * F.lit(HIT_X_STEP)
-    y = k * F.lit(HIT_Y_STEP)
-    return orders.select(F.col("o_orderkey").alias("id"), (x - F.floor(x)).alias("x"), (y - F.floor(y)).alias("y"))
-
-
 def _report_row(role: Column, turn: Column, conv: Column) -> Column:
     return F.concat_ws(" | ", role, turn.cast("string"), conv.cast("string"), F.lit("x"))
 
@@ -116,3 +106,28 @@ def cut_vectors(embeddings: DataFrame) -> DataFrame:
     v = F.col("embedding")
     return embeddings.select("vec_id", F.when(F.col("vec_id") % 13 == 0, F.slice(v, 1, F.size(v) - 1))
                              .otherwise(v).alias("embedding"))
+
+
+def text_reports(conversations: DataFrame) -> DataFrame:
+    """One report text per conversation row, (conv_id, turn, report), with the lines of the row's text as rows of
+    both tables: in part 1 as ``role | line number | conv_id | line``, in part 2 as ``role | line number | line``."""
+    lines = F.split("text", "\n", -1)
+    row = lambda first: F.transform(lines, lambda x, i: F.concat_ws(" | ", F.col("role"), i.cast("string"), *first, x))
+    report = F.concat(F.array(F.lit("Start Part 1")), row([F.col("conv_id").cast("string")]), F.array(F.lit("End Part 1"), F.lit("Start Part 2")),
+                      row([]), F.array(F.lit("End Part 2")))
+    return conversations.select("conv_id", "turn", F.array_join(report, "\n").alias("report"))
+
+
+def payload_texts(embeddings: DataFrame, parts: int = 4, size: int = 16) -> DataFrame:
+    """Stored payload rows: ``vec_id`` and ``parts`` vectors of ``size`` elements as comma text, some of them bad:
+    an element "x" (every 10th), null (every 11th), one element short (every 13th), an element "1.0f" (every 17th)."""
+    element = F.transform("embedding", lambda x: x.cast("string"))
+    out = [F.slice(element, 1 + i * size, size) for i in range(parts)]
+    every = lambda n: F.col("vec_id") % n == 0
+    spoilt = lambda v, text: F.transform(v, lambda x, i: F.when(i == 4, F.lit(text)).otherwise(x))
+    out[0] = F.when(every(10), spoilt(out[0], "x")).otherwise(out[0])
+    out[2] = F.when(every(13), F.slice(out[2], 1, size - 1)).otherwise(out[2])
+    out[3] = F.when(every(17), spoilt(out[3], "1.0f")).otherwise(out[3])
+    texts = [F.array_join(v, ",") for v in out]
+    texts[1] = F.when(~every(11), texts[1])
+    return embeddings.select("vec_id", *[t.alias(f"v{i + 1}") for i, t in enumerate(texts)])

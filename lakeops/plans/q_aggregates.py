@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.grid import TENORS, grid_totals
 from lakeops.operators.lookup import lookup_join
-from lakeops.operators.totals import column_sum, even_split, hit_ratio, measure_summary, number_range, row_count
-from lakeops.plans.derive import HIT_X_STEP, HIT_Y_STEP, hit_points
+from lakeops.operators.totals import column_sum, even_split, hit_ratio, measure_summary, row_count
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
 
@@ -19,20 +18,15 @@ COPIES = 50
 DISTINCT_COLUMNS = ("l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_quantity")
 
 
-def _lineitem_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = Tables(spark, sf_dir).lineitem.count()
-    return number_range(spark, n, "number")
-
-
-@query("range_source", "S2 P14", "SELECT row_number() OVER () - 1 AS number FROM lineitem")
+@query("range_source", "P14", "SELECT o_orderkey AS number FROM orders")
 def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers 0 .. n-1, n the row count of lineitem."""
-    return _lineitem_range(spark, sf_dir)
+    """The stored numbers, one column renamed by position."""
+    return Tables(spark, sf_dir).orders.select("o_orderkey").toDF("number")
 
 
-@query("range_sum", "G1", "SELECT CAST(sum(n) AS BIGINT) AS total FROM (SELECT row_number() OVER () - 1 AS n FROM lineitem)")
+@query("range_sum", "G1", "SELECT CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders")
 def range_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_sum(_lineitem_range(spark, sf_dir), "number", "total")
+    return column_sum(range_source(spark, sf_dir), "number", "total")
 
 
 @query("row_count", "G2", "SELECT count(*) AS n_rows FROM lineitem")
@@ -40,12 +34,13 @@ def row_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(Tables(spark, sf_dir).lineitem)
 
 
-@query("hit_ratio", "G3 F15 X1", f"""SELECT hits, total, 4.0 * CAST(hits AS DOUBLE) / CAST(total AS DOUBLE) AS estimate
-  FROM (SELECT count(*) FILTER (WHERE x * x + y * y <= 1.0) AS hits, count(*) AS total FROM (
-    SELECT o_orderkey * {HIT_X_STEP} - floor(o_orderkey * {HIT_X_STEP}) AS x,
-           o_orderkey * {HIT_Y_STEP} - floor(o_orderkey * {HIT_Y_STEP}) AS y FROM orders))""")
+@query("hit_ratio", "G3 F15", """SELECT hits, total, 4.0 * CAST(hits AS DOUBLE) / CAST(total AS DOUBLE) AS estimate
+  FROM (SELECT count(*) FILTER (WHERE x * x + y * y <= 1.0) AS hits, count(*) AS total
+        FROM (SELECT l_quantity / 50 AS x, l_discount * 10 AS y FROM lineitem))""")
 def hit_ratio_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hit_ratio(hit_points(Tables(spark, sf_dir).orders))
+    """Share of lines whose (quantity, discount), scaled to the unit square, lies in the quarter circle."""
+    li = Tables(spark, sf_dir).lineitem
+    return hit_ratio(li.select((F.col("l_quantity") / 50).alias("x"), (F.col("l_discount") * 10).alias("y")))
 
 
 @query("measure_summary", "G13", """SELECT event_type, count(value) AS n, round(avg(value), 4) AS avg_value,

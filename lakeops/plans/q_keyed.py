@@ -4,8 +4,6 @@ totals (after map-side partial aggregation); the date is only a group column."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from lakeops.operators.ordering import with_group_row_number, with_ordinal
 from lakeops.operators.totals import overall_totals, status_totals
 from lakeops.plans.derive import LINEITEM_ORDER, order_keys
 from lakeops.plans.registry import query
-from lakeops.session import scratch_path
+from lakeops.session import scratch_namespace, scratch_path
 from lakeops.sources import lake
 from lakeops.tables import Tables
 
@@ -27,20 +25,20 @@ DATE_RANGE_END = "1998-01-01"
 LOOKBACK_END = "2001-08-01"
 BATCH_SIZE = 4
 POINT_KEY = {"l_orderkey": 7, "l_linenumber": 1}
-BUCKETS = 16
 
 # DuckDB text shared by the oracles.
 LINEITEM_ORDER_SQL = ", ".join(LINEITEM_ORDER)
 FIRST_LINEITEM_SQL = f"""(SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINEITEM_ORDER_SQL}) AS rn FROM lineitem)
   WHERE rn = 1)"""
-KEYS_SQL = f"""(SELECT CAST(o_orderdate AS DATE) AS businessdate, o_orderkey AS id FROM orders
+KEYS_SQL = "(SELECT CAST(o_orderdate AS DATE) AS businessdate, o_orderkey AS id FROM orders)"
+RANGE_KEYS_SQL = f"""(SELECT CAST(o_orderdate AS DATE) AS businessdate, o_orderkey AS id FROM orders
   WHERE o_orderdate >= TIMESTAMP '{RANGE_START}' AND o_orderdate < TIMESTAMP '{RANGE_END}')"""
 STATUS_SQL = f"""(SELECT k.businessdate, k.id,
     CASE WHEN p.l_orderkey IS NULL THEN 'No data'
          WHEN p.l_quantity IS NULL OR p.l_quantity <= 0 THEN 'Error: quantity not positive'
          ELSE 'Success' END AS status
-  FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id)"""
+  FROM {RANGE_KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id)"""
 DAILY_SQL = f"""SELECT businessdate, count(*) AS total_ids,
     count(*) FILTER (WHERE status = 'Success') AS processed_records,
     count(*) FILTER (WHERE status = 'No data') AS no_data,
@@ -78,7 +76,7 @@ def overall_totals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM {KEYS_SQL} k LEFT JOIN {FIRST_LINEITEM_SQL} p ON p.l_orderkey = k.id""")
 def key_payload_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    keys = order_keys(t.orders)
     return key_payload_join(keys, t.lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)
 
 
@@ -93,7 +91,7 @@ def keys_without_payload_q(spark: SparkSession, sf_dir: str) -> DataFrame:
   EXCEPT SELECT l_orderkey FROM lineitem""")
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return t.orders.select(F.col("o_orderkey").alias("orderkey")).subtract(t.lineitem.select("l_orderkey"))
+    return t.orders.select(F.col("o_orderkey").alias("orderkey")).subtract(t.lineitem.select("l_orderkey").distinct())
 
 
 @query("date_range", "P2", f"""SELECT * FROM orders
@@ -118,7 +116,7 @@ def composite_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     min(id) AS first_id, max(id) AS last_id FROM {KEYS_SQL} GROUP BY businessdate""")
 def keys_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    keys = order_keys(t.orders)
     return keys.groupBy("businessdate").agg(
         F.count("id").alias("n_ids"), F.countDistinct("id").alias("n_distinct_ids"),
         F.min("id").alias("first_id"), F.max("id").alias("last_id"))
@@ -128,7 +126,7 @@ def keys_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     row_number() OVER (ORDER BY businessdate, id) AS position FROM {KEYS_SQL}""")
 def sorted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    keys = order_keys(t.orders)
     return with_ordinal(keys, ["businessdate", "id"], "position")
 
 
@@ -137,7 +135,7 @@ def sorted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM {KEYS_SQL}""")
 def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    keys = order_keys(t.orders)
     numbered = with_group_row_number(keys, ["businessdate"], ["id"], "_rn")
     return numbered.select("businessdate", "id",
                            F.floor((F.col("_rn") - 1) / F.lit(BATCH_SIZE)).cast("long").alias("batch_no"))
@@ -178,11 +176,12 @@ def bucketed_payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key-to-payload join on tables stored bucketed by the order key: the first-row aggregate and
     the join then run without shuffling either table."""
     t = Tables(spark, sf_dir)
-    ns = f"lakeops_bucketed_{uuid.uuid4().hex[:8]}"
+    ns = scratch_namespace("bucketed")
     lake.create_namespace(spark, ns, scratch_path(spark, "ns-bucketed"))
+    buckets = lake.bucket_count(t.lineitem)
     orders = lake.save_bucketed(t.orders.select("o_orderkey", "o_orderdate"), f"{ns}.orders", ["o_orderkey"],
-                                BUCKETS, scratch_path(spark, "tbl-orders-b"))
-    lineitem = lake.save_bucketed(t.lineitem, f"{ns}.lineitem", ["l_orderkey"], BUCKETS,
+                                buckets, scratch_path(spark, "tbl-orders-b"))
+    lineitem = lake.save_bucketed(t.lineitem, f"{ns}.lineitem", ["l_orderkey"], buckets,
                                   scratch_path(spark, "tbl-lineitem-b"))
     keys = orders.select(F.col("o_orderdate").cast("date").alias("businessdate"), F.col("o_orderkey").alias("id"))
     return key_payload_join(keys, lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)

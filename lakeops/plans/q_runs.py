@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.predicates import ci_contains, ci_equals, retryable, status_class
 from lakeops.operators.hierarchy import expand_hierarchy
 from lakeops.operators.ordering import page_count, page_slice, top_n, with_ordinal
-from lakeops.operators.runs import all_of_n_gate, box_verdict, child_flags, latest_run, newest_per_group, run_history
+from lakeops.operators.runs import all_of_n_gate, box_verdict, child_flags, latest_run, newest_per_group, run_history, start_check
 from lakeops.plans.derive import box_runs, child_runs, customer_edges, run_records
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
@@ -86,6 +86,17 @@ def all_of_n_gate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_of_n_gate(li, "l_orderkey", F.col("l_linestatus") == "F", F.col("l_returnflag") == "R", GATE_N)
 
 
+@query("start_check", "G8 G9 P7", f"""SELECT b.o_orderkey AS box, b.status AS box_status,
+    CASE WHEN b.status = '1' OR coalesce(f.any_running, false) THEN 'refused' ELSE 'may start' END AS decision
+  FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN '1' WHEN 'F' THEN '4' ELSE '5' END AS status FROM orders) b
+  LEFT JOIN {FLAGS_SQL} f ON f.parent = b.o_orderkey""")
+def start_check_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    own = F.when(F.col("o_orderstatus") == "P", "1").when(F.col("o_orderstatus") == "F", "4").otherwise("5")
+    boxes = t.orders.select(F.col("o_orderkey").alias("box"), own.alias("box_status"))
+    return start_check(boxes, child_runs(t.lineitem))
+
+
 @query("hierarchy_expand", "J4 U3", f"""WITH RECURSIVE edges AS (
     SELECT c_custkey // {HIERARCHY_FANOUT} AS parent, c_custkey AS child FROM customer),
   walk(node, depth) AS (
@@ -186,3 +197,20 @@ def run_summary_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = labelled.agg(page_count(F.count(F.lit(1)), PER_PAGE).alias("total_pages"))
     page = page_slice(labelled, ["job_label"], JOB_PAGE, PER_PAGE)
     return page.withColumn("total_pages", pages.scalar())
+
+
+@query("run_page_rows", "G5 G6 P6 O4", f"""WITH runs AS (SELECT 'Job_' || CAST(job_name AS VARCHAR) AS job_label, run_date, status,
+      row_number() OVER (PARTITION BY job_name ORDER BY run_date DESC, seq) AS run_rank FROM {RUNS_SQL}),
+  page AS (SELECT job_label, row_number() OVER (ORDER BY job_label) AS position
+    FROM (SELECT DISTINCT job_label FROM runs WHERE contains(lower(job_label), lower('{JOB_SEARCH}'))))
+  SELECT page.job_label, page.position, runs.run_rank, runs.run_date, runs.status FROM page JOIN runs USING (job_label)
+  WHERE position > {(JOB_PAGE - 1) * PER_PAGE} AND position <= {JOB_PAGE * PER_PAGE}""")
+def run_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of the jobs on one page of the summary, one row per run, newest first."""
+    label = F.concat(F.lit("Job_"), F.col("job_name").cast("string"))
+    runs = run_records(Tables(spark, sf_dir).events).withColumn("job_label", label)
+    runs = runs.where(ci_contains("job_label", JOB_SEARCH))
+    page = page_slice(runs.select("job_label").distinct(), ["job_label"], JOB_PAGE, PER_PAGE)
+    on_page = runs.join(F.broadcast(page), "job_label")  # at most one page of job names
+    history = run_history(on_page, "job_label")
+    return history.select("job_label", "position", "run_rank", "run_date", "status")

@@ -3,13 +3,11 @@ folder under the shared checkpoint root, then reads it back with the source unde
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.lookup import lookup_join
-from lakeops.session import scratch_path
+from lakeops.session import scratch_namespace, scratch_path, scratch_view
 from lakeops.sources import files, lake
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
@@ -23,7 +21,7 @@ EVENT_COLUMNS_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_t
 
 
 def _namespace(spark: SparkSession, name: str) -> str:
-    ns = f"lakeops_{name}_{uuid.uuid4().hex[:8]}"
+    ns = scratch_namespace(name)
     lake.create_namespace(spark, ns, scratch_path(spark, f"ns-{name}"))
     return ns
 
@@ -40,8 +38,8 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     CASE WHEN length(text) > {MAX_LENGTH} THEN '0' ELSE text END AS text FROM conversations""")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, out = scratch_path(spark, "csv-in"), scratch_path(spark, "csv-out")
-    files.write_csv(Tables(spark, sf_dir).conversations, src)
-    return files.replace_long_entries(spark, src, out, "text", MAX_LENGTH)
+    files.write_csv(Tables(spark, sf_dir).conversations, src, escaped_breaks=True)
+    return files.replace_long_entries(spark, src, out, "text", MAX_LENGTH, escaped_breaks=True)
 
 
 @query("xml_positions", "S8 P10 F9", """SELECT c_name AS symbol, CAST(c_nationkey AS VARCHAR) AS qty,
@@ -102,7 +100,8 @@ def _events_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     table = f"{ns}.events_by_day"
     lake.create_table(spark, table, EVENT_COLUMNS_DDL, ["day"], scratch_path(spark, f"tbl-{name}"))
     ev = Tables(spark, sf_dir).events.withColumn("day", F.col("ts").cast("date"))
-    lake.append(ev, table)
+    # Rows of a day meet before they are written, so that a day is few files; a hot day is split.
+    lake.append(ev.hint("rebalance", F.col("day")), table)
     return table
 
 
@@ -111,12 +110,16 @@ def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(_events_table(spark, sf_dir, "partitioned"))
 
 
-@query("partition_inventory", "S17", """SELECT CAST(ts AS DATE) AS day, count(*) AS record_count
+@query("partition_inventory", "S17", """SELECT CAST(ts AS DATE) AS day, count(*) AS record_count, true AS has_files, true AS complete
   FROM events GROUP BY CAST(ts AS DATE)""")
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file inventory (path, partition, records) summed per partition, and checked against the table."""
     table = _events_table(spark, sf_dir, "inventory")
     inventory = lake.file_inventory(spark.table(table), ["day"])
-    return inventory.groupBy("day").agg(F.sum("record_count").alias("record_count"))
+    per_day = inventory.groupBy("day").agg(F.sum("record_count").alias("record_count"), F.count("file_path").alias("n_files"))
+    held = spark.table(table).groupBy("day").agg(F.count(F.lit(1)).alias("held"))
+    return per_day.join(held, "day").select("day", "record_count", (F.col("n_files") > 0).alias("has_files"),
+                                            (F.col("record_count") == F.col("held")).alias("complete"))
 
 
 @query("lake_append", "S15 P9", "SELECT * FROM customer UNION ALL SELECT * FROM customer")
@@ -163,6 +166,6 @@ def merge_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A SQL text run by the engine that holds the table, with the reference's ``LIMIT 5`` (ordered, so
     the rows are fixed). Against a database the same text goes through ``sources.jdbc.read_query``."""
-    view = f"customer_{uuid.uuid4().hex[:8]}"
+    view = scratch_view("customer")
     Tables(spark, sf_dir).customer.createOrReplaceTempView(view)
     return spark.sql(f"SELECT * FROM {view} ORDER BY c_custkey LIMIT 5")

@@ -12,14 +12,13 @@ from lakeops.streaming import status as st
 from lakeops.tables import Tables
 
 # Parameters of the registered queries.
-BOX_FANOUT = 10
-LANDED_FILES = 16
+BOX_FANOUT = 3  # job 3 b is the run of box b itself, 3 b + 1 and 3 b + 2 are its children
 
 
 def _landed(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
     events = Tables(spark, sf_dir).events
     landing = scratch_path(spark, f"landing-{name}")
-    st.land_files(events, landing, LANDED_FILES, order="ts")
+    st.land_files(events, landing, ["ts", "event_id"])
     return st.read_event_stream(spark, landing, events.schema), scratch_path(spark, f"ckpt-{name}")
 
 
@@ -34,17 +33,20 @@ def stream_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stream_box_verdict", "T2 G9", f"""WITH latest AS (
-    SELECT user_id AS child, arg_max(CASE WHEN event_type = 'error' THEN '6'
+    SELECT user_id AS job, arg_max(CASE WHEN event_type = 'error' THEN '6'
       WHEN event_type IN ('click', 'view') THEN '1' ELSE '4' END, ts) AS status FROM events GROUP BY user_id)
-  SELECT child // {BOX_FANOUT} AS box, '4' AS box_status, count(*) AS n_children,
-    CASE WHEN bool_or(status = '6') THEN 'failed' WHEN bool_or(status = '1') THEN 'open' ELSE 'success' END AS verdict
-  FROM latest GROUP BY child // {BOX_FANOUT}""")
+  SELECT job // {BOX_FANOUT} AS box, max(status) FILTER (WHERE job % {BOX_FANOUT} = 0) AS box_status,
+    count(*) FILTER (WHERE job % {BOX_FANOUT} <> 0) AS n_children,
+    CASE WHEN bool_or(job % {BOX_FANOUT} <> 0 AND status = '6') THEN 'failed'
+         WHEN bool_or(job % {BOX_FANOUT} <> 0 AND status = '1') THEN 'open'
+         WHEN max(status) FILTER (WHERE job % {BOX_FANOUT} = 0) = '4' THEN 'success' ELSE 'not success' END AS verdict
+  FROM latest GROUP BY job // {BOX_FANOUT}""")
 def stream_box_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, ckpt = _landed(spark, sf_dir, "verdict")
     out = scratch_path(spark, "sink-verdict")
-    latest = st.latest_status(stream.withColumnRenamed("user_id", "child"), "child", "ts",
+    latest = st.latest_status(stream.withColumnRenamed("user_id", "job"), "job", "ts",
                               st.event_status_code(F.col("event_type")), "event_id")
-    writer = st.verdict_writer(out, lambda c: F.expr(f"child div {BOX_FANOUT}"))
+    writer = st.verdict_writer(out, "job", F.expr(f"job div {BOX_FANOUT}"), F.col("job") % BOX_FANOUT == 0)
     st.run_available(latest, ckpt, f"verdict_{ckpt[-12:]}", "complete", writer)
     return st.read_snapshot(spark, out)
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.report import joined_lines, parse_sections, parse_two_parts
+from lakeops.functions.report import joined_lines, parse_section_text, parse_sections, parse_two_parts
 from lakeops.functions.text import (
     UPPER, LOWER, base64_decode, base64_text, replace_long, report_line, round_money, separator,
     shares_label, shift_decode, shift_encode,
 )
-from lakeops.plans.derive import marked_report_lines, two_part_report_lines
+from lakeops.plans.derive import marked_report_lines, text_reports, two_part_report_lines
+from lakeops.operators.ordering import with_group_row_number
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
 
@@ -18,6 +19,7 @@ from lakeops.tables import Tables
 SHIFT = 3
 MAX_LENGTH = 100
 WIDTHS = (10, 5, 5)
+SECOND_WIDTHS = (15, 7)
 HEADER = ("STOCK", "QTY", "ACTION", "COMMENTS")
 CHUNK_LINES = 1000
 
@@ -46,7 +48,7 @@ def base64_decode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("round_money", "F9", """SELECT c_custkey,
-    CAST(round(TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(20,6)), 2) AS DOUBLE) AS money FROM customer""")
+    CAST(round(TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS money FROM customer""")
 def round_money_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).customer.select("c_custkey", round_money("c_acctbal").alias("money"))
 
@@ -129,6 +131,30 @@ def two_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_two_parts(lines, "conv_id", ["turn", "sub"], "line")
 
 
+@query("report_text_rows", "F3 F4 F10 W4 P11 O1", f"""WITH lines AS (
+    SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM conversations),
+  rows AS (
+    SELECT conv_id, turn, 1 AS part, concat_ws(' | ', role, CAST(i AS VARCHAR), CAST(conv_id AS VARCHAR), x) AS line, i + 1 AS line_no FROM lines
+    UNION ALL SELECT conv_id, turn, 2, concat_ws(' | ', role, CAST(i AS VARCHAR), x),
+      i + 3 + count(*) OVER (PARTITION BY conv_id, turn, role) FROM lines),
+  cells AS (SELECT conv_id, turn, part, line_no, list_transform(string_split(line, '|'), lambda c: trim(c)) AS c FROM rows)
+  SELECT conv_id, turn, part, CAST(row_number() OVER (PARTITION BY conv_id, turn, part ORDER BY c[3], line_no) AS BIGINT) AS place,
+    CASE WHEN part = 1 THEN {{one}} ELSE {{two}} END AS line
+  FROM cells""".format(
+    one=" || ' | ' || ".join([_pad_sql("c[1]", WIDTHS[0]), _pad_sql("c[2]", WIDTHS[1]), "c[3]"]),
+    two=" || ' | ' || ".join([_pad_sql("c[1]", SECOND_WIDTHS[0]), _pad_sql("c[2]", SECOND_WIDTHS[1]), "c[3]"])))
+def report_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports held in one text value each, with the whole texts of the conversations: both tables parsed, the
+    comments dropped, the rows sorted by action within their table and set in the table's widths."""
+    reports = text_reports(Tables(spark, sf_dir).conversations)
+    rows = parse_section_text(reports.select(F.struct("conv_id", "turn").alias("doc"), "report"), "doc", "report")
+    rows = rows.select(F.col("doc.conv_id").alias("conv_id"), F.col("doc.turn").alias("turn"), "part", "line_no", "c1", "c2", "c3")
+    placed = with_group_row_number(rows, ["conv_id", "turn", "part"], ["c3", "line_no"], "place")
+    cells = [F.col("c1"), F.col("c2"), F.col("c3")]
+    line = F.when(F.col("part") == 1, report_line(cells, [*WIDTHS[:2], None])).otherwise(report_line(cells, [*SECOND_WIDTHS, None]))
+    return placed.select("conv_id", "turn", "part", "place", line.alias("line"))
+
+
 @query("joined_lines", "G16 F12", f"""SELECT l_orderkey, chunk, string_agg(line, chr(10) ORDER BY line) AS text FROM (
     SELECT *, (row_number() OVER (PARTITION BY l_orderkey ORDER BY line) - 1) // {CHUNK_LINES} AS chunk FROM (
       SELECT l_orderkey, CAST(l_partkey AS VARCHAR) || ' (' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)

@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.predicates import date_window
 from lakeops.functions.vectors import (
     OK, float32_from_bytes, float32_to_bytes, length_status, parse_vector_text, signed_sum, split_vector,
-    vector_max, vector_sum,
+    vector_max, vector_parser, vector_sum,
 )
 from lakeops.operators.vector_job import vector_results, vector_totals
-from lakeops.plans.derive import LINEITEM_ORDER, cut_vectors, order_keys, vector_texts
-from lakeops.plans.q_keyed import FIRST_LINEITEM_SQL, KEYS_SQL, RANGE_END, RANGE_START
+from lakeops.plans.derive import LINEITEM_ORDER, business_date, cut_vectors, order_keys, payload_texts, vector_texts
+from lakeops.plans.q_keyed import FIRST_LINEITEM_SQL, KEYS_SQL
 from lakeops.plans.registry import query
-from lakeops.session import scratch_path
+from lakeops.session import scratch_namespace, scratch_path
 from lakeops.sources import lake
 from lakeops.tables import Tables
 
 # Parameters of the registered queries.
-WIDE_COLUMNS = 30
+WIDE_COLUMNS = 64
 VECTOR_LEN = 64
 PARTS = 4
 PART_LEN = 16
@@ -40,7 +37,7 @@ def wide_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("parse_vector", "F5 F7 F8", f"""SELECT vec_id,
     CASE WHEN vec_id % 11 = 0 OR vec_id % 10 = 0 THEN 'OK'
-         WHEN vec_id % 13 = 0 THEN 'Error: vector does not have {VECTOR_LEN} elements (got {VECTOR_LEN - 1})'
+         WHEN vec_id % 13 = 0 THEN 'Error: expected {VECTOR_LEN} values in vector, found {VECTOR_LEN - 1}'
          ELSE 'OK' END AS status,
     CAST(CASE WHEN vec_id % 11 = 0 OR vec_id % 10 = 0 THEN {VECTOR_LEN}
          WHEN vec_id % 13 = 0 THEN {VECTOR_LEN - 1} ELSE len(embedding) END AS INTEGER) AS n_elements,
@@ -60,7 +57,7 @@ def parse_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("vector_length_status", "F8", f"""SELECT vec_id, CAST(len(v) AS INTEGER) AS n_elements,
     CASE WHEN len(v) = {VECTOR_LEN} THEN 'OK'
-         ELSE 'Error: vector does not have {VECTOR_LEN} elements (got ' || len(v) || ')' END AS status
+         ELSE 'Error: expected {VECTOR_LEN} values in vector, found ' || len(v) END AS status
   FROM (SELECT vec_id, CASE WHEN vec_id % 13 = 0 THEN embedding[1:len(embedding) - 1] ELSE embedding END AS v
         FROM embeddings)""")
 def vector_length_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +112,7 @@ def key_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key-driven vector job on the TPC-H tables: each key's first lineitem is the payload and its
     four measures are one-element vectors, the first two added and the last two subtracted."""
     t = Tables(spark, sf_dir)
-    keys = order_keys(date_window(t.orders, "o_orderdate", RANGE_START, RANGE_END))
+    keys = order_keys(t.orders)
     vectors = [F.array(F.col(c)) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     return vector_results(keys, t.lineitem, ["id"], ["l_orderkey"], vectors, 1, ADDED, LINEITEM_ORDER)
 
@@ -135,10 +132,41 @@ def per_date_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def result_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-key results written to a result table (the batched insert of the job, aimed at a lake
     table here) and read back."""
-    ns = f"lakeops_results_{uuid.uuid4().hex[:8]}"
+    ns = scratch_namespace("results")
     lake.create_namespace(spark, ns, scratch_path(spark, "ns-results"))
     table = f"{ns}.key_results"
     lake.create_table(spark, table, "businessdate DATE, id BIGINT, status STRING, result_sum DOUBLE, result_max DOUBLE",
                       location=scratch_path(spark, "tbl-results"))
     lake.append(key_results(spark, sf_dir), table)
     return spark.table(table)
+
+
+def _part_sql(i: int) -> str:
+    zeros = "[" + ", ".join(["0.0::FLOAT"] * PART_LEN) + "]"
+    own = f"list_slice(embedding, {1 + i * PART_LEN}, {(i + 1) * PART_LEN})"
+    bad = {0: "vec_id % 10 = 0", 1: "vec_id % 11 = 0", 3: "vec_id % 17 = 0"}.get(i)
+    return own if bad is None else f"CASE WHEN {bad} THEN {zeros} ELSE {own} END"
+
+
+_STORED_SQL = f"""(SELECT CAST(o_orderdate AS DATE) AS businessdate, o_orderkey, r, vec_id
+  FROM orders LEFT JOIN (SELECT vec_id, list_transform(range(1, {PART_LEN + 1}), lambda i:
+      ((p1[i]::DOUBLE + p2[i]::DOUBLE) - p3[i]::DOUBLE) - p4[i]::DOUBLE) AS r
+    FROM (SELECT vec_id, {", ".join(f"{_part_sql(i)} AS p{i + 1}" for i in range(PARTS))} FROM embeddings)) ON vec_id = o_custkey)"""
+
+
+@query("stored_vector_job", "X3 F5 F7 F8 X2 G14 G15 G11", f"""SELECT businessdate, count(*) AS total_ids,
+    count(*) FILTER (WHERE vec_id IS NOT NULL AND vec_id % 13 <> 0) AS processed_records,
+    count(*) FILTER (WHERE vec_id IS NULL) AS no_data, count(*) FILTER (WHERE vec_id % 13 = 0) AS errors,
+    round(sum(CASE WHEN vec_id % 13 <> 0 THEN list_reduce(r, lambda a, b: a + b) END), 4) AS result_total,
+    max(CASE WHEN vec_id % 13 <> 0 THEN list_max(r) END) AS result_max
+  FROM {_STORED_SQL} GROUP BY businessdate""")
+def stored_vector_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key-driven vector job on stored text payloads: the keys of orders (by customer), four vector columns,
+    among them null, unreadable and short ones."""
+    t = Tables(spark, sf_dir)
+    keys = t.orders.select(business_date("o_orderdate").alias("businessdate"), F.col("o_custkey").alias("id"))
+    parse = vector_parser("text", PART_LEN)
+    payload = payload_texts(t.embeddings, PARTS, PART_LEN)
+    vectors = [parse(F.col(f"v{i + 1}")) for i in range(PARTS)]
+    results = vector_results(keys, payload, ["id"], ["vec_id"], vectors, PART_LEN, ADDED)
+    return vector_totals(results, "businessdate", digits=4)

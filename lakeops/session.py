@@ -87,8 +87,8 @@ def get_session(master: str | None = None, app_name: str = "lakeops", **conf: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints. A folder of our own is only set when none is
-    configured (local runs and tests)."""
+    """The shared folder the cluster names for checkpoints (``spark.checkpoint.dir``). Without one, a local master
+    gets a temporary folder; any other master is refused, as its executors would write to their own disks."""
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -98,16 +98,59 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="lakeops-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
+def is_local(master: str) -> bool:
+    """True if driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return checkpoint_root(spark)
 
 
+#: What jobs of this process have made in shared storage and catalogs, until it is released.
+_SCRATCH: list[str] = []
+_NAMESPACES: list[str] = []
+_VIEWS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint root for data a job writes and reads back."""
-    return f"{checkpoint_root(spark)}/lakeops-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder under the shared checkpoint root for data a job writes and reads back. It is deleted by
+    :func:`release_scratch`, when the job's result has been used."""
+    path = f"{checkpoint_root(spark)}/lakeops-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_namespace(name: str) -> str:
+    """A new namespace name, dropped by :func:`release_scratch`."""
+    _NAMESPACES.append(f"lakeops_{name}_{uuid.uuid4().hex[:8]}")
+    return _NAMESPACES[-1]
+
+
+def scratch_view(name: str) -> str:
+    """A new temporary view name, dropped by :func:`release_scratch`."""
+    _VIEWS.append(f"lakeops_{name}_{uuid.uuid4().hex[:8]}")
+    return _VIEWS[-1]
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders, namespaces and views of this process. Call it when no result that reads them
+    is needed any more; returns how many things were released."""
+    n = len(_SCRATCH) + len(_NAMESPACES) + len(_VIEWS)
+    while _VIEWS:
+        spark.catalog.dropTempView(_VIEWS.pop())
+    while _NAMESPACES:
+        spark.sql(f"DROP NAMESPACE IF EXISTS {_NAMESPACES.pop()} CASCADE")
+    jvm = spark.sparkContext._jvm
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n

@@ -14,45 +14,65 @@ from pyspark.sql import types as T
 
 from lakeops.functions.text import DEFAULT_MAX_LENGTH, LONG_CELL_VALUE, replace_long, round_money
 
-# CSV options that keep every cell exactly as written: quotes escaped by doubling, white space kept,
-# records may span lines. A multi-line file is read by one task; pass ``multiline=False`` for files
-# without line breaks inside cells, which Spark then splits across tasks.
+# CSV options that keep every cell exactly as written: quotes escaped by doubling, white space kept.
+# A file whose cells hold line breaks is one task to read (``multiline=True``). Files written here can be split:
+# line breaks inside cells are written as \\n and \\r, and backslashes as \\b (``escaped_breaks``).
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+_BREAKS = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
 
 # Element and attribute names of the position report.
 POSITION_TAG = "OpenPosition"
 POSITION_ATTRIBUTES = ("symbol", "position", "markPrice", "positionValue", "fifoPnlUnrealized")
 
 
+def _escape_breaks(c: Column) -> Column:
+    for plain, code in _BREAKS:
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return c
+
+
+def _unescape_breaks(c: Column) -> Column:
+    for plain, code in reversed(_BREAKS):
+        c = F.replace(c, F.lit(code), F.lit(plain))
+    return c
+
+
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                  multiline: bool = True) -> DataFrame:
+                  multiline: bool = False, escaped_breaks: bool = False) -> DataFrame:
     """CSV with a header, every column as text (never inferred). With ``columns`` the schema is given and
-    the header is only skipped."""
-    reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": str(multiline).lower()})
+    the header is only skipped. Files are split into tasks unless ``multiline``."""
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multiline).lower())
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+    rows = reader.csv(path)
+    if not escaped_breaks:
+        return rows
+    return rows.select(*[_unescape_breaks(F.col(f"`{c}`")).alias(c) for c in rows.columns])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", escaped_breaks: bool = False) -> None:
+    if escaped_breaks:
+        df = df.select(*[(_escape_breaks(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`"))
+                         .alias(f.name) for f in df.schema.fields])
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def replace_long_entries(spark: SparkSession, input_path: str, output_path: str, column: str,
-                         max_length: int = DEFAULT_MAX_LENGTH) -> DataFrame:
+                         max_length: int = DEFAULT_MAX_LENGTH, multiline: bool = False,
+                         escaped_breaks: bool = False) -> DataFrame:
     """Read a CSV, replace cells of ``column`` longer than ``max_length`` by "0", write the CSV with the
-    same header. Returns the written rows (read back)."""
-    df = read_csv_text(spark, input_path)
+    same header. Returns the written rows (read back). ``multiline``: cells hold line breaks, so that a file
+    is one task; ``escaped_breaks``: they are escaped, so that files are split."""
+    df = read_csv_text(spark, input_path, multiline=multiline, escaped_breaks=escaped_breaks)
     if column not in df.columns:
-        raise ValueError(f"The column {column} does not exist in the CSV file.")
-    write_csv(df.withColumn(column, replace_long(column, max_length, LONG_CELL_VALUE)), output_path)
-    return read_csv_text(spark, output_path, df.columns)
+        raise ValueError(f"no column {column!r} among {df.columns}")
+    write_csv(df.withColumn(column, replace_long(column, max_length, LONG_CELL_VALUE)), output_path, escaped_breaks=escaped_breaks)
+    return read_csv_text(spark, output_path, df.columns, multiline, escaped_breaks)
 
 
 def write_positions_xml(df: DataFrame, path: str, root_tag: str = "FlexStatement") -> None:
@@ -63,11 +83,34 @@ def write_positions_xml(df: DataFrame, path: str, root_tag: str = "FlexStatement
        .option("rootTag", root_tag).option("rowTag", POSITION_TAG).save(path))
 
 
-def read_positions_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Every ``OpenPosition`` element at any depth, its attributes as text columns (missing: null)."""
-    schema = T.StructType([T.StructField(f"_{a}", T.StringType()) for a in POSITION_ATTRIBUTES])
-    raw = spark.read.format("xml").option("rowTag", POSITION_TAG).schema(schema).load(path)
-    return raw.select(*[F.col(f"_{a}").alias(a) for a in POSITION_ATTRIBUTES])
+# XML's predefined entities and line breaks (the ampersand last, so that nothing is decoded twice).
+_XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#13;", "\r"), ("&#xd;", "\r"), ("&#xD;", "\r"),
+                 ("&#10;", "\n"), ("&#xa;", "\n"), ("&#xA;", "\n"), ("&#9;", "\t"), ("&#x9;", "\t"), ("&amp;", "&"))
+
+
+def _attribute(body: Column, name: str) -> Column:
+    """The value of one attribute in the text of a tag, null if it is missing."""
+    pattern = rf"(?:^|\s){name}\s*=\s*"
+    double, single = F.regexp_extract(body, pattern + r'"([^"]*)"', 1), F.regexp_extract(body, pattern + r"'([^']*)'", 1)
+    value = F.when(body.rlike(pattern + '"'), double).when(body.rlike(pattern + "'"), single)
+    for code, plain in _XML_ENTITIES:
+        value = F.replace(value, F.lit(code), F.lit(plain))
+    return value
+
+
+def read_positions_xml(spark: SparkSession, path: str, splittable: bool = True) -> DataFrame:
+    """Every ``OpenPosition`` element at any depth, its attributes as text columns (missing: null).
+
+    Files are cut into records at the tag's start, so one large file is many tasks; "<" cannot stand in an
+    attribute, so no value is cut. ``splittable=False`` uses the XML reader, one task a file."""
+    if not splittable:
+        schema = T.StructType([T.StructField(f"_{a}", T.StringType()) for a in POSITION_ATTRIBUTES])
+        raw = spark.read.format("xml").option("rowTag", POSITION_TAG).schema(schema).load(path)
+        return raw.select(*[F.col(f"_{a}").alias(a) for a in POSITION_ATTRIBUTES])
+    attributes = r"""^((?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*/?>"""
+    records = spark.read.option("lineSep", f"<{POSITION_TAG}").text(path).where(F.col("value").rlike(attributes))
+    body = F.regexp_extract("value", attributes, 1)
+    return records.select(body.alias("b")).select(*[_attribute(F.col("b"), a).alias(a) for a in POSITION_ATTRIBUTES])
 
 
 def position_rows(positions: DataFrame) -> DataFrame:
@@ -85,7 +128,6 @@ JOB_FIELDS = T.StructType([
     T.StructField("endTime", T.StringType()), T.StructField("retry", T.IntegerType()),
     T.StructField("status", T.StringType()),
 ])
-JOB_LIST = T.StructType([T.StructField("jobs", T.ArrayType(JOB_FIELDS))])
 # Defaults of a missing (or null) job field.
 TEXT_DEFAULT = "N/A"
 INT_DEFAULT = 0
@@ -94,12 +136,17 @@ INT_DEFAULT = 0
 def parse_job_lists(df: DataFrame, json_col: str, keep: Sequence[str] = ()) -> DataFrame:
     """``{"jobs": [...]}`` documents to one row per job with the seven fields; a missing or null text
     field is "N/A", a missing or null number is 0."""
-    parsed = df.select(*keep, F.from_json(F.col(json_col), JOB_LIST).alias("_doc"))
-    jobs = parsed.select(*keep, F.inline(F.coalesce(F.col("_doc.jobs"), F.array().cast(T.ArrayType(JOB_FIELDS)))))
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in JOB_FIELDS.fields])
+    raw = T.StructType([T.StructField("jobs", T.ArrayType(as_text))])
+    parsed = df.select(*keep, F.from_json(F.col(json_col), raw).alias("_doc"))
+    jobs = parsed.select(*keep, F.inline(F.coalesce(F.col("_doc.jobs"), F.array().cast(T.ArrayType(as_text)))))
     out = []
     for f in JOB_FIELDS.fields:
-        default = F.lit(INT_DEFAULT) if isinstance(f.dataType, T.IntegerType) else F.lit(TEXT_DEFAULT)
-        out.append(F.coalesce(F.col(f.name), default).alias(f.name))
+        if isinstance(f.dataType, T.IntegerType):  # numbers may be sent as text or with decimals, which are cut off
+            value, default = F.col(f.name).try_cast("double").try_cast("int"), F.lit(INT_DEFAULT)
+        else:
+            value, default = F.col(f.name), F.lit(TEXT_DEFAULT)
+        out.append(F.coalesce(value, default).alias(f.name))
     return jobs.select(*keep, *out)
 
 

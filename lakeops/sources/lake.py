@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.sizing import measured_bytes
+
 
 def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> DataFrame:
     loc = f" LOCATION '{location}'" if location else ""
@@ -49,15 +52,13 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     if _is_v2(spark, table):
         df.writeTo(table).overwritePartitions()
         return
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        if previous is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    # The writer's own option, so that no session setting changes; the catalog then learns of new partitions.
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    (df.select(*spark.table(table).columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .format(about["Provider"]).partitionBy(*partitions).save(about["Location"]))
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def _fingerprint_aggs(df: DataFrame) -> list:
@@ -97,7 +98,8 @@ def copy_to_lake(source: DataFrame, table: str, location: str | None = None, par
     an optional identity partition) if missing, write the rows, and return the read-back check.
 
     The source is read once: its count and digest are observed while the rows are written, and only the
-    lake table is read again for the check. ``replace_partitions`` makes a rerun idempotent (the
+    lake table is read again for the check: what it holds now, less what it held before (of the partitions
+    concerned, if they are replaced), must be the source. ``replace_partitions`` makes a rerun idempotent (the
     partitions present are replaced); by default the rows are appended, as in the reference. ``using`` is
     the table format (``iceberg`` in a v2 catalog)."""
     spark = source.sparkSession
@@ -106,21 +108,35 @@ def copy_to_lake(source: DataFrame, table: str, location: str | None = None, par
         create_namespace(spark, namespace, namespace_location)
     cols = [c for c in source.columns if c not in partition_by] + list(partition_by)
     ordered = source.select(*cols)
+    replace = replace_partitions and bool(partition_by)
+    n_before, h_before = 0, 0
     if not spark.catalog.tableExists(table):
         ddl = ", ".join(filter(None, [columns_ddl(ordered, partition_by),
                                       columns_ddl(ordered.select(*partition_by)) if partition_by else ""]))
         create_table(spark, table, ddl, partition_by, location, using)
+    elif not replace:
+        held = _fingerprint(spark.table(table).select(*cols)).first()
+        n_before, h_before = held["n"], held["h"]
     seen = Observation(f"lakeops_copy_{uuid.uuid4().hex[:8]}")
     observed = ordered.observe(seen, *_fingerprint_aggs(ordered))
-    if replace_partitions and partition_by:
-        overwrite_partitions(observed, table)
-    else:
-        append(observed, table)
+    (overwrite_partitions if replace else append)(observed, table)
     rows_in, h_in = seen.get["n"], seen.get["h"]
-    out = _fingerprint(spark.table(table).select(*cols))
-    return out.select(F.lit(rows_in).cast("long").alias("rows_in"), F.col("n").alias("rows_out"),
-                      ((F.col("n") == F.lit(rows_in)) & (F.col("h") == F.lit(h_in).cast("decimal(38,0)")))
-                      .alias("matches"))
+    now = spark.table(table).select(*cols)
+    if replace:
+        parts = source.select(*partition_by).distinct()
+        now = now.join(parts, reduce(lambda a, b: a & b, [now[c].eqNullSafe(parts[c]) for c in partition_by]), "left_semi")
+    out = _fingerprint(now)
+    added, h_added = F.col("n") - F.lit(n_before).cast("long"), F.col("h") - F.lit(h_before).cast("decimal(38,0)")
+    return out.select(F.lit(rows_in).cast("long").alias("rows_in"), added.alias("rows_out"),
+                      ((added == F.lit(rows_in)) & (h_added == F.lit(h_in).cast("decimal(38,0)"))).alias("matches"))
+
+
+BUCKET_BYTES = 128 << 20
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for storing ``df``: by its measured size, and enough to keep every core busy."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-measured_bytes(df) // bucket_bytes))
 
 
 def save_bucketed(df: DataFrame, table: str, by: Sequence[str], buckets: int, location: str | None = None,

@@ -1,6 +1,6 @@
 """Job status from an event stream (Structured Streaming).
 
-Events land as files in a folder; a stream reads them with a fixed schema, a bounded number of files
+Events land as files in a folder; a stream reads them with a fixed schema, a bounded number of bytes
 per micro-batch, and a checkpoint folder, so a restarted query continues where it stopped. Every run
 uses ``trigger(availableNow=True)``: it processes what has landed and ends.
 
@@ -15,32 +15,35 @@ uses ``trigger(availableNow=True)``: it processes what has landed and ends.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.functions.predicates import STATUS_RUNNING, STATUS_SUCCESS, STATUS_TERMINATED
-from lakeops.operators.runs import child_flags, verdict_from_flags
+from lakeops.operators.runs import verdict_from_flags
 
-DEFAULT_FILES_PER_TRIGGER = 8
+DEFAULT_BYTES_PER_TRIGGER = 1 << 30
 # Fixed value: the subject line of a failure alert.
 ALERT_SUBJECT_PREFIX = "Job Failure: "
 
 
-def land_files(df: DataFrame, path: str, partitions: int = 16, order: str | None = None) -> None:
-    """Publish rows as parquet files into a landing folder (the producer side of a stream)."""
-    out = df.repartitionByRange(partitions, order) if order else df.repartition(partitions)
+def land_files(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """Publish rows as parquet files into a landing folder (the producer side of a stream), with the input's own
+    parallelism, or sorted by ``order`` (end it with a unique column, so that one hot time is many files)."""
+    out = df.sort(*order) if order else df
     out.write.mode("append").parquet(path)
 
 
 def read_event_stream(spark: SparkSession, path: str, schema: T.StructType, ts: str = "ts",
-                      files_per_trigger: int = DEFAULT_FILES_PER_TRIGGER, watermark: str | None = None) -> DataFrame:
-    """A stream over landed parquet files, at most ``files_per_trigger`` files per micro-batch. With a
-    ``watermark`` delay (e.g. "10 minutes") a zone-less ``ts`` is first read as a timestamp in the session
-    zone (watermarks refuse zone-less values); without one, values stay as they are."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+                      files_per_trigger: int | None = None, watermark: str | None = None,
+                      bytes_per_trigger: int = DEFAULT_BYTES_PER_TRIGGER) -> DataFrame:
+    """A stream over landed parquet files, with about ``bytes_per_trigger`` (or ``files_per_trigger`` files, if
+    given) per micro-batch. With a ``watermark`` delay (e.g. "10 minutes") a zone-less ``ts`` is first read as
+    a timestamp in the session zone (watermarks refuse zone-less values); without one, values stay as they are."""
+    limit = ("maxBytesPerTrigger", bytes_per_trigger) if files_per_trigger is None else ("maxFilesPerTrigger", files_per_trigger)
+    stream = spark.readStream.schema(schema).option(*limit).parquet(path)
     if watermark is not None:
         if isinstance(schema[ts].dataType, T.TimestampNTZType):
             stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -115,14 +118,23 @@ def event_status_code(event_type: Column) -> Column:
             .otherwise(F.lit(STATUS_SUCCESS)))
 
 
-def verdict_writer(path: str, box_of: Callable[[Column], Column]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: latest child statuses (complete table) -> box verdicts, as a snapshot.
-    The boxes are the parents seen, so the verdict comes from one aggregate of the child flags."""
+def polled_verdicts(latest: DataFrame, job: str, box_of: Column, is_box: Column, status: str = "latest_status") -> DataFrame:
+    """Box verdicts from the latest status of every polled job: rows with ``is_box`` are the boxes' own runs, the
+    others their children. One aggregate per box; a box that was not polled itself has a null status."""
+    rows = latest.select(box_of.alias("box"), is_box.alias("own"), F.col(status).alias("status"))
+    child = ~F.col("own")
+    flags = rows.groupBy("box").agg(
+        F.max(F.when(F.col("own"), F.col("status"))).alias("box_status"),
+        F.bool_or(child & (F.col("status") == STATUS_RUNNING)).alias("any_running"),
+        F.bool_or(child & (F.col("status") == STATUS_TERMINATED)).alias("any_terminated"),
+        F.count_if(child).alias("n_children"))
+    return verdict_from_flags(flags, "box", "box_status")
+
+
+def verdict_writer(path: str, job: str, box_of: Column, is_box: Column) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: the complete table of latest statuses -> box verdicts, as a snapshot."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        children = batch.select(box_of(F.col("child")).alias("parent"), "child",
-                                F.col("latest_status").alias("status"))
-        flags = child_flags(children).withColumnRenamed("parent", "box").withColumn("box_status", F.lit(STATUS_SUCCESS))
-        write_snapshot(verdict_from_flags(flags, "box", "box_status"), path, batch_id)
+        write_snapshot(polled_verdicts(batch, job, box_of, is_box), path, batch_id)
     return write
 
 

@@ -4,11 +4,13 @@ comparison at sf0.01; ``tools/oracle_check.py`` runs it by hand)."""
 import pytest
 
 import __spark_entry__ as entry
+from lakeops.plans.registry import all_queries
+from lakeops.session import release_scratch
 from tests.conftest import SF_SMALL
 from tools.oracle_check import SPARK_TO_DUCK, digest, duck_connect
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n in all_queries()}
+ORACLES = {n: q for n, q in entry.oracle_sql().items() if n in all_queries()}
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
+    release_scratch(spark)
     rel = duck.execute(ORACLES[name])
     d_cols = [c[0] for c in rel.description]
     d_types = {c[0]: str(c[1]) for c in rel.description}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lakeops.operators.runs import latest_run
 from lakeops.plans.derive import run_records
-from lakeops.sources import jdbc
+from lakeops.sources import files, jdbc
 from lakeops.streaming import status as st
 from lakeops.tables import Tables
 from tests.conftest import SF_SMALL
@@ -52,10 +52,6 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_ordinal_reuses_its_sort(spark):
-    assert "ReusedExchange" in plan(QUERIES["row_ordinal"](spark, SF_SMALL), executed=True)
-
-
 def test_first_row_is_a_partial_aggregate(spark):
     text = plan(QUERIES["key_payload_join"](spark, SF_SMALL))
     assert text.count("SortAggregate") >= 2 and "Window" not in text
@@ -74,7 +70,7 @@ def test_stream_equals_batch(spark):
 def test_stream_reads_bounded_micro_batches(spark, tmp_path):
     events = Tables(spark, SF_SMALL).events
     landing = str(tmp_path / "landing")
-    st.land_files(events, landing, 8, order="ts")
+    st.land_files(events.repartition(8), landing)
     seen = []
     stream = st.read_event_stream(spark, landing, events.schema, files_per_trigger=2)
     st.run_available(stream, str(tmp_path / "ckpt"), "bounded_batches", "append",
@@ -94,28 +90,99 @@ def test_jdbc_options():
     assert jdbc.jdbc_write_options("jdbc:x", "t")["batchsize"] == "1000"
 
 
-def test_positions_survive_uneven_coalesced_partitions(spark):
-    """The ordinal and the group row number read one sort shuffle in two branches; with AQE coalescing it
-    into many uneven partitions they must still agree with the plain windows (3 groups of about a third
-    of all rows each)."""
+SORT_SETTINGS = {
+    "spark.sql.execution.rangeExchange.sampleSizePerPartition": ("5", "100"),
+    "spark.sql.adaptive.coalescePartitions.enabled": ("true", "false"),
+    "spark.sql.exchange.reuse": ("true", "false"),
+}
+
+
+@pytest.fixture(params=[0, 1], ids=["small_sample", "no_reuse"])
+def odd_sorts(request, spark):
+    """Settings under which two sorts of the same rows would not agree on their partitions."""
+    extra = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+             "spark.sql.shuffle.partitions": "16"}
+    new = {k: v[request.param] for k, v in SORT_SETTINGS.items()} | extra
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_positions_do_not_depend_on_the_sort(spark, odd_sorts):
+    """Orders by few columns of wide rows, and groups with a third of all rows, against plain windows on full rows."""
     from pyspark.sql import Window
 
-    from lakeops.operators.ordering import with_group_row_number, with_ordinal
+    from lakeops.operators import ordering
     from tests.conftest import SF_CHECK
 
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    orders = Tables(spark, SF_CHECK).orders
+    by = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    plain = orders.withColumn("pos", F.row_number().over(Window.orderBy(*by)).cast("long"))
+    assert same(ordering.with_ordinal(orders, by, "pos"), plain)
+    assert same(ordering.top_n(orders, by, 9001, "pos", deep_page_rows=50), plain.where("pos <= 9001"))
+    assert same(ordering.page_slice(orders, by, 241, 50, "pos", deep_page_rows=50), plain.where("pos > 12000 and pos <= 12050"))
+    hot = orders.withColumn("g", F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(F.col("o_custkey") % 40))
+    w = Window.partitionBy("g").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    flag = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey"))
+    got = ordering.with_group_running(hot, ["g"], by, [("n", "sum", F.lit(1)), ("low", "min", F.col("o_custkey")), ("last", "last", flag)])
+    want = (hot.withColumn("n", F.count(F.lit(1)).over(w)).withColumn("low", F.min("o_custkey").over(w))
+            .withColumn("last", F.last(flag, True).over(w)))
+    assert same(got.select(*want.columns), want.withColumn("n", F.col("n").cast("long")))
+
+
+@pytest.mark.parametrize("name", ["sort_desc", "run_history", "sectioned_rows", "two_part_rows", "row_ordinal", "sorted_keys", "batch_number", "joined_lines"])
+def test_ordered_queries_under_odd_sorts(spark, odd_sorts, name):
+    """The queries on ordinals and running values equal their SQL whatever the sort's sample and partitions."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_CHECK
+    from tools.oracle_check import digest, duck_connect
+
+    df = QUERIES[name](spark, SF_CHECK)
+    found = duck_connect(SF_CHECK).execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in found.description]
+    assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(columns, found.fetchall())[0]
+
+
+def test_files_are_split_into_tasks(spark, tmp_path):
+    """One CSV file, and one XML file, are read by many tasks."""
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("symbol"), F.lit("1").alias("position"),
+                                      F.concat(F.lit("a\n<&\"'> \\n"), F.col("id").cast("string")).alias("fifoPnlUnrealized"))
+    files.write_csv(rows.coalesce(1), str(tmp_path / "csv"), escaped_breaks=True)
+    files.write_positions_xml(rows.coalesce(1), str(tmp_path / "xml"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
     try:
-        li = Tables(spark, SF_CHECK).lineitem
-        order = list(li.columns)
-        fast = with_ordinal(li, order, "pos")
-        slow = li.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
-        assert fast.exceptAll(slow).count() == 0
-        g = with_group_row_number(li, ["l_returnflag"], order, "rn")
-        gs = li.withColumn("rn", F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order)).cast("long"))
-        assert g.exceptAll(gs).count() == 0 and gs.exceptAll(g).count() == 0
+        back = files.read_csv_text(spark, str(tmp_path / "csv"), escaped_breaks=True)
+        assert back.rdd.getNumPartitions() > 4 and same(back, rows)
+        xml = files.read_positions_xml(spark, str(tmp_path / "xml"))
+        assert xml.rdd.getNumPartitions() > 4 and same(xml.select(*rows.columns), rows)
+        assert same(files.read_positions_xml(spark, str(tmp_path / "xml"), splittable=False).select("symbol"), rows.select("symbol"))
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+
+
+def test_anti_and_semi_joins_take_distinct_keys(spark):
+    for name in ("keys_without_payload", "set_difference", "batch_members"):
+        assert "HashAggregate" in plan(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_stream_verdicts(spark):
+    """All four verdicts, and a box that was not polled itself."""
+    rows = [(0, "4"), (1, "4"), (2, "4"), (3, "4"), (4, "6"), (5, "1"), (6, "4"), (7, "1"), (9, "5"), (10, "4"), (13, "4"), (15, "4")]
+    latest = spark.createDataFrame(rows, "job int, latest_status string")
+    out = st.polled_verdicts(latest, "job", F.expr("job div 3"), F.col("job") % 3 == 0)
+    assert {r.box: (r.box_status, r.n_children, r.verdict) for r in out.collect()} == {
+        0: ("4", 2, "success"), 1: ("4", 2, "failed"), 2: ("4", 1, "open"), 3: ("5", 1, "not success"),
+        4: (None, 1, "not success"), 5: ("4", 0, "success")}
 
 
 def test_stream_restart_continues_from_its_checkpoint(spark, tmp_path):
@@ -128,10 +195,10 @@ def test_stream_restart_continues_from_its_checkpoint(spark, tmp_path):
         latest = st.latest_status(stream, "user_id", "ts", "event_type", "event_id")
         st.run_available(latest, ckpt, "restart_check", "complete", st.snapshot_writer(out))
 
-    st.land_files(first, landing, 4, order="ts")
+    st.land_files(first.repartition(4), landing)
     run()
     half = st.read_snapshot(spark, out).agg(F.sum("n_events")).first()[0]
-    st.land_files(second, landing, 4, order="ts")
+    st.land_files(second.repartition(4), landing)
     run()  # same checkpoint: only the new files are read, the state carries the first half
     full = st.read_snapshot(spark, out)
     batch = ev.groupBy("user_id").agg(
