@@ -91,14 +91,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
 
 
 def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-          threshold: float = 1.0) -> DataFrame:
-    """page_id, host, path, rule, verdict, trust, distrust. ``rules`` has host, path, verdict and rule (its name)."""
+          threshold: float = 1.0, broadcast_hosts: int = 100_000) -> DataFrame:
+    """page_id, host, path, rule, verdict, trust, distrust. ``rules`` has host, path, verdict and rule (its name).
+    Up to ``broadcast_hosts`` (counted) hosts, what is known of them is broadcast, so that pages are not shuffled."""
     ensure_checkpoint_dir(pages.sparkSession)
     rows = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
                         F.col(html).alias("html"))
     thin = rows.drop("html")
-    hosts = thin.select("host").distinct()
-    known = host_rules(hosts, rules)
+    hosts = thin.select("host").distinct().checkpoint()
+    of_hosts = F.broadcast if hosts.count() <= broadcast_hosts else (lambda t: t)
+    known = of_hosts(host_rules(hosts, rules))
     fitting = F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"]))
     best = F.array_max(F.transform(fitting, lambda r: F.struct(r["size"].alias("size"), r["block"].alias("block"), r["rule"].alias("rule"))))
     ruled = thin.join(known, "host", "left").withColumn("best", best).drop("rules")
@@ -107,7 +109,7 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
     n_ruled = max(1, (sums.a or 0) + (sums.b or 0))
     part = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.lit(float(n_ruled))
     seeds = per_host.select("host", part("a").alias("trust"), part("b").alias("distrust"))
-    scores = propagate(host_edges(rows, hosts), seeds)
+    scores = of_hosts(propagate(host_edges(rows, hosts), seeds))
     verdict = F.when(F.col("best.block"), "block").when(F.col("best").isNotNull(), "allow").when(
         F.coalesce("distrust", F.lit(0.0)) > threshold * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return ruled.join(scores, "host", "left").select(
