@@ -35,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm import blocks as bl
 from lakeops.llm import textbytes as tb
 from lakeops.llm.graph import components
 from lakeops.session import ensure_checkpoint_dir
 
 PIECE_BYTES = 1 << 20
 MIN_PARTS, PER_PART = 64, 8
+KEY_BITS, MOST = 48, 65535
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
 #: Pivots a region draws at the first level; every further level draws that many times more.
@@ -69,29 +71,46 @@ def shingle_sets(texts: list[str | None], width: int):
     return out
 
 
-def _local_counts(batches, width: int, column: int):
-    """Shingles found in at least 3 documents, and in 1 of 2500, of one task's documents."""
-    keys, counts, docs, held = [], [], 0, 0
-    def fold():
-        every = np.concatenate(keys)
-        k, at = np.unique(every, return_inverse=True)
-        n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
-        return k, n
-    for batch in batches:
-        for lo, hi, texts in tb.text_groups(batch, column, PIECE_BYTES):
-            docs += hi - lo
-            found = shingle_sets(texts, width)
-            k, n = np.unique(np.concatenate(found), return_counts=True)
-            keys.append(k[n > 1])
-            counts.append(n[n > 1])
-            held += len(keys[-1])
-            if held > 2_000_000:
-                k, n = fold()
-                keys, counts, held = [k], [n], 0
-    if keys:
-        k, n = fold()
-        keep = n >= max(3, docs / 2500)
-        yield pa.RecordBatch.from_arrays([pa.array(k[keep].view(np.int64)), pa.array(n[keep])], ["key", "n"])
+def _block_sets(payload: bytes, width: int):
+    """The batch of a block and the shingle set of each of its rows."""
+    batch = bl.from_bytes(payload)
+    sets = []
+    for _, _, texts in tb.text_groups(batch, 1, PIECE_BYTES):
+        sets += shingle_sets(texts, width)
+    return batch, sets
+
+
+def _keys_of(sets: list[np.ndarray]):
+    """The distinct keys (the hashes' first ``KEY_BITS`` bits) of a block's distinct sets, and in how many sets each is."""
+    own = {_signature(s): s for s in sets if len(s)}
+    every = np.concatenate(list(own.values())) if own else np.empty(0, np.uint64)
+    return np.unique(every >> np.uint64(64 - KEY_BITS), return_counts=True)
+
+
+def _scatter_keys(batches, width: int, buckets: int):
+    for rows in batches:
+        for block, payload in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            keys, n = _keys_of(_block_sets(payload, width)[1])
+            of = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets)) >> np.uint64(32)
+            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.empty(0, np.int64)
+            for lo, hi in zip(cuts.tolist(), np.r_[cuts[1:], len(of)].tolist()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(of[lo])], pa.int64()), pa.array([block], pa.int64()),
+                     pa.array([bl.columns_to_bytes(keys=bl.pack_sorted(keys[lo:hi]), n=np.minimum(n[lo:hi], MOST).astype(np.uint16))], pa.binary())],
+                    ["bucket", "block", "payload"])
+
+
+def _add_counts(key, table: pa.Table) -> pa.Table:
+    """Of one bucket: tells each block in how many sets of the corpus its keys are (``MOST`` stands for more)."""
+    sent = [bl.columns_from_bytes(p) for p in table.column("payload").to_pylist()]
+    keys = [bl.unpack_sorted(x["keys"]) for x in sent]
+    _, at = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.minimum(np.bincount(at, np.concatenate([x["n"] for x in sent])), MOST).astype(np.uint16)
+    out, begin = [], 0
+    for k in keys:
+        out.append(bl.columns_to_bytes(n=total[at[begin:begin + len(k)]]))
+        begin += len(k)
+    return pa.table([pa.array([key[0].as_py()] * len(out), pa.int64()), table.column("block"), pa.array(out, pa.binary())], names=["bucket", "block", "payload"])
 
 
 def _signature(s: np.ndarray) -> int:
@@ -100,34 +119,34 @@ def _signature(s: np.ndarray) -> int:
         return int(tb.mix(np.array([total]))[0].view(np.int64))
 
 
-def _node_rows(batches, width: int, share: int, shared):
-    hot, rank = shared.value
+def _node_rows(batches, width: int, share: int):
+    """Per document: its node, size, landmarks and coordinates. A landmark is a shingle of the prefix that another set
+    of the corpus has too; the prefix is taken in the order of (sets that have it, hash)."""
     seen: set[int] = set()
-    for batch in batches:
-        for lo, hi, texts in tb.text_groups(batch, 1, PIECE_BYTES):
-            nodes, sizes, prefixes, sketches = [], [], [], []
-            for s in shingle_sets(texts, width):
+    for rows in batches:
+        for payload, answers in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+            batch, sets = _block_sets(payload, width)
+            keys, _ = _keys_of(sets)
+            answers.sort(key=lambda a: a["bucket"])  # buckets hold ranges of keys, in order
+            count = np.concatenate([bl.columns_from_bytes(a["payload"])["n"] for a in answers]) if answers else np.empty(0, np.uint16)
+            nodes, sizes, landmarks, sketches = [], [], [], []
+            for s in sets:
                 n = len(s)
                 node = _signature(s) if n else None
                 nodes.append(node)
                 sizes.append(n)
-                if not n or node in seen:
-                    prefixes.append(None)
-                    sketches.append(None)
-                    continue
-                seen.add(node)
-                length = n - -(-share * n // 100) + 1
-                order = np.zeros(n, np.int64)
-                if len(hot):
-                    at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-                    order = np.where(hot[at] == s, rank[at], 0)
-                if order.any():
-                    s = s[np.lexsort((s, order))]
-                prefixes.append(s[:length].view(np.int64))
-                sketches.append(_coordinates(s).tobytes())
+                marks = None
+                if n and node not in seen:
+                    seen.add(node)
+                    found = count[np.searchsorted(keys, s >> np.uint64(64 - KEY_BITS))]
+                    length = n - -(-share * n // 100) + 1
+                    first = np.lexsort((s, found))[:length]
+                    marks = s[first[found[first] > 1]].view(np.int64)
+                landmarks.append(marks if marks is not None and len(marks) else None)
+                sketches.append(_coordinates(s).tobytes() if landmarks[-1] is not None else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(landmarks, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
                 ["doc_id", "node", "n", "landmarks", "sketch"])
 
 
@@ -177,16 +196,6 @@ def _distances(batches):
                                          ["x", "p", "common", "nx", "np"])
 
 
-def _frequent(documents: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of at least 1 in 2000 documents, with a rank by frequency: at most 2000 x the mean set size."""
-    local = documents.select("text").mapInArrow(lambda b: _local_counts(b, width, 0), "key long, n long")
-    least = max(3, documents.count() // 2000)
-    rows = local.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-    keys = rows.column("key").to_numpy().view(np.uint64)
-    by = np.argsort(keys)
-    return keys[by], rows.column("n").to_numpy()[by]
-
-
 def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id: str = "doc_id", text: str = "text",
                  broadcast_bytes: int = 8 << 20) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles and component_id, the smallest doc_id that can be reached by
@@ -197,9 +206,14 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
     ensure_checkpoint_dir(spark)
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(_frequent(docs, width))
-    rows = docs.mapInArrow(lambda b: _node_rows(b, width, share, shared),
-                           f"doc_id {id_type}, node long, n long, landmarks array<long>, sketch binary").checkpoint()
+    blocks = bl.pack(docs, "text")
+    buckets = bl.bucket_count(blocks)
+    sent = "bucket long, block long, payload binary"
+    counts = blocks.mapInArrow(lambda b: _scatter_keys(b, width, buckets), sent).groupBy("bucket").applyInArrow(lambda key, t: _add_counts(key, t), sent)
+    mine = counts.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers"))
+    known = blocks.join(mine, "block", "left").select("payload", F.coalesce("answers", F.array().cast("array<struct<bucket:bigint,payload:binary>>")).alias("answers"))
+    rows = known.mapInArrow(lambda b: _node_rows(b, width, share),
+                            f"doc_id {id_type}, node long, n long, landmarks array<long>, sketch binary").checkpoint()
     members = _first_regions(rows).checkpoint()
     labels = _join_regions(docs, rows, members, width, share, broadcast_bytes)
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
@@ -230,36 +244,70 @@ def _join_regions(docs, rows, members, width, share, broadcast_bytes) -> DataFra
     """Labels of all nodes that have a link, by the recursion over regions; None if no two nodes meet."""
     if members.isEmpty():
         return None
-    met_nodes = members.select("node").distinct()
-    sketches = (rows.where("sketch is not null").select("node", "n", "sketch").join(met_nodes, "node")
-                .groupBy("node", "n").agg(F.first("sketch").alias("sketch")).checkpoint())
+    degree = members.groupBy("node").agg(F.count("*").alias("degree"))
+    sketches = (rows.where("sketch is not null").select("node", "n", "sketch").join(degree, "node")
+                .groupBy("node", "n", "degree").agg(F.first("sketch").alias("sketch")).checkpoint())
     r = (100 - share) / 100 + 1e-9
     size = members.groupBy("region").agg(F.count("*").alias("m"))
-    members = members.join(size, "region").join(sketches.select("node", "n"), "node").checkpoint()
+    members = members.join(size, "region").join(sketches.select("node", "n", "degree"), "node").checkpoint()
+    measure = lambda pairs: _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes)
     leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n")
     other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"))
     direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
-    members = (members.where(F.col("m") > LEAF).select("region", "node", "n")
-               .withColumn("open", F.lit(True)).withColumn("label", F.col("node")))
-    links, labels, pivots_each = None, None, PIVOTS
+    large = members.where(F.col("m") > LEAF)
+    links = _links(measure(direct.unionByName(_home_pairs(large.withColumn("open", F.lit(True)), 1, share))))
+    labels = _near_labels(links).checkpoint()
+    # Most of a group of near copies is connected now; the others try a few more pivots, once each.
+    opened = _open(large.select("region", "node", "n", "m", "degree"), labels)
+    if not opened.isEmpty():
+        links = links.unionAll(_links(measure(_home_pairs(opened, PIVOTS, share))))
+        labels = _near_labels(links).checkpoint()
+        opened = _open(opened.select("region", "node", "n", "m", "degree"), labels)
+    members = opened.select("region", "node", "n", "label", "open")
+    pivots_each = PIVOTS
     while True:
         live = _draw_pivots(members, pivots_each)
-        if links is not None and live.isEmpty():
+        if live.isEmpty():
             return components(links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
         pivots = live.where("pivot").select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"))
         # A pair of pivots is met from both sides.
         pairs = (live.join(pivots, "region").where("node <> p and label <> lp").where(_sizes_allow(share))
                  .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
-        if links is None:
-            pairs = pairs.unionByName(direct)
-        measured = _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes)
-        new = measured.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-        links = new if links is None else links.unionAll(new)
+        measured = measure(pairs)
+        links = links.unionAll(_links(measured))
         labels = _near_labels(links).checkpoint()
         members = _next_regions(live, pivots, measured, labels, r)
         pivots_each *= PIVOTS
 
 
+def _links(measured: DataFrame) -> DataFrame:
+    return measured.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
+
+
+def _home_pairs(members: DataFrame, each: int, share: int) -> DataFrame:
+    """Pairs of every open member with the ``each`` pivots of its home, the largest region it is in. Pivots are the
+    members with most landmarks in regions: near copies with few changes, which are near the others."""
+    rank = F.struct(F.col("degree"), F.xxhash64("node").alias("h"), F.col("node").alias("p"), F.col("n").alias("np"))
+    home = members.where("open").groupBy("node", "n").agg(F.max(F.struct("m", "region")).alias("home")).select("node", "n", "home.region")
+    if each == 1:
+        best = members.groupBy("region").agg(F.max(rank).alias("b")).select("region", "b.p", "b.np")
+    else:  # the best of each of ``each`` parts of a region
+        part = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(each)).alias("part")
+        best = members.groupBy("region", part).agg(F.max(rank).alias("b")).select("region", "b.p", "b.np")
+    return (home.join(best, "region").where("node <> p").where(_sizes_allow(share))
+            .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with label and open, of the regions in which not all are known to be connected; all but a region's
+    largest group of connected members are open."""
+    rest = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = rest.groupBy("region", "label").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("region").agg(F.max(F.struct("k", "label")).alias("largest"), F.count("*").alias("groups"))
+    return (rest.join(main.where("groups > 1"), "region").withColumn("open", F.col("label") != F.col("largest.label"))
+            .drop("largest", "groups").checkpoint())
+
+
 def _near_labels(links: DataFrame) -> DataFrame:
     """(node, label): a smaller node of the same component, near the smallest one: the smallest neighbour, followed
     twice. Equal labels prove a connection; only the result needs the whole components."""
@@ -313,12 +361,7 @@ def _next_regions(live, pivots, measured, labels, r) -> DataFrame:
     """What one level leaves of the regions in which not all members are known to be connected. A region's largest
     group of connected members is closed: its members meet the others, not each other, and only those that the
     triangle inequality leaves within reach of an open member stay."""
-    rest = (live.where("not pivot").select("region", "node", "n").join(labels, "node", "left")
-            .withColumn("label", F.coalesce("label", "node")))
-    sizes = rest.groupBy("region", "label").agg(F.count("*").alias("m"))
-    main = sizes.groupBy("region").agg(F.max(F.struct("m", "label")).alias("largest"), F.count("*").alias("groups"))
-    rest = (rest.join(main.where("groups > 1"), "region")
-            .select("region", "node", "n", "label", (F.col("label") != F.col("largest.label")).alias("open")).checkpoint())
+    rest = _open(live.where("not pivot").select("region", "node", "n"), labels)
     both = measured.unionAll(measured.select(F.col("p").alias("x"), F.col("x").alias("p"), "linked", "d"))
     seen = (rest.join(pivots.select("region", "p", "np"), "region")
             .join(both.withColumnRenamed("x", "node"), ["node", "p"], "left")
