@@ -149,8 +149,14 @@ def release_scratch(spark: SparkSession) -> int:
         spark.catalog.dropTempView(_VIEWS.pop())
     while _NAMESPACES:
         spark.sql(f"DROP NAMESPACE IF EXISTS {_NAMESPACES.pop()} CASCADE")
-    jvm = spark.sparkContext._jvm
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    release_paths(spark, list(_SCRATCH))
     return n
+
+
+def release_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some of the scratch folders, when what reads them has been written elsewhere."""
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if name in _SCRATCH:
+            _SCRATCH.remove(name)
