@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.llm.textbytes import groups
-from lakeops.session import ensure_checkpoint_dir
+from lakeops.session import ensure_checkpoint_dir, release_paths, scratch_path
 
 BLOCK_BYTES = 4 << 20
 _ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
@@ -78,11 +78,12 @@ def _packed(batches, size_column: int):
         yield row()
 
 
-def pack(df: DataFrame, text: str) -> DataFrame:
-    """(block, payload): all columns of ``df`` in blocks of about ``BLOCK_BYTES`` of text; a longer text is one block."""
+def pack(df: DataFrame, text: str, keep=DataFrame.checkpoint) -> DataFrame:
+    """(block, payload): all columns of ``df`` in blocks of about ``BLOCK_BYTES`` of text; a longer text is one block.
+    ``keep`` stores them."""
     ensure_checkpoint_dir(df.sparkSession)
     at = df.columns.index(text)
-    return df.mapInArrow(lambda batches: _packed(batches, at), "block long, payload binary").checkpoint()
+    return keep(df.mapInArrow(lambda batches: _packed(batches, at), "block long, payload binary"))
 
 
 def replies(blocks: DataFrame, answers: DataFrame) -> DataFrame:
@@ -95,3 +96,23 @@ def replies(blocks: DataFrame, answers: DataFrame) -> DataFrame:
 def bucket_count(blocks: DataFrame) -> int:
     """Buckets for what blocks scatter: so many that a bucket gathers about what two blocks send."""
     return -(-blocks.count() // 2) or 1
+
+
+class Store:
+    """Tables written for one computation in the shared scratch folder, and read back: lost executors repeat single
+    steps, and plans start afresh (a checkpoint would carry the constraints of all earlier steps along)."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, "step"))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """``df``, written; everything kept before is deleted."""
+        done, self.paths = self.paths, []
+        out = self.keep(df)
+        release_paths(self.spark, done)
+        return out

@@ -4,11 +4,15 @@ The Jaccard distance d is a metric. Two sets link when their similarity is at le
 is, when d is at most r. The join is a recursion over regions:
 
 * The first regions. Documents without a common shingle are at distance 1, so a document's rarest shingles
-  are its landmarks: any linked pair shares one of the first n - ceil(share * n) + 1 in a common order.
-  Shingles that are frequent in the corpus come last in the order, so that region sizes stay small (the
-  order decides about speed only, never about results). Regions of equal membership are taken once.
+  are its landmarks: any linked pair shares one of the first n - ceil(share * n) + 1 in a common order, here
+  (number of sets that have it, hash). The numbers are exact: blocks of documents send their distinct shingles
+  to hash buckets and get the counts back. Shingles of one set only are no landmarks. A region is the documents
+  of one landmark; regions of equal membership are taken once.
 * Regions of at most ``LEAF`` members are compared directly.
-* One level. Every larger region draws pivots among its open members (at first all are); all members' distances
+* In a larger region every member is first measured against one pivot of its home, the largest region it is in:
+  the member with most landmarks, that is, the near copy with fewest changes; members that this leaves
+  unconnected try ``PIVOTS`` more. This settles most groups of near copies with a few distances a member.
+* One level of the recursion for what is left. Every region draws pivots among its open members (at first all are); all members' distances
   to the pivots are found, each distinct pair once. Members within r of a pivot lie in its cell and are linked.
   Members known to be connected need not be compared: the largest connected group of a region is closed, the
   others stay open. A closed member can still link to an open one, but by the triangle inequality only if its
@@ -20,7 +24,8 @@ is, when d is at most r. The join is a recursion over regions:
   parts, and the counts of a set's shingles in each part are its coordinates. The sum of their absolute
   differences bounds the symmetric difference from below, so most unrelated pairs never fetch their sets.
 
-Equal sets are one node. Nothing is collected; levels and components are checkpointed.
+Equal sets are one node. Nothing is collected; every step of a level and of the components is written to the
+shared scratch folder and deleted when the result, which is small, has been written.
 
 Defined cases: a null or empty text, or one without words, has an empty set and links with nothing; a text
 of fewer words than ``width`` is one shingle; documents that repeat are one node; a null doc_id keeps a null
@@ -38,7 +43,6 @@ from pyspark.sql import functions as F
 from lakeops.llm import blocks as bl
 from lakeops.llm import textbytes as tb
 from lakeops.llm.graph import components
-from lakeops.session import ensure_checkpoint_dir
 
 PIECE_BYTES = 1 << 20
 MIN_PARTS, PER_PART = 64, 8
@@ -203,19 +207,19 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
     if not 1 <= share <= 100 or width < 1:
         raise ValueError("share must be 1 to 100 percent and width at least 1")
     spark = documents.sparkSession
-    ensure_checkpoint_dir(spark)
+    store = bl.Store(spark)
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    blocks = bl.pack(docs, "text")
+    blocks = bl.pack(docs, "text", store.keep)
     buckets = bl.bucket_count(blocks)
     sent = "bucket long, block long, payload binary"
     counts = blocks.mapInArrow(lambda b: _scatter_keys(b, width, buckets), sent).groupBy("bucket").applyInArrow(lambda key, t: _add_counts(key, t), sent)
     mine = counts.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers"))
     known = blocks.join(mine, "block", "left").select("payload", F.coalesce("answers", F.array().cast("array<struct<bucket:bigint,payload:binary>>")).alias("answers"))
-    rows = known.mapInArrow(lambda b: _node_rows(b, width, share),
-                            f"doc_id {id_type}, node long, n long, landmarks array<long>, sketch binary").checkpoint()
-    members = _first_regions(rows).checkpoint()
-    labels = _join_regions(docs, rows, members, width, share, broadcast_bytes)
+    rows = store.keep(known.mapInArrow(lambda b: _node_rows(b, width, share),
+                                       f"doc_id {id_type}, node long, n long, landmarks array<long>, sketch binary"))
+    members = _first_regions(rows, store)
+    labels = _join_regions(docs, rows, members, width, share, broadcast_bytes, store)
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     if labels is not None:
         labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -223,60 +227,60 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
         nodes = labelled.join(first, "label").select("node", "component_id")
     else:
         nodes = nodes.select("node", F.col("first").alias("component_id"))
-    return (rows.select("doc_id", "node", F.col("n").alias("n_shingles")).join(nodes, "node", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    return store.result(rows.select("doc_id", "node", F.col("n").alias("n_shingles")).join(nodes, "node", "left")
+                        .select("doc_id", "n_shingles",
+                                F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
-def _first_regions(rows: DataFrame) -> DataFrame:
+def _first_regions(rows: DataFrame, store) -> DataFrame:
     """(region, node) of every landmark that at least two nodes have, regions of equal members once."""
     postings = rows.where("landmarks is not null").select(F.explode("landmarks").alias("region"), "node")
     shared = (postings.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high"))
               .where("low <> high").select("region"))
-    members = postings.join(shared, "region").distinct().checkpoint()
+    members = store.keep(postings.join(shared, "region").distinct())
     of = lambda seed: F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(seed)), 32))
     once = (members.groupBy("region").agg(F.count("*").alias("m"), F.min("node").alias("low"), of(1).alias("s1"), of(2).alias("s2"))
             .groupBy("m", "low", "s1", "s2").agg(F.min("region").alias("region")).select("region"))
-    return members.join(once, "region")
+    return store.keep(members.join(once, "region"))
 
 
-def _join_regions(docs, rows, members, width, share, broadcast_bytes) -> DataFrame | None:
+def _join_regions(docs, rows, members, width, share, broadcast_bytes, store) -> DataFrame | None:
     """Labels of all nodes that have a link, by the recursion over regions; None if no two nodes meet."""
     if members.isEmpty():
         return None
     degree = members.groupBy("node").agg(F.count("*").alias("degree"))
-    sketches = (rows.where("sketch is not null").select("node", "n", "sketch").join(degree, "node")
-                .groupBy("node", "n", "degree").agg(F.first("sketch").alias("sketch")).checkpoint())
+    sketches = store.keep(rows.where("sketch is not null").select("node", "n", "sketch").join(degree, "node")
+                          .groupBy("node", "n", "degree").agg(F.first("sketch").alias("sketch")))
     r = (100 - share) / 100 + 1e-9
     size = members.groupBy("region").agg(F.count("*").alias("m"))
-    members = members.join(size, "region").join(sketches.select("node", "n", "degree"), "node").checkpoint()
-    measure = lambda pairs: _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes)
+    members = store.keep(members.join(size, "region").join(sketches.select("node", "n", "degree"), "node"))
+    measure = lambda pairs: _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes, store)
     leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n")
     other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"))
     direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
     large = members.where(F.col("m") > LEAF)
     links = _links(measure(direct.unionByName(_home_pairs(large.withColumn("open", F.lit(True)), 1, share))))
-    labels = _near_labels(links).checkpoint()
+    labels = store.keep(_near_labels(links))
     # Most of a group of near copies is connected now; the others try a few more pivots, once each.
-    opened = _open(large.select("region", "node", "n", "m", "degree"), labels)
+    opened = _open(large.select("region", "node", "n", "m", "degree"), labels, store)
     if not opened.isEmpty():
         links = links.unionAll(_links(measure(_home_pairs(opened, PIVOTS, share))))
-        labels = _near_labels(links).checkpoint()
-        opened = _open(opened.select("region", "node", "n", "m", "degree"), labels)
+        labels = store.keep(_near_labels(links))
+        opened = _open(opened.select("region", "node", "n", "m", "degree"), labels, store)
     members = opened.select("region", "node", "n", "label", "open")
     pivots_each = PIVOTS
     while True:
-        live = _draw_pivots(members, pivots_each)
+        live = _draw_pivots(members, pivots_each, store)
         if live.isEmpty():
-            return components(links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))))
+            return components(links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))), keep=store.keep)
         pivots = live.where("pivot").select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"))
         # A pair of pivots is met from both sides.
         pairs = (live.join(pivots, "region").where("node <> p and label <> lp").where(_sizes_allow(share))
                  .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
         measured = measure(pairs)
         links = links.unionAll(_links(measured))
-        labels = _near_labels(links).checkpoint()
-        members = _next_regions(live, pivots, measured, labels, r)
+        labels = store.keep(_near_labels(links))
+        members = _next_regions(live, pivots, measured, labels, r, store)
         pivots_each *= PIVOTS
 
 
@@ -298,14 +302,14 @@ def _home_pairs(members: DataFrame, each: int, share: int) -> DataFrame:
             .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame, store) -> DataFrame:
     """Members, with label and open, of the regions in which not all are known to be connected; all but a region's
     largest group of connected members are open."""
     rest = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = rest.groupBy("region", "label").agg(F.count("*").alias("k"))
     main = sizes.groupBy("region").agg(F.max(F.struct("k", "label")).alias("largest"), F.count("*").alias("groups"))
-    return (rest.join(main.where("groups > 1"), "region").withColumn("open", F.col("label") != F.col("largest.label"))
-            .drop("largest", "groups").checkpoint())
+    return store.keep(rest.join(main.where("groups > 1"), "region").withColumn("open", F.col("label") != F.col("largest.label"))
+                      .drop("largest", "groups"))
 
 
 def _near_labels(links: DataFrame) -> DataFrame:
@@ -323,7 +327,7 @@ def _sizes_allow(share: int):
     return F.least("n", "np") * 100 >= F.greatest("n", "np") * share
 
 
-def _draw_pivots(members: DataFrame, each: int) -> DataFrame:
+def _draw_pivots(members: DataFrame, each: int, store) -> DataFrame:
     """Members of the regions that are not done, about ``each`` open ones of a region marked as pivots (all of
     them if they are few, and one at least)."""
     stats = members.groupBy("region").agg(F.min("label").alias("l1"), F.max("label").alias("l2"),
@@ -332,36 +336,36 @@ def _draw_pivots(members: DataFrame, each: int) -> DataFrame:
     live = members.join(stats.where("l1 <> l2 and n_open > 0"), "region")
     chance = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) / (1 << 30)
     drawn = (F.col("node") == F.col("first.node")) | (F.col("n_open") <= LEAF) | (chance * F.col("n_open") < each - 1)
-    return live.select("region", "node", "n", "label", "open", (F.col("open") & drawn).alias("pivot")).checkpoint()
+    return store.keep(live.select("region", "node", "n", "label", "open", (F.col("open") & drawn).alias("pivot")))
 
 
-def _measure(docs, rows, sketches, pairs, width, share, broadcast_bytes) -> DataFrame:
+def _measure(docs, rows, sketches, pairs, width, share, broadcast_bytes, store) -> DataFrame:
     """(x, p, linked, d) of the pairs whose coordinates do not exclude a link. Only the texts of these are read again."""
     side = lambda name, size, sketch: sketches.select(F.col("node").alias(name), F.col("n").alias(size), F.col("sketch").alias(sketch))
-    maybe = (pairs.join(side("x", "nx", "sx"), "x").join(side("p", "np", "sp"), "p")
-             .select("x", "nx", "sx", "p", "np", "sp")
-             .mapInArrow(lambda b: _may_link(b, share), "x long, nx long, p long, np long").checkpoint())
-    wanted = maybe.select(F.col("x").alias("node")).union(maybe.select("p")).distinct().checkpoint()
+    maybe = store.keep(pairs.join(side("x", "nx", "sx"), "x").join(side("p", "np", "sp"), "p")
+                       .select("x", "nx", "sx", "p", "np", "sp")
+                       .mapInArrow(lambda b: _may_link(b, share), "x long, nx long, p long, np long"))
+    wanted = store.keep(maybe.select(F.col("x").alias("node")).union(maybe.select("p")).distinct())
     small = wanted.count() * 24 <= broadcast_bytes
     holders = rows.select("node", "doc_id").join(F.broadcast(wanted) if small else wanted, "node")
     holders = holders.groupBy("node").agg(F.min(F.struct("doc_id")).alias("d")).select(F.col("d.doc_id").alias("k")).distinct()
     some = docs.join(F.broadcast(holders) if small else holders, F.col("k").eqNullSafe(F.col("doc_id")), "left_semi").select("text")
-    sets = (some.mapInArrow(lambda b: _set_rows(b, width, 0), "node long, shingles binary").join(wanted, "node")
-            .groupBy("node").agg(F.first("shingles").alias("shingles")).checkpoint())
+    sets = store.keep(some.mapInArrow(lambda b: _set_rows(b, width, 0), "node long, shingles binary").join(wanted, "node")
+                      .groupBy("node").agg(F.first("shingles").alias("shingles")))
     found = (maybe.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("a")), "x")
              .join(sets.select(F.col("node").alias("p"), F.col("shingles").alias("b")), "p")
              .select("x", "p", "a", "b", "nx", "np"))
-    return (found.mapInArrow(_distances, "x long, p long, common long, nx long, np long")
-            .withColumn("all", F.col("nx") + F.col("np") - F.col("common"))
-            .select("x", "p", (F.col("common") * 100 >= F.col("all") * share).alias("linked"),
-                    (1 - F.col("common") / F.col("all")).alias("d")).checkpoint())
+    return store.keep(found.mapInArrow(_distances, "x long, p long, common long, nx long, np long")
+                      .withColumn("all", F.col("nx") + F.col("np") - F.col("common"))
+                      .select("x", "p", (F.col("common") * 100 >= F.col("all") * share).alias("linked"),
+                              (1 - F.col("common") / F.col("all")).alias("d")))
 
 
-def _next_regions(live, pivots, measured, labels, r) -> DataFrame:
+def _next_regions(live, pivots, measured, labels, r, store) -> DataFrame:
     """What one level leaves of the regions in which not all members are known to be connected. A region's largest
     group of connected members is closed: its members meet the others, not each other, and only those that the
     triangle inequality leaves within reach of an open member stay."""
-    rest = _open(live.where("not pivot").select("region", "node", "n"), labels)
+    rest = _open(live.where("not pivot").select("region", "node", "n"), labels, store)
     both = measured.unionAll(measured.select(F.col("p").alias("x"), F.col("x").alias("p"), "linked", "d"))
     seen = (rest.join(pivots.select("region", "p", "np"), "region")
             .join(both.withColumnRenamed("x", "node"), ["node", "p"], "left")
