@@ -78,7 +78,7 @@ def _packed(batches, size_column: int):
         yield row()
 
 
-def pack(df: DataFrame, text: str, keep=DataFrame.checkpoint) -> DataFrame:
+def pack(df: DataFrame, text: str, keep=lambda t: t.checkpoint()) -> DataFrame:
     """(block, payload): all columns of ``df`` in blocks of about ``BLOCK_BYTES`` of text; a longer text is one block.
     ``keep`` stores them."""
     ensure_checkpoint_dir(df.sparkSession)

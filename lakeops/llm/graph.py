@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", keep=DataFrame.checkpoint) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", keep=lambda t: t.checkpoint()) -> DataFrame:
     """(node, label): the smallest node of each component, for every node with an edge to another node.
 
     Alternating large and small stars: each round replaces edges by stars around smaller nodes. A round is
