@@ -60,7 +60,7 @@ class _Cache(dict):
 class ByteBpe:
     """Encoder and decoder for a table of ranks. ``pattern`` must cover every character of a text."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 2048, cache_entries: int = 600_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 2048, cache_entries: int = 250_000):
         import regex
 
         if leaf_chars < 1:

@@ -246,6 +246,8 @@ def _cut(batches, text, doc_id, length, gram):
                     cover[at + length] -= 1
             removed = np.cumsum(cover, dtype=np.int32)[:-1] > 0
             yield from _kept(texts, removed)
+            del texts, cover, removed
+            pa.default_memory_pool().release_unused()
 
 
 def _kept(texts: _Texts, removed: np.ndarray):
