@@ -4,7 +4,7 @@ Counts. Documents are packed in blocks; a block sends its distinct words with th
 buckets, a bucket adds them up and answers each block with the corpus counts of its words. So every count
 covers the whole corpus, no vocabulary is gathered anywhere, and a frequent word is one entry per block.
 
-Model. The ``frequent`` commonest words are symbols of their own; the other words are symbols by the power
+Model. The ``frequent`` commonest words (at least 1 in ``RAREST`` tokens) are symbols of their own; the other words are symbols by the power
 of two of their count, and unknown words one more. A text's probability is that of its symbols under the
 hidden Markov chain, times each word's share within its symbol (as in the base: count + 0.1). Unknown words
 are one type, as in the base; a state's chance of them is its share of words seen once.
@@ -34,6 +34,7 @@ CHUNKS = 16
 END = np.uint64(0x5BD1E9955BD1E995)
 BANDS = 48  # powers of two of counts; band 0 are unknown words
 PIECE_BYTES = 1 << 20
+RAREST = 50_000  # a symbol of its own is at least one token in so many
 
 
 def _tokens(texts: list[str | None]):
@@ -324,6 +325,7 @@ def score(documents: DataFrame, learned, held_out, doc_id: str = "doc_id", text:
              .groupBy("bucket").applyInArrow(lambda key, t: _with_bucket(key, _add(t, frequent)), "bucket long, " + _ADDED).checkpoint())
     sums = added.agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
     top = (added.where("top is not null").select("top").mapInArrow(_unpack_top, "word long, n long")
+           .where(F.col("n") * RAREST >= int(sums.n or 0))
            .orderBy(F.col("n").desc(), "word").limit(frequent).collect())
     bands = (added.where("bands is not null").select("bands").mapInArrow(_unpack_bands, "band long, n double, kinds double")
              .groupBy("band").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect())
