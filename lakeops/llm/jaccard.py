@@ -49,8 +49,10 @@ MIN_PARTS, PER_PART = 64, 8
 KEY_BITS, MOST = 48, 65535
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
-#: Pivots a region draws at the first level; every further level draws that many times more.
+#: Further pivots tried at home; the recursion starts with 8 times as many a region, and each level draws that many
+#: times more.
 PIVOTS = 8
+CHUNK = 64
 
 
 def shingle_sets(texts: list[str | None], width: int):
@@ -254,7 +256,8 @@ def _join_regions(docs, rows, members, width, share, broadcast_bytes, store) ->
     r = (100 - share) / 100 + 1e-9
     size = members.groupBy("region").agg(F.count("*").alias("m"))
     members = store.keep(members.join(size, "region").join(sketches.select("node", "n", "degree"), "node"))
-    measure = lambda pairs: _measure(docs, rows, sketches, pairs.distinct(), width, share, broadcast_bytes, store)
+    verify = lambda maybe: _measure(docs, rows, maybe, width, share, broadcast_bytes, store)
+    measure = lambda pairs: verify(store.keep(_not_excluded(pairs.distinct(), sketches, share)))
     leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n")
     other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"))
     direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
@@ -268,19 +271,17 @@ def _join_regions(docs, rows, members, width, share, broadcast_bytes, store) ->
         labels = store.keep(_near_labels(links))
         opened = _open(opened.select("region", "node", "n", "m", "degree"), labels, store)
     members = opened.select("region", "node", "n", "label", "open")
-    pivots_each = PIVOTS
+    pivots_each = 8 * PIVOTS
     while True:
         live = _draw_pivots(members, pivots_each, store)
         if live.isEmpty():
             return components(links.unionAll(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))), keep=store.keep)
-        pivots = live.where("pivot").select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("lp"))
-        # A pair of pivots is met from both sides.
-        pairs = (live.join(pivots, "region").where("node <> p and label <> lp").where(_sizes_allow(share))
-                 .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
-        measured = measure(pairs)
+        met = store.keep(_meet(live.join(sketches.select("node", "sketch"), "node"), share))
+        measured = verify(store.keep(met.where("region is null").select("x", "nx", "p", "np").distinct()))
         links = links.unionAll(_links(measured))
         labels = store.keep(_near_labels(links))
-        members = _next_regions(live, pivots, measured, labels, r, store)
+        reach = met.where("region is not null").groupBy("region", "p").agg((F.min("least") - r).alias("reach"))
+        members = _next_regions(live, measured, reach, labels, store)
         pivots_each *= PIVOTS
 
 
@@ -339,12 +340,69 @@ def _draw_pivots(members: DataFrame, each: int, store) -> DataFrame:
     return store.keep(live.select("region", "node", "n", "label", "open", (F.col("open") & drawn).alias("pivot")))
 
 
-def _measure(docs, rows, sketches, pairs, width, share, broadcast_bytes, store) -> DataFrame:
-    """(x, p, linked, d) of the pairs whose coordinates do not exclude a link. Only the texts of these are read again."""
+def _not_excluded(pairs, sketches, share) -> DataFrame:
+    """(x, nx, p, np) of the pairs whose coordinates do not exclude a link."""
     side = lambda name, size, sketch: sketches.select(F.col("node").alias(name), F.col("n").alias(size), F.col("sketch").alias(sketch))
-    maybe = store.keep(pairs.join(side("x", "nx", "sx"), "x").join(side("p", "np", "sp"), "p")
-                       .select("x", "nx", "sx", "p", "np", "sp")
-                       .mapInArrow(lambda b: _may_link(b, share), "x long, nx long, p long, np long"))
+    return (pairs.join(side("x", "nx", "sx"), "x").join(side("p", "np", "sp"), "p")
+            .select("x", "nx", "sx", "p", "np", "sp")
+            .mapInArrow(lambda b: _may_link(b, share), "x long, nx long, p long, np long"))
+
+
+def _meet(live: DataFrame, share: int) -> DataFrame:
+    """Members of regions against their pivots, by chunks of both, so that a pair that the coordinates exclude is never
+    a row. Rows (x, nx, p, np) of pairs that may link, and rows (region, p, least) with a lower bound of the open
+    members' distances to a pivot."""
+    size = live.groupBy("region").agg(F.count("*").alias("m"), F.sum(F.col("pivot").cast("long")).alias("k"))
+    packed = lambda rows, count: (rows.join(size, "region")
+                                  .groupBy("region", F.pmod(F.xxhash64("node", F.lit(9)), F.ceil(F.col(count) / CHUNK)).alias("chunk"))
+                                  .agg(F.collect_list(F.struct("node", "n", "label", "open", "sketch")).alias(count)).drop("chunk"))
+    return packed(live, "m").join(packed(live.where("pivot"), "k"), "region").select("region", "m", "k").mapInArrow(
+        lambda b: _meet_chunks(b, share), "region long, x long, nx long, p long, np long, least double")
+
+
+def _meet_chunks(batches, share: int):
+    for batch in batches:
+        for region, members, pivots in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            least = np.full(len(pivots), 1.0)
+            pairs = []
+            for a, xs in _by_width(members):
+                for b, ps in _by_width(pivots):
+                    w = min(a.shape[1], b.shape[1])  # the finer division is folded onto the coarser
+                    fold = lambda t: t.reshape(len(t), -1, w).sum(axis=1, dtype=np.uint8).astype(np.int16)
+                    x, p = fold(a), fold(b)
+                    n = np.array([members[i]["n"] for i in xs])[:, None] + np.array([pivots[j]["n"] for j in ps])[None, :]
+                    apart = np.empty(n.shape, np.int64)
+                    for j in range(len(ps)):
+                        gap = np.abs(x - p[j])
+                        apart[:, j] = np.minimum(gap, 256 - gap).sum(axis=1, dtype=np.int64)
+                    bound = 2.0 * apart / (n + apart)  # similarity is at most (n - apart) / (n + apart)
+                    is_open = np.array([members[i]["open"] for i in xs])
+                    for j, q in enumerate(ps):
+                        others = is_open & np.array([members[i]["node"] != pivots[q]["node"] for i in xs])
+                        if others.any():
+                            least[q] = min(least[q], float(bound[others, j].min()))
+                    for i, j in zip(*np.nonzero(apart * (100 + share) <= n * (100 - share))):
+                        u, v = members[xs[i]], pivots[ps[j]]
+                        if u["label"] != v["label"] and min(u["n"], v["n"]) * 100 >= max(u["n"], v["n"]) * share:
+                            u, v = (u, v) if u["node"] < v["node"] else (v, u)
+                            pairs.append((u["node"], u["n"], v["node"], v["n"]))
+            rows = [(None, *pair, None) for pair in pairs] + [(region, None, None, q["node"], None, float(d)) for q, d in zip(pivots, least)]
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
+                                             ["region", "x", "nx", "p", "np", "least"])
+
+
+def _by_width(items: list[dict]):
+    """Coordinates of the items with equally fine divisions, and their places."""
+    widths: dict[int, list[int]] = {}
+    for i, item in enumerate(items):
+        widths.setdefault(len(item["sketch"]), []).append(i)
+    for w, at in widths.items():
+        yield np.frombuffer(b"".join(items[i]["sketch"] for i in at), np.uint8).reshape(len(at), w), at
+
+
+def _measure(docs, rows, maybe, width, share, broadcast_bytes, store) -> DataFrame:
+    """(x, p, linked, d) of pairs (x, nx, p, np), from their sets. Only the texts of these are read again."""
     wanted = store.keep(maybe.select(F.col("x").alias("node")).union(maybe.select("p")).distinct())
     small = wanted.count() * 24 <= broadcast_bytes
     holders = rows.select("node", "doc_id").join(F.broadcast(wanted) if small else wanted, "node")
@@ -361,17 +419,13 @@ def _measure(docs, rows, sketches, pairs, width, share, broadcast_bytes, store)
                               (1 - F.col("common") / F.col("all")).alias("d")))
 
 
-def _next_regions(live, pivots, measured, labels, r, store) -> DataFrame:
-    """What one level leaves of the regions in which not all members are known to be connected. A region's largest
-    group of connected members is closed: its members meet the others, not each other, and only those that the
-    triangle inequality leaves within reach of an open member stay."""
+def _next_regions(live, measured, reach, labels, store) -> DataFrame:
+    """What one level leaves of the regions in which not all members are known to be connected: the open members, and
+    of the closed ones those that no pivot they are linked to proves to be out of reach of every open member."""
     rest = _open(live.where("not pivot").select("region", "node", "n"), labels, store)
-    both = measured.unionAll(measured.select(F.col("p").alias("x"), F.col("x").alias("p"), "linked", "d"))
-    seen = (rest.join(pivots.select("region", "p", "np"), "region")
-            .join(both.withColumnRenamed("x", "node"), ["node", "p"], "left")
-            # Where a distance was not measured, the sizes bound it from below.
-            .withColumn("least", F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np"))))
-    reach = seen.where("open").groupBy("region", "p").agg((F.min("least") - r).alias("reach"))
-    out = seen.where("linked and not open").join(reach, ["region", "p"]).where("d < reach").select("region", "node").distinct()
+    both = measured.where("linked").select(F.col("x").alias("node"), "p", "d")
+    both = both.unionAll(measured.where("linked").select(F.col("p").alias("node"), F.col("x").alias("p"), "d"))
+    out = (rest.where("not open").join(both, "node").join(reach, ["region", "p"]).where("d < reach")
+           .select("region", "node").distinct())
     return rest.where("open").unionAll(rest.where("not open").join(out, ["region", "node"], "left_anti")
                                        .select("region", "node", "n", "label", "open"))
