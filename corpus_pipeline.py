@@ -34,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies (five words, similarity 0.8)."""
-    classes = jaccard.near_classes(docs.select("doc_id", "text"), width=5, share=80).checkpoint()
+    classes = jaccard.near_classes(docs.select("doc_id", "text"), width=5, share=80)
     gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
     kept = _drop(docs, gone, "doc_id")
     again = classes.groupBy("doc_id").count().where("doc_id is not null and count > 1").select("doc_id").checkpoint()
