@@ -189,17 +189,16 @@ def _may_link(batches, share: int):
 
 
 def _distances(batches):
-    for batch in batches:
-        xs, ps = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        common, last, pivot = [], None, None
-        for x, p in zip(xs, ps):
-            if p is not last:
-                last, pivot = p, np.frombuffer(p, np.uint64)
-            x = np.frombuffer(x, np.uint64)
-            at = np.minimum(np.searchsorted(pivot, x), len(pivot) - 1)
-            common.append(int((pivot[at] == x).sum()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), batch.column(4), batch.column(5)],
-                                         ["x", "p", "common", "nx", "np"])
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 256):
+            batch = whole.slice(lo, 256)
+            common = []
+            for x, p in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, p = np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64)
+                at = np.minimum(np.searchsorted(p, x), len(p) - 1)
+                common.append(int((p[at] == x).sum()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), batch.column(4), batch.column(5)],
+                                             ["x", "p", "common", "nx", "np"])
 
 
 def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id: str = "doc_id", text: str = "text",
@@ -362,7 +361,8 @@ def _meet(live: DataFrame, share: int) -> DataFrame:
 
 def _meet_chunks(batches, share: int):
     for batch in batches:
-        for region, members, pivots in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for row in range(batch.num_rows):  # one pair of chunks at a time as Python objects
+            region, members, pivots = (batch.column(i).slice(row, 1).to_pylist()[0] for i in range(3))
             least = np.full(len(pivots), 1.0)
             pairs = []
             for a, xs in _by_width(members):

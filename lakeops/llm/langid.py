@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNDETERMINED = "und"
-PIECE = 1 << 20
+PIECE = 1 << 18
 MAX_ORDER = 6
 
 
@@ -195,8 +195,8 @@ def predict(df: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
 
     def rows(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for lo in range(0, batch.num_rows, 128):
+                part = batch.slice(lo, 128)
                 names, scores = shared.value.predict(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                                  [*part.schema.names, "lang_pred", "score"])
