@@ -6,6 +6,8 @@ however often executors are lost. ``replies`` joins answers, addressed to blocks
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +34,22 @@ def from_bytes(payload: bytes) -> pa.RecordBatch:
         return reader.read_next_batch()
 
 
+def rows_of(batches):
+    """Rows as tuples, one at a time: a batch holds many blocks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(column.slice(i, 1).to_pylist()[0] for column in batch.columns)
+    release()
+
+
+def release() -> None:
+    """Gives freed memory back to the system, at the end of a task: the same Python process serves the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pack_sorted(values: np.ndarray) -> np.ndarray:
     """Differences of sorted 64-bit values, byte planes apart: the high planes are zeros and compress away."""
     step = np.diff(values, prepend=np.uint64(0))

@@ -94,16 +94,15 @@ def _keys_of(sets: list[np.ndarray]):
 
 
 def _scatter_keys(batches, width: int, buckets: int):
-    for rows in batches:
-        for block, payload in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            keys, n = _keys_of(_block_sets(payload, width)[1])
-            of = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets)) >> np.uint64(32)
-            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.empty(0, np.int64)
-            for lo, hi in zip(cuts.tolist(), np.r_[cuts[1:], len(of)].tolist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(of[lo])], pa.int64()), pa.array([block], pa.int64()),
-                     pa.array([bl.columns_to_bytes(keys=bl.pack_sorted(keys[lo:hi]), n=np.minimum(n[lo:hi], MOST).astype(np.uint16))], pa.binary())],
-                    ["bucket", "block", "payload"])
+    for block, payload in bl.rows_of(batches):
+        keys, n = _keys_of(_block_sets(payload, width)[1])
+        of = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets)) >> np.uint64(32)
+        cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.empty(0, np.int64)
+        for lo, hi in zip(cuts.tolist(), np.r_[cuts[1:], len(of)].tolist()):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(of[lo])], pa.int64()), pa.array([block], pa.int64()),
+                 pa.array([bl.columns_to_bytes(keys=bl.pack_sorted(keys[lo:hi]), n=np.minimum(n[lo:hi], MOST).astype(np.uint16))], pa.binary())],
+                ["bucket", "block", "payload"])
 
 
 def _add_counts(key, table: pa.Table) -> pa.Table:
@@ -129,31 +128,30 @@ def _node_rows(batches, width: int, share: int):
     """Per document: its node, size, landmarks and coordinates. A landmark is a shingle of the prefix that another set
     of the corpus has too; the prefix is taken in the order of (sets that have it, hash)."""
     seen: set[int] = set()
-    for rows in batches:
-        for payload, answers in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            batch, sets = _block_sets(payload, width)
-            keys, _ = _keys_of(sets)
-            answers.sort(key=lambda a: a["bucket"])  # buckets hold ranges of keys, in order
-            count = np.concatenate([bl.columns_from_bytes(a["payload"])["n"] for a in answers]) if answers else np.empty(0, np.uint16)
-            nodes, sizes, landmarks, sketches = [], [], [], []
-            for s in sets:
-                n = len(s)
-                node = _signature(s) if n else None
-                nodes.append(node)
-                sizes.append(n)
-                marks = None
-                if n and node not in seen:
-                    seen.add(node)
-                    found = count[np.searchsorted(keys, s >> np.uint64(64 - KEY_BITS))]
-                    length = n - -(-share * n // 100) + 1
-                    first = np.lexsort((s, found))[:length]
-                    marks = s[first[found[first] > 1]].view(np.int64)
-                landmarks.append(marks if marks is not None and len(marks) else None)
-                sketches.append(_coordinates(s).tobytes() if landmarks[-1] is not None else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(landmarks, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-                ["doc_id", "node", "n", "landmarks", "sketch"])
+    for payload, answers in bl.rows_of(batches):
+        batch, sets = _block_sets(payload, width)
+        keys, _ = _keys_of(sets)
+        answers.sort(key=lambda a: a["bucket"])  # buckets hold ranges of keys, in order
+        count = np.concatenate([bl.columns_from_bytes(a["payload"])["n"] for a in answers]) if answers else np.empty(0, np.uint16)
+        nodes, sizes, landmarks, sketches = [], [], [], []
+        for s in sets:
+            n = len(s)
+            node = _signature(s) if n else None
+            nodes.append(node)
+            sizes.append(n)
+            marks = None
+            if n and node not in seen:
+                seen.add(node)
+                found = count[np.searchsorted(keys, s >> np.uint64(64 - KEY_BITS))]
+                length = n - -(-share * n // 100) + 1
+                first = np.lexsort((s, found))[:length]
+                marks = s[first[found[first] > 1]].view(np.int64)
+            landmarks.append(marks if marks is not None and len(marks) else None)
+            sketches.append(_coordinates(s).tobytes() if landmarks[-1] is not None else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+             pa.array(landmarks, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            ["doc_id", "node", "n", "landmarks", "sketch"])
 
 
 def _set_rows(batches, width: int, column: int):

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.llm import blocks as bl
+
 UNDETERMINED = "und"
 PIECE = 1 << 18
 MAX_ORDER = 6
@@ -200,6 +202,7 @@ def predict(df: DataFrame, model: PpmModel, text: str = "text") -> DataFrame:
                 names, scores = shared.value.predict(part.column(at).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                                  [*part.schema.names, "lang_pred", "score"])
+        bl.release()
 
     return df.mapInArrow(rows, schema)
 
