@@ -8,14 +8,19 @@ compared on their first ``length`` bytes, and are sorted in parts:
 
 1. Documents are packed in blocks. The partition key of a suffix is the smallest hash of the ``GRAM``-byte
    strings inside its first ``length`` bytes: equal strings have equal keys, and neighbouring suffixes
-   mostly share a key, so a run of them is one entry. Each block sends its distinct keys to buckets; a
-   bucket answers which keys occur in at least two documents.
-2. For those keys each block sends its distinct runs, with the smallest document of each, to the key's
+   mostly share a key, so a run of them is one entry. Each block sends its distinct keys to buckets, with the
+   power of two that holds the suffixes of the key's distinct runs; a bucket answers which keys occur in at
+   least two documents, and which are hot: more than ``SORT_AT_ONCE`` suffixes by the sum of those powers.
+2. A suffix with a hot key gets another key, the hash of its whole ``length`` bytes, and is a run of its own.
+   Blocks exchange these keys as in step 1 (only if there are any), so a string of one document goes no further.
+3. For the keys left each block sends its distinct runs, with the smallest document of each, to the key's
    bucket. The bucket puts the suffixes in order, in pieces of whole keys, and finds by previous and next
    smaller values the first document of every suffix.
-3. Each block gets the answers back, marks the bytes, and returns what remains.
+4. Each block gets the answers back, marks the bytes, and returns what remains.
 
-A passage in a third of all documents is one entry per block, so no bucket grows with a group of copies.
+A passage in a third of all documents is one entry per block, so no bucket grows with a group of copies. A
+string of ``GRAM`` bytes that a third of all documents hold in different surroundings is a hot key, whose
+suffixes are spread over all buckets; so no group and no sort depends on one such string.
 Long texts are hashed in pieces. Blocks are checkpointed; every later step can be repeated.
 
 Defined cases: a null text has no bytes; a text shorter than ``length`` loses none; rows with the same id do
@@ -30,6 +35,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm import blocks as bl
@@ -79,17 +85,43 @@ class _Texts:
 def _scatter_keys(batches, text, doc_id, length, gram, buckets):
     for block, payload in bl.rows_of(batches):
         texts = _Texts(payload, text, doc_id)
-        found = [(key, texts.ids[row]) for _, _, key, row, _, _ in texts.runs(length, gram)]
+        found = [(key, texts.ids[row], _content(prefix, lo, first, stop, length), stop - first)
+                 for first, stop, key, row, prefix, lo in texts.runs(length, gram)]
         if not found:
             continue
-        key, ids = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-        order = np.argsort(key, kind="stable")
-        key, ids = key[order], ids[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        several = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
-        key = key[first]
-        yield from _by_bucket(block, key, buckets, lambda lo, hi: bl.columns_to_bytes(
-            key=bl.pack_sorted(key[lo:hi]), several=np.packbits(several[lo:hi])))
+        key, ids, content, size = (np.concatenate(x) for x in zip(*found))
+        del found
+        order = np.lexsort((content, key))
+        key, ids, content, size = key[order], ids[order], content[order], size[order]
+        size[1:][(content[1:] == content[:-1]) & (key[1:] == key[:-1])] = 0  # equal runs will be sent once
+        yield from _send_keys(block, key, ids, size, buckets)
+
+
+def _scatter_hot(batches, text, doc_id, length, gram, buckets):
+    for block, payload, answers in bl.rows_of(batches):
+        texts = _Texts(payload, text, doc_id)
+        keys, hot = _answered(answers)
+        found = [(key, texts.ids[row]) for _, key, row, _ in _hot_strings(texts, keys[hot], length, gram)]
+        if found:
+            key, ids = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(key, kind="stable")
+            yield from _send_keys(block, key[order], ids[order], np.ones(len(key), np.int64), buckets)
+
+
+def _content(prefix, lo, first, stop, length):
+    return tb.span_hash(prefix, first - lo, stop - lo + length - 1) + tb.mix((stop - first).astype(np.uint64))
+
+
+def _send_keys(block, key, ids, size, buckets):
+    """The distinct ones of sorted keys, by bucket: whether a key has two documents, and a power of two of its sizes."""
+    if not len(key):
+        return
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    several = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)
+    power = np.ceil(np.log2(np.add.reduceat(size, first))).astype(np.uint8)
+    key = key[first]
+    yield from _by_bucket(block, key, buckets, lambda lo, hi: bl.columns_to_bytes(
+        key=bl.pack_sorted(key[lo:hi]), several=np.packbits(several[lo:hi]), power=power[lo:hi]))
 
 
 def _bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -106,35 +138,73 @@ def _by_bucket(block: int, key: np.ndarray, buckets: int, payload):
 
 
 _ANSWER = pa.schema([("block", pa.int64()), ("payload", pa.binary())])
+_KEYS = _ANSWER.append(pa.field("hot", pa.bool_()))
 
 
-def _shared_keys(table: pa.Table) -> pa.Table:
-    """Of one bucket: tells each block which of its keys are in two documents at least."""
+def _shared_keys(table: pa.Table, at_once: int) -> pa.Table:
+    """Of one bucket: tells each block which of its keys are in two documents at least, and which of these are hot."""
     sent = [bl.columns_from_bytes(p) for p in table.column("payload").to_pylist()]
     keys = [bl.unpack_sorted(x["key"]) for x in sent]
     several = [np.unpackbits(x["several"], count=len(k)).astype(bool) for x, k in zip(sent, keys)]
     distinct, at, n = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     shared = n > 1
     shared[at[np.concatenate(several)]] = True
-    out, begin = [], 0
+    hot = shared & (np.bincount(at, np.exp2(np.concatenate([x["power"] for x in sent]).astype(np.float64))) > at_once)
+    out, any_hot, begin = [], [], 0
     for k in keys:
-        out.append(bl.columns_to_bytes(key=bl.pack_sorted(k[shared[at[begin:begin + len(k)]]])))
+        mine = at[begin:begin + len(k)]
+        told = shared[mine]
+        out.append(bl.columns_to_bytes(key=bl.pack_sorted(k[told]), hot=np.packbits(hot[mine][told])))
+        any_hot.append(bool(hot[mine].any()))
         begin += len(k)
-    return pa.Table.from_arrays([table.column("block"), pa.array(out, pa.binary())], schema=_ANSWER)
+    return pa.Table.from_arrays([table.column("block"), pa.array(out, pa.binary()), pa.array(any_hot, pa.bool_())], schema=_KEYS)
+
+
+def _answered(answers: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+    """The shared keys of a block in order, and which of them are hot."""
+    told = [bl.columns_from_bytes(a) for a in answers or []]
+    keys = [bl.unpack_sorted(x["key"]) for x in told]
+    hot = [np.unpackbits(x["hot"], count=len(k)).astype(bool) for x, k in zip(told, keys)]
+    key = np.concatenate([np.empty(0, np.uint64), *keys])
+    order = np.argsort(key, kind="stable")
+    return key[order], np.concatenate([np.empty(0, bool), *hot])[order]
+
+
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Where ``values`` are in ``ordered``."""
+    if not len(ordered):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values)
+
+
+def _hot_strings(texts: _Texts, hot: np.ndarray, length: int, gram: int):
+    """Per piece: (start, key, row, content) of every suffix with a hot key; the key is of its first ``length`` bytes."""
+    if not len(hot):
+        return
+    for first, stop, key, row, prefix, lo in texts.runs(length, gram):
+        hit = _among(key, hot)
+        size = (stop - first)[hit]
+        if not len(size):
+            continue
+        at = np.repeat(first[hit] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        content = _content(prefix, lo, at, at + 1, length)
+        yield at, tb.mix(content) >> np.uint64(64 - KEY_BITS), np.repeat(row[hit], size), content
 
 
 class _SharedRuns:
     """The runs of a block whose keys are shared: distinct runs by content, and every place they occur."""
 
-    def __init__(self, texts: _Texts, answers: list[bytes], length: int, gram: int):
-        shared = np.sort(np.concatenate([np.empty(0, np.uint64), *(bl.unpack_sorted(bl.columns_from_bytes(a)["key"]) for a in answers)]))
+    def __init__(self, texts: _Texts, answers: list[bytes], strings: list[bytes], length: int, gram: int):
+        shared, hot = _answered(answers)
         parts = []
         for first, stop, key, row, prefix, lo in texts.runs(length, gram):
-            at = np.minimum(np.searchsorted(shared, key), max(len(shared) - 1, 0))
-            hit = np.flatnonzero(shared[at] == key) if len(shared) else np.empty(0, np.int64)
+            hit = _among(key, shared[~hot])
             first, stop, key, row = first[hit], stop[hit], key[hit], row[hit]
-            content = tb.span_hash(prefix, first - lo, stop - lo + length - 1) + tb.mix((stop - first).astype(np.uint64))
-            parts.append((first, stop, key, row, content))
+            parts.append((first, stop, key, row, _content(prefix, lo, first, stop, length)))
+        common, _ = _answered(strings)
+        for first, key, row, content in _hot_strings(texts, shared[hot], length, gram):
+            hit = _among(key, common)
+            parts.append((first[hit], first[hit] + 1, key[hit], row[hit], content[hit]))
         self.first, self.stop, key, row, content = (np.concatenate(x) if parts else np.empty(0, np.int64) for x in (zip(*parts) if parts else [()] * 5))
         self.ids = texts.ids[row.astype(np.int64)] if len(row) else np.empty(0, np.int64)
         # Sorted by (key, content): the distinct runs stand in key order.
@@ -151,9 +221,9 @@ class _SharedRuns:
 
 
 def _scatter_runs(batches, text, doc_id, length, gram, buckets):
-    for block, payload, answers in bl.rows_of(batches):
+    for block, payload, keys, strings in bl.rows_of(batches):
         texts = _Texts(payload, text, doc_id)
-        runs = _SharedRuns(texts, answers or [], length, gram)
+        runs = _SharedRuns(texts, keys, strings, length, gram)
         if not len(runs.key):
             continue
 
@@ -221,11 +291,11 @@ def _suffix_order(table: pa.Table, length: int) -> pa.Table:
 
 
 def _cut(batches, text, doc_id, length, gram):
-    for _, payload, keys, firsts in bl.rows_of(batches):
+    for _, payload, keys, strings, firsts in bl.rows_of(batches):
         texts = _Texts(payload, text, doc_id)
         cover = np.zeros(len(texts.data) + 1, np.int8)  # changes of the number of strings that cover a byte
         if firsts:
-            runs = _SharedRuns(texts, keys, length, gram)
+            runs = _SharedRuns(texts, keys, strings, length, gram)
             told = [bl.columns_from_bytes(p) for p in firsts]
             run = np.concatenate([x["run"] for x in told])
             n = np.concatenate([x["n"] for x in told]).astype(np.int64)
@@ -272,8 +342,10 @@ def _decode(kept: pd.Series) -> pd.Series:
     return kept.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
 
 
-def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM) -> DataFrame:
-    """``df`` with n_bytes, spans (removed byte ranges as start, stop) and kept (the remaining bytes)."""
+def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM,
+                   at_once: int = SORT_AT_ONCE) -> DataFrame:
+    """``df`` with n_bytes, spans (removed byte ranges as start, stop) and kept (the remaining bytes). A key with more
+    than ``at_once`` suffixes is hot."""
     if {"n_bytes", "spans", "kept"} & set(df.columns):
         raise ValueError("columns named n_bytes, spans or kept would clash with the result")
     if not isinstance(df.schema[doc_id].dataType, (T.LongType, T.IntegerType, T.ShortType)):
@@ -286,14 +358,24 @@ def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text
     buckets = bl.bucket_count(blocks)
     sent = "bucket long, block long, payload binary"
     answer = "block long, payload binary"
+    told = "block long, payload binary, hot boolean"
     keys = (blocks.mapInArrow(lambda b: _scatter_keys(b, at, who, length, gram, buckets), sent)
-            .groupBy("bucket").applyInArrow(_shared_keys, answer)).checkpoint()
+            .groupBy("bucket").applyInArrow(lambda t: _shared_keys(t, at_once), told)).checkpoint()
     # Used twice below: the exchange of the blocks is planned once and reused.
     known = bl.replies(blocks, keys).withColumnRenamed("answers", "keys")
+    with_hot = keys.where("hot").select("block").distinct()
+    if with_hot.isEmpty():
+        known = known.withColumn("strings", F.lit(None).cast("array<binary>"))
+    else:
+        strings = (known.join(with_hot, "block", "left_semi").select("block", "payload", "keys")
+                   .mapInArrow(lambda b: _scatter_hot(b, at, who, length, gram, buckets), sent)
+                   .groupBy("bucket").applyInArrow(lambda t: _shared_keys(t, at_once), told)).checkpoint()
+        known = bl.replies(known, strings).withColumnRenamed("answers", "strings")
+    known = known.select("block", "payload", "keys", "strings")
     runs = (known.mapInArrow(lambda b: _scatter_runs(b, at, who, length, gram, buckets), sent)
             .groupBy("bucket").applyInArrow(lambda t: _suffix_order(t, length), answer))
     schema = T.StructType([*df.schema.fields, T.StructField("n_bytes", T.LongType()),
                            T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))),
                            T.StructField("kept", T.BinaryType())])
-    return (bl.replies(known, runs).select("block", "payload", "keys", "answers")
+    return (bl.replies(known, runs).select("block", "payload", "keys", "strings", "answers")
             .mapInArrow(lambda b: _cut(b, at, who, length, gram), schema))

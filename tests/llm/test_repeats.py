@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeops.llm import blocks, repeats
@@ -42,6 +43,28 @@ def test_equals_brute_force(spark, monkeypatch, length, gram, block):
     assert run(df, length, gram=gram) == brute([(i, t.encode()) for i, t in rows], length)
 
 
+def test_hot_key_is_spread(spark, monkeypatch):
+    """A line in other surroundings in every document: no bucket gathers the suffixes of its key."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 2000)
+    rng = random.Random(7)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    copied = [noise(8) for _ in range(5)]
+    rows = [(i, noise(rng.randint(5, 40)) + (copied[i % 5] if i % 3 == 0 else noise(8)) + "-" * 30 + noise(rng.randint(5, 40))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    want = brute([(i, t.encode()) for i, t in rows], 24)
+    assert sum(n for _, _, n, _ in want) > 0
+    assert run(df, 24, gram=6) == run(df, 24, gram=6, at_once=100) == want
+
+
+def test_hot_keys_are_told():
+    keys = np.arange(3, dtype=np.uint64) << np.uint64(40)
+    sent = [(b, next(repeats._send_keys(b, keys, np.full(3, b), np.array([1, 60, 1]), 1)).column("payload")[0].as_py()) for b in range(4)]
+    table = pa.table({"block": [b for b, _ in sent], "payload": pa.array([p for _, p in sent], pa.binary())})
+    told = repeats._shared_keys(table, 100)
+    assert told.column("hot").to_pylist() == [True] * 4
+    assert [x.tolist() for x in repeats._answered([told.column("payload")[0].as_py()])] == [keys.tolist(), [False, True, False]]
+
+
 def test_defined_cases(hostile, no_docs):
     rows = [(r.doc_id, (r.text or "").encode()) for r in hostile.select("doc_id", "text").collect()]
     assert run(hostile, 50) == brute(rows, 50)
