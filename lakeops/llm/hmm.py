@@ -4,15 +4,18 @@ Counts. Documents are packed in blocks; a block sends its distinct words with th
 buckets, a bucket adds them up and answers each block with the corpus counts of its words. So every count
 covers the whole corpus, no vocabulary is gathered anywhere, and a frequent word is one entry per block.
 
-Model. The ``frequent`` commonest words (at least 1 in ``RAREST`` tokens) are symbols of their own; the other words are symbols by the power
-of two of their count, and unknown words one more. A text's probability is that of its symbols under the
-hidden Markov chain, times each word's share within its symbol (as in the base: count + 0.1). Unknown words
-are one type, as in the base; a state's chance of them is its share of words seen once.
-
-Training. Baum-Welch: each task adds expected counts over its blocks (forward and backward recursions, scaled
-at every step) and sends them in ``CHUNKS`` parts, which are summed per part; the driver only normalises the
-fixed-size tables. For training a text is cut into stretches of ``STRETCH`` tokens, the later ones starting from
-equal state chances. Scoring runs the scaled forward recursion over whole texts: the exact likelihood.
+Model. Every word of the training rows has emission chances of its own in every state, at any corpus size. A
+word's chance in a state is its share of the corpus (count + 0.1, as in the base) times the state's part of its
+expected counts, with ``PRIOR`` tokens spread over the states by their size, so a rare word leans on its states
+only as far as it was seen. Unknown words are one type, as in the base; a state's chance of them is its share of
+words seen once.
+
+Training. Baum-Welch: each block runs the forward and backward recursions (scaled at every step) with the
+emissions of its words and sends their expected counts (rounded to 1 / ``STEPS``) to the words' buckets; a bucket adds them up over the
+corpus and answers each block, as with the counts. Starts, moves and sums per state travel with them; the driver
+only gets these (a few numbers a state). For training a text is cut into stretches of ``STRETCH`` tokens, the
+later ones starting from equal state chances. Scoring runs the scaled forward recursion over whole texts: the
+exact likelihood.
 
 Defined cases: null and empty texts are one end token; rows with a null id are never learned from and are not
 held out; without training rows the counts are zero, so every word is unknown; repeated rows count and
@@ -30,11 +33,10 @@ from lakeops.llm import blocks as bl
 from lakeops.llm import textbytes as tb
 
 STRETCH = 512
-CHUNKS = 16
 END = np.uint64(0x5BD1E9955BD1E995)
-BANDS = 48  # powers of two of counts; band 0 are unknown words
 PIECE_BYTES = 1 << 20
-RAREST = 50_000  # a symbol of its own is at least one token in so many
+STEPS = 4096  # expected counts are exchanged in such parts of a token
+PRIOR = 1.0  # tokens of every word that are spread over the states
 
 
 def _tokens(texts: list[str | None]):
@@ -68,26 +70,32 @@ def _scatter(batches, buckets: int):
             taught = np.repeat(_learned(batch), sizes)
             words, at = np.unique(tokens, return_inverse=True)
             n = np.bincount(at, taught, len(words)).astype(np.int64)
-            of = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-            for lo, hi in zip(cuts.tolist(), np.r_[cuts[1:], len(of)].tolist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(of[lo])], pa.int64()), pa.array([block], pa.int64()),
-                     pa.array([bl.columns_to_bytes(words=bl.pack_sorted(words[lo:hi]), n=n[lo:hi].astype(np.int32))], pa.binary())],
-                    ["bucket", "block", "payload"])
+            yield from _by_bucket(block, words, buckets, lambda lo, hi, words=words, n=n: bl.columns_to_bytes(
+                words=bl.pack_sorted(words[lo:hi]), n=n[lo:hi].astype(np.int32)))
+
 
+def _by_bucket(block: int, words: np.ndarray, buckets: int, payload):
+    """(bucket, block, payload) for every bucket of the sorted words."""
+    of = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    cuts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    for lo, hi in zip(cuts.tolist(), np.r_[cuts[1:], len(of)].tolist()):
+        yield pa.RecordBatch.from_arrays([pa.array([int(of[lo])], pa.int64()), pa.array([block], pa.int64()),
+                                          pa.array([payload(lo, hi)], pa.binary())], ["bucket", "block", "payload"])
 
-_ADDED = "block long, payload binary, total long, kinds long, top binary, bands binary"
 
+_ADDED = "bucket long, block long, payload binary, sums array<double>"
 
-def _band(n: np.ndarray) -> np.ndarray:
-    """0 for unknown words, else 1 + the power of two of the count."""
-    return np.where(n > 0, 1 + np.floor(np.log2(np.maximum(n, 1))), 0).astype(np.int64)
 
+def _told(table: pa.Table, bucket: int, payloads: list[bytes], sums: np.ndarray) -> pa.Table:
+    """Answers to every block that sent, and with the first row the bucket's sums."""
+    first = [sums.tolist()] + [None] * (len(payloads) - 1)
+    return pa.Table.from_arrays(
+        [pa.array([bucket] * len(payloads), pa.int64()), table.column("block"), pa.array(payloads, pa.binary()), pa.array(first, pa.list_(pa.float64()))],
+        names=["bucket", "block", "payload", "sums"])
 
-def _add(table: pa.Table, frequent: int) -> pa.Table:
-    """Corpus counts of one bucket's words, told to every block that sent them; with the first row the bucket's
-    totals, its commonest words, and the count and number of words per band."""
+
+def _add(bucket: int, table: pa.Table, states: int) -> pa.Table:
+    """Corpus counts of one bucket's words. Sums: tokens, distinct words, and the first emissions of every state."""
     sent = [bl.columns_from_bytes(p) for p in table.column("payload").to_pylist()]
     words = [bl.unpack_sorted(x["words"]) for x in sent]
     every, at = np.unique(np.concatenate(words), return_inverse=True)
@@ -96,82 +104,86 @@ def _add(table: pa.Table, frequent: int) -> pa.Table:
     for w in words:
         out.append(bl.columns_to_bytes(n=total[at[begin:begin + len(w)]]))
         begin += len(w)
-    top = np.lexsort((every, -total))[:frequent]
-    top = top[total[top] > 0]
-    band = _band(total)
     known = total > 0
-    first = [None] * (len(out) - 1)
-    return pa.Table.from_arrays(
-        [table.column("block"), pa.array(out, pa.binary()), pa.array([int(total.sum()), *first], pa.int64()),
-         pa.array([int(known.sum()), *first], pa.int64()),
-         pa.array([bl.columns_to_bytes(words=every[top], n=total[top]), *first], pa.binary()),
-         pa.array([bl.columns_to_bytes(n=np.bincount(band, total, BANDS)[:BANDS], kinds=np.bincount(band[known], minlength=BANDS)[:BANDS].astype(float)), *first], pa.binary())],
-        names=["block", "payload", "total", "kinds", "top", "bands"])
-
-
-def _unpack_top(batches):
-    for batch in batches:
-        for payload in batch.column(0).to_pylist():
-            x = bl.columns_from_bytes(payload)
-            yield pa.RecordBatch.from_arrays([pa.array(x["words"].view(np.int64)), pa.array(x["n"])], ["word", "n"])
-
-
-def _unpack_bands(batches):
-    for batch in batches:
-        for payload in batch.column(0).to_pylist():
-            x = bl.columns_from_bytes(payload)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(BANDS)), pa.array(x["n"]), pa.array(x["kinds"])], ["band", "n", "kinds"])
-
-
-class Vocabulary:
-    """Fixed-size part of the counts: totals, the commonest words, and mass per symbol."""
-
-    def __init__(self, total: int, kinds: int, top: list, bands: dict):
-        self.total, self.kinds = total, kinds
-        words = np.array([r[0] for r in top], np.int64).view(np.uint64)
-        n = np.array([r[1] for r in top], np.float64)
-        order = np.argsort(words)
-        self.words = words[order]
-        band_n, band_kinds = np.zeros(BANDS), np.zeros(BANDS)
-        for b, (m, k) in bands.items():
-            band_n[b], band_kinds[b] = m, k
-        own = _band(n.astype(np.int64)) if len(n) else np.empty(0, np.int64)
-        np.subtract.at(band_n, own, n)
-        np.subtract.at(band_kinds, own, 1)
-        band_kinds[0] = 1  # unknown words are one type
-        #: Mass (count + 0.1 a type) of the symbols: bands first, then the commonest words in word order.
-        self.mass = np.r_[band_n + 0.1 * band_kinds, n[order] + 0.1]
-        self.symbols = BANDS + len(n)
-
-    def symbol(self, words: np.ndarray, n: np.ndarray) -> np.ndarray:
-        out = _band(n)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-            own = self.words[at] == words
-            out[own] = BANDS + at[own]
-        return out
-
-
-def _encode(batches, shared):
-    """Per document of every block: base score and counts, and the symbols of its tokens, packed per block."""
-    vocab = shared.value
-    for rows in batches:
-        for payload, answers in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            batch, tokens, sizes = _block_tokens(payload)
-            words, at = np.unique(tokens, return_inverse=True)
-            answers.sort(key=lambda a: a["bucket"])  # buckets hold ranges of hashes, in order
-            n = np.concatenate([bl.columns_from_bytes(a["payload"])["n"] for a in answers])
-            symbol = vocab.symbol(words, n)
-            base = np.log10((n + 0.1) / (vocab.total + 0.1 * (vocab.kinds + 1)))
-            within = np.where(symbol < BANDS, np.log10((n + 0.1) / np.maximum(vocab.mass[symbol], 1e-300)), 0.0)
-            first = np.r_[0, np.cumsum(sizes)[:-1]]
-            add = lambda x: np.add.reduceat(x[at], first)
-            symbols = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(symbol[at].astype(np.int16)))
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("learned"), batch.column("held_out"), pa.array(sizes.astype(np.int64)),
-                 pa.array(add((n > 0).astype(np.int64))), pa.array(add(base)), pa.array(add(within)), symbols],
-                ["doc_id", "learned", "held_out", "n_tokens", "n_known", "base_score", "within", "symbols"])
-            yield pa.RecordBatch.from_arrays([pa.array([bl.to_bytes(out)], pa.binary())], ["payload"])
+    whole = ((total[known] + 0.1)[:, None] * _uneven(every[known], states)).sum(axis=0)
+    return _told(table, bucket, out, np.r_[total.sum(), known.sum(), whole])
+
+
+def _uneven(words: np.ndarray, states: int) -> np.ndarray:
+    """Log-normal factors that follow from word and state: the first round can tell kinds of text apart."""
+    out = np.empty((len(words), states))
+    even = lambda k: ((tb.mix(words ^ tb.mix(np.array([k + 1], np.uint64))) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    for k in range(states):
+        out[:, k] = np.exp(np.sqrt(-2 * np.log(even(2 * k))) * np.cos(2 * np.pi * even(2 * k + 1)))
+    return out
+
+
+def _sums(answers: DataFrame) -> np.ndarray:
+    rows = answers.select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col").alias("sum")).collect()
+    return np.array([r["sum"] for r in sorted(rows)], np.float64)
+
+
+def _answered(answers: list) -> list[dict]:
+    """A block's answers, in the order of its words: buckets hold ranges of hashes."""
+    return [bl.columns_from_bytes(a["payload"]) for a in sorted(answers, key=lambda a: a["bucket"])]
+
+
+def _with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
+    return blocks.join(answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers")), "block")
+
+
+_ENCODED = "block long, payload binary, words binary"
+
+
+def _encode(batches, total: int, kinds: int):
+    """Of every block: its words with their corpus counts; per document base score and counts, and its tokens as
+    places in the block's words."""
+    for block, payload, answers in bl.rows_of(batches):
+        batch, tokens, sizes = _block_tokens(payload)
+        words, at = np.unique(tokens, return_inverse=True)
+        n = np.concatenate([x["n"] for x in _answered(answers)])
+        base = np.log10((n + 0.1) / (total + 0.1 * (kinds + 1)))
+        first = np.r_[0, np.cumsum(sizes)[:-1]]
+        add = lambda x: np.add.reduceat(x[at], first)
+        symbols = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(at.astype(np.int32)))
+        out = pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("learned"), batch.column("held_out"), pa.array(sizes.astype(np.int64)),
+             pa.array(add((n > 0).astype(np.int64))), pa.array(add(base)), symbols],
+            ["doc_id", "learned", "held_out", "n_tokens", "n_known", "base_score", "symbols"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int64()), pa.array([bl.to_bytes(out)], pa.binary()),
+             pa.array([bl.columns_to_bytes(words=bl.pack_sorted(words), n=n)], pa.binary())], ["block", "payload", "words"])
+
+
+class Shared:
+    """What all blocks share of a model: start and transition chances, and per state the sum that makes emissions
+    chances, the state's share of all tokens, and its chance of unknown words."""
+
+    def __init__(self, start: np.ndarray, move: np.ndarray, whole: np.ndarray, share: np.ndarray, unknown: np.ndarray):
+        self.start, self.move, self.whole, self.share, self.unknown = start, move, np.maximum(whole, 1e-300), share, unknown
+
+    def of_block(self, known: bytes, answers: list | None):
+        """The model over a block's words, the words, and their corpus counts."""
+        x = bl.columns_from_bytes(known)
+        words, n = bl.unpack_sorted(x["words"]), x["n"]
+        if answers is None:
+            parts = (n + 0.1)[:, None] * _uneven(words, len(self.start))
+        else:
+            expected = np.concatenate([_join_planes(a["expected"]) for a in _answered(answers)]).reshape(len(words), -1)
+            parts = ((n + 0.1) / (n + PRIOR))[:, None] * (expected + PRIOR * self.share)
+        emit = parts / self.whole * (1 - self.unknown)
+        emit[n == 0] = self.unknown
+        return Hmm(self.start, self.move, emit), words, n
+
+
+def _planes(x: np.ndarray) -> np.ndarray:
+    """Expected counts in steps of 1 / ``STEPS``, byte planes apart: nearly all are whole or zero and compress away."""
+    steps = np.rint(x.ravel() * STEPS).astype(np.uint64)
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).reshape(-1)
+
+
+def _join_planes(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(np.uint64) / STEPS
 
 
 class Hmm:
@@ -252,93 +264,89 @@ def _sequences(payload: bytes):
     return batch, column.values.to_numpy().astype(np.int64), column.offsets.to_numpy()[:-1].astype(np.int64), sizes.astype(np.int64)
 
 
-def _expectations(batches, shared):
-    model = shared.value
-    sums = None
-    for rows in batches:
-        for payload in rows.column(0).to_pylist():
-            batch, symbols, first, sizes = _sequences(payload)
-            taught = _learned(batch)
-            first, sizes = first[taught], sizes[taught]
-            parts = -(-sizes // STRETCH)
-            inner = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-            begin = np.repeat(first, parts) + inner * STRETCH
-            size = np.minimum(np.repeat(sizes, parts) - inner * STRETCH, STRETCH)
-            for lo, hi in tb.groups(size.tolist(), 400_000):
-                found = model.expect(symbols, begin[lo:hi], size[lo:hi], inner[lo:hi] == 0)
-                sums = found if sums is None else [a + b for a, b in zip(sums, found)]
-    if sums is not None:
-        flat = np.concatenate([x.ravel() for x in sums])
-        parts = np.array_split(flat, CHUNKS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["chunk", "sums"])
-
-
-def _add_chunks(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.float64) for x in table.column("sums").to_pylist())
-    return pa.table([table.column("chunk").slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["chunk", "sums"])
-
-
-def train(encoded: DataFrame, vocab: Vocabulary, states: int, rounds: int) -> Hmm:
-    model = Hmm.first(vocab.mass, states)
-    share = vocab.mass / vocab.mass.sum()
+def _expectations(batches, shared: Shared, buckets: int):
+    states = len(shared.start)
+    for block, payload, known, *answers in bl.rows_of(batches):
+        model, words, n = shared.of_block(known, answers[0] if answers else None)
+        batch, symbols, first, sizes = _sequences(payload)
+        taught = _learned(batch)
+        first, sizes = first[taught], sizes[taught]
+        parts = -(-sizes // STRETCH)
+        inner = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = np.repeat(first, parts) + inner * STRETCH
+        size = np.minimum(np.repeat(sizes, parts) - inner * STRETCH, STRETCH)
+        sums = [np.zeros(states), np.zeros((states, states)), np.zeros((len(words), states))]
+        for lo, hi in tb.groups(size.tolist(), 400_000):
+            for to, found in zip(sums, model.expect(symbols, begin[lo:hi], size[lo:hi], inner[lo:hi] == 0)):
+                to += found
+        chain = np.r_[sums[0], sums[1].ravel()]  # travels with the first bucket's words
+        yield from _by_bucket(block, words, buckets, lambda lo, hi, words=words, n=n, sums=sums, chain=chain: bl.columns_to_bytes(
+            words=bl.pack_sorted(words[lo:hi]), n=n[lo:hi], expected=_planes(sums[2][lo:hi]), chain=chain if lo == 0 else chain[:0]))
+
+
+def _add_expected(bucket: int, table: pa.Table, states: int) -> pa.Table:
+    """Expected counts of one bucket's words over the corpus. Sums: starts, moves, and per state the expected counts,
+    those of words seen once, and the two parts of the sum that makes emissions chances."""
+    sent = [bl.columns_from_bytes(p) for p in table.column("payload").to_pylist()]
+    words = [bl.unpack_sorted(x["words"]) for x in sent]
+    every, first, at = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
+    n = np.concatenate([x["n"] for x in sent])[first]
+    expected = np.concatenate([_join_planes(x["expected"]) for x in sent]).reshape(-1, states)
+    total = np.stack([np.bincount(at, expected[:, k], len(every)) for k in range(states)], axis=1)
+    out, begin = [], 0
+    for w in words:
+        out.append(bl.columns_to_bytes(expected=_planes(total[at[begin:begin + len(w)]])))
+        begin += len(w)
+    part = np.where(n > 0, (n + 0.1) / (n + PRIOR), 0.0)
+    chain = sum((x["chain"] for x in sent if len(x["chain"])), np.zeros(states + states * states))
+    return _told(table, bucket, out, np.r_[chain, total.sum(axis=0), total[n == 1].sum(axis=0), part @ total, part.sum()])
+
+
+def train(encoded: DataFrame, counts: np.ndarray, states: int, rounds: int, buckets: int) -> tuple[Shared, DataFrame | None]:
+    """The shared part of the model, and the expected counts told to every block (None without rounds)."""
+    rare = 0.1 / (counts[0] + 0.1 * (counts[1] + 1))
+    begin = Hmm.first(np.ones(1), states)
+    model = Shared(begin.start, begin.move, counts[2:], np.full(states, 1 / states), np.full(states, min(rare, 0.5)))
+    store, answers = bl.Store(encoded.sparkSession), None
     for _ in range(rounds):
-        shared = encoded.sparkSession.sparkContext.broadcast(model)
-        rows = (encoded.select("payload").mapInArrow(lambda b, s=shared: _expectations(b, s), "chunk int, sums binary")
-                .groupBy("chunk").applyInArrow(_add_chunks, "chunk int, sums binary").orderBy("chunk").collect())
-        shared.unpersist()
-        if not rows:
-            break
-        flat = np.concatenate([np.frombuffer(r.sums, np.float64) for r in rows])
-        begin, moves, emits = flat[:states], flat[states:states + states * states].reshape(states, states), flat[states + states * states:].reshape(-1, states)
-        once = emits[1] / np.maximum(emits.sum(axis=0), 1e-300)  # band 1: words seen once
-        emits = emits + share[:, None]
-        emits[0] = 0.0
-        emits = emits / emits.sum(axis=0)
-        unknown = np.clip(once, share[0], 0.5)
-        emits = emits * (1 - unknown)
-        emits[0] = unknown
-        begin, moves = begin + 0.1, moves + 0.1
-        model = Hmm(begin / begin.sum(), moves / moves.sum(axis=1, keepdims=True), emits)
-    return model
-
-
-def _score(batches, shared):
-    model = shared.value
-    for rows in batches:
-        for payload in rows.column(0).to_pylist():
-            batch, symbols, first, sizes = _sequences(payload)
-            score = model.log10(symbols, first, sizes) + batch.column("within").to_numpy()
-            keep = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(score)], [*keep, "score"])
+        rows = encoded if answers is None else _with_answers(encoded, answers)
+        answers = store.result(rows.mapInArrow(lambda b, m=model: _expectations(b, m, buckets), _SENT).groupBy("bucket").applyInArrow(
+            lambda key, t: _add_expected(key[0].as_py(), t, states), _ADDED))
+        sums = _sums(answers)
+        starts, moves, size, once, parts, part = np.split(sums, np.cumsum([states, states * states, states, states, states]))
+        share = size / size.sum() if size.sum() > 0 else np.full(states, 1 / states)
+        starts, moves = starts + 0.1, moves.reshape(states, states) + 0.1
+        model = Shared(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), parts + PRIOR * share * part,
+                       share, np.clip(once / np.maximum(size, 1e-300), rare, 0.5))
+    return model, answers
+
+
+def _score(batches, shared: Shared):
+    for _, payload, known, *answers in bl.rows_of(batches):
+        model, _, _ = shared.of_block(known, answers[0] if answers else None)
+        batch, symbols, first, sizes = _sequences(payload)
+        keep = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(model.log10(symbols, first, sizes))], [*keep, "score"])
 
 
 def score(documents: DataFrame, learned, held_out, doc_id: str = "doc_id", text: str = "text", states: int = 6,
-          frequent: int = 2048, rounds: int = 3) -> DataFrame:
+          frequent: int | None = None, rounds: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10). ``learned`` and ``held_out``
-    are conditions on ``documents``."""
-    spark = documents.sparkSession
+    are conditions on ``documents``. ``frequent`` has no effect: every word is a symbol of its own."""
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learned.alias("learned"), held_out.alias("held_out"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     blocks = bl.pack(docs, "text")
     buckets = bl.bucket_count(blocks)
     added = (blocks.mapInArrow(lambda b: _scatter(b, buckets), _SENT)
-             .groupBy("bucket").applyInArrow(lambda key, t: _with_bucket(key, _add(t, frequent)), "bucket long, " + _ADDED).checkpoint())
-    sums = added.agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
-    top = (added.where("top is not null").select("top").mapInArrow(_unpack_top, "word long, n long")
-           .where(F.col("n") * RAREST >= int(sums.n or 0))
-           .orderBy(F.col("n").desc(), "word").limit(frequent).collect())
-    bands = (added.where("bands is not null").select("bands").mapInArrow(_unpack_bands, "band long, n double, kinds double")
-             .groupBy("band").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect())
-    vocab = Vocabulary(sums.n or 0, sums.v or 0, [(r.word, r.n) for r in top], {r.band: (r.n, r.kinds) for r in bands})
-    shared = spark.sparkContext.broadcast(vocab)
-    mine = added.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers"))
-    encoded = (blocks.join(mine, "block").select("payload", "answers")
-               .mapInArrow(lambda b: _encode(b, shared), "payload binary").checkpoint())
-    model = spark.sparkContext.broadcast(train(encoded, vocab, states, rounds))
-    out = encoded.mapInArrow(lambda b: _score(b, model),
-                             f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return out.withColumn("train_tokens", F.lit(int(sums.n or 0)).cast("long"))
-
-
-def _with_bucket(key, table: pa.Table) -> pa.Table:
-    return table.add_column(0, "bucket", pa.array([key[0].as_py()] * table.num_rows, pa.int64()))
+             .groupBy("bucket").applyInArrow(lambda key, t: _add(key[0].as_py(), t, states), _ADDED).checkpoint())
+    counts = _sums(added)
+    if not len(counts):
+        counts = np.zeros(2 + states)
+    total, kinds = int(counts[0]), int(counts[1])
+    encoded = (_with_answers(blocks, added).select("block", "payload", "answers")
+               .mapInArrow(lambda b: _encode(b, total, kinds), _ENCODED).checkpoint())
+    model, answers = train(encoded, counts, states, rounds if not encoded.isEmpty() else 0, buckets)
+    rows = encoded if answers is None else _with_answers(encoded, answers)
+    out = rows.mapInArrow(lambda b: _score(b, model),
+                          f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.withColumn("train_tokens", F.lit(total).cast("long"))

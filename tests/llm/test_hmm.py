@@ -93,3 +93,19 @@ def test_better_than_base_on_held_out(spark):
     out = run(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
     held = [r for r in out if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_rare_words_have_states(spark):
+    """Emissions of words seen a few times tell kinds of text apart: a held-out text of one kind is likelier than
+    one that mixes kinds, though all words are rare (``frequent`` bounds nothing)."""
+    rng = np.random.default_rng(5)
+    kinds = [[f"{k}{i}" for i in range(400)] for k in "ab"]
+    text = lambda words: " ".join(rng.choice(words, 40))
+    rows = [(i, text(kinds[i % 2])) for i in range(120)]
+    rows += [(1000 + i, text(kinds[i % 2])) for i in range(20)]
+    rows += [(2000 + i, " ".join(w for pair in zip(rng.choice(kinds[0], 20), rng.choice(kinds[1], 20)) for w in pair)) for i in range(20)]
+    taught = F.col("doc_id") < 1000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = hmm.score(df, taught, ~taught, states=2, frequent=8, rounds=10).collect()
+    gain = lambda lo: np.mean([r.score - r.base_score for r in out if lo <= r.doc_id < lo + 1000])
+    assert gain(1000) > gain(2000) + 2
