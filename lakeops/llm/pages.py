@@ -8,7 +8,9 @@ has several tokens (or the host one page) and occurs on at least half of the hos
 classes into the host's template. Its slots are what lies inside its containers; the content slot is the
 deepest one that occurs once a page and holds the article: an ``article`` or ``main`` element if the template
 has one, else the element with at least half of the text. The text of the content slot is returned, block by
-block, without the elements inside it that carry navigation, notices, adverts, forms or reader comments.
+block, without the elements inside it that carry navigation, notices, adverts, forms or reader comments; they are
+told by whole names of class, id and role (or the last word of a compound name, or the first before a layout word),
+at any depth below the slot, and never include ``html`` or ``body``.
 A page that lacks its host's content slot is read by its own ``article``, ``main`` or ``body``.
 
 Defined cases: null or empty html has no text; unclosed elements end with their parents; markup cut off at the
@@ -33,11 +35,18 @@ BLOCKS = frozenset("address blockquote caption dd details dt figcaption h1 h2 h3
 CONTAINERS = frozenset("html head body main article section div nav header footer aside form ul ol dl menu table thead tbody tfoot "
                        "figure fieldset dialog select button".split())
 DROPPED = frozenset("head nav footer aside form menu dialog select button fieldset".split())
-#: Words of class, id and role that name what is not the article.
+#: Whole names in class, id and role of what is not the article; and words that, last in a compound name (or first
+#: before one of PARTS), say the same: "cookie-notice" and "sidebar-left" do, "no-sidebar" and "social-story" do not.
 NOT_CONTENT = re.compile(
     r"^(ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alert|newsletter|subscri\w*|popup|modal|overlay|"
     r"sidebar\w*|side|menus?|nav|navbar|navigation|breadcrumbs?|footer|masthead|comments?|respond|replies|disqus\w*|"
     r"share|sharing|social|related|recommend\w*|widgets?|toolbar|pagination|pager|skip|search|login|signup|complementary|contentinfo)$")
+PARTS = frozenset("area bar block body bottom box button buttons container content footer form header holder icons inner items left link links "
+                  "list main menu outer panel posts articles primary right secondary section slot thread top unit wrap wrapper".split())
+#: First words that turn a compound into a remark on the layout of what holds the article.
+LAYOUT = frozenset("no not has have with without hide hidden show by is".split())
+#: Elements that hold the whole page: never dropped for their names.
+WHOLE = frozenset(("html", "body"))
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(" + "|".join(RAW) + r")(?=[\s/>])[^>]*(?:>.*?(?:</\1(?=[\s/>])[^>]*(?:>|\Z)|\Z)|\Z)"
@@ -54,17 +63,31 @@ def _labels(attributes: str) -> list[str]:
     return words
 
 
+def _not_content(name: str) -> bool:
+    """Whether one name of a class, id or role attribute names what is not the article."""
+    words = WORDS.findall(name)
+    if len(words) < 2:
+        return bool(words) and NOT_CONTENT.match(words[0]) is not None
+    if any(w in LAYOUT for w in words[:-1]):
+        return False
+    return NOT_CONTENT.match(words[-1]) is not None or (NOT_CONTENT.match(words[0]) is not None and all(w in PARTS for w in words[1:]))
+
+
+def _names(attributes: str) -> list[str]:
+    return [n for found in LABEL.finditer(attributes) for n in (found[1] or found[2] or found[3] or "").lower().split()]
+
+
 def walk(page: str):
-    """(path, dropped, block, text) of every stretch of text, and with text None of every container that opens; path: tuple of open containers, each with its class
-    words; dropped: depth of the outermost open container that is no content, or None; block: a number that
-    changes with every block."""
+    """(path, dropped, block, text) of every stretch of text, and with text None of every container that opens; path: tuple
+    of open containers, each with its class words; dropped: depths of the open containers that are no content, the
+    innermost last; block: a number that changes with every block."""
     stack: list[tuple[str, str, bool]] = []
     block, at = 0, 0
     path: tuple[str, ...] = ()
-    dropped = None
+    dropped: tuple[int, ...] = ()
 
     def state():
-        return tuple(s[1] for s in stack), next((i for i, s in enumerate(stack) if s[2]), None)
+        return tuple(s[1] for s in stack), tuple(i for i, s in enumerate(stack) if s[2])
 
     for found in TOKEN.finditer(page):
         if found.start() > at:
@@ -79,8 +102,9 @@ def walk(page: str):
         if name in CONTAINERS:
             block += 1
             if not closing:
-                words = _labels(found[4] or found[7] or "")
-                bad = name in DROPPED or any(NOT_CONTENT.match(w) for w in words)
+                attributes = found[4] or found[7] or ""
+                words = _labels(attributes)
+                bad = name in DROPPED or (name not in WHOLE and any(_not_content(n) for n in _names(attributes)))
                 bad |= name == "header" and not any(s[0] in ("article", "main") for s in stack)
                 stack.append((name, ".".join([name, *words]), bad))
             else:
@@ -110,7 +134,7 @@ def _tokens(batches):
                 for path, dropped, _, piece in walk(text or ""):
                     if piece is None:
                         opened[path] = opened.get(path, 0) + 1
-                    elif dropped is None:
+                    elif not dropped:
                         for d in range(len(path)):
                             chars[path[:d + 1]] = chars.get(path[:d + 1], 0) + len(piece)
                 for path, n in opened.items():
@@ -158,7 +182,7 @@ def main_text(page: str, slot: str | None) -> str:
     blocks: list[list[str]] = []
     last = None
     for path, dropped, block, text in pieces:
-        if path[:len(wanted)] != wanted or (dropped is not None and dropped >= len(wanted)) or (dropped is not None and not wanted):
+        if path[:len(wanted)] != wanted or (dropped and dropped[-1] >= len(wanted)):
             continue
         if block != last:
             blocks.append([])

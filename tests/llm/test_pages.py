@@ -34,6 +34,19 @@ def test_host_without_article_element(spark):
     assert got[0] == "Long text of the story. " * 5 + "0" and got[9] == "Short."
 
 
+def test_names_of_containers(spark):
+    """Layout remarks drop no article; what stands in the slot is dropped though a wrapper outside has such a name too."""
+    body = lambda i: f"<p>{'Long text of the story. ' * 5}{i}</p>"
+    want = "Long text of the story. " * 5
+    for k, (name, whole) in enumerate([("page no-sidebar", ""), ("content with-sidebar", ""), ("side-by-side", ""), ("search-results", ""),
+                                       ("social-story", ""), ("story", " class='has-menu nav'")]):
+        rows = [(i, f"http://n{k}.net/{i}", f"<html{whole}><body{whole}><div class='{name}'>{body(i)}<div class='cookie-notice'>We use cookies</div>"
+                                            "<div class='sidebar-left'>Side</div><div id=comments>Nice</div></div></body></html>") for i in range(4)]
+        assert run(spark, rows) == [(i, want + str(i)) for i in range(4)], (name, whole)
+    rows = [(i, f"http://w.net/{i}", f"<html><body><div class='widget'><article>{body(i)}<nav>Menu</nav><div id=comments>Nice</div></article></div></body></html>") for i in range(4)]
+    assert run(spark, rows) == [(i, want + str(i)) for i in range(4)]
+
+
 def test_defined_cases(spark):
     rows = [(1, None, None), (2, "http://c.org/", ""), (3, "http://c.org/x", "plain <b>text</b> & more"), (4, "x", "<article><p>cut off <a href='"),
             (5, "http://d.org/", "<article><p>" + "word " * 50_000 + "</article>"), (5, "http://d.org/", "<article><p>" + "word " * 50_000 + "</article>"),
