@@ -70,6 +70,16 @@ def test_propagation(spark):
         assert abs((r.trust or 0) - trust.get(r.host, 0)) < 1e-12 and abs((r.distrust or 0) - distrust.get(r.host, 0)) < 1e-12, r.host
 
 
+def test_rounds_until_the_ranks_stay(spark):
+    """With a tolerance, a host twelve links before a blocked one is blocked too, and ranks are those of the limit."""
+    rows = [(i, f"http://h{i}.net/", f'<a href="http://{"bad.org" if i == 11 else f"h{i + 1}.net"}/">x</a>') for i in range(12)] + [(12, "http://bad.org/", None)]
+    got = run(spark, rows, tolerance=1e-9)
+    assert all(r.verdict == "block" for r in got.values())
+    edges = {(f"h{i + 1}.net" if i < 11 else "bad.org", f"h{i}.net"): 1 for i in range(12)}
+    limit = propagate(edges, {"bad.org": 1.0}, 100, urls.DAMPING)
+    assert all(abs((r.distrust or 0) - limit[r.host]) < 1e-9 for r in got.values())
+
+
 def test_defined_cases(spark):
     assert run(spark, []) == {}
     assert {r.verdict for r in run(spark, [(1, "http://a.net/", None), (None, None, None)], rules=[]).values()} == {"allow"}
