@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, chat, decontaminate, hmm, jaccard, langid, pages, repeats, sql, urls
+from lakeops.llm import ann, bpe, chat, decontaminate, hmm, infill, jaccard, langid, pages, repeats, sql, toxicity, urls, whitening
 from lakeops.tables import table
 
 
@@ -80,6 +80,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    parts = done.select("vec_id", "n", F.col("deviation").try_cast("long").alias("deviation"), "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part"))
+    return parts.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "part.whitened", "part.explained", "identity_error")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, part = table(spark, sf_dir, "documents").select("doc_id", "text"), langid.fold(folds=3)
+    machine = toxicity.fit(docs.where((part != 1) & (part >= 0)), table(spark, sf_dir, "labels").where((part != 1) & (part >= 0)))
+    return toxicity.score(docs, machine).select(
+        "doc_id", (part == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = infill.restore(infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"),
+                       digest("restored").alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_neighbours": op2_neighbours,
@@ -91,6 +112,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_chat_format": op9_chat_format,
     "op10_url_filter": op10_url_filter,
+    "op11_whiten": op11_whiten,
+    "op12_toxicity": op12_toxicity,
+    "op13_infill": op13_infill,
 }
 
 #: The others have no SQL: learned or searched results, byte-pair merges and markup are tested in tests/llm.
@@ -100,4 +124,5 @@ ORACLES: dict[str, str] = {
     "op8_jaccard_join": sql.JACCARD,
     "op9_chat_format": sql.CHAT,
     "op10_url_filter": sql.url_filter(RULES),
+    "op13_infill": sql.INFILL,
 }

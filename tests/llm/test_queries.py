@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_numbers_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLES) <= set(entry.oracle_sql())
 
 
