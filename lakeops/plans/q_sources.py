@@ -5,10 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakeops.operators.listing import check_listings
 from lakeops.operators.lookup import lookup_join
+from lakeops.operators.ordering import with_group_row_number
+from lakeops.plans.derive import order_keys
 from lakeops.session import scratch_namespace, scratch_path, scratch_view
-from lakeops.sources import files, lake
+from lakeops.sources import files, lake, ledger
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
 
@@ -16,6 +20,9 @@ from lakeops.tables import Tables
 PAGES = 3
 JOBS_PER_DOC = 100
 MAX_LENGTH = 100
+LEDGER_BATCH = 4  # rows of a batch
+LISTED = "SELECT c_custkey, c_nationkey, lead(c_custkey) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS next FROM {}"
+FIRST_LIMIT, LAST_LIMIT = 250_000, 400_000  # totals that are an error in the first run and in the restart
 EVENT_COLUMNS_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
                      "props STRING, day DATE")
 
@@ -169,3 +176,70 @@ def warehouse_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = scratch_view("customer")
     Tables(spark, sf_dir).customer.createOrReplaceTempView(view)
     return spark.sql(f"SELECT * FROM {view} ORDER BY c_custkey LIMIT 5")
+
+
+@query("batch_ledger", "S18", f"""WITH n AS (SELECT CAST(o_orderdate AS DATE) AS businessdate, o_totalprice,
+      (row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) - 1) // {LEDGER_BATCH} AS batch_no FROM orders)
+  SELECT businessdate, batch_no, count(*) AS n_rows, CAST(CASE WHEN max(o_totalprice) >= {FIRST_LIMIT} THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+    max(o_totalprice) < {LAST_LIMIT} AS committed, CASE WHEN max(o_totalprice) < {LAST_LIMIT} THEN count(*) ELSE 0 END AS rows_held
+  FROM n GROUP BY businessdate, batch_no""")
+def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows in batches of a date, committed or rolled back one by one; a restart with a wider limit takes up only
+    the batches that the first run rolled back. Per batch: attempts, outcome, and the rows that are visible."""
+    orders = Tables(spark, sf_dir).orders
+    keyed = order_keys(orders).join(orders.select(F.col("o_orderkey").alias("id"), "o_totalprice"), "id")
+    numbered = with_group_row_number(keyed, ["businessdate"], ["id"], "_rn")
+    rows = numbered.withColumn("batch_no", F.expr(f"(_rn - 1) div {LEDGER_BATCH}")).drop("_rn")
+    path, batch = scratch_path(spark, "batch-ledger"), ["businessdate", "batch_no"]
+    for limit in (FIRST_LIMIT, LAST_LIMIT):
+        ledger.write_in_batches(rows, batch, path, F.when(F.col("o_totalprice") >= limit, F.lit("Error: total out of range")))
+    told = ledger.read_ledger(spark, path).groupBy(*batch).agg(
+        F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("attempts"), F.bool_or(F.col("status") == ledger.COMMITTED).alias("committed"))
+    held = ledger.committed_rows(spark, path, batch).groupBy(*batch).agg(F.count(F.lit(1)).alias("rows_held"))
+    return told.join(held, batch, "left").withColumn("rows_held", F.coalesce("rows_held", F.lit(0).cast("long")))
+
+
+@query("append_inventory", "S16 S17", """SELECT CAST(ts AS DATE) AS day, count(*) AS record_count FROM events
+  WHERE event_id % 4 = 3 GROUP BY CAST(ts AS DATE)""")
+def append_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per partition in the files that an append added to a table with three times as many rows; only these
+    files are read."""
+    ns = _namespace(spark, "added")
+    table = f"{ns}.events_by_day"
+    lake.create_table(spark, table, EVENT_COLUMNS_DDL, ["day"], scratch_path(spark, "tbl-added"))
+    ev = Tables(spark, sf_dir).events.withColumn("day", F.col("ts").cast("date"))
+    newest = F.col("event_id") % 4 == 3
+    lake.append(ev.where(~newest).hint("rebalance", F.col("day")), table)
+    added = lake.append_files(ev.where(newest).hint("rebalance", F.col("day")), table)
+    return lake.file_inventory(lake.read_files(spark, table, added), ["day"]).groupBy("day").agg(F.sum("record_count").alias("record_count"))
+
+
+@query("listing_check", "S10", f"""WITH RECURSIVE l AS ({LISTED.format("customer")}),
+    p AS (SELECT c_nationkey AS listing, c_custkey AS page, CASE WHEN c_custkey % 83 = 0 THEN c_custkey - c_custkey % 7 ELSE next END AS next,
+        c_custkey = min(c_custkey) OVER (PARTITION BY c_nationkey) AS first, CASE WHEN c_custkey % 61 = 0 THEN 2 ELSE 1 END AS copies FROM l),
+    landed AS (SELECT * FROM p WHERE page % 71 <> 0),
+    walk AS (SELECT listing, page, next, page AS origin FROM landed UNION SELECT n.listing, n.page, n.next, w.origin
+             FROM walk w JOIN landed n ON n.listing = w.listing AND n.page = w.next),
+    ends AS (SELECT listing, origin, count(*) AS steps, bool_or(next IS NULL OR NOT EXISTS
+               (SELECT 1 FROM landed x WHERE x.listing = walk.listing AND x.page = walk.next)) AS ended FROM walk GROUP BY ALL),
+    c AS (SELECT landed.listing, count(*) AS n_pages, CAST(count(*) FILTER (first) = 0 AS BIGINT) AS n_no_first, CAST(sum(copies - 1) AS BIGINT) AS n_repeated,
+        count(*) FILTER (landed.next IS NOT NULL AND NOT EXISTS (SELECT 1 FROM landed x WHERE x.listing = landed.listing AND x.page = landed.next)) AS n_gaps,
+        count(*) FILTER (NOT ended) AS n_looping, count(*) - coalesce(max(steps) FILTER (first AND ended), 0) AS n_off_chain
+      FROM landed JOIN ends ON ends.listing = landed.listing AND origin = page GROUP BY landed.listing)
+  SELECT *, CASE WHEN n_no_first > 0 THEN 'no first page' WHEN n_repeated > 0 THEN 'page landed twice' WHEN n_gaps > 0 THEN 'gap'
+    WHEN n_looping > 0 THEN 'loop' WHEN n_off_chain > 0 THEN 'page off the chain' ELSE 'complete' END AS status FROM c""")
+def listing_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's customers as a listing of one page each, landed as JSON, with pages missing, repeated, or linked
+    to the wrong page; the status of each listing."""
+    c = Tables(spark, sf_dir).customer
+    view = scratch_view("listed")
+    c.createOrReplaceTempView(view)
+    key = F.col("c_custkey")
+    pages = spark.sql(LISTED.format(view)).select(
+        F.col("c_nationkey").alias("listing"), key.alias("page"), F.when(key % 83 == 0, key - key % 7).otherwise(F.col("next")).alias("next"),
+        F.explode(F.sequence(F.lit(1), F.when(key % 61 == 0, 2).otherwise(1))).alias("copy")).where(key % 71 != 0).drop("copy")
+    firsts = c.groupBy(F.col("c_nationkey").alias("listing")).agg(F.min("c_custkey").alias("first_page"))
+    path = scratch_path(spark, "json-listing")
+    files.write_pages(lookup_join(pages, firsts, "listing").select("listing", F.col("page").alias("id"), "next", "first_page"), path, F.col("id") % PAGES)
+    landed = files.read_pages(spark, path, T.StructType([T.StructField("listing", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in ("id", "next", "first_page")]]))
+    return check_listings(landed, "listing", "id", "next", F.col("id") == F.col("first_page"))

@@ -7,11 +7,17 @@ and every writer goes to a path the caller names (on a cluster: a shared folder)
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.lookup import lookup_join
+from lakeops.session import ensure_checkpoint_dir
 from lakeops.functions.text import DEFAULT_MAX_LENGTH, LONG_CELL_VALUE, replace_long, round_money
 
 # CSV options that keep every cell exactly as written: quotes escaped by doubling, white space kept.
@@ -83,34 +89,98 @@ def write_positions_xml(df: DataFrame, path: str, root_tag: str = "FlexStatement
        .option("rootTag", root_tag).option("rowTag", POSITION_TAG).save(path))
 
 
-# XML's predefined entities and line breaks (the ampersand last, so that nothing is decoded twice).
-_XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#13;", "\r"), ("&#xd;", "\r"), ("&#xD;", "\r"),
-                 ("&#10;", "\n"), ("&#xa;", "\n"), ("&#xA;", "\n"), ("&#9;", "\t"), ("&#x9;", "\t"), ("&amp;", "&"))
+# What opens and closes the parts of a document in which markup is no markup.
+_OPENS = (("!--", "-->"), ("![CDATA[", "]]>"))
 
 
-def _attribute(body: Column, name: str) -> Column:
-    """The value of one attribute in the text of a tag, null if it is missing."""
-    pattern = rf"(?:^|\s){name}\s*=\s*"
-    double, single = F.regexp_extract(body, pattern + r'"([^"]*)"', 1), F.regexp_extract(body, pattern + r"'([^']*)'", 1)
-    value = F.when(body.rlike(pattern + '"'), double).when(body.rlike(pattern + "'"), single)
-    for code, plain in _XML_ENTITIES:
-        value = F.replace(value, F.lit(code), F.lit(plain))
-    return value
+def _markup(spark: SparkSession, path: str) -> DataFrame:
+    """(f, b, value): the text after every "<" of the files, with the file and the start of its split, in file order
+    inside a split. "<" stands for markup only, in attributes too, so that nothing is cut."""
+    return spark.read.option("lineSep", "<").text(path).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value")
+
+
+def _state_after(piece: str, state: int) -> int:
+    """0: markup, 1: inside a comment, 2: inside character data; after ``piece`` if it began in ``state``."""
+    for number, (opening, closing) in enumerate(_OPENS, start=1):
+        if state == number or (state == 0 and piece.startswith(opening)):
+            return 0 if closing in (piece if state else piece[len(opening):]) else number
+    return 0
+
+
+def _may_matter(values: pa.Array) -> np.ndarray:
+    """Pieces that can change the state."""
+    found = [pc.starts_with(values, o) for o, _ in _OPENS] + [pc.match_substring(values, c) for _, c in _OPENS]
+    return reduce(pc.or_, found).to_numpy(zero_copy_only=False)
+
+
+def _by_split(batch):
+    """(file, split, first row, last row + 1) of each stretch of rows of one split."""
+    keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    lo = 0
+    for i in range(1, len(keys) + 1):
+        if i == len(keys) or keys[i] != keys[lo]:
+            yield *keys[lo], lo, i
+            lo = i
+
+
+def _scan_tags(pieces: DataFrame, tag: str) -> DataFrame:
+    """Two kinds of rows in one pass: the pieces that open an element ``tag`` (``value``), with the states (bits of
+    ``visible``) in which their split may begin so that they are markup, and per split (``value`` null) the state it
+    ends in for each state it may begin in (``ends``)."""
+    schema = pa.schema([("f", pa.string()), ("b", pa.int64()), ("value", pa.string()), ("visible", pa.int32()), ("ends", pa.list_(pa.int32()))])
+
+    def scanned(batches):
+        states: dict[tuple[str, int], list[int]] = {}
+        for batch in batches:
+            values = batch.column(2)
+            matters = _may_matter(values)
+            visible = np.zeros(len(values), np.int32)
+            for f, b, lo, hi in _by_split(batch):
+                state, at = states.setdefault((f, b), [0, 1, 2]), lo
+                for i in [*(np.flatnonzero(matters[lo:hi]) + lo).tolist(), hi]:
+                    visible[at:i + 1 if i < hi else hi] = sum(1 << s for s, now in enumerate(state) if not now)
+                    if i < hi:
+                        state[:] = [_state_after(values[i].as_py(), now) for now in state]
+                    at = i + 1
+            keep = pc.and_(pc.match_substring_regex(values, rf"\A{tag}(\s|/|>)"), pa.array(visible > 0))
+            rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values, pa.array(visible), pa.nulls(len(values), pa.list_(pa.int32()))], schema=schema)
+            yield rows.filter(keep)
+        yield pa.RecordBatch.from_pylist([{"f": f, "b": b, "value": None, "visible": None, "ends": e} for (f, b), e in states.items()], schema)
+
+    return pieces.mapInArrow(scanned, "f string, b long, value string, visible int, ends array<int>")
+
+
+def _split_starts(scanned: DataFrame) -> DataFrame:
+    """(f, b, start): the splits that begin inside a comment or character data, by putting the effects of a file's
+    splits (one row each) one after the other."""
+    splits = scanned.where(F.col("value").isNull()).groupBy("f").agg(F.array_sort(F.collect_list(F.struct("b", "ends"))).alias("splits"))
+    none = F.array().cast("array<struct<b:bigint,start:int>>")
+    walked = F.aggregate("splits", F.struct(F.lit(0).alias("now"), none.alias("out")), lambda at, x: F.struct(
+        F.element_at(x["ends"], at["now"] + 1).alias("now"),
+        F.when(at["now"] == 0, at["out"]).otherwise(F.concat(at["out"], F.array(F.struct(x["b"].alias("b"), at["now"].alias("start"))))).alias("out")))
+    return splits.select("f", F.inline(walked["out"]))
 
 
 def read_positions_xml(spark: SparkSession, path: str, splittable: bool = True) -> DataFrame:
     """Every ``OpenPosition`` element at any depth, its attributes as text columns (missing: null).
 
-    Files are cut into records at the tag's start, so one large file is many tasks; "<" cannot stand in an
-    attribute, so no value is cut. ``splittable=False`` uses the XML reader, one task a file."""
-    if not splittable:
-        schema = T.StructType([T.StructField(f"_{a}", T.StringType()) for a in POSITION_ATTRIBUTES])
+    Files are cut at every "<" and read once, so one large file is many tasks. In comments and character data
+    elements are text: each split keeps its tags with the states it may begin in for them to be markup, and the
+    states of all splits follow from their small effects. The XML parser then reads each tag, so all entities are
+    decoded as it does. ``splittable=False`` uses the XML reader, one task a file; both give the same rows."""
+    schema = T.StructType([T.StructField(f"_{a}", T.StringType()) for a in POSITION_ATTRIBUTES])
+    if splittable:
+        attributes = rf"""(?s)\A{POSITION_TAG}((?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*/?>"""
+        ensure_checkpoint_dir(spark)
+        scanned = _scan_tags(_markup(spark, path), POSITION_TAG).checkpoint()
+        tags = lookup_join(scanned.where(F.col("value").rlike(attributes)), _split_starts(scanned), ["f", "b"], "left")
+        tags = tags.where(F.expr("shiftright(visible, coalesce(start, 0)) & 1 = 1"))
+        record = F.concat(F.lit(f"<{POSITION_TAG}"), F.regexp_extract("value", attributes, 1), F.lit("/>"))
+        raw = tags.select(F.from_xml(record, schema).alias("r")).select("r.*")
+    else:
         raw = spark.read.format("xml").option("rowTag", POSITION_TAG).schema(schema).load(path)
-        return raw.select(*[F.col(f"_{a}").alias(a) for a in POSITION_ATTRIBUTES])
-    attributes = r"""^((?:\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*/?>"""
-    records = spark.read.option("lineSep", f"<{POSITION_TAG}").text(path).where(F.col("value").rlike(attributes))
-    body = F.regexp_extract("value", attributes, 1)
-    return records.select(body.alias("b")).select(*[_attribute(F.col("b"), a).alias(a) for a in POSITION_ATTRIBUTES])
+    return raw.select(*[F.col(f"_{a}").alias(a) for a in POSITION_ATTRIBUTES])
 
 
 def position_rows(positions: DataFrame) -> DataFrame:
