@@ -2,7 +2,7 @@
 
 All arithmetic is written with higher-order functions (``transform``, ``zip_with``, ``aggregate``), which
 run in the JVM on each row; element values are widened to double before they are added. Raw bytes are
-the one input without a built-in reader, and are read by an Arrow-batched pandas UDF.
+the one input without a built-in reader; an Arrow function takes a whole batch of them at once.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +35,9 @@ def parse_vector_text(column: str | Column, n: int, sep: str = ",") -> Column:
     text = _c(column)
     number = lambda x: F.when(x.rlike(NUMBER), x.try_cast("float"))  # noqa: E731  the cast alone also takes "1.0f"
     parsed = F.transform(F.split(text, sep, -1), number)
-    bad = F.exists(parsed, lambda x: x.isNull())
-    return F.when(text.isNull(), zero_vector(n)).when(bad, zero_vector(n)).otherwise(parsed)
+    usable = lambda v: v.isNotNull() & ~F.exists(v, lambda x: x.isNull())
+    # Through an array of one, so that the parse itself stands in the expression only once.
+    return F.transform(F.array(parsed), lambda v: F.when(usable(v), v).otherwise(zero_vector(n)))[0]
 
 
 def vector_text(column: str | Column, sep: str = ",") -> Column:
@@ -95,13 +97,24 @@ def vector_parser(kind: str, n: int | None = None):
     raise ValueError(f"unknown vector format {kind!r}")
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def float32_from_bytes(blobs: pd.Series) -> pd.Series:
-    """Raw little-endian float32 bytes to a vector (Arrow batches, one numpy view per value); null for null bytes
-    or a length that is no multiple of 4."""
-    return blobs.map(lambda b: None if b is None or len(b) % 4 else np.frombuffer(bytes(b), dtype="<f4").copy())
-
-
-@F.pandas_udf(T.BinaryType())
-def float32_to_bytes(vectors: pd.Series) -> pd.Series:
-    return vectors.map(lambda v: None if v is None else np.asarray(v, dtype="<f4").tobytes())
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def float32_from_bytes(blobs: pa.Array) -> pa.Array:
+    """Raw little-endian float32 bytes to a vector: the bytes of a whole Arrow batch are taken as one float buffer;
+    null for null bytes or a length that is no multiple of 4."""
+    good = pc.fill_null(pc.equal(pc.bit_wise_and(pc.binary_length(blobs), 3), 0), False)
+    whole = pc.if_else(good, blobs, pa.scalar(b"", pa.binary())).cast(pa.large_binary())
+    ends = np.frombuffer(whole.buffers()[1], np.int64, len(whole) + 1, whole.offset * 8)
+    data = whole.buffers()[2]
+    values = np.frombuffer(data, "<f4", (ends[-1] - ends[0]) // 4, ends[0]) if data is not None and len(whole) else np.empty(0, "<f4")
+    return pa.ListArray.from_arrays(pa.array(((ends - ends[0]) // 4).astype(np.int32)), pa.array(values.astype(np.float32)), mask=pc.invert(good))
+
+
+@F.arrow_udf(T.BinaryType())
+def float32_to_bytes(vectors: pa.Array) -> pa.Array:
+    """The inverse (null elements become NaN): a whole Arrow batch's elements are taken as one byte buffer."""
+    known = vectors.is_valid()
+    vectors = pc.if_else(known, vectors, pa.scalar([], vectors.type))
+    sizes = np.r_[0, np.cumsum(pc.list_value_length(vectors).to_numpy(zero_copy_only=False))].astype(np.int64) if len(vectors) else np.zeros(1, np.int64)
+    flat = pc.fill_null(vectors.flatten().cast(pa.float32()), float("nan")).to_numpy(zero_copy_only=False).astype("<f4")
+    out = pa.Array.from_buffers(pa.large_binary(), len(vectors), [None, pa.py_buffer(sizes * 4), pa.py_buffer(np.ascontiguousarray(flat))])
+    return pc.if_else(known, out.cast(pa.binary()), pa.scalar(None, pa.binary()))

@@ -44,6 +44,23 @@ def key_payload_join(
     return joined.withColumn("lookup_status", status).drop(*payload_key_cols, "_found")
 
 
+def split_payload_join(keys, payload, key_cols: Sequence[str], payload_key_cols: Sequence[str],
+                       order: Sequence[str] | None = None) -> DataFrame:
+    """:func:`key_payload_join` of two tables that are stored split at the same hot keys
+    (:class:`lakeops.sources.lake.SplitTable`). The rest is joined bucket by bucket, without an exchange. Of the hot keys
+    (a few hundred at most) the payload's first rows are reduced on every mapper, and that small table is broadcast to
+    the hot key rows, wherever they lie."""
+    if keys.hashes != payload.hashes:
+        raise ValueError("both tables must be split at the same hot keys")
+    rest = key_payload_join(keys.rest, payload.rest, key_cols, payload_key_cols, order)
+    if not keys.hashes:
+        return rest
+    first = broadcast_if_small(first_row_per_key(payload.hot, payload_key_cols, order).withColumn("_found", F.lit(True)))
+    joined = keys.hot.join(first, [keys.hot[k] == first[p] for k, p in zip(key_cols, payload_key_cols)], "left")
+    status = F.when(F.col("_found").isNull(), F.lit(NO_DATA)).otherwise(F.lit(FOUND))
+    return rest.unionByName(joined.withColumn("lookup_status", status).drop(*payload_key_cols, "_found"))
+
+
 def keys_without_payload(keys: DataFrame, payload: DataFrame, key_cols: Sequence[str],
                          payload_key_cols: Sequence[str]) -> DataFrame:
     """Keys that no payload row has. The payload's keys are made distinct first (reduced on every mapper), so a

@@ -107,6 +107,22 @@ def with_group_row_number(df: DataFrame, group: Sequence[str], order: Sequence[s
     return with_group_running(df, group, order, [(name, "sum", F.lit(1))])
 
 
+#: Up to this many rows a group, Spark cuts groups before the shuffle (its own limit for the partial step).
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def first_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int, name: str = "rn") -> DataFrame:
+    """The first ``n`` rows of each group in ``order``, numbered from 1 (``name``). Every task keeps at most ``n`` rows
+    a group before the shuffle (the planner's group limit), so a group with a third of all rows is ``n`` rows a task;
+    no row is numbered that is not kept. Beyond the planner's limit the rows are numbered by
+    :func:`with_group_row_number`, which spreads hot groups."""
+    _check_positive("n", n)
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT_CONF)):
+        return with_group_row_number(df, group, order, name).where(F.col(name) <= F.lit(n))
+    place = Window.partitionBy(*group).orderBy(*_cols(order))
+    return df.withColumn(name, F.row_number().over(place)).where(F.col(name) <= F.lit(n))
+
+
 DEEP_PAGE_ROWS = 100_000
 
 

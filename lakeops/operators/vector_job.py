@@ -2,9 +2,9 @@
 length, the first ``n_added`` added and the rest subtracted element-wise; the sum and max of the result;
 a status per key ("No data", "Error: ...", "Success"); and totals per date.
 
-One join replaces a query per key, and every step is a column expression on the joined row, so the
-job is one DAG: a partial aggregate and a shuffle for the first payload row, one join, one aggregate
-for the totals.
+One join replaces a query per key, and every step is a column expression, so the job is one DAG: a partial
+aggregate and a shuffle for the first payload row, the vectors of each of these parsed and summed once, one join of
+the small results to the keys, one aggregate for the totals.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.vectors import OK, length_status, signed_sum, vector_max, vector_sum
-from lakeops.operators.lookup import NO_DATA, key_payload_join
+from lakeops.operators.lookup import NO_DATA, first_row_per_key
 from lakeops.operators.totals import SUCCESS, check_positive_int, overall_totals, status_totals
 
 
@@ -35,17 +35,20 @@ def vector_results(keys: DataFrame, payload: DataFrame, key_cols: Sequence[str],
         rest = [c for c in payload.columns if c not in payload_key_cols]
         payload = payload.withColumn("_row_hash", F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
         order = ["_row_hash", *rest]
-    joined = key_payload_join(keys, payload, key_cols, payload_key_cols, order).drop("_row_hash")
-    checks = [length_status(v, n, F.lit(f"column {i + 1}")) for i, v in enumerate(vectors)]
-    first_error = F.coalesce(*[F.when(c != OK, c) for c in checks])
-    result = signed_sum(vectors, n_added)
-    status = (F.when(F.col("lookup_status") == NO_DATA, F.lit(NO_DATA))
-              .when(first_error.isNotNull(), first_error)
+    first = first_row_per_key(payload, payload_key_cols, order)
+    # Everything a payload row yields is worked out once per row, before the join: parsed vectors in columns of their
+    # own (each is used several times, so the optimizer keeps them apart), then three small columns per payload key.
+    parsed = first.select(*payload_key_cols, *[v.alias(f"_v{i}") for i, v in enumerate(vectors)])
+    columns = [F.col(f"_v{i}") for i in range(len(vectors))]
+    checks = [length_status(v, n, F.lit(f"column {i + 1}")) for i, v in enumerate(columns)]
+    checked = parsed.withColumn("_error", F.coalesce(*[F.when(c != OK, c) for c in checks]))
+    sound = checked.withColumn("_result", F.when(F.col("_error").isNull(), signed_sum(columns, n_added)))
+    result = sound.select(*payload_key_cols, "_error", vector_sum("_result").alias("result_sum"), vector_max("_result").alias("result_max"))
+    found = keys.join(result.withColumn("_found", F.lit(True)), [keys[k] == result[p] for k, p in zip(key_cols, payload_key_cols)], "left")
+    status = (F.when(F.col("_found").isNull(), F.lit(NO_DATA))
+              .when(F.col("_error").isNotNull(), F.col("_error"))
               .otherwise(F.lit(SUCCESS)))
-    ok = status == SUCCESS
-    return joined.select(*keys.columns, status.alias("status"),
-                         F.when(ok, vector_sum(result)).alias("result_sum"),
-                         F.when(ok, vector_max(result)).alias("result_max"))
+    return found.select(*[keys[c] for c in keys.columns], status.alias("status"), "result_sum", "result_max")
 
 
 def vector_totals(results: DataFrame, date_col: str, digits: int | None = None) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.predicates import date_window, key_equals, lookback_window
-from lakeops.operators.lookup import NO_DATA, key_payload_join, keys_without_payload, members_of
-from lakeops.operators.ordering import with_group_row_number, with_ordinal
+from lakeops.operators.lookup import NO_DATA, key_payload_join, keys_without_payload, members_of, split_payload_join
+from lakeops.operators.ordering import first_n_per_group, with_group_row_number, with_ordinal
 from lakeops.operators.totals import overall_totals, status_totals
 from lakeops.plans.derive import LINEITEM_ORDER, order_keys
 from lakeops.plans.registry import query
@@ -24,6 +24,8 @@ DATE_RANGE_START = "1997-01-01"
 DATE_RANGE_END = "1998-01-01"
 LOOKBACK_END = "2001-08-01"
 BATCH_SIZE = 4
+HOT_KEY, HOT_MOD = -1, 3  # every third order key is made one hot key
+HOT_SHARE = 0.01
 POINT_KEY = {"l_orderkey": 7, "l_linenumber": 1}
 
 # DuckDB text shared by the oracles.
@@ -146,7 +148,7 @@ def batch_number(spark: SparkSession, sf_dir: str) -> DataFrame:
       row_number() OVER (PARTITION BY businessdate ORDER BY id) AS rn FROM {KEYS_SQL}) WHERE rn <= {BATCH_SIZE})""")
 def batch_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    first_batch = batch_number(spark, sf_dir).where(F.col("batch_no") == 0).select("businessdate", "id")
+    first_batch = first_n_per_group(order_keys(t.orders), ["businessdate"], ["id"], BATCH_SIZE).select("businessdate", "id")
     orders = t.orders.withColumn("businessdate", F.col("o_orderdate").cast("date")).withColumn("id", F.col("o_orderkey"))
     return members_of(orders, first_batch, ["businessdate", "id"]).drop("businessdate", "id")
 
@@ -185,3 +187,31 @@ def bucketed_payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   scratch_path(spark, "tbl-lineitem-b"))
     keys = orders.select(F.col("o_orderdate").cast("date").alias("businessdate"), F.col("o_orderkey").alias("id"))
     return key_payload_join(keys, lineitem, ["id"], ["l_orderkey"], LINEITEM_ORDER)
+
+
+def _heated(key: str):
+    return F.when(F.col(key) % HOT_MOD == 0, F.lit(HOT_KEY).cast("long")).otherwise(F.col(key)).alias(key)
+
+
+_HOT_SQL = f"CASE WHEN {{0}} % {HOT_MOD} = 0 THEN {HOT_KEY} ELSE {{0}} END"
+
+
+@query("hot_payload_join", "J1 S14", f"""WITH li AS (SELECT * REPLACE ({_HOT_SQL.format("l_orderkey")} AS l_orderkey) FROM lineitem),
+    first AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINEITEM_ORDER_SQL}) AS rn FROM li) WHERE rn = 1)
+  SELECT k.businessdate, k.id, k.o_orderkey, p.l_partkey, p.l_suppkey, p.l_linenumber, p.l_quantity, p.l_extendedprice, p.l_discount, p.l_tax,
+    p.l_returnflag, p.l_linestatus, p.l_shipdate, CASE WHEN p.l_orderkey IS NULL THEN 'No data' ELSE 'Found' END AS lookup_status
+  FROM (SELECT CAST(o_orderdate AS DATE) AS businessdate, {_HOT_SQL.format("o_orderkey")} AS id, o_orderkey FROM orders) k
+  LEFT JOIN first p ON p.l_orderkey = k.id""")
+def hot_payload_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key-to-payload join on stored tables in which one key has a third of all rows: hot keys are found by a sketch
+    and stored apart, the rest is joined without an exchange."""
+    t = Tables(spark, sf_dir)
+    ns = scratch_namespace("split")
+    lake.create_namespace(spark, ns, scratch_path(spark, "ns-split"))
+    payload = t.lineitem.select(*[_heated(c) if c == "l_orderkey" else F.col(c) for c in t.lineitem.columns])
+    keys = t.orders.select(F.col("o_orderdate").cast("date").alias("businessdate"), _heated("o_orderkey").alias("id"), "o_orderkey")
+    hot = sorted(set(lake.hot_keys(payload, ["l_orderkey"], HOT_SHARE)) | set(lake.hot_keys(keys, ["id"], HOT_SHARE)))
+    buckets = lake.bucket_count(payload)
+    stored = [lake.save_split(df, f"{ns}.{name}", by, buckets, hot, scratch_path(spark, f"tbl-split-{name}"))
+              for df, name, by in ((keys, "keys", ["id"]), (payload, "payload", ["l_orderkey"]))]
+    return split_payload_join(*stored, ["id"], ["l_orderkey"], LINEITEM_ORDER)

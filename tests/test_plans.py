@@ -97,7 +97,7 @@ SORT_SETTINGS = {
 }
 
 
-@pytest.fixture(params=[0, 1], ids=["small_sample", "no_reuse"])
+@pytest.fixture(params=[0, 1], ids=["few_rows_seen", "no_reuse"])
 def odd_sorts(request, spark):
     """Settings under which two sorts of the same rows would not agree on their partitions."""
     extra = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
@@ -139,7 +139,7 @@ def test_positions_do_not_depend_on_the_sort(spark, odd_sorts):
 
 @pytest.mark.parametrize("name", ["sort_desc", "run_history", "sectioned_rows", "two_part_rows", "row_ordinal", "sorted_keys", "batch_number", "joined_lines"])
 def test_ordered_queries_under_odd_sorts(spark, odd_sorts, name):
-    """The queries on ordinals and running values equal their SQL whatever the sort's sample and partitions."""
+    """The queries on ordinals and running values equal their SQL whatever rows the sort has looked at and whatever its partitions."""
     import __spark_entry__ as entry
     from tests.conftest import SF_CHECK
     from tools.oracle_check import digest, duck_connect
