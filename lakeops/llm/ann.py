@@ -1,25 +1,29 @@
 """Approximate nearest neighbours by learned partitions (largest inner product).
 
-Fitting uses at most about ``sample`` vectors, chosen by a hash of their id: their exact neighbour graph is
+Fitting uses at most about ``fitting_rows`` vectors, chosen by a hash of their id: their exact neighbour graph is
 cut into partitions of nearly equal size, moving vectors to the partition that holds most of their
 neighbours while sizes stay balanced; then a small classifier (one hidden layer) learns from each vector
 the shares of its neighbours' partitions. The number of partitions a query is routed to is the smallest that
-finds ``recall`` of the sample's own neighbours (a margin above the 0.9 that is asked for; all rows are
-denser than the sample, so their neighbours lie nearer). Every vector is then indexed under its most
+finds ``recall`` of the fitting rows' own neighbours (a margin above the 0.9 that is asked for; all rows are
+denser than these, so their neighbours lie nearer). There are 16 partitions, and with more than 65,536 rows as many as
+the square root of the rows over 16, as a power of two and at most one for 16 fitting rows. Every vector is then indexed under its most
 probable partition, and a query is compared, exactly and in double precision, with all vectors of its most
 probable partitions.
 
-Partitions are dealt in blocks of about ``block_rows`` rows by a hash of the id, so a partition (or one vector
-held by a third of all rows) is many tasks. A block returns its best rows per query; those are merged.
+Rows and queries of a partition are dealt in blocks of about ``block_rows`` by a hash of the id, so a partition (or
+one vector held by a third of all rows) is many tasks of bounded size. A pair of blocks returns its best rows per
+query; those are merged.
 
-Defined cases: vectors that are null, zero, of another dimension than the first usual one, or hold null or
-non-finite components take no part, nor do rows without an id; of rows with one id the smallest vector
+Defined cases: vectors that are null, zero, of another than the commonest dimension (ties: the larger), or hold null
+or non-finite components take no part, nor do rows without an id; of rows with one id the smallest vector
 counts; equal scores are ordered by id; fewer candidates give fewer rows; empty tables and tables without
 queries give empty results; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -126,7 +130,7 @@ class Router:
 
 
 def fit(x: np.ndarray, parts: int, recall: float, k: int = NEIGHBOURS) -> tuple[Router, int]:
-    """The classifier and the number of partitions to search, from a bounded sample."""
+    """The classifier and the number of partitions to search, from the fitting rows."""
     graph = neighbour_graph(x, k)
     part = balanced_partitions(x, graph, parts)
     parts = int(part.max()) + 1
@@ -171,23 +175,29 @@ def _best(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     return pa.table([pa.array(flat[0].astype(np.int64)), pa.array(flat[1].astype(np.int64)), pa.array(flat[2].astype(np.float64))], names=list(out))
 
 
+def partition_count(rows: int, fitting_rows: int) -> int:
+    """Partitions of the index: they grow with the square root of the rows, within what the fitting rows can teach."""
+    wanted = 1 << max(4, round(math.log2(max(1.0, math.sqrt(rows) / 16))))
+    return min(wanted, max(16, 1 << int(math.log2(max(1, fitting_rows // 16)))))
+
+
 def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, vec_id: str = "vec_id", vector: str = "embedding",
-           sample: int = 4096, partitions: int = 16, recall: float = 0.96, block_rows: int = 4096) -> DataFrame:
+           fitting_rows: int = 4096, partitions: int | None = None, recall: float = 0.96, block_rows: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows where ``is_query`` (a condition on vec_id), the k nearest found."""
     spark = vectors.sparkSession
     ensure_checkpoint_dir(spark)
     usable = (vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
               .mapInArrow(_usable, "vec_id long, v binary")
               .groupBy("vec_id").agg(F.min("v").alias("v")).checkpoint())
-    n = usable.count()
+    size = F.octet_length("v")
+    common = usable.groupBy(size.alias("width")).count().orderBy(F.col("count").desc(), F.col("width").desc()).first()
     result = "query_id long, vec_id long, score double"
-    if not n:
+    if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    usable, width, n = usable.where(size == common["width"]), common["width"], common["count"]
+    partitions = partitions or partition_count(n, fitting_rows)
     chance = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) / (1 << 30)
-    taught = usable.where(chance * n < sample).toArrow()
-    width = len(taught.column("v")[0].as_py()) if taught.num_rows else len(usable.first().v)
-    usable = usable.where(F.octet_length("v") == width)
-    taught = taught.filter(pa.compute.equal(pa.compute.binary_length(taught.column("v")), width))
+    taught = usable.where(chance * n < fitting_rows).toArrow()
     x = _matrix(taught.column("v"))[np.argsort(taught.column("vec_id").to_numpy())] if taught.num_rows else np.empty((0, width // 8))
     router, probes = fit(x, partitions, recall, k) if len(x) > 4 * partitions else (None, 1)
     shared = spark.sparkContext.broadcast(router)
@@ -200,13 +210,20 @@ def search(vectors: DataFrame, is_query, k: int = NEIGHBOURS, vec_id: str = "vec
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.tolist(), pa.list_(pa.int64()))], ["vec_id", "v", "parts"])
 
     schema = "vec_id long, v binary, parts array<long>"
-    blocks = max(1, -(-n // (block_rows * (partitions if router else 1))))
+    asked = usable.where(is_query)
+    parts = partitions if router else 1
+    blocks = max(1, -(-n // (block_rows * parts)))
+    query_blocks = max(1, -(-asked.count() * probes // (block_rows * parts)))
+    dealt = lambda seed, count: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(count))
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
     rows = (usable.mapInArrow(lambda b: route(b, 1), schema)
-            .select("vec_id", "v", F.col("parts")[0].alias("part"), F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).alias("block")))
-    queries = (usable.where(is_query).mapInArrow(lambda b: route(b, probes), schema)
-               .select("vec_id", "v", F.explode("parts").alias("part"))
-               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
-    best = (queries.groupBy("part", "block").cogroup(rows.groupBy("part", "block"))
+            .select("vec_id", "v", F.col("parts")[0].alias("part"), dealt(3, blocks).alias("block"))
+            .withColumn("query_block", every(query_blocks)))
+    queries = (asked.mapInArrow(lambda b: route(b, probes), schema)
+               .select("vec_id", "v", F.explode("parts").alias("part"), dealt(5, query_blocks).alias("query_block"))
+               .withColumn("block", every(blocks)))
+    keys = ["part", "block", "query_block"]
+    best = (queries.groupBy(*keys).cogroup(rows.select("vec_id", "v", *keys).groupBy(*keys))
             .applyInArrow(lambda a, b: _best(a, b, k), result))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

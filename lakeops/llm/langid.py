@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching (PPM) over bytes.
 
 Fitting counts, for every language and every order 0 .. ``order``, which byte follows which context, in a
-bounded sample of labelled rows. The counts are then frozen. In a context seen n times with q different
+bounded choice of labelled rows. The counts are then frozen. In a context seen n times with q different
 followers, a follower seen c times has probability c / (n + q), and q / (n + q) is the probability of
 escaping to the next shorter context; an unseen context escapes for free; below order 0 all 256 bytes are
 equal. A text's code length under a language is the sum over its bytes; the shortest wins (ties: the
@@ -11,9 +11,9 @@ Scoring keeps, per order, the contexts-with-follower as one sorted array of pack
 resolved code length under every language, so a byte costs one binary search at the highest order, and
 more only for the bytes that escape everywhere.
 
-Sample: rows with a label, at most ``max_chars`` characters each, chosen by a hash of the whole row so
-that about ``sample_chars`` characters per language are expected; each chosen row counts whole. The model
-is therefore bounded by ``languages x sample_chars x (order + 1)`` whatever the input, and may be
+Fitting rows: those with a label, at most ``max_chars`` characters each, chosen by a hash of the whole row so
+that about ``fitting_chars`` characters per language are expected; each chosen row counts whole. The model
+is therefore bounded by ``languages x fitting_chars x (order + 1)`` whatever the input, and may be
 broadcast. Every text is scored.
 
 Defined cases: a null text, a text without a letter, and any text when nothing was learned get ``und``
@@ -160,15 +160,15 @@ def has_letter(text: str) -> bool:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", order: int = 4,
-        sample_chars: int = 1_500_000, max_chars: int = 100_000) -> PpmModel:
-    """Learn from the rows of ``labelled`` with a label and a text (see the module for the sample)."""
+        fitting_chars: int = 1_500_000, max_chars: int = 100_000) -> PpmModel:
+    """Learn from the rows of ``labelled`` with a label and a text (see the module for the choice)."""
     if not 0 <= order <= MAX_ORDER:
         raise ValueError(f"order must be 0 to {MAX_ORDER}")
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                            F.hash(*[F.col(f"`{c}`") for c in labelled.columns]).alias("h"))
     rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars))
     sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
-    share = (F.pmod(F.col("h").cast("long"), F.lit(1 << 20)) / (1 << 20)) * F.col("chars") < sample_chars
+    share = (F.pmod(F.col("h").cast("long"), F.lit(1 << 20)) / (1 << 20)) * F.col("chars") < fitting_chars
     chosen = rows.join(F.broadcast(sizes), "lang").where(share).select("lang", "text")
     local = chosen.mapInArrow(lambda batches: _count_batches(batches, order), "lang string, length int, gram long, n long")
     total = local.groupBy("lang", "length", "gram").agg(F.sum("n").alias("n")).toArrow()

@@ -29,7 +29,7 @@ def test_recall_and_exact_scores(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
     df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA)
     want = brute(rows, lambda i: i % 20 == 0, 20)
-    got = run(df, F.col("vec_id") % 20 == 0, sample=1000, block_rows=50)
+    got = run(df, F.col("vec_id") % 20 == 0, fitting_rows=1000, block_rows=50, partitions=16)
     assert got.keys() == want.keys()
     score = {q: dict(v) for q, v in want.items()}
     found = sum(len({i for i, _ in got[q]} & score[q].keys()) for q in want)
@@ -54,7 +54,7 @@ def test_one_vector_in_a_third_of_the_rows(spark):
     rng = np.random.default_rng(1)
     rows = [(i, ([1.0] * 8 if i % 3 == 0 else rng.normal(size=8).tolist())) for i in range(900)]
     df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA)
-    got = run(df, F.col("vec_id") % 20 == 0, sample=300, partitions=4, block_rows=30)
+    got = run(df, F.col("vec_id") % 20 == 0, fitting_rows=300, partitions=4, block_rows=30)
     want = brute(rows, lambda i: i % 20 == 0, 20)
     same = [q for q in want if q % 3 == 0]
     assert same and all([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in same if rows[q][1] == [1.0] * 8 and len({s for _, s in want[q]}) == 1)
@@ -64,3 +64,25 @@ def test_partitions_are_balanced():
     x = np.random.default_rng(2).normal(size=(400, 6))
     part = ann.balanced_partitions(x, ann.neighbour_graph(x, 10), 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(1.1 * 400 / 8)
+
+
+def test_commonest_width_takes_part(spark):
+    """Whichever vector comes first."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=5 if i % 50 == 0 else 8).tolist()) for i in range(400)]
+    df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA).coalesce(1)
+    got = run(df, F.col("vec_id") % 20 == 0)
+    usual = [(i, v) for i, v in rows if len(v) == 8]
+    assert got == {q: near for q, near in brute(usual, lambda i: i % 20 == 0, 20).items()} and len(got) == 16
+
+
+def test_partitions_grow_and_keep_their_recall(spark):
+    assert [ann.partition_count(n, 4096) for n in (1, 10_000, 65_536, 1_000_000, 10 ** 9)] == [16, 16, 16, 64, 256]
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 12))
+    rows = [(i, (centres[i % 60] + 0.2 * rng.normal(size=12)).astype(np.float32).tolist()) for i in range(3000)]
+    df = spark.createDataFrame([(i, v, 0, 0) for i, v in rows], SCHEMA)
+    want = brute(rows, lambda i: i % 20 == 0, 20)
+    for parts in (16, 64):
+        got = run(df, F.col("vec_id") % 20 == 0, fitting_rows=1500, partitions=parts, block_rows=40)
+        assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) / sum(map(len, want.values())) >= 0.9

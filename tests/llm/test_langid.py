@@ -65,8 +65,8 @@ def test_defined_cases(spark, hostile, no_docs):
         langid.predict(hostile.withColumnRenamed("node", "score"), model)
 
 
-def test_sample_is_bounded_and_whole(spark):
+def test_fitting_rows_are_bounded_and_whole(spark):
     rows = [(i, "ab" * 50, "en") for i in range(400)]
-    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=1, sample_chars=5000)
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=1, fitting_chars=5000)
     follow = dict(zip(model.keys[1].tolist(), model.cost[1][:, 0].tolist()))
     assert set(follow) == {(97 << 8) | 98, (98 << 8) | 97}
