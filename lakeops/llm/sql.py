@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakeops.llm.chat import CONTROL, END, START, TEXT
-from lakeops.llm.urls import DAMPING, ROUNDS
+from lakeops.llm.urls import DAMPING, TOLERANCE
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -93,17 +93,13 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 """
 
 
-def url_filter(rules, rounds: int = ROUNDS, damping: float = DAMPING) -> str:
-    """The rounds of propagation are written out one by one."""
+def url_filter(rules, rounds: int = 48, damping: float = DAMPING) -> str:
+    """``rounds`` leave less than the tolerance unspread, and reach every host that is at most as many links away."""
+    assert damping ** rounds <= TOLERANCE
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     table = ", ".join(f"({_text(h)}, {_text(p)}, {_text(v)}, {_text(h + p)})" for h, p, v in rules)
-    steps = []
-    for i in range(1, rounds + 1):
-        steps.append(f"""r{i} AS (SELECT kind, host, sum(rank) AS rank FROM (
-            SELECT s.kind, s.dst AS host, r.rank * s.share * {damping} AS rank FROM r{i - 1} AS r JOIN steps AS s ON r.kind = s.kind AND r.host = s.src
-            UNION ALL SELECT kind, host, rank * (1 - {damping}) FROM r0) GROUP BY ALL)""")
     return rf"""
-WITH rules(rhost, rpath, rverdict, rule) AS (VALUES {table}),
+WITH RECURSIVE rules(rhost, rpath, rverdict, rule) AS (VALUES {table}),
 u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, html, {lower.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 fit AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(rverdict, length(rule)) AS verdict
@@ -119,13 +115,16 @@ edges AS (SELECT src, dst, count(*) AS weight FROM (
             UNION ALL SELECT src, dst FROM up WHERE src <> dst AND len(string_split(dst, '.')) >= 2
             UNION ALL SELECT dst, src FROM up WHERE src <> dst AND len(string_split(dst, '.')) >= 2) GROUP BY ALL),
 kinds AS (SELECT 1 AS kind, src, dst, weight FROM edges UNION ALL SELECT -1, dst, src, weight FROM edges),
-steps AS (SELECT kind, src, dst, weight / sum(weight) OVER (PARTITION BY kind, src) AS share FROM kinds),
+steps AS MATERIALIZED (SELECT kind, src, dst, weight / sum(weight) OVER (PARTITION BY kind, src) AS share FROM kinds),
 seeds AS (SELECT host, count(*) FILTER (WHERE verdict = 'allow') AS a, count(*) FILTER (WHERE verdict = 'block') AS b FROM j GROUP BY 1),
 total AS (SELECT greatest(1, sum(a) + sum(b)) AS n FROM seeds),
-r0 AS (SELECT 1 AS kind, host, a / n AS rank FROM seeds, total WHERE a > 0 UNION ALL SELECT -1, host, b / n FROM seeds, total WHERE b > 0),
-{", ".join(steps)},
+r0 AS MATERIALIZED (SELECT 1 AS kind, host, a / n AS rank FROM seeds, total WHERE a > 0 UNION ALL SELECT -1, host, b / n FROM seeds, total WHERE b > 0),
+walk AS (SELECT 0 AS i, kind, host, rank FROM r0 UNION ALL
+         SELECT w.i + 1, s.kind, s.dst, sum(w.rank * s.share * {damping}) FROM walk AS w JOIN steps AS s ON w.kind = s.kind AND w.host = s.src
+         WHERE w.i < {rounds} GROUP BY ALL),
+ranks AS (SELECT kind, host, sum(rank * CASE WHEN i < {rounds} THEN 1 - {damping} ELSE 1 END) AS rank FROM walk GROUP BY ALL),
 scores AS (SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 1), 0) AS trust, coalesce(sum(rank) FILTER (WHERE kind = -1), 0) AS distrust
-           FROM r{rounds} GROUP BY 1)
+           FROM ranks GROUP BY 1)
 SELECT j.page_id, j.host, j.path, j.rule,
        coalesce(j.verdict, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN scores USING (host)

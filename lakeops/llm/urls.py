@@ -10,9 +10,9 @@ at hosts with allowed pages; distrust is the same over reversed links, restarted
 (who links to the blocked is suspect). A host also exchanges links with its parent domain. A host whose
 distrust exceeds ``threshold`` times its trust is blocked. Links are counted per pair of hosts before the
 shuffle; each round joins the edges with the ranks by source host (adaptive execution splits a hot host) and
-sums partially before the shuffle. Ranks are checkpointed every few rounds. With a ``tolerance`` the rounds go on,
-after the first ``rounds``, until one changes the ranks by that much in sum at most. Without, they stop after
-``rounds``, as in the SQL: up to ``damping ** rounds`` of the mass is then not spread.
+sums partially before the shuffle. Ranks are checkpointed every few rounds. The rounds
+go on until every host that a seed reaches has been reached and the ranks change by at most ``tolerance`` in sum, so a
+verdict does not depend on how many rounds there were: a host any number of links from a blocked one is judged.
 
 Defined cases: a null url, or one without "://", has an empty host and path, fits no rule and is allowed;
 null html has no links; an empty path does not start with "/"; rows that repeat are judged one by one but
@@ -29,7 +29,7 @@ from lakeops.session import ensure_checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'>\s]+)"""
-ROUNDS, DAMPING, CHECKPOINT_EVERY = 8, 0.85, 4
+TOLERANCE, DAMPING, CHECKPOINT_EVERY = 1e-3, 0.85, 8
 
 
 def host_of(url: Column) -> Column:
@@ -72,17 +72,18 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.unionByName(both).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING,
-              tolerance: float | None = None) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust) from ``seeds`` (host, trust, distrust): shares of the pages that rules decide."""
+    if tolerance <= 0 or not 0 < damping < 1:
+        raise ValueError("tolerance must be positive, damping between 0 and 1")
     kinds = edges.select(F.lit(1).alias("kind"), "src", "dst", "weight").unionByName(
         edges.select(F.lit(-1).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
     out = kinds.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     steps = kinds.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")).checkpoint()
     start = (seeds.select(F.lit(1).alias("kind"), "host", F.col("trust").alias("rank"))
              .unionByName(seeds.select(F.lit(-1).alias("kind"), "host", F.col("distrust").alias("rank"))).where("rank > 0").checkpoint())
-    ranks, i = start, 0
-    while i < rounds or tolerance is not None:
+    ranks, i, reached = start, 0, -1
+    while True:
         i += 1
         before = ranks
         moved = (ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
@@ -91,8 +92,10 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
                  .groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
         if i % CHECKPOINT_EVERY == 0:
             ranks = ranks.checkpoint()
-            if tolerance is not None and i >= rounds and _change(before, ranks) <= tolerance:
+            now = ranks.count()
+            if now == reached and (damping ** i <= tolerance or _change(before, ranks) <= tolerance):
                 break
+            reached = now
     total = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0.0))
     return ranks.groupBy("host").agg(total(1).alias("trust"), total(-1).alias("distrust"))
 
@@ -103,7 +106,7 @@ def _change(before: DataFrame, after: DataFrame) -> float:
 
 
 def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-          threshold: float = 1.0, broadcast_hosts: int = 100_000, tolerance: float | None = None) -> DataFrame:
+          threshold: float = 1.0, broadcast_hosts: int = 100_000, tolerance: float = TOLERANCE) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust. ``rules`` has host, path, verdict and rule (its name).
     Up to ``broadcast_hosts`` (counted) hosts, what is known of them is broadcast, so that pages are not shuffled."""
     ensure_checkpoint_dir(pages.sparkSession)
@@ -121,7 +124,7 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
     n_ruled = max(1, (sums.a or 0) + (sums.b or 0))
     part = lambda c: F.coalesce(F.col(c), F.lit(0)) / F.lit(float(n_ruled))
     seeds = per_host.select("host", part("a").alias("trust"), part("b").alias("distrust"))
-    scores = of_hosts(propagate(host_edges(rows, hosts), seeds, tolerance=tolerance))
+    scores = of_hosts(propagate(host_edges(rows, hosts), seeds, tolerance))
     verdict = F.when(F.col("best.block"), "block").when(F.col("best").isNotNull(), "allow").when(
         F.coalesce("distrust", F.lit(0.0)) > threshold * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return ruled.join(scores, "host", "left").select(
