@@ -72,7 +72,7 @@ def columns_from_bytes(payload: bytes) -> dict[str, np.ndarray]:
     return {name: batch.column(i).values.to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
 
 
-def _packed(batches, size_column: int):
+def _packed(batches, size_column: int, block_bytes: int):
     task, number = TaskContext.get().partitionId(), 0
     held: list[pa.RecordBatch] = []
     size = 0
@@ -87,21 +87,21 @@ def _packed(batches, size_column: int):
 
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(size_column)), 0).to_pylist()
-        for lo, hi in groups(sizes, BLOCK_BYTES // 4):
+        for lo, hi in groups(sizes, block_bytes // 4):
             held.append(batch.slice(lo, hi - lo))
             size += sum(sizes[lo:hi])
-            if size >= BLOCK_BYTES * 3 // 4:
+            if size >= block_bytes * 3 // 4:
                 yield row()
     if sum(b.num_rows for b in held):
         yield row()
 
 
-def pack(df: DataFrame, text: str, keep=lambda t: t.checkpoint()) -> DataFrame:
-    """(block, payload): all columns of ``df`` in blocks of about ``BLOCK_BYTES`` of text; a longer text is one block.
-    ``keep`` stores them."""
+def pack(df: DataFrame, text: str, keep=lambda t: t.checkpoint(), scale: int = 1) -> DataFrame:
+    """(block, payload): all columns of ``df`` in blocks of about ``scale`` times ``BLOCK_BYTES`` of text; a longer text
+    is one block. ``keep`` stores them."""
     ensure_checkpoint_dir(df.sparkSession)
-    at = df.columns.index(text)
-    return keep(df.mapInArrow(lambda batches: _packed(batches, at), "block long, payload binary"))
+    at, block_bytes = df.columns.index(text), scale * BLOCK_BYTES
+    return keep(df.mapInArrow(lambda batches: _packed(batches, at, block_bytes), "block long, payload binary"))
 
 
 def replies(blocks: DataFrame, answers: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ compared on their first ``length`` bytes, and are sorted in parts:
 2. A suffix with a hot key gets another key, the hash of its whole ``length`` bytes, and is a run of its own.
    Blocks exchange these keys as in step 1 (only if there are any), so a string of one document goes no further.
 3. For the keys left each block sends its distinct runs, with the smallest document of each, to the key's
-   bucket. The bucket puts the suffixes in order, in pieces of whole keys, and finds by previous and next
-   smaller values the first document of every suffix.
+   bucket. The bucket puts the suffixes in order, in pieces of whole keys, and computes their longest-previous-factor
+   array from the previous and next smaller positions and the common prefixes between: an entry whose value is below
+   ``length`` is of the first document that has its string, and the other entries equal to it follow that document.
 4. Each block gets the answers back, marks the bytes, and returns what remains.
 
 A passage in a third of all documents is one entry per block, so no bucket grows with a group of copies. A
@@ -42,6 +43,8 @@ from lakeops.llm import blocks as bl
 from lakeops.llm import textbytes as tb
 
 GRAM = 20
+#: Blocks here are larger than elsewhere: a passage is sent once per block, and messages are fewer.
+BLOCK_SCALE = 2
 PIECE = 1 << 20
 SORT_AT_ONCE = 200_000
 KEY_BITS = 48
@@ -236,22 +239,61 @@ def _scatter_runs(batches, text, doc_id, length, gram, buckets):
         yield from _by_bucket(block, runs.key, buckets, rows)
 
 
-def first_documents(suffixes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """For rows of equal-length byte strings: the smallest id among equal rows, from the suffix order.
-
-    In suffix order the longest previous factor of an entry reaches the whole length exactly if the nearest
-    smaller id before it, or after it, lies in its interval of equal strings; following such smaller values
-    ends at the interval's smallest id."""
+def suffix_order(suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of rows of equal-length byte strings, and how many bytes each has in common with the one before it in
+    that order (0 for the first)."""
     width = suffixes.shape[1]
     padded = np.empty((len(suffixes), width + 1), np.uint8)
     padded[:, :width] = suffixes
     padded[:, width] = 1  # numpy drops trailing zero bytes of strings
     order = np.argsort(padded.view(f"S{width + 1}").ravel(), kind="stable")
     placed = suffixes[order]
-    starts = np.flatnonzero(np.r_[True, (placed[1:] != placed[:-1]).any(axis=1)])
-    low = np.minimum.reduceat(ids[order], starts)
+    differ = placed[1:] != placed[:-1]
+    common = np.zeros(len(order), np.int32)
+    common[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return order, common
+
+
+def _nearest_smaller(ids: np.ndarray, common: np.ndarray, enough: int) -> np.ndarray:
+    """For every entry, what it has in common with the nearest entry before it that has a smaller id (0: there is none).
+    An entry looks at its neighbour; while that one's id is not smaller it goes on to the one its neighbour has come to,
+    so steps double. It stops where less than ``enough`` is left, with what is left."""
+    at, left = np.arange(-1, len(ids) - 1), common.copy()
+    going = np.arange(len(ids))
+    while True:
+        going = going[(at[going] >= 0) & (left[going] >= max(1, enough))]
+        going = going[ids[at[going]] >= ids[going]]
+        if not len(going):
+            break
+        there = at[going]
+        left[going], at[going] = np.minimum(left[going], left[there]), at[there]
+    left[at < 0] = 0
+    return left
+
+
+def longest_previous_factors(ids: np.ndarray, common: np.ndarray, enough: int = 0) -> np.ndarray:
+    """The longest-previous-factor array in suffix order, capped at the compared bytes: for every entry the longest
+    prefix that an entry with a smaller id has too. Of all entries with smaller ids the nearest one before and the
+    nearest one after it have most in common with it. Values below ``enough`` may be larger than the true ones (but
+    not than ``enough``)."""
+    before = _nearest_smaller(ids, common, enough)
+    after = _nearest_smaller(ids[::-1], np.r_[0, common[:0:-1]].astype(common.dtype), enough)[::-1] if len(ids) else before
+    return np.maximum(before, after)
+
+
+def first_documents(suffixes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For rows of equal-length byte strings: the smallest id among equal rows. An entry whose longest previous factor
+    does not reach the whole length is of the first document that has its string; all others equal to it follow that
+    document."""
+    width = suffixes.shape[1]
+    order, common = suffix_order(suffixes)
+    placed = ids[order]
+    firsts = np.flatnonzero(longest_previous_factors(placed, common, width) < width)
+    string = np.cumsum(common < width) - 1
+    owner = np.empty(int(string[-1]) + 1 if len(string) else 0, np.int64)
+    owner[string[firsts]] = placed[firsts]
     out = np.empty(len(ids), np.int64)
-    out[order] = np.repeat(low, np.diff(np.r_[starts, len(order)]))
+    out[order] = owner[string]
     return out
 
 
@@ -354,7 +396,7 @@ def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text
         raise ValueError("length must be at least 2 bytes")
     gram = min(gram, length)
     at, who = df.columns.index(text), df.columns.index(doc_id)
-    blocks = bl.pack(df, text)
+    blocks = bl.pack(df, text, scale=BLOCK_SCALE)
     buckets = bl.bucket_count(blocks)
     sent = "bucket long, block long, payload binary"
     answer = "block long, payload binary"

@@ -83,3 +83,20 @@ def test_first_documents():
 def test_text_of_kept_bytes(spark):
     df = spark.createDataFrame([(bytearray("aé".encode()[:2]),), (None,), (bytearray("é�".encode()),)], "kept binary")
     assert [r[0] for r in df.select(repeats.kept_text(df.kept)).collect()] == ["a", None, "é�"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_previous_factors(seed):
+    """Against the definition: the longest prefix that an entry with a smaller id has too."""
+    rng = np.random.default_rng(seed)
+    width, n = 6, [0, 1, 2, 60, 200, 300][seed]
+    rows = rng.integers(0, 2 if seed % 2 else 3, (n, width)).astype(np.uint8)
+    ids = rng.integers(0, 12, n) if seed < 5 else np.arange(n)[::-1].copy()
+    order, common = repeats.suffix_order(rows)
+    same = lambda a, b: int(np.argmax(np.r_[rows[a] != rows[b], True]))
+    expected = [max([same(i, j) for j in range(n) if ids[j] < ids[i]], default=0) for i in order]
+    assert repeats.longest_previous_factors(ids[order], common).tolist() == expected
+    capped = repeats.longest_previous_factors(ids[order], common, width)
+    assert [c >= width for c in capped] == [e >= width for e in expected] and all(c >= e for c, e in zip(capped, expected))
+    lowest = [min(ids[j] for j in range(n) if same(i, j) == width) for i in range(n)]
+    assert repeats.first_documents(rows, ids).tolist() == lowest
