@@ -8,10 +8,14 @@ is, when d is at most r. The join is a recursion over regions:
   (number of sets that have it, hash). The numbers are exact: blocks of documents send their distinct shingles
   to hash buckets and get the counts back. Shingles of one set only are no landmarks. A region is the documents
   of one landmark; regions of equal membership are taken once.
-* Regions of at most ``LEAF`` members are compared directly.
-* In a larger region every member is first measured against one pivot of its home, the largest region it is in:
-  the member with most landmarks, that is, the near copy with fewest changes; members that this leaves
-  unconnected try ``PIVOTS`` more. This settles most groups of near copies with a few distances a member.
+* Before the regions are built, every set meets a few hubs: ``HUBS`` smallest values under different hash orders say
+  which sets are likely near, and of the sets with one such value the one with most landmarks, that is, the near copy
+  with fewest changes, is measured against the others. This connects most members of groups of near copies with a
+  few distances each. What is not found here is found below; so it costs no link.
+* Only regions whose members are not all connected by then are built, and in them only what is not known to be
+  connected is compared. Regions of at most ``LEAF`` members are compared directly.
+* In a larger region the open members are first measured against ``PIVOTS`` pivots of their home, the largest region
+  they are in.
 * One level of the recursion for what is left. Every region draws pivots among its open members (at first all are); all members' distances
   to the pivots are found, each distinct pair once. Members within r of a pivot lie in its cell and are linked.
   Members known to be connected need not be compared: the largest connected group of a region is closed, the
@@ -49,9 +53,11 @@ MIN_PARTS, PER_PART = 64, 8
 KEY_BITS, MOST = 48, 65535
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
-#: Further pivots tried at home; the recursion starts with 8 times as many a region, and each level draws that many
-#: times more.
+#: Pivots tried at home; the recursion starts with 8 times as many a region, and each level draws that many times more.
 PIVOTS = 8
+#: Hash orders under which sets meet hubs.
+HUBS = 4
+_ORDERS = tb.mix(np.arange(1, HUBS + 1, dtype=np.uint64)) | np.uint64(1)
 CHUNK = 64
 
 
@@ -125,7 +131,7 @@ def _signature(s: np.ndarray) -> int:
 
 
 def _node_rows(batches, width: int, share: int):
-    """Per document: its node, size, landmarks and coordinates. A landmark is a shingle of the prefix that another set
+    """Per document: its node, size, landmarks, hub values and coordinates. A landmark is a shingle of the prefix that another set
     of the corpus has too; the prefix is taken in the order of (sets that have it, hash)."""
     seen: set[int] = set()
     for payload, answers in bl.rows_of(batches):
@@ -133,7 +139,7 @@ def _node_rows(batches, width: int, share: int):
         keys, _ = _keys_of(sets)
         answers.sort(key=lambda a: a["bucket"])  # buckets hold ranges of keys, in order
         count = np.concatenate([bl.columns_from_bytes(a["payload"])["n"] for a in answers]) if answers else np.empty(0, np.uint16)
-        nodes, sizes, landmarks, sketches = [], [], [], []
+        nodes, sizes, landmarks, hubs, sketches = [], [], [], [], []
         for s in sets:
             n = len(s)
             node = _signature(s) if n else None
@@ -147,11 +153,12 @@ def _node_rows(batches, width: int, share: int):
                 first = np.lexsort((s, found))[:length]
                 marks = s[first[found[first] > 1]].view(np.int64)
             landmarks.append(marks if marks is not None and len(marks) else None)
+            hubs.append(tb.mix(np.array([(s * o).min() for o in _ORDERS]) + _ORDERS).view(np.int64) if landmarks[-1] is not None else None)
             sketches.append(_coordinates(s).tobytes() if landmarks[-1] is not None else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
-             pa.array(landmarks, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            ["doc_id", "node", "n", "landmarks", "sketch"])
+             pa.array(landmarks, pa.list_(pa.int64())), pa.array(hubs, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            ["doc_id", "node", "n", "landmarks", "hubs", "sketch"])
 
 
 def _set_rows(batches, width: int, column: int):
@@ -216,9 +223,8 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
     mine = counts.groupBy("block").agg(F.collect_list(F.struct("bucket", "payload")).alias("answers"))
     known = blocks.join(mine, "block", "left").select("payload", F.coalesce("answers", F.array().cast("array<struct<bucket:bigint,payload:binary>>")).alias("answers"))
     rows = store.keep(known.mapInArrow(lambda b: _node_rows(b, width, share),
-                                       f"doc_id {id_type}, node long, n long, landmarks array<long>, sketch binary"))
-    members = _first_regions(rows, store)
-    labels = _join_regions(docs, rows, members, width, share, broadcast_bytes, store)
+                                       f"doc_id {id_type}, node long, n long, landmarks array<long>, hubs array<long>, sketch binary"))
+    labels = _join_regions(docs, rows, width, share, broadcast_bytes, store)
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     if labels is not None:
         labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -231,42 +237,47 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
                                 F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
-def _first_regions(rows: DataFrame, store) -> DataFrame:
-    """(region, node) of every landmark that at least two nodes have, regions of equal members once."""
-    postings = rows.where("landmarks is not null").select(F.explode("landmarks").alias("region"), "node")
-    shared = (postings.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-              .where("low <> high").select("region"))
-    members = store.keep(postings.join(shared, "region").distinct())
+def _hub_pairs(sets: DataFrame, share: int) -> DataFrame:
+    """Pairs of every set with the hubs of its hub values."""
+    met = sets.select("node", "n", "degree", F.explode("hubs").alias("region"))
+    rank = F.struct(F.col("degree"), F.xxhash64("node").alias("h"), F.col("node").alias("p"), F.col("n").alias("np"))
+    hubs = met.groupBy("region").agg(F.max(rank).alias("b"), F.count("*").alias("m")).where("m > 1").select("region", "b.p", "b.np")
+    return (met.join(hubs, "region").where("node <> p").where(_sizes_allow(share))
+            .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
+
+
+def _first_regions(sets: DataFrame, labels: DataFrame, store) -> DataFrame:
+    """(region, node, n, degree, label, m) of every landmark whose sets are not all known to be connected, regions of
+    equal members once."""
+    known = sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    postings = known.select(F.explode("landmarks").alias("region"), "node", "n", "degree", "label")
     of = lambda seed: F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(seed)), 32))
-    once = (members.groupBy("region").agg(F.count("*").alias("m"), F.min("node").alias("low"), of(1).alias("s1"), of(2).alias("s2"))
-            .groupBy("m", "low", "s1", "s2").agg(F.min("region").alias("region")).select("region"))
-    return store.keep(members.join(once, "region"))
+    open_ = store.keep(postings.groupBy("region").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("m"),
+                                                      F.min("node").alias("low"), of(1).alias("s1"), of(2).alias("s2")).where("l1 <> l2")
+                       .groupBy("m", "low", "s1", "s2").agg(F.min("region").alias("region")).select("region", "m"))
+    return store.keep(postings.join(open_, "region"))
 
 
-def _join_regions(docs, rows, members, width, share, broadcast_bytes, store) -> DataFrame | None:
+def _join_regions(docs, rows, width, share, broadcast_bytes, store) -> DataFrame | None:
     """Labels of all nodes that have a link, by the recursion over regions; None if no two nodes meet."""
-    if members.isEmpty():
+    sets = store.keep(rows.where("sketch is not null").groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "landmarks", "hubs", "sketch")])
+                      .withColumn("degree", F.size("landmarks").cast("long")))
+    if sets.isEmpty():
         return None
-    degree = members.groupBy("node").agg(F.count("*").alias("degree"))
-    sketches = store.keep(rows.where("sketch is not null").select("node", "n", "sketch").join(degree, "node")
-                          .groupBy("node", "n", "degree").agg(F.first("sketch").alias("sketch")))
+    sketches = sets.select("node", "n", "degree", "sketch")
     r = (100 - share) / 100 + 1e-9
-    size = members.groupBy("region").agg(F.count("*").alias("m"))
-    members = store.keep(members.join(size, "region").join(sketches.select("node", "n", "degree"), "node"))
     verify = lambda maybe: _measure(docs, rows, maybe, width, share, broadcast_bytes, store)
     measure = lambda pairs: verify(store.keep(_not_excluded(pairs.distinct(), sketches, share)))
-    leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n")
-    other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"))
-    direct = leaf.join(other, "region").where("node < p").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
-    large = members.where(F.col("m") > LEAF)
-    links = _links(measure(direct.unionByName(_home_pairs(large.withColumn("open", F.lit(True)), 1, share))))
+    links = _links(measure(_hub_pairs(sets, share)))
     labels = store.keep(_near_labels(links))
-    # Most of a group of near copies is connected now; the others try a few more pivots, once each.
-    opened = _open(large.select("region", "node", "n", "m", "degree"), labels, store)
-    if not opened.isEmpty():
-        links = links.unionAll(_links(measure(_home_pairs(opened, PIVOTS, share))))
-        labels = store.keep(_near_labels(links))
-        opened = _open(opened.select("region", "node", "n", "m", "degree"), labels, store)
+    members = _first_regions(sets, labels, store)
+    leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n", "label")
+    other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("to"))
+    direct = leaf.join(other, "region").where("node < p and label <> to").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
+    opened = _open(members.where(F.col("m") > LEAF).drop("label"), labels, store)
+    links = links.unionAll(_links(measure(direct.unionByName(_home_pairs(opened, PIVOTS, share)))))
+    labels = store.keep(_near_labels(links))
+    opened = _open(opened.select("region", "node", "n", "m", "degree"), labels, store)
     members = opened.select("region", "node", "n", "label", "open")
     pivots_each = 8 * PIVOTS
     while True:
@@ -291,11 +302,9 @@ def _home_pairs(members: DataFrame, each: int, share: int) -> DataFrame:
     members with most landmarks in regions: near copies with few changes, which are near the others."""
     rank = F.struct(F.col("degree"), F.xxhash64("node").alias("h"), F.col("node").alias("p"), F.col("n").alias("np"))
     home = members.where("open").groupBy("node", "n").agg(F.max(F.struct("m", "region")).alias("home")).select("node", "n", "home.region")
-    if each == 1:
-        best = members.groupBy("region").agg(F.max(rank).alias("b")).select("region", "b.p", "b.np")
-    else:  # the best of each of ``each`` parts of a region
-        part = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(each)).alias("part")
-        best = members.groupBy("region", part).agg(F.max(rank).alias("b")).select("region", "b.p", "b.np")
+    # The best of each of ``each`` parts of a region.
+    part = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(each)).alias("part")
+    best = members.groupBy("region", part).agg(F.max(rank).alias("b")).select("region", "b.p", "b.np")
     return (home.join(best, "region").where("node <> p").where(_sizes_allow(share))
             .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
 
