@@ -15,8 +15,6 @@ from lakeops.llm import bpe, decontaminate, jaccard, langid, repeats
 from lakeops.session import scratch_path
 from lakeops.tables import table
 
-#: Documents whose language is less certain than this are rejected, beside those without any language.
-MIN_SCORE = 0.3
 BROADCAST_ROWS = 500_000
 
 
@@ -27,9 +25,10 @@ def _drop(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language."""
+    """Documents in a language that was learned: all but those without a text or letter (and all, if no row has a
+    label), whatever the number of languages and however short the text."""
     found = langid.predict(docs, langid.learn_from_folds(docs))
-    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(*docs.columns)
+    return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ def by_hand(spark, docs, sf_dir):
     """The rows that ``run`` must give, stage by stage from the definitions; only the language model is shared."""
     rows = {r.doc_id: r for r in docs.collect()}
     model = langid.learn_from_folds(docs)
-    names, scores = model.predict([r.text for r in rows.values()])
-    kept = [i for i, n, s in zip(rows, names, scores) if n != "und" and s >= pipeline.MIN_SCORE]
+    names, _ = model.predict([r.text for r in rows.values()])
+    kept = [i for i, n in zip(rows, names) if n != "und"]
     groups = {i: c for i, _, c in classes([(i, rows[i].text) for i in kept], 5, 80)}
     kept = [i for i in kept if groups[i] == i]
     text = {i: b.decode("utf-8", "ignore") for i, _, _, b in cuts([(i, (rows[i].text or "").encode()) for i in kept], 50)}
@@ -51,3 +51,12 @@ def test_stages_take_hostile_rows(spark, hostile, no_docs):
 def test_stage_functions_and_names():
     assert [n for n, _ in pipeline.STAGES] == ["language", "near_duplicates", "repeated_passages", "benchmark_passages", "tokens"]
     assert pipeline.ORACLE_SQL is None and decontaminate.FILTER_BITS == 27
+
+
+def test_short_clean_texts_stay(spark):
+    """However many languages there are and however little a text tells them apart."""
+    rows = [(i, f"{'abcdefghijkl'[i % 12] * 3} {'mnopqrstuvwx'[i % 12] * 4} text number", f"l{i % 12}") for i in range(240)]
+    rows += [(1000, "a", None), (1001, "x y", "l1"), (1002, "12 !", "l1"), (1003, None, "l2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in pipeline.language(spark, docs, SF).collect()}
+    assert kept == {i for i, *_ in rows} - {1002, 1003}
