@@ -2,19 +2,22 @@
 
 A report is a sequence of lines per document: either a text value split into lines, or line rows
 produced directly. The section state (which part a line belongs to) and the split positions are running
-aggregates over each document's lines in order, computed with
+aggregates over each document's lines in order. For line rows they are computed with
 :func:`lakeops.operators.ordering.with_group_running`, so even a document holding a third of all lines
-is spread over many tasks and nothing is collected per document.
+is spread over many tasks and nothing is collected per document. A text value is one row and so bounded: its lines
+need no global sort, only a window over the text, or no shuffle at all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.ordering import with_group_row_number, with_group_running
+from lakeops.operators.sizing import broadcast_if_small
+from lakeops.session import ensure_checkpoint_dir
 
 # Section markers and separators of the report formats.
 START_PART_1 = "Start Part 1"
@@ -41,19 +44,25 @@ def text_lines(df: DataFrame, doc: str, text: str) -> DataFrame:
     return df.select(doc, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
 
 
-def parse_sections(lines: DataFrame, doc: str, order: Sequence[str], line: str) -> DataFrame:
+def parse_sections(lines: DataFrame, doc: str, order: Sequence[str], line: str, bounded: bool = False) -> DataFrame:
     """Rows of the two marked parts of each report, from its lines in ``order``.
 
     Part 1 opens at ``Start Part 1`` (which also closes part 2) and closes at ``End Part 1``; part 2 opens
     at ``Start Part 2`` and closes at ``End Part 2``. A line with a pipe inside an open part is split into
     trimmed cells; part 1 keeps lines of at least 4 cells (the first 4), and otherwise part 2 keeps
-    lines of at least 3 cells (the first 3). ``line_no`` is the 0-based position of the line."""
+    lines of at least 3 cells (the first 3). ``line_no`` is the 0-based position of the line. ``bounded``: the
+    lines of a document are those of one text, so that they may meet in one task."""
     ln = strip(F.col(line))
     part1_event = F.when(ln == START_PART_1, True).when(ln == END_PART_1, False)
     part2_event = F.when(ln == START_PART_2, True).when(ln == END_PART_2, False).when(ln == START_PART_1, False)
     staged = lines.select(doc, *order, ln.alias("_line"), part1_event.alias("_e1"), part2_event.alias("_e2"))
-    run = with_group_running(staged, [doc], order, [
-        ("_in1", "last", F.col("_e1")), ("_in2", "last", F.col("_e2")), ("_pos", "sum", F.lit(1))])
+    if bounded:
+        upto = Window.partitionBy(doc).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        run = staged.withColumns({"_in1": F.last("_e1", True).over(upto), "_in2": F.last("_e2", True).over(upto),
+                                  "_pos": F.count(F.lit(1)).over(upto)})
+    else:
+        run = with_group_running(staged, [doc], order, [
+            ("_in1", "last", F.col("_e1")), ("_in2", "last", F.col("_e2")), ("_pos", "sum", F.lit(1))])
     cells = pipe_cells(F.col("_line"))
     n = F.size(cells)
     in1, in2 = F.coalesce(F.col("_in1"), F.lit(False)), F.coalesce(F.col("_in2"), F.lit(False))
@@ -69,8 +78,8 @@ def parse_sections(lines: DataFrame, doc: str, order: Sequence[str], line: str)
 
 
 def parse_section_text(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """:func:`parse_sections` on report texts."""
-    return parse_sections(text_lines(df, doc, text), doc, ["line_no"], "line")
+    """:func:`parse_sections` on report texts (one text for each ``doc``)."""
+    return parse_sections(text_lines(df, doc, text), doc, ["line_no"], "line", bounded=True)
 
 
 def parse_two_parts(lines: DataFrame, doc: str, order: Sequence[str], line: str) -> DataFrame:
@@ -98,22 +107,37 @@ def parse_two_parts(lines: DataFrame, doc: str, order: Sequence[str], line: str)
                       .when(before == 1, segs[0]).alias("text"))
     pieces = run.select(doc, F.inline(F.array(piece1, piece2)))
     pieces = pieces.where(F.col("text").isNotNull() & F.contains(F.col("text"), F.lit(CELL_SEP)))
+    return _untrimmed_rows(pieces, doc)
+
+
+def _untrimmed_rows(pieces: DataFrame, doc: str) -> DataFrame:
     cells = pipe_cells(F.col("text"), trim=False)
     return pieces.select(doc, "part", "line_no", F.col("text").alias("line"), F.size(cells).alias("n_cells"),
                          *[F.try_element_at(cells, F.lit(i + 1)).alias(f"c{i + 1}") for i in range(4)])
 
 
 def parse_two_part_text(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """:func:`parse_two_parts` on report texts."""
-    return parse_two_parts(text_lines(df, doc, text), doc, ["line_no"], "line")
+    """:func:`parse_two_parts` on report texts: a text is cut and its parts exploded where it lies, without a shuffle."""
+    parts = F.slice(F.split(F.col(text), PART_2_SPLIT, -1), 1, 2)
+    cut = df.select(doc, F.posexplode(parts).alias("_at", "_part"))
+    lines = cut.select(doc, (F.col("_at") + 1).alias("part"), F.posexplode(F.split("_part", "\n", -1)).alias("_no", "text"))
+    return _untrimmed_rows(lines.select(doc, "part", F.col("_no").cast("long").alias("line_no"), "text").where(F.contains("text", F.lit(CELL_SEP))), doc)
 
 
 def joined_lines(df: DataFrame, group: str, line: Column, chunk_lines: int = 1000, name: str = "text") -> DataFrame:
     """The lines of each group, sorted and joined by newlines, as texts of ``chunk_lines`` lines (the last of a
     group may be shorter), numbered 0, 1, ...: (group, chunk, text). A group of any size becomes bounded
-    texts; one that fits is one text. Lines are numbered once (skew-safe), then joined per chunk."""
+    texts; one that fits is one text and is joined at once. Only the lines of larger groups are numbered (skew-safe):
+    these groups are at most one for ``chunk_lines`` rows, and usually few."""
+    ensure_checkpoint_dir(df.sparkSession)
     lines = df.select(F.col(group).alias("_g"), line.alias("_line"))
-    numbered = with_group_row_number(lines, ["_g"], ["_line"], "_rank")
-    return (numbered.withColumn("chunk", F.floor((F.col("_rank") - 1) / F.lit(chunk_lines)).cast("long"))
-            .groupBy("_g", "chunk").agg(F.array_join(F.array_sort(F.collect_list("_line")), "\n").alias(name))
-            .withColumnRenamed("_g", group))
+    large = lines.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk_lines).select(F.col("_g").alias("_large")).checkpoint()
+    join = lambda rows: (rows.groupBy("_g", "chunk").agg(F.array_join(F.array_sort(F.collect_list("_line")), "\n").alias(name))
+                         .withColumnRenamed("_g", group))
+    if large.isEmpty():
+        return join(lines.withColumn("chunk", F.lit(0).cast("long")))
+    side = broadcast_if_small(large)
+    same = F.col("_g").eqNullSafe(F.col("_large"))
+    numbered = with_group_row_number(lines.join(side, same, "left_semi"), ["_g"], ["_line"], "_rank")
+    chunked = numbered.select("_g", "_line", F.floor((F.col("_rank") - 1) / F.lit(chunk_lines)).cast("long").alias("chunk"))
+    return join(lines.join(side, same, "left_anti").withColumn("chunk", F.lit(0).cast("long")).unionByName(chunked))

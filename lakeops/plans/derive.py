@@ -118,6 +118,14 @@ def text_reports(conversations: DataFrame) -> DataFrame:
     return conversations.select("conv_id", "turn", F.array_join(report, "\n").alias("report"))
 
 
+def two_part_reports(conversations: DataFrame) -> DataFrame:
+    """One report text per conversation row, (conv_id, turn, report): the lines of the row's whole text as rows of four
+    cells, then ``PART 2``, then as rows of three."""
+    row = lambda first: F.array_join(F.transform(F.split("text", "\n", -1), lambda x, i: F.concat_ws(" | ", F.col("role"), i.cast("string"), *first, x)), "\n")
+    report = F.concat(row([F.col("conv_id").cast("string")]), F.lit("\nPART 2\n"), row([]))
+    return conversations.select("conv_id", "turn", report.alias("report"))
+
+
 def payload_texts(embeddings: DataFrame, parts: int = 4, size: int = 16) -> DataFrame:
     """Stored payload rows: ``vec_id`` and ``parts`` vectors of ``size`` elements as comma text, some of them bad:
     an element "x" (every 10th), null (every 11th), one element short (every 13th), an element "1.0f" (every 17th)."""

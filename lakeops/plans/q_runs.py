@@ -150,20 +150,20 @@ def page_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("top_n", "O3", f"""SELECT * FROM (SELECT *, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rank
     FROM customer) WHERE rank <= {TOP_N}""")
 def top_n_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_n(Tables(spark, sf_dir).customer, [F.col("c_acctbal").desc(), F.col("c_custkey")], TOP_N)
+    return top_n(Tables(spark, sf_dir).customer, [("c_acctbal", "desc"), "c_custkey"], TOP_N)
 
 
 @query("sort_desc", "O2", """SELECT *, row_number() OVER (ORDER BY s_acctbal DESC, s_suppkey) AS position
   FROM supplier""")
 def sort_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_ordinal(Tables(spark, sf_dir).supplier, [F.col("s_acctbal").desc(), F.col("s_suppkey")], "position")
+    return with_ordinal(Tables(spark, sf_dir).supplier, [("s_acctbal", "desc"), "s_suppkey"], "position")
 
 
 @query("row_ordinal", "W2", """SELECT o_orderkey, o_totalprice,
     row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS ordinal FROM orders""")
 def row_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
-    return with_ordinal(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], "ordinal")
+    return with_ordinal(o, [("o_totalprice", "desc"), "o_orderkey"], "ordinal")
 
 
 @query("retryable_errors", "P13", f"""SELECT event_id, user_id, code, event_type AS message FROM (

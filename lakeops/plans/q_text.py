@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeops.functions.report import joined_lines, parse_section_text, parse_sections, parse_two_parts
+from lakeops.functions.report import joined_lines, parse_section_text, parse_sections, parse_two_part_text, parse_two_parts
 from lakeops.functions.text import (
     UPPER, LOWER, base64_decode, base64_text, replace_long, report_line, round_money, separator,
     shares_label, shift_decode, shift_encode,
 )
-from lakeops.plans.derive import marked_report_lines, text_reports, two_part_report_lines
-from lakeops.operators.ordering import with_group_row_number
+from lakeops.plans.derive import marked_report_lines, text_reports, two_part_report_lines, two_part_reports
 from lakeops.plans.registry import query
 from lakeops.tables import Tables
 
@@ -131,6 +130,23 @@ def two_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_two_parts(lines, "conv_id", ["turn", "sub"], "line")
 
 
+_LINES = "list_transform(range(len(l)), lambda i: concat_ws(' | ', role, CAST(i AS VARCHAR){}, l[i + 1]))"
+
+
+@query("two_part_text_rows", "F4", f"""WITH t AS (SELECT conv_id, turn, role, string_split(text, chr(10)) AS l FROM conversations),
+  r AS (SELECT conv_id, turn, string_split(array_to_string({_LINES.format(", CAST(conv_id AS VARCHAR)")}, chr(10)) || chr(10) || 'PART 2' || chr(10)
+      || array_to_string({_LINES.format("")}, chr(10)), 'PART 2') AS p FROM t),
+  parts AS (SELECT conv_id, turn, 1 AS part, string_split(p[1], chr(10)) AS b FROM r UNION ALL SELECT conv_id, turn, 2, string_split(p[2], chr(10)) FROM r),
+  lines AS (SELECT conv_id, turn, part, unnest(range(len(b))) AS line_no, unnest(b) AS line FROM parts)
+  SELECT conv_id, turn, part, line_no, line, CAST(len(string_split(line, '|')) AS INTEGER) AS n_cells, string_split(line, '|')[1] AS c1,
+    string_split(line, '|')[2] AS c2, string_split(line, '|')[3] AS c3, string_split(line, '|')[4] AS c4 FROM lines WHERE contains(line, '|')""")
+def two_part_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-part reports held in one text value each, with the whole texts of the conversations."""
+    reports = two_part_reports(Tables(spark, sf_dir).conversations)
+    rows = parse_two_part_text(reports.select(F.struct("conv_id", "turn").alias("doc"), "report"), "doc", "report")
+    return rows.select("doc.conv_id", "doc.turn", *[c for c in rows.columns if c != "doc"])
+
+
 @query("report_text_rows", "F3 F4 F10 W4 P11 O1", f"""WITH lines AS (
     SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM conversations),
   rows AS (
@@ -149,7 +165,8 @@ def report_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = text_reports(Tables(spark, sf_dir).conversations)
     rows = parse_section_text(reports.select(F.struct("conv_id", "turn").alias("doc"), "report"), "doc", "report")
     rows = rows.select(F.col("doc.conv_id").alias("conv_id"), F.col("doc.turn").alias("turn"), "part", "line_no", "c1", "c2", "c3")
-    placed = with_group_row_number(rows, ["conv_id", "turn", "part"], ["c3", "line_no"], "place")
+    of_text = Window.partitionBy("conv_id", "turn", "part").orderBy("c3", "line_no")  # the lines of one text
+    placed = rows.withColumn("place", F.row_number().over(of_text).cast("long"))
     cells = [F.col("c1"), F.col("c2"), F.col("c3")]
     line = F.when(F.col("part") == 1, report_line(cells, [*WIDTHS[:2], None])).otherwise(report_line(cells, [*SECOND_WIDTHS, None]))
     return placed.select("conv_id", "turn", "part", "place", line.alias("line"))

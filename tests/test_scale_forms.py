@@ -32,6 +32,52 @@ def test_first_n_per_group(spark, n):
     assert {tuple(r) for r in got.collect()} == expected
 
 
+# --- ordinal from bounds -------------------------------------------------------------------------
+
+def sort_key(value, down):
+    """Nulls first rising, last falling; NaN is the largest number."""
+    if value is None:
+        return (0, 0, 0)
+    big = isinstance(value, float) and value != value
+    number = value if isinstance(value, (int, float)) else [ord(c) for c in value] + [-1]
+    if down:
+        return (-1, -int(big), 0 if big else -number if isinstance(number, (int, float)) else [-x for x in number])
+    return (1, int(big), 0 if big else number)
+
+
+ORDER_ROWS = [(random.Random(i).choice([None, 0.5, -0.5, float("nan"), float(i % 7), 2.0, 2.0, 2.0]), random.Random(i + 999).choice([None, "a", "b", "ab", "é", ""]), i) for i in range(700)]
+
+
+@pytest.mark.parametrize("order", [["v", "s", "id"], [("v", "desc"), "s", ("id", "desc")], ["s", ("v", "desc"), "id"], [("s", "desc"), "id"]])
+@pytest.mark.parametrize("bounds", ["drawn", "none", "all", "few rows", "outside"])
+def test_ordinal_is_exact_with_any_bounds(spark, monkeypatch, order, bounds):
+    df = spark.createDataFrame(ORDER_ROWS, "v double, s string, id int").repartition(5)
+    named = ordering._named(order)
+    at = {"v": 0, "s": 1, "id": 2}
+    expected = [r[2] for r in sorted(ORDER_ROWS, key=lambda r: [sort_key(r[at[n]], down) for n, down in named])]
+    of = lambda r: tuple(r[at[n]] for n, _ in named)
+    place = {i: k for k, i in enumerate(expected)}
+    given = {"drawn": None, "none": [], "all": [of(r) for r in sorted(ORDER_ROWS, key=lambda r: place[r[2]])][::7], "few rows": [of(ORDER_ROWS[expected[400]])],
+             "outside": [of((None, None, -5)), of((None, None, 10_000))][:1]}[bounds]
+    out = ordering.with_ordinal(df, order, "pos", bounds=given)
+    assert "rangepartitioning" not in plan(out)
+    assert [r.id for r in sorted(out.collect(), key=lambda r: r.pos)] == expected
+    assert sorted(r.pos for r in out.collect()) == list(range(1, 701))
+
+
+def test_ordinal_pieces_are_even(spark):
+    """A column that a third of the rows share does not make one piece: the whole order is cut."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    bounds = ordering.draw_bounds(df, [("k", False), ("id", False)], 32)
+    assert len(bounds) == 31
+    sizes = [r["count"] for r in df.groupBy(ordering.piece_of(df, [("k", False), ("id", False)], bounds)).count().collect()]
+    assert len(sizes) == 32 and max(sizes) < 4 * 20_000 / 32
+    assert ordering.draw_bounds(df.limit(0), [("k", False)], 8) == [] and ordering.with_ordinal(df.limit(0), ["k", "id"]).count() == 0
+    assert len(ordering.draw_bounds(df.withColumn("k", F.lit(1)), [("k", False)], 8)) == 1
+    with pytest.raises(ValueError):
+        ordering.with_ordinal(df, [("k", "up")])
+
+
 # --- hot keys in stored tables ---------------------------------------------------------------------
 
 def test_split_payload_join(spark, tmp_path):
