@@ -72,8 +72,10 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return links.unionByName(both).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) from ``seeds`` (host, trust, distrust): shares of the pages that rules decide."""
+def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING,
+              few: int = 100_000) -> DataFrame:
+    """(host, trust, distrust) from ``seeds`` (host, trust, distrust): shares of the pages that rules decide. Up to ``few``
+    (counted) edges and seeds are one partition, so that their rounds need no shuffle."""
     if tolerance <= 0 or not 0 < damping < 1:
         raise ValueError("tolerance must be positive, damping between 0 and 1")
     kinds = edges.select(F.lit(1).alias("kind"), "src", "dst", "weight").unionByName(
@@ -82,14 +84,19 @@ def propagate(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE,
     steps = kinds.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("all")).alias("share")).checkpoint()
     start = (seeds.select(F.lit(1).alias("kind"), "host", F.col("trust").alias("rank"))
              .unionByName(seeds.select(F.lit(-1).alias("kind"), "host", F.col("distrust").alias("rank"))).where("rank > 0").checkpoint())
+    one = steps.count() <= few and start.count() <= few
+    if one:
+        steps, start = steps.coalesce(1).checkpoint(), start.coalesce(1).checkpoint()
     ranks, i, reached = start, 0, -1
     while True:
         i += 1
         before = ranks
         moved = (ranks.withColumnRenamed("host", "src").join(steps, ["kind", "src"])
                  .select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")))
-        ranks = (moved.unionByName(start.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank")))
-                 .groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+        both = moved.unionByName(start.select("kind", "host", (F.col("rank") * (1 - damping)).alias("rank")))
+        if one:
+            both = both.coalesce(1)
+        ranks = both.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if i % CHECKPOINT_EVERY == 0:
             ranks = ranks.checkpoint()
             now = ranks.count()
