@@ -196,8 +196,14 @@ class ByteBpe:
         return parts[0] if parts else b""
 
 
+@lru_cache(1)
+def _encoder(vocab: str, pattern: str, leaf_chars: int) -> ByteBpe:
+    """One encoder for all tasks of a Python worker, so that later tasks find the matches of earlier ones."""
+    return ByteBpe(read_ranks(vocab), pattern, leaf_chars)
+
+
 def _rows(batches, text_at: int, vocab: str, pattern: str, leaf_chars: int):
-    bpe = ByteBpe(read_ranks(vocab), pattern, leaf_chars)
+    bpe = _encoder(vocab, pattern, leaf_chars)
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS_PER_BATCH):
             part = batch.slice(start, ROWS_PER_BATCH)

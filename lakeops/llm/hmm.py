@@ -330,9 +330,9 @@ def _score(batches, shared: Shared):
 
 
 def score(documents: DataFrame, learned, held_out, doc_id: str = "doc_id", text: str = "text", states: int = 6,
-          frequent: int | None = None, rounds: int = 3) -> DataFrame:
+          rounds: int = 3) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10). ``learned`` and ``held_out``
-    are conditions on ``documents``. ``frequent`` has no effect: every word is a symbol of its own."""
+    are conditions on ``documents``."""
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learned.alias("learned"), held_out.alias("held_out"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     blocks = bl.pack(docs, "text")

@@ -71,7 +71,7 @@ def run(df, **how):
 
 def test_base_and_defined_cases(spark, hostile, no_docs, monkeypatch):
     monkeypatch.setattr(blocks, "BLOCK_BYTES", 4000)
-    check_counts([(r.doc_id, r.text) for r in hostile.collect()], run(hostile, states=2, frequent=8, rounds=2))
+    check_counts([(r.doc_id, r.text) for r in hostile.collect()], run(hostile, states=2, rounds=2))
     assert run(no_docs) == []
     unlearned = hostile.where("doc_id is null")
     check_counts([(r.doc_id, r.text) for r in unlearned.collect()], run(unlearned, states=2))
@@ -83,8 +83,8 @@ def test_chances_sum_to_one(spark):
     probe = [(1000 + i, w) for i, w in enumerate(["a", "b", "c", "d", "e", "f", "g", "z", "unknown"])]
     taught = F.col("doc_id") < 1000
     df = spark.createDataFrame(rows + probe, "doc_id long, text string")
-    out = {r.doc_id: r.score for r in hmm.score(df, taught, ~taught, states=1, frequent=3, rounds=2).collect()}
-    empty = hmm.score(df.unionByName(spark.createDataFrame([(2000, "")], df.schema)), taught, ~taught, states=1, frequent=3, rounds=2)
+    out = {r.doc_id: r.score for r in hmm.score(df, taught, ~taught, states=1, rounds=2).collect()}
+    empty = hmm.score(df.unionByName(spark.createDataFrame([(2000, "")], df.schema)), taught, ~taught, states=1, rounds=2)
     end = 10 ** next(r.score for r in empty.collect() if r.doc_id == 2000)
     assert abs(sum(10 ** out[i] for i, _ in probe) / end + end - 1) < 1e-6
 
@@ -97,7 +97,7 @@ def test_better_than_base_on_held_out(spark):
 
 def test_rare_words_have_states(spark):
     """Emissions of words seen a few times tell kinds of text apart: a held-out text of one kind is likelier than
-    one that mixes kinds, though all words are rare (``frequent`` bounds nothing)."""
+    one that mixes kinds, though all words are rare."""
     rng = np.random.default_rng(5)
     kinds = [[f"{k}{i}" for i in range(400)] for k in "ab"]
     text = lambda words: " ".join(rng.choice(words, 40))
@@ -106,6 +106,6 @@ def test_rare_words_have_states(spark):
     rows += [(2000 + i, " ".join(w for pair in zip(rng.choice(kinds[0], 20), rng.choice(kinds[1], 20)) for w in pair)) for i in range(20)]
     taught = F.col("doc_id") < 1000
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    out = hmm.score(df, taught, ~taught, states=2, frequent=8, rounds=10).collect()
+    out = hmm.score(df, taught, ~taught, states=2, rounds=10).collect()
     gain = lambda lo: np.mean([r.score - r.base_score for r in out if lo <= r.doc_id < lo + 1000])
     assert gain(1000) > gain(2000) + 2
