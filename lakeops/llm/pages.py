@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.session import ensure_checkpoint_dir
+
 #: HTML's raw-text, void, block and container elements.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "title")
 BLOCKS = frozenset("address blockquote caption dd details dt figcaption h1 h2 h3 h4 h5 h6 hr legend li option p pre summary td th tr".split())
@@ -152,7 +154,7 @@ def templates(tokens: DataFrame, pages: DataFrame) -> DataFrame:
     """(host, slot): the content slot of each host's template."""
     of = lambda seed: F.sum(F.shiftrightunsigned(F.xxhash64("page", "n", F.lit(seed)), 32))
     vectors = tokens.groupBy("host", "path").agg(F.count("*").alias("on"), F.sum("n").alias("all"), F.sum("chars").alias("chars"),
-                                                 of(1).alias("v1"), of(2).alias("v2"))
+                                                 of(1).alias("v1"), of(2).alias("v2")).checkpoint()  # read three times; pages are parsed once
     classes = vectors.groupBy("host", "on", "all", "v1", "v2").agg(F.count("*").alias("tokens"), F.max("chars").alias("most"))
     hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
     text = vectors.groupBy("host").agg(F.max("chars").alias("text"))
@@ -206,6 +208,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", broadcast_ro
     """``pages`` without ``html``, with ``text``."""
     if "text" in pages.columns or "_slot" in pages.columns or "_host" in pages.columns:
         raise ValueError("columns named text, _slot or _host would clash with the result")
+    ensure_checkpoint_dir(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"://([^/?#]*)", 1))
     rows = pages.withColumn("_host", host)
     page = F.xxhash64(F.col(url), F.col(html))
