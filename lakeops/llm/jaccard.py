@@ -14,7 +14,7 @@ is, when d is at most r. The join is a recursion over regions:
   few distances each. What is not found here is found below; so it costs no link.
 * Only regions whose members are not all connected by then are built, and in them only what is not known to be
   connected is compared. Regions of at most ``LEAF`` members are compared directly.
-* In a larger region the open members are first measured against ``PIVOTS`` pivots of their home, the largest region
+* In a larger region the open members are first measured against ``HOME_PIVOTS`` pivots of their home, the largest region
   they are in.
 * One level of the recursion for what is left. Every region draws pivots among its open members (at first all are); all members' distances
   to the pivots are found, each distinct pair once. Members within r of a pivot lie in its cell and are linked.
@@ -53,10 +53,10 @@ MIN_PARTS, PER_PART = 64, 8
 KEY_BITS, MOST = 48, 65535
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
-#: Pivots tried at home; the recursion starts with 8 times as many a region, and each level draws that many times more.
+#: The recursion starts with 8 times as many pivots a region, and each level draws that many times more.
 PIVOTS = 8
-#: Hash orders under which sets meet hubs.
-HUBS = 4
+#: Hash orders under which sets meet hubs, and pivots tried at home.
+HUBS, HOME_PIVOTS = 3, 4
 _ORDERS = tb.mix(np.arange(1, HUBS + 1, dtype=np.uint64)) | np.uint64(1)
 CHUNK = 64
 
@@ -249,8 +249,7 @@ def _hub_pairs(sets: DataFrame, share: int) -> DataFrame:
 def _first_regions(sets: DataFrame, labels: DataFrame, store) -> DataFrame:
     """(region, node, n, degree, label, m) of every landmark whose sets are not all known to be connected, regions of
     equal members once."""
-    known = sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    postings = known.select(F.explode("landmarks").alias("region"), "node", "n", "degree", "label")
+    postings = _labelled(sets, labels).select(F.explode("landmarks").alias("region"), "node", "n", "degree", "label")
     of = lambda seed: F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(seed)), 32))
     open_ = store.keep(postings.groupBy("region").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("m"),
                                                       F.min("node").alias("low"), of(1).alias("s1"), of(2).alias("s2")).where("l1 <> l2")
@@ -274,10 +273,10 @@ def _join_regions(docs, rows, width, share, broadcast_bytes, store) -> DataFrame
     leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n", "label")
     other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("to"))
     direct = leaf.join(other, "region").where("node < p and label <> to").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
-    opened = _open(members.where(F.col("m") > LEAF).drop("label"), labels, store)
-    links = links.unionAll(_links(measure(direct.unionByName(_home_pairs(opened, PIVOTS, share)))))
+    opened = _open(members.where(F.col("m") > LEAF), store)
+    links = links.unionAll(_links(measure(direct.unionByName(_home_pairs(opened, HOME_PIVOTS, share)))))
     labels = store.keep(_near_labels(links))
-    opened = _open(opened.select("region", "node", "n", "m", "degree"), labels, store)
+    opened = _open(_labelled(opened.select("region", "node", "n", "m", "degree"), labels), store)
     members = opened.select("region", "node", "n", "label", "open")
     pivots_each = 8 * PIVOTS
     while True:
@@ -309,10 +308,13 @@ def _home_pairs(members: DataFrame, each: int, share: int) -> DataFrame:
             .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
 
 
-def _open(members: DataFrame, labels: DataFrame, store) -> DataFrame:
-    """Members, with label and open, of the regions in which not all are known to be connected; all but a region's
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _open(rest: DataFrame, store) -> DataFrame:
+    """Labelled members, with open, of the regions in which not all are known to be connected; all but a region's
     largest group of connected members are open."""
-    rest = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = rest.groupBy("region", "label").agg(F.count("*").alias("k"))
     main = sizes.groupBy("region").agg(F.max(F.struct("k", "label")).alias("largest"), F.count("*").alias("groups"))
     return store.keep(rest.join(main.where("groups > 1"), "region").withColumn("open", F.col("label") != F.col("largest.label"))
@@ -429,7 +431,7 @@ def _measure(docs, rows, maybe, width, share, broadcast_bytes, store) -> DataFra
 def _next_regions(live, measured, reach, labels, store) -> DataFrame:
     """What one level leaves of the regions in which not all members are known to be connected: the open members, and
     of the closed ones those that no pivot they are linked to proves to be out of reach of every open member."""
-    rest = _open(live.where("not pivot").select("region", "node", "n"), labels, store)
+    rest = _open(_labelled(live.where("not pivot").select("region", "node", "n"), labels), store)
     both = measured.where("linked").select(F.col("x").alias("node"), "p", "d")
     both = both.unionAll(measured.where("linked").select(F.col("p").alias("node"), F.col("x").alias("p"), "d"))
     out = (rest.where("not open").join(both, "node").join(reach, ["region", "p"]).where("d < reach")
