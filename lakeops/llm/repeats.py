@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from lakeops.llm import blocks as bl
 from lakeops.llm import textbytes as tb
 
-GRAM = 32
+GRAM = 20
 #: Blocks here are larger than elsewhere: a passage is sent once per block, and messages are fewer.
 BLOCK_SCALE = 2
 PIECE = 1 << 20
