@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from functools import lru_cache
 
 import pyarrow as pa
@@ -31,6 +32,7 @@ LOOKAHEAD = 3
 NAIVE_BYTES = 48
 LEAF_BYTES = 24
 ROWS_PER_BATCH = 256
+NO_RANK = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,18 +42,20 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Cache(dict):
-    """Match -> packed ids, at most ``limit`` entries (emptied when full, results do not depend on it)."""
+    """Match -> packed ids. A full cache becomes the old one, from which what is asked for again is taken back; both have
+    at most ``limit`` entries (results do not depend on it)."""
 
     def __init__(self, encode, limit: int):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.old = encode, limit, {}
 
     def __missing__(self, match: str) -> bytes:
-        import numpy as np
-
-        packed = np.asarray(self.encode(match.encode("utf-8", "surrogatepass")), dtype="<i4").tobytes()
+        packed = self.old.get(match)
+        if packed is None:
+            packed = array("i", self.encode(match.encode("utf-8", "surrogatepass"))).tobytes()
         if len(match) <= 64:
             if len(self) >= self.limit:
+                self.old = dict(self)
                 self.clear()
             self[match] = packed
         return packed
@@ -60,7 +64,7 @@ class _Cache(dict):
 class ByteBpe:
     """Encoder and decoder for a table of ranks. ``pattern`` must cover every character of a text."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 2048, cache_entries: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 2048, cache_entries: int = 200_000):
         import regex
 
         if leaf_chars < 1:
@@ -143,21 +147,19 @@ class ByteBpe:
 
     def _merge_short(self, piece: bytes) -> list[int]:
         get = self.ranks.get
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        pair_rank = [get(parts[i] + parts[i + 1]) for i in range(len(parts) - 1)]
-        while True:
-            best, at = None, -1
-            for i, r in enumerate(pair_rank):
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return [self.ranks[p] for p in parts]
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del pair_rank[at]
+        cut = list(range(len(piece) + 1))  # where parts start
+        pair_rank = [get(piece[i:i + 2], NO_RANK) for i in range(len(piece) - 1)]
+        while pair_rank:
+            best = min(pair_rank)
+            if best == NO_RANK:
+                break
+            at = pair_rank.index(best)
+            del pair_rank[at], cut[at + 1]
             if at < len(pair_rank):
-                pair_rank[at] = get(parts[at] + parts[at + 1])
+                pair_rank[at] = get(piece[cut[at]:cut[at + 2]], NO_RANK)
             if at:
-                pair_rank[at - 1] = get(parts[at - 1] + parts[at])
+                pair_rank[at - 1] = get(piece[cut[at - 1]:cut[at + 1]], NO_RANK)
+        return [self.ranks[piece[a:b]] for a, b in zip(cut, cut[1:])]
 
     def _merge_long(self, piece: bytes) -> list[int]:
         get, n = self.ranks.get, len(piece)
