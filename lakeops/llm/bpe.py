@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.llm.blocks import release
+
 #: The pattern of the public vocabulary asks at most this many characters past a match's start or run.
 LOOKAHEAD = 3
 NAIVE_BYTES = 48
@@ -198,14 +200,8 @@ class ByteBpe:
         return parts[0] if parts else b""
 
 
-@lru_cache(1)
-def _encoder(vocab: str, pattern: str, leaf_chars: int) -> ByteBpe:
-    """One encoder for all tasks of a Python worker, so that later tasks find the matches of earlier ones."""
-    return ByteBpe(read_ranks(vocab), pattern, leaf_chars)
-
-
 def _rows(batches, text_at: int, vocab: str, pattern: str, leaf_chars: int):
-    bpe = _encoder(vocab, pattern, leaf_chars)
+    bpe = ByteBpe(read_ranks(vocab), pattern, leaf_chars)
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS_PER_BATCH):
             part = batch.slice(start, ROWS_PER_BATCH)
@@ -221,6 +217,8 @@ def _rows(batches, text_at: int, vocab: str, pattern: str, leaf_chars: int):
             columns.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
             names = [n for i, n in enumerate(part.schema.names) if i != text_at]
             yield pa.RecordBatch.from_arrays(columns, [*names, "ids", "decoded"])
+    del bpe  # the same Python process serves other stages
+    release()
 
 
 def encode_decode(df: DataFrame, vocab: str, pattern: str, text: str = "text", leaf_chars: int = 2048) -> DataFrame:
