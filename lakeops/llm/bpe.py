@@ -18,6 +18,7 @@ costs time linear in its length; repeated rows are encoded one by one; other col
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 from array import array
 from functools import lru_cache
@@ -218,6 +219,7 @@ def _rows(batches, text_at: int, vocab: str, pattern: str, leaf_chars: int):
             names = [n for i, n in enumerate(part.schema.names) if i != text_at]
             yield pa.RecordBatch.from_arrays(columns, [*names, "ids", "decoded"])
     del bpe  # the same Python process serves other stages
+    gc.collect()  # its caches hold it in a circle
     release()
 
 
