@@ -25,8 +25,9 @@ is, when d is at most r. The join is a recursion over regions:
   pivots grows by a factor, so the recursion ends after a logarithmic number of levels with every pair measured,
   connected, or excluded by a proof.
 * Before sets are compared, a second family of pivots gives a lower bound: the shingle universe is cut in
-  parts, and the counts of a set's shingles in each part are its coordinates. The sum of their absolute
-  differences bounds the symmetric difference from below, so most unrelated pairs never fetch their sets.
+  parts, ``BITS`` for every shingle, and the parities of a set's shingles in each part are its coordinates. The
+  number of parities that differ bounds the symmetric difference from below, and nearly reaches it when two sets are
+  close, so pairs that do not link rarely fetch their sets.
 
 Equal sets are one node. Nothing is collected; every step of a level and of the components is written to the
 shared scratch folder and deleted when the result, which is small, has been written.
@@ -49,7 +50,7 @@ from lakeops.llm import textbytes as tb
 from lakeops.llm.graph import components
 
 PIECE_BYTES = 1 << 20
-MIN_PARTS, PER_PART = 64, 8
+MIN_PARTS, BITS = 512, 4
 KEY_BITS, MOST = 48, 65535
 #: Regions of so many members, and open members of so many, are compared directly: the end of the recursion.
 LEAF = 32
@@ -167,12 +168,19 @@ def _set_rows(batches, width: int, column: int):
             found = [s for s in shingle_sets(texts, width) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([_signature(s) for s in found], pa.int64()),
                                               pa.array([s.tobytes() for s in found], pa.binary())], ["node", "shingles"])
+    bl.release()
 
 
 def _coordinates(s: np.ndarray) -> np.ndarray:
-    """Counts, modulo 256, of a set's shingles in equal parts of the universe: about ``PER_PART`` a part."""
-    parts = max(MIN_PARTS, 1 << (max(1, len(s) // PER_PART) - 1).bit_length())
-    return np.bincount((s & np.uint64(parts - 1)).astype(np.int64), minlength=parts).astype(np.uint8)
+    """Parities, as bits, of the numbers of a set's shingles in equal parts of the universe: ``BITS`` parts a shingle."""
+    parts = max(MIN_PARTS, 1 << (max(1, len(s) * BITS) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(parts - 1)).astype(np.int64), minlength=parts) & 1)
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Rows of coordinates, of a finer division, in the coarser one of ``width`` bytes, as 64-bit words."""
+    folded = np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1)
+    return np.ascontiguousarray(folded).view(np.uint64)
 
 
 def _may_link(batches, share: int):
@@ -184,13 +192,12 @@ def _may_link(batches, share: int):
         widths = np.array([(len(x), len(y)) for x, y in zip(a, b)], np.int64).reshape(-1, 2)
         for wa, wb in np.unique(widths, axis=0).tolist():
             rows = np.flatnonzero((widths[:, 0] == wa) & (widths[:, 1] == wb))
-            m = min(wa, wb)  # the finer division is folded onto the coarser
-            fold = lambda side, w: np.frombuffer(b"".join(side[i] for i in rows), np.uint8).reshape(len(rows), w // m, m).sum(axis=1, dtype=np.uint8).astype(np.int16)
-            gap = np.abs(fold(a, wa) - fold(b, wb))
-            apart[rows] = np.minimum(gap, 256 - gap).sum(axis=1, dtype=np.int64)
+            side = lambda of, w: _folded(np.frombuffer(b"".join(of[i] for i in rows), np.uint8).reshape(len(rows), w), min(wa, wb))
+            apart[rows] = np.bitwise_count(side(a, wa) ^ side(b, wb)).sum(axis=1, dtype=np.int64)
         # similarity >= share / 100 means symmetric difference <= (nx + np) * (100 - share) / (100 + share)
         keep = apart * (100 + share) <= sizes * (100 - share)
         yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1, 3, 4])
+    bl.release()
 
 
 def _distances(batches):
@@ -204,6 +211,7 @@ def _distances(batches):
                 common.append(int((p[at] == x).sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), batch.column(4), batch.column(5)],
                                              ["x", "p", "common", "nx", "np"])
+    bl.release()
 
 
 def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id: str = "doc_id", text: str = "text",
@@ -237,12 +245,14 @@ def near_classes(documents: DataFrame, width: int = 4, share: int = 85, doc_id:
                                 F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
-def _hub_pairs(sets: DataFrame, share: int) -> DataFrame:
-    """Pairs of every set with the hubs of its hub values."""
-    met = sets.select("node", "n", "degree", F.explode("hubs").alias("region"))
-    rank = F.struct(F.col("degree"), F.xxhash64("node").alias("h"), F.col("node").alias("p"), F.col("n").alias("np"))
-    hubs = met.groupBy("region").agg(F.max(rank).alias("b"), F.count("*").alias("m")).where("m > 1").select("region", "b.p", "b.np")
-    return (met.join(hubs, "region").where("node <> p").where(_sizes_allow(share))
+def _hub_pairs(sets: DataFrame, order: int, labels: DataFrame | None, share: int) -> DataFrame:
+    """Pairs of every set with the hub of its value under one hash order, unless they are known to be connected."""
+    met = sets.select("node", "n", "degree", F.col("hubs")[order].alias("region"))
+    met = met.withColumn("label", F.col("node")) if labels is None else _labelled(met, labels)
+    rank = F.struct(F.col("degree"), F.xxhash64("node").alias("h"), F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("to"))
+    hubs = (met.groupBy("region").agg(F.max(rank).alias("b"), F.min("label").alias("l1"), F.max("label").alias("l2")).where("l1 <> l2")
+            .select("region", "b.p", "b.np", "b.to"))
+    return (met.join(hubs, "region").where("label <> to").where(_sizes_allow(share))
             .select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("p")))
 
 
@@ -267,15 +277,18 @@ def _join_regions(docs, rows, width, share, broadcast_bytes, store) -> DataFrame
     r = (100 - share) / 100 + 1e-9
     verify = lambda maybe: _measure(docs, rows, maybe, width, share, broadcast_bytes, store)
     measure = lambda pairs: verify(store.keep(_not_excluded(pairs.distinct(), sketches, share)))
-    links = _links(measure(_hub_pairs(sets, share)))
-    labels = store.keep(_near_labels(links))
+    links = labels = None
+    for order in range(HUBS):
+        found = _links(measure(_hub_pairs(sets, order, labels, share)))
+        links = found if links is None else links.unionAll(found)
+        labels = store.keep(_near_labels(links, labels))
     members = _first_regions(sets, labels, store)
     leaf = members.where(F.col("m") <= LEAF).select("region", "node", "n", "label")
     other = leaf.select("region", F.col("node").alias("p"), F.col("n").alias("np"), F.col("label").alias("to"))
     direct = leaf.join(other, "region").where("node < p and label <> to").where(_sizes_allow(share)).select(F.col("node").alias("x"), "p")
     opened = _open(members.where(F.col("m") > LEAF), store)
     links = links.unionAll(_links(measure(direct.unionByName(_home_pairs(opened, HOME_PIVOTS, share)))))
-    labels = store.keep(_near_labels(links))
+    labels = store.keep(_near_labels(links, labels))
     opened = _open(_labelled(opened.select("region", "node", "n", "m", "degree"), labels), store)
     members = opened.select("region", "node", "n", "label", "open")
     pivots_each = 8 * PIVOTS
@@ -286,7 +299,7 @@ def _join_regions(docs, rows, width, share, broadcast_bytes, store) -> DataFrame
         met = store.keep(_meet(live.join(sketches.select("node", "sketch"), "node"), share))
         measured = verify(store.keep(met.where("region is null").select("x", "nx", "p", "np").distinct()))
         links = links.unionAll(_links(measured))
-        labels = store.keep(_near_labels(links))
+        labels = store.keep(_near_labels(links, labels))
         reach = met.where("region is not null").groupBy("region", "p").agg((F.min("least") - r).alias("reach"))
         members = _next_regions(live, measured, reach, labels, store)
         pivots_each *= PIVOTS
@@ -321,9 +334,11 @@ def _open(rest: DataFrame, store) -> DataFrame:
                       .drop("largest", "groups"))
 
 
-def _near_labels(links: DataFrame) -> DataFrame:
-    """(node, label): a smaller node of the same component, near the smallest one: the smallest neighbour, followed
-    twice. Equal labels prove a connection; only the result needs the whole components."""
+def _near_labels(links: DataFrame, known: DataFrame | None) -> DataFrame:
+    """(node, label): a smaller node of the same component, near the smallest one: the smallest neighbour by a link or
+    a known label, followed twice. Equal labels prove a connection; only the result needs the whole components."""
+    if known is not None:
+        links = links.unionAll(known.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
     for _ in range(2):
@@ -376,14 +391,12 @@ def _meet_chunks(batches, share: int):
             pairs = []
             for a, xs in _by_width(members):
                 for b, ps in _by_width(pivots):
-                    w = min(a.shape[1], b.shape[1])  # the finer division is folded onto the coarser
-                    fold = lambda t: t.reshape(len(t), -1, w).sum(axis=1, dtype=np.uint8).astype(np.int16)
-                    x, p = fold(a), fold(b)
+                    w = min(a.shape[1], b.shape[1])
+                    x, p = _folded(a, w), _folded(b, w)
                     n = np.array([members[i]["n"] for i in xs])[:, None] + np.array([pivots[j]["n"] for j in ps])[None, :]
                     apart = np.empty(n.shape, np.int64)
                     for j in range(len(ps)):
-                        gap = np.abs(x - p[j])
-                        apart[:, j] = np.minimum(gap, 256 - gap).sum(axis=1, dtype=np.int64)
+                        apart[:, j] = np.bitwise_count(x ^ p[j]).sum(axis=1, dtype=np.int64)
                     bound = 2.0 * apart / (n + apart)  # similarity is at most (n - apart) / (n + apart)
                     is_open = np.array([members[i]["open"] for i in xs])
                     for j, q in enumerate(ps):
@@ -399,6 +412,7 @@ def _meet_chunks(batches, share: int):
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
                                              ["region", "x", "nx", "p", "np", "least"])
+    bl.release()
 
 
 def _by_width(items: list[dict]):
@@ -434,7 +448,11 @@ def _next_regions(live, measured, reach, labels, store) -> DataFrame:
     rest = _open(_labelled(live.where("not pivot").select("region", "node", "n"), labels), store)
     both = measured.where("linked").select(F.col("x").alias("node"), "p", "d")
     both = both.unionAll(measured.where("linked").select(F.col("p").alias("node"), F.col("x").alias("p"), "d"))
-    out = (rest.where("not open").join(both, "node").join(reach, ["region", "p"]).where("d < reach")
-           .select("region", "node").distinct())
+    # One row a member: its near pivots and the region's reaches meet as arrays, not pair by pair.
+    farthest = reach.groupBy("p").agg(F.max("reach").alias("far"))
+    near = both.join(farthest, "p").where("d < far").groupBy("node").agg(F.collect_list(F.struct("p", "d")).alias("near"))
+    reaches = reach.groupBy("region").agg(F.map_from_entries(F.collect_list(F.struct("p", "reach"))).alias("reaches"))
+    out = (rest.where("not open").join(near, "node").join(reaches, "region")
+           .where(F.exists("near", lambda pivot: pivot["d"] < F.col("reaches")[pivot["p"]])).select("region", "node"))
     return rest.where("open").unionAll(rest.where("not open").join(out, ["region", "node"], "left_anti")
                                        .select("region", "node", "n", "label", "open"))

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lakeops.llm import jaccard
@@ -74,6 +76,38 @@ def test_defined_cases(hostile, no_docs):
     assert run(no_docs, 4, 85) == []
 
 
+def test_coordinates_exclude_pairs_that_do_not_link():
+    """Near copies of one text: every pair that links is kept, and hardly any other is measured."""
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 4000)}" for _ in range(150)]
+    texts = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(i % 4):
+            words[rng.randrange(len(words))] = f"e{rng.randint(0, 10_000)}"
+        texts.append(" ".join(words))
+    sets = jaccard.shingle_sets(texts, 4)
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if not np.array_equal(sets[a], sets[b])]
+    side = lambda k: [pa.array([q[k] for q in pairs]), pa.array([len(sets[q[k]]) for q in pairs]),
+                      pa.array([jaccard._coordinates(sets[q[k]]).tobytes() for q in pairs])]
+    rows = pa.RecordBatch.from_arrays([*side(0), *side(1)], ["x", "nx", "sx", "p", "np", "sp"])
+    kept = {(r["x"], r["p"]) for b in jaccard._may_link([rows], 85) for r in b.to_pylist()}
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in pairs}
+    linked = {q for q in pairs if 100 * common[q] >= 85 * (len(sets[q[0]]) + len(sets[q[1]]) - common[q])}
+    assert linked and linked <= kept
+    assert len(kept - linked) <= 0.1 * (len(pairs) - len(linked))
+
+
+def test_coordinates_of_unequal_sets_are_a_lower_bound():
+    rng = np.random.default_rng(5)
+    for n, m in ((40, 3000), (700, 700), (1, 200)):
+        x, y = (np.unique(rng.integers(0, 5000, k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for k in (n, m))
+        a, b = (jaccard._coordinates(s)[None] for s in (x, y))
+        w = min(a.shape[1], b.shape[1])
+        apart = int(np.bitwise_count(jaccard._folded(a, w) ^ jaccard._folded(b, w)).sum())
+        assert 0 < apart <= len(np.setxor1d(x, y))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (202, 201), (300, 300)]
     got = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
