@@ -335,16 +335,17 @@ def score(documents: DataFrame, learned, held_out, doc_id: str = "doc_id", text:
     are conditions on ``documents``."""
     docs = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learned.alias("learned"), held_out.alias("held_out"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    blocks = bl.pack(docs, "text")
+    store = bl.Store(documents.sparkSession)
+    blocks = bl.pack(docs, "text", store.keep)
     buckets = bl.bucket_count(blocks)
-    added = (blocks.mapInArrow(lambda b: _scatter(b, buckets), _SENT)
-             .groupBy("bucket").applyInArrow(lambda key, t: _add(key[0].as_py(), t, states), _ADDED).checkpoint())
+    added = store.keep(blocks.mapInArrow(lambda b: _scatter(b, buckets), _SENT)
+                       .groupBy("bucket").applyInArrow(lambda key, t: _add(key[0].as_py(), t, states), _ADDED))
     counts = _sums(added)
     if not len(counts):
         counts = np.zeros(2 + states)
     total, kinds = int(counts[0]), int(counts[1])
-    encoded = (_with_answers(blocks, added).select("block", "payload", "answers")
-               .mapInArrow(lambda b: _encode(b, total, kinds), _ENCODED).checkpoint())
+    encoded = store.result(_with_answers(blocks, added).select("block", "payload", "answers")
+                           .mapInArrow(lambda b: _encode(b, total, kinds), _ENCODED))
     model, answers = train(encoded, counts, states, rounds if not encoded.isEmpty() else 0, buckets)
     rows = encoded if answers is None else _with_answers(encoded, answers)
     out = rows.mapInArrow(lambda b: _score(b, model),
