@@ -22,7 +22,7 @@ compared on their first ``length`` bytes, and are sorted in parts:
 A passage in a third of all documents is one entry per block, so no bucket grows with a group of copies. A
 string of ``GRAM`` bytes that a third of all documents hold in different surroundings is a hot key, whose
 suffixes are spread over all buckets; so no group and no sort depends on one such string.
-Long texts are hashed in pieces. Blocks are checkpointed; every later step can be repeated.
+Long texts are hashed in pieces. Every step is stored and can be repeated.
 
 Defined cases: a null text has no bytes; a text shorter than ``length`` loses none; rows with the same id do
 not remove each other's bytes; a row with a null id counts as later than all and earlier than none; matches
@@ -396,26 +396,27 @@ def remove_repeats(df: DataFrame, length: int = 50, doc_id: str = "doc_id", text
         raise ValueError("length must be at least 2 bytes")
     gram = min(gram, length)
     at, who = df.columns.index(text), df.columns.index(doc_id)
-    blocks = bl.pack(df, text, scale=BLOCK_SCALE)
+    store = bl.Store(df.sparkSession)
+    blocks = bl.pack(df, text, store.keep, scale=BLOCK_SCALE)
     buckets = bl.bucket_count(blocks)
     sent = "bucket long, block long, payload binary"
     answer = "block long, payload binary"
     told = "block long, payload binary, hot boolean"
-    keys = (blocks.mapInArrow(lambda b: _scatter_keys(b, at, who, length, gram, buckets), sent)
-            .groupBy("bucket").applyInArrow(lambda t: _shared_keys(t, at_once), told)).checkpoint()
-    # Used twice below: the exchange of the blocks is planned once and reused.
+    keys = store.keep(blocks.mapInArrow(lambda b: _scatter_keys(b, at, who, length, gram, buckets), sent)
+                      .groupBy("bucket").applyInArrow(lambda t: _shared_keys(t, at_once), told))
     known = bl.replies(blocks, keys).withColumnRenamed("answers", "keys")
     with_hot = keys.where("hot").select("block").distinct()
     if with_hot.isEmpty():
         known = known.withColumn("strings", F.lit(None).cast("array<binary>"))
     else:
-        strings = (known.join(with_hot, "block", "left_semi").select("block", "payload", "keys")
-                   .mapInArrow(lambda b: _scatter_hot(b, at, who, length, gram, buckets), sent)
-                   .groupBy("bucket").applyInArrow(lambda t: _shared_keys(t, at_once), told)).checkpoint()
+        strings = store.keep(known.join(with_hot, "block", "left_semi").select("block", "payload", "keys")
+                             .mapInArrow(lambda b: _scatter_hot(b, at, who, length, gram, buckets), sent)
+                             .groupBy("bucket").applyInArrow(lambda t: _shared_keys(t, at_once), told))
         known = bl.replies(known, strings).withColumnRenamed("answers", "strings")
-    known = known.select("block", "payload", "keys", "strings")
-    runs = (known.mapInArrow(lambda b: _scatter_runs(b, at, who, length, gram, buckets), sent)
-            .groupBy("bucket").applyInArrow(lambda t: _suffix_order(t, length), answer))
+    # Every step is stored, and what it was made from goes, so that messages of two steps are never on disk together.
+    known = store.result(known.select("block", "payload", "keys", "strings"))
+    runs = store.keep(known.mapInArrow(lambda b: _scatter_runs(b, at, who, length, gram, buckets), sent)
+                      .groupBy("bucket").applyInArrow(lambda t: _suffix_order(t, length), answer))
     schema = T.StructType([*df.schema.fields, T.StructField("n_bytes", T.LongType()),
                            T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))),
                            T.StructField("kept", T.BinaryType())])
